@@ -51,13 +51,16 @@ def clip_upper(c: Column, hi: float) -> Column:
     return F.least(c, F.lit(hi))
 
 
-def clip_rating(c: Column, lo: float = 0.0, hi: float = 5.0, null_as: float = 1.0) -> Column:
+def clip_rating(c: Column, lo: float = 0.0, hi: float = 5.0, null_as: float = 1.0,
+                dtype: str | None = None) -> Column:
     """CF clip: clip into [lo, hi] first, then null -> ``null_as``.
 
-    The null guard comes first because least/greatest skip nulls.
+    The null guard comes first because least/greatest skip nulls. ``dtype``
+    keeps the literals in the input's type (an exact decimal stays exact).
     """
-    return F.when(c.isNull(), F.lit(null_as)).otherwise(
-        F.least(F.greatest(c.cast("double"), F.lit(lo)), F.lit(hi)))
+    def lit(v):
+        return F.lit(v).cast(dtype) if dtype else F.lit(v)
+    return F.when(c.isNull(), lit(null_as)).otherwise(F.least(F.greatest(c, lit(lo)), lit(hi)))
 
 
 def flag(c: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wanderrank.plans.oracle import with_ctes
+from wanderrank.plans.oracle import avg, with_ctes
 from wanderrank.plans.roles import PART_FACILITIES
 
 D = "CAST({} AS DOUBLE)"
@@ -96,3 +96,145 @@ ORACLES: dict[str, str] = {
         {"cat_alpha": _label_cte("c_items", "category", "alpha", "ECONOMY"),
          "prov_alpha": _label_cte("c_items", "province", "alpha", "Brand#1")}),
 }
+
+
+# ---------------------------------------------------------------- vectors, neighbours
+
+ITEM_FEATURES_CTES["ifeat"] = (["if_base", "cat_labels", "prov_labels", "cat_stats"],
+                               ITEM_FEATURES[ITEM_FEATURES.index("\nSELECT b.*"):])
+VEC_COLS = (["price", "visit_hours"] + [f"has_{w}" for w in PART_FACILITIES]
+            + ["category_idx", "province_idx"])
+
+
+def _vector_ctes() -> dict:
+    raw = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS f{i}" for i, c in enumerate(VEC_COLS))
+    stats = ", ".join(f"min(f{i}) AS lo{i}, max(f{i}) AS hi{i}" for i in range(len(VEC_COLS)))
+    scaled = ", ".join(f"CASE WHEN hi{i} - lo{i} = 0 THEN 0.0 ELSE (f{i} - lo{i}) / (hi{i} - lo{i}) END"
+                       for i in range(len(VEC_COLS)))
+    d = dict(ITEM_FEATURES_CTES)
+    d.update({
+        "vraw": (["ifeat"], f"SELECT item_id, {raw} FROM ifeat"),
+        "vstats": (["vraw"], f"SELECT {stats} FROM vraw"),
+        "vec": (["vraw", "vstats"], f"SELECT item_id, [{scaled}] AS features FROM vraw, vstats"),
+    })
+    return d
+
+
+def _neighbour_ctes(vec: str, k: int, name: str = "nbr") -> dict:
+    return {
+        f"{name}_norm": ([vec], f"""SELECT item_id, features,
+            list_dot_product(features, features) AS nn FROM {vec}"""),
+        f"{name}_pairs": ([f"{name}_norm"], f"""SELECT a.item_id AS src, b.item_id AS dst,
+            CASE WHEN a.nn = 0 OR b.nn = 0 THEN 0.0
+                 ELSE list_dot_product(a.features, b.features) / (sqrt(a.nn) * sqrt(b.nn)) END AS s
+            FROM {name}_norm a JOIN {name}_norm b ON a.item_id <> b.item_id"""),
+        name: ([f"{name}_pairs"], f"""SELECT src, dst, s, row_number() OVER (PARTITION BY src
+            ORDER BY round(s, 12) DESC, dst ASC) AS rk FROM {name}_pairs QUALIFY rk <= {k}"""),
+    }
+
+
+VEC = _vector_ctes()
+EMB = {"evec": ([], "SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS features FROM embeddings")}
+
+ORACLES["build_item_vectors"] = with_ctes(["vec"], """SELECT item_id,
+    CAST(generate_subscripts(features, 1) - 1 AS INTEGER) AS dim, unnest(features) AS value
+    FROM vec""", VEC)
+ORACLES["cosine_topk"] = with_ctes(["nbr"], """SELECT src, dst, round(s, 4) AS score,
+    CAST(rk AS INTEGER) AS rank FROM nbr""", {**VEC, **_neighbour_ctes("vec", 5)})
+ORACLES["cosine_topk_embeddings"] = with_ctes(["nbr"], """SELECT src, dst, round(s, 4) AS score,
+    CAST(rk AS INTEGER) AS rank FROM nbr""", {**EMB, **_neighbour_ctes("evec", 5)})
+
+# ---------------------------------------------------------------- collaborative + hybrid
+
+CF_CTES = {
+    "rated": (["c_inter"], """SELECT user_id, item_id, CASE WHEN score IS NULL THEN 1.0
+        ELSE least(greatest(score, 0), 5) END AS rating FROM c_inter"""),
+    "nu": (["rated"], f"""SELECT user_id, count(*) AS n_rows, {avg('rating')} AS user_mean
+        FROM rated GROUP BY user_id"""),
+    "seen": (["rated", "c_items"], """SELECT DISTINCT user_id, item_id FROM rated
+        WHERE item_id IN (SELECT item_id FROM c_items)"""),
+}
+
+WEIGHTS = """CAST(CASE WHEN {n} < 5 THEN 0.2 WHEN {n} < 20 THEN 0.5 ELSE 0.7 END AS DOUBLE) AS w_cf,
+    CAST(CASE WHEN {n} < 5 THEN 0.8 WHEN {n} < 20 THEN 0.5 ELSE 0.3 END AS DOUBLE) AS w_cb"""
+
+HALF_UP4 = "((2 * CAST({s} * 10000 AS BIGINT) + {n}) // (2 * {n})) / 10000.0"
+ORACLES["cf_user_mean"] = with_ctes(["c_users", "rated"], f"""SELECT u.user_id,
+    CAST(CASE WHEN a.n > 0 THEN {HALF_UP4.format(s='a.s', n='a.n')}
+         ELSE {HALF_UP4.format(s='g.s', n='g.n')} END AS DOUBLE) AS cf_score
+    FROM c_users u
+    LEFT JOIN (SELECT user_id, sum(rating) AS s, count(rating) AS n FROM rated GROUP BY 1) a USING (user_id),
+    (SELECT sum(rating) AS s, count(rating) AS n FROM rated) g""", CF_CTES)
+ORACLES["adaptive_weights"] = with_ctes(["c_users", "nu"], f"""SELECT u.user_id,
+    coalesce(nu.n_rows, 0) AS n_interactions, {WEIGHTS.format(n='coalesce(nu.n_rows, 0)')}
+    FROM c_users u LEFT JOIN nu USING (user_id)""", CF_CTES)
+
+
+def recommend_sql(req_cte: dict, with_cb: bool) -> str:
+    """Brute-force definition: every (user, catalogue item) pair minus seen,
+    union the cb keys, filter with fallback, rank, enrich."""
+    ctes = dict(CF_CTES)
+    ctes.update(req_cte)
+    ctes["ru"] = (["req", "nu", "seen", "c_items"], f"""SELECT r.*, {WEIGHTS.format(n='coalesce(nu.n_rows, 0)')},
+        (SELECT count(*) FROM c_items) - coalesce(s.n_seen, 0) > 0 AS cf_nonempty,
+        (len(coalesce(r.categories, [])) > 0 OR r.max_budget IS NOT NULL OR r.province IS NOT NULL)
+          AS has_filter
+        FROM req r LEFT JOIN nu USING (user_id)
+        LEFT JOIN (SELECT user_id, count(*) AS n_seen FROM seen GROUP BY 1) s USING (user_id)""")
+    ctes["cfk"] = (["ru", "c_items", "seen"], """SELECT ru.user_id, i.item_id FROM ru, c_items i
+        WHERE ru.cf_nonempty AND NOT EXISTS (SELECT 1 FROM seen s
+          WHERE s.user_id = ru.user_id AND s.item_id = i.item_id)""")
+    if with_cb:
+        ctes.update(_neighbour_ctes("vec", 20, "nbr20"))
+        ctes.update(VEC)
+        ctes["fav"] = (["req"], "SELECT user_id, unnest(favorites) AS src FROM req")
+        ctes["cbraw"] = (["fav", "nbr20"], """SELECT f.user_id, n.dst AS item_id,
+            greatest(max(round(n.s, 4)), 0.0) AS cb FROM fav f JOIN nbr20 n ON f.src = n.src
+            GROUP BY 1, 2""")
+        ctes["cbk"] = (["cbraw"], """SELECT user_id, item_id, CASE
+            WHEN max(cb) OVER w = min(cb) OVER w THEN 0.5
+            ELSE (cb - min(cb) OVER w) / (max(cb) OVER w - min(cb) OVER w) END AS cb_norm
+            FROM cbraw WINDOW w AS (PARTITION BY user_id)""")
+    else:
+        ctes["cbk"] = ([], "SELECT NULL AS user_id, NULL AS item_id, CAST(NULL AS DOUBLE) AS cb_norm WHERE FALSE")
+    ctes["keys"] = (["cfk", "cbk"], """SELECT coalesce(a.user_id, b.user_id) AS user_id,
+        coalesce(a.item_id, b.item_id) AS item_id,
+        CASE WHEN a.item_id IS NOT NULL THEN 0.5 ELSE 0.0 END AS cf_norm,
+        coalesce(b.cb_norm, 0.0) AS cb_norm
+        FROM cfk a FULL OUTER JOIN cbk b ON a.user_id = b.user_id AND a.item_id = b.item_id""")
+    ctes["kp"] = (["keys", "ru", "c_items"], """SELECT k.*, ru.top_n, ru.w_cf, ru.w_cb, ru.has_filter,
+        CASE WHEN i.item_id IS NULL THEN TRUE ELSE
+          (len(coalesce(ru.categories, [])) = 0 OR coalesce(list_contains(ru.categories, i.category), FALSE))
+          AND (ru.max_budget IS NULL OR NOT coalesce(i.price > ru.max_budget, FALSE))
+          AND (ru.province IS NULL OR coalesce(i.province = ru.province, FALSE)) END AS passes
+        FROM keys k JOIN ru USING (user_id) LEFT JOIN c_items i USING (item_id)""")
+    ctes["kf"] = (["kp"], """SELECT *, w_cf * cf_norm + w_cb * cb_norm AS score FROM kp
+        QUALIFY NOT (has_filter AND bool_or(passes) OVER (PARTITION BY user_id)) OR passes""")
+    ctes["top"] = (["kf"], """SELECT *, row_number() OVER (PARTITION BY user_id
+        ORDER BY score DESC, item_id ASC) AS rk FROM kf QUALIFY rk <= top_n""")
+    return with_ctes(["top", "c_items"], """SELECT t.user_id, CAST(t.rk AS INTEGER) AS rank, t.item_id,
+        coalesce(i.name, '') AS name, coalesce(i.category, '') AS category,
+        coalesce(i.province, '') AS province, 0.0 AS rating, coalesce(i.price, 0.0) AS price,
+        round(t.score, 4) AS hybrid_score, round(t.cf_norm, 4) AS cf_score,
+        round(t.cb_norm, 4) AS cb_score, t.w_cf, t.w_cb
+        FROM top t LEFT JOIN c_items i USING (item_id)""", ctes)
+
+
+REQ_PLAIN = {"req": (["c_users"], """SELECT user_id, 10 AS top_n, CAST([] AS BIGINT[]) AS favorites,
+    CAST(NULL AS VARCHAR[]) AS categories, CAST(NULL AS DOUBLE) AS max_budget,
+    CAST(NULL AS VARCHAR) AS province FROM c_users""")}
+REQ_FAV = {
+    "fbest": (["matrix", "c_items"], """SELECT m.user_id, m.item_id, i.category,
+        row_number() OVER (PARTITION BY m.user_id ORDER BY m.final_score DESC, m.item_id ASC) AS r
+        FROM matrix m LEFT JOIN c_items i USING (item_id) QUALIFY r <= 2"""),
+    "ffav": (["fbest"], """SELECT user_id, list(item_id ORDER BY r) AS favorites,
+        arg_min(category, r) AS top_category FROM fbest GROUP BY user_id"""),
+    "req": (["c_users", "ffav"], """SELECT u.user_id, 10 AS top_n,
+        coalesce(f.favorites, CAST([] AS BIGINT[])) AS favorites,
+        CASE WHEN f.top_category IS NOT NULL THEN [f.top_category] ELSE CAST([] AS VARCHAR[]) END
+          AS categories,
+        CAST(u.budget AS DOUBLE) AS max_budget, CAST(NULL AS VARCHAR) AS province
+        FROM c_users u LEFT JOIN ffav f USING (user_id)"""),
+}
+ORACLES["recommend_batch"] = recommend_sql(REQ_PLAIN, with_cb=False)
+ORACLES["recommend_prefs"] = recommend_sql(REQ_FAV, with_cb=True)

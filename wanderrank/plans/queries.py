@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wanderrank.operators import aggregate as A
@@ -148,3 +148,90 @@ QUERIES = {
     "index_category": q_index_category,
     "label_encode": q_label_encode,
 }
+
+
+# ---------------------------------------------------------------- similarity
+
+from wanderrank.operators import collaborative as CFM  # noqa: E402
+from wanderrank.operators import ranking as R  # noqa: E402
+from wanderrank.operators import similarity as SIM  # noqa: E402
+
+
+def item_vectors(c: Cleaned) -> DataFrame:
+    feats = FE.item_features(c.items, c.interactions, c.transactions, c.roles.facilities, c.txn_id)
+    return SIM.build_item_vectors(feats)
+
+
+def q_build_item_vectors(spark, sf_dir):
+    v = item_vectors(cleaned(spark, sf_dir))
+    return v.select("item_id", F.posexplode("features").alias("dim", "value"))
+
+
+def q_cosine_topk(spark, sf_dir):
+    nb = SIM.cosine_topk(item_vectors(cleaned(spark, sf_dir)), k=5)
+    return nb.select("src", "dst", F.round("score", 4).alias("score"), "rank")
+
+
+def q_cosine_topk_embeddings(spark, sf_dir):
+    vec = driver_roles(spark, sf_dir).vectors
+    nb = SIM.cosine_topk(vec, k=5)
+    return nb.select("src", "dst", F.round("score", 4).alias("score"), "rank")
+
+
+def favourite_requests(c: Cleaned, k_fav: int = 2) -> DataFrame:
+    """Requests derived from the data: every cleaned user, top_n 10, the
+    user's ``k_fav`` best matrix items as favourites, the category of the best
+    one as the category preference, the budget as ``max_budget``."""
+    m = matrix(c)
+    w = Window.partitionBy("user_id").orderBy(F.col("final_score").desc(), F.col("item_id").asc())
+    best = (m.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= k_fav)
+            .join(c.items.select("item_id", "category"), "item_id", "left"))
+    favs = best.groupBy("user_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_r", "item_id", "category"))),
+                    lambda s: s["item_id"]).alias("favorites"),
+        F.min_by("category", "_r").alias("top_category"))
+    return (c.users.select("user_id", "budget").join(favs, "user_id", "left").select(
+        "user_id", F.lit(10).alias("top_n"),
+        F.coalesce("favorites", F.array().cast("array<bigint>")).alias("favorites"),
+        F.when(F.col("top_category").isNotNull(), F.array("top_category"))
+         .otherwise(F.array().cast("array<string>")).alias("categories"),
+        F.col("budget").cast("double").alias("max_budget"),
+        F.lit(None).cast("string").alias("province")))
+
+
+def q_recommend_batch(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    req = c.users.select("user_id", F.lit(10).alias("top_n"))
+    return R.recommend_batch(req, c.interactions, c.items)
+
+
+def q_recommend_prefs(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS)
+    return R.recommend_batch(favourite_requests(c), c.interactions, c.items, nb)
+
+
+def q_cf_user_mean(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    return CFM.cf_user_mean(c.users, c.interactions)
+
+
+def q_adaptive_weights(spark, sf_dir):
+    from wanderrank.functions.scores import adaptive_weights
+    c = cleaned(spark, sf_dir)
+    n = A.agg_user_counts(c.interactions)
+    w_cf, w_cb = adaptive_weights(F.col("n_interactions"))
+    return (c.users.select("user_id").join(n, "user_id", "left")
+            .select("user_id", F.coalesce("n_interactions", F.lit(0)).alias("n_interactions"),
+                    w_cf.alias("w_cf"), w_cb.alias("w_cb")))
+
+
+QUERIES.update({
+    "build_item_vectors": q_build_item_vectors,
+    "cosine_topk": q_cosine_topk,
+    "cosine_topk_embeddings": q_cosine_topk_embeddings,
+    "cf_user_mean": q_cf_user_mean,
+    "adaptive_weights": q_adaptive_weights,
+    "recommend_batch": q_recommend_batch,
+    "recommend_prefs": q_recommend_prefs,
+})
