@@ -40,6 +40,7 @@ from wanderrank.functions.scalar import round4
 from wanderrank.functions.scores import adaptive_weights
 from wanderrank.operators import collaborative as CF
 from wanderrank.operators.indexing import index_by
+from wanderrank.session import ensure_checkpoint_dir
 
 TOP_N_DEFAULT = 10
 TOP_N_MAX = 20
@@ -189,7 +190,8 @@ def recommend_batch(requests: DataFrame, train: DataFrame, items: DataFrame,
     ``neighbours``: cosine_topk output (src, dst, score, rank), may be None.
     Output columns: ``OUTPUT_COLUMNS``.
     """
-    req = normalize_requests(requests, mode)
+    ensure_checkpoint_dir(requests.sparkSession)
+    req = normalize_requests(requests, mode).checkpoint()
     cat = items.select("item_id", *[c for c in ("name", "category", "province", "rating", "price")
                                     if c in items.columns])
     for c, t in (("name", "string"), ("category", "string"), ("province", "string"),
@@ -199,7 +201,9 @@ def recommend_batch(requests: DataFrame, train: DataFrame, items: DataFrame,
     rated = CF.ratings(train)
     n_u = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
     seen = rated.select("user_id", "item_id").distinct()
-    seen_in_cat = seen.join(cat.select("item_id"), "item_id", "left_semi")
+    # seen pairs, the per-user table and the cb scores are each read by
+    # several branches below: written once (lineage cut, survives executor loss)
+    seen_in_cat = seen.join(cat.select("item_id"), "item_id", "left_semi").checkpoint()
     n_cat = cat.select(F.count(F.lit(1))).scalar()
 
     w_cf, w_cb = adaptive_weights(F.col("n_rows"))
@@ -210,14 +214,14 @@ def recommend_batch(requests: DataFrame, train: DataFrame, items: DataFrame,
              .withColumn("cf_nonempty", n_cat - F.coalesce(F.col("n_seen"), F.lit(0)) > 0))
 
     if neighbours is not None:
-        cb = cb_scores(req, neighbours).select("user_id", "item_id", "cb_norm")
+        cb = cb_scores(req, neighbours).select("user_id", "item_id", "cb_norm").checkpoint()
     else:
         cb = seen.select("user_id", "item_id", F.lit(None).cast("double").alias("cb_norm")).filter(
             F.lit(False))
     n_cb = cb.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_cb"))
     users = (users.join(n_cb, "user_id", "left")
              .withColumn("limit", F.col("top_n") + F.coalesce("n_seen", F.lit(0))
-                         + F.coalesce("n_cb", F.lit(0))))
+                         + F.coalesce("n_cb", F.lit(0))).checkpoint())
     excluded = seen_in_cat.unionByName(cb.select("user_id", "item_id"))
 
     # ---- filler without filter: positions 1 .. limit of the id order

@@ -49,7 +49,7 @@ def build_item_vectors(items: DataFrame, id_col: str = "item_id",
     -> 0. Returns ``(item_id, features array<double>)``.
 
     The per-column min and max are one global aggregate (one row, a fixed
-    size) evaluated as scalar subqueries.
+    size) evaluated as one scalar subquery.
     """
     df = items
     if "category_idx" not in df.columns and "category" in df.columns:
@@ -57,8 +57,11 @@ def build_item_vectors(items: DataFrame, id_col: str = "item_id",
     if "province_idx" not in df.columns and "province" in df.columns:
         df = label_encode(df, "province", "province_idx", default_province)
     cols = feature_columns(df)
+    ensure_checkpoint_dir(df.sparkSession)
+    # The n x d matrix is written once: the min/max aggregate and the scaled
+    # projection both read it instead of re-running the feature lineage.
     filled = df.select(id_col, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
-                                 for c in cols])
+                                 for c in cols]).checkpoint()
     stats = filled.select(F.struct(*[F.min(c).alias(f"lo_{c}") for c in cols],
                                    *[F.max(c).alias(f"hi_{c}") for c in cols])).scalar()
     scaled = []

@@ -238,3 +238,55 @@ REQ_FAV = {
 }
 ORACLES["recommend_batch"] = recommend_sql(REQ_PLAIN, with_cb=False)
 ORACLES["recommend_prefs"] = recommend_sql(REQ_FAV, with_cb=True)
+
+
+# ---------------------------------------------------------------- evaluation
+
+REQ_SAMPLE = {"req": (["c_inter"], """SELECT user_id, 5 AS top_n, CAST([] AS BIGINT[]) AS favorites,
+    CAST(NULL AS VARCHAR[]) AS categories, CAST(NULL AS DOUBLE) AS max_budget,
+    CAST(NULL AS VARCHAR) AS province FROM (SELECT DISTINCT user_id FROM c_inter)
+    ORDER BY md5(CAST(user_id AS VARCHAR) || ':42'), user_id LIMIT 50""")}
+
+
+def _eval_sql() -> str:
+    rec = recommend_sql(REQ_SAMPLE, with_cb=False)
+    # reuse the recommend query as a CTE: strip its WITH and wrap the select
+    body = rec[len("WITH "):]
+    ctes_part, final_select = body.rsplit("\nSELECT t.user_id", 1)
+    final_select = "SELECT t.user_id" + final_select
+    return f"""WITH {ctes_part},
+recs AS ({final_select}),
+truth AS (SELECT DISTINCT user_id, item_id FROM (
+    SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id ASC) AS r
+    FROM c_inter WHERE user_id IN (SELECT user_id FROM req)) WHERE r <= 5),
+hits AS (SELECT user_id, count(*) AS hits FROM (SELECT DISTINCT user_id, item_id FROM recs)
+    JOIN truth USING (user_id, item_id) GROUP BY user_id)
+SELECT round(coalesce(avg(coalesce(h.hits, 0) / 5.0), 0.0), 4) AS precision_at_5,
+  round((SELECT count(DISTINCT item_id) FROM recs) / greatest((SELECT count(*) FROM c_items), 1), 4)
+    AS coverage,
+  count(*) AS users_evaluated
+FROM req r LEFT JOIN hits h USING (user_id)"""
+
+
+ORACLES["eval_precision_coverage"] = _eval_sql()
+ORACLES["nlargest_true"] = with_ctes(["c_inter"], """SELECT DISTINCT user_id, item_id FROM (
+    SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id ASC) AS r
+    FROM c_inter) WHERE r <= 5""")
+ORACLES["similar_items"] = with_ctes(["nbr", "c_inter"], """SELECT src, dst, round(s, 4) AS score,
+    CAST(rk AS INTEGER) AS rank FROM nbr WHERE src IN (SELECT item_id FROM c_inter)""",
+    {**VEC, **_neighbour_ctes("vec", 5)})
+
+_CB = dict(CF_CTES)
+_CB.update(REQ_FAV)
+_CB.update(VEC)
+_CB.update(_neighbour_ctes("vec", 20, "nbr20"))
+_CB["fav"] = (["req"], "SELECT user_id, unnest(favorites) AS src FROM req")
+_CB["cbraw"] = (["fav", "nbr20"], """SELECT f.user_id, n.dst AS item_id,
+    greatest(max(round(n.s, 4)), 0.0) AS cb FROM fav f JOIN nbr20 n ON f.src = n.src GROUP BY 1, 2""")
+_CB["cbk"] = (["cbraw"], """SELECT user_id, item_id, cb, CASE
+    WHEN max(cb) OVER w = min(cb) OVER w THEN 0.5
+    ELSE (cb - min(cb) OVER w) / (max(cb) OVER w - min(cb) OVER w) END AS cb_norm
+    FROM cbraw WINDOW w AS (PARTITION BY user_id)""")
+ORACLES["agg_best_similarity"] = with_ctes(["cbk"], "SELECT user_id, item_id, cb, cb_norm FROM cbk", _CB)
+ORACLES["join_anti_seen"] = with_ctes(["cbk", "c_inter"], """SELECT user_id, item_id FROM cbk k
+    WHERE NOT EXISTS (SELECT 1 FROM c_inter x WHERE x.user_id = k.user_id AND x.item_id = k.item_id)""", _CB)

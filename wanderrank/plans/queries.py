@@ -235,3 +235,51 @@ QUERIES.update({
     "recommend_batch": q_recommend_batch,
     "recommend_prefs": q_recommend_prefs,
 })
+
+
+# ---------------------------------------------------------------- evaluation
+
+from wanderrank.operators import evaluate as EV  # noqa: E402
+
+
+def q_eval_precision_coverage(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    return EV.eval_precision_coverage(c.interactions, c.items)
+
+
+def q_nlargest_true(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    users = c.interactions.select("user_id").distinct()
+    return EV.nlargest_true(c.interactions, users, 5)
+
+
+def q_similar_items(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    nb = SIM.cosine_topk(item_vectors(c), k=5)
+    ids = c.interactions.select("item_id")
+    return SIM.similar_items(nb, ids, 5).select("src", "dst", F.round("score", 4).alias("score"), "rank")
+
+
+def q_agg_best_similarity(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS)
+    req = R.normalize_requests(favourite_requests(c))
+    return R.cb_scores(req, nb).select("user_id", "item_id", "cb", "cb_norm")
+
+
+def q_join_anti_seen(spark, sf_dir):
+    """CB candidates of each user that the user has not interacted with."""
+    c = cleaned(spark, sf_dir)
+    nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS)
+    req = R.normalize_requests(favourite_requests(c))
+    cb = R.cb_scores(req, nb).select("user_id", "item_id")
+    return cb.join(c.interactions.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+
+
+QUERIES.update({
+    "eval_precision_coverage": q_eval_precision_coverage,
+    "nlargest_true": q_nlargest_true,
+    "similar_items": q_similar_items,
+    "agg_best_similarity": q_agg_best_similarity,
+    "join_anti_seen": q_join_anti_seen,
+})
