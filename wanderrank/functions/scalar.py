@@ -89,9 +89,10 @@ def truncate(c: Column, n: int) -> Column:
     return F.substring(c, 1, n)
 
 
-def format_money(c: Column) -> Column:
-    """fn_format_money: thousands separators, no decimals (1234567 -> 1,234,567)."""
-    return F.format_number(c.cast("double"), 0)
+def format_money(c: Column, decimals: int = 0) -> Column:
+    """fn_format_money: thousands separators (1234567 -> 1,234,567); whole
+    amounts with no decimals, fractional amounts with ``decimals``."""
+    return F.format_number(c.cast("double"), decimals)
 
 
 def key_concat(*parts: Column, sep: str = "-") -> Column:

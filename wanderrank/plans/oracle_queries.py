@@ -290,3 +290,70 @@ _CB["cbk"] = (["cbraw"], """SELECT user_id, item_id, cb, CASE
 ORACLES["agg_best_similarity"] = with_ctes(["cbk"], "SELECT user_id, item_id, cb, cb_norm FROM cbk", _CB)
 ORACLES["join_anti_seen"] = with_ctes(["cbk", "c_inter"], """SELECT user_id, item_id FROM cbk k
     WHERE NOT EXISTS (SELECT 1 FROM c_inter x WHERE x.user_id = k.user_id AND x.item_id = k.item_id)""", _CB)
+
+
+# ---------------------------------------------------------------- key-value tables, chat
+
+def with_recs(req: dict, select: str, extra_ctes: str = "") -> str:
+    """``WITH <recommend CTEs>, recs AS (<brute-force recommend>)[, extra] <select>``."""
+    rec = recommend_sql(req, with_cb=False)
+    body = rec[len("WITH "):]
+    ctes_part, final_select = body.rsplit("\nSELECT t.user_id", 1)
+    extra = f",\n{extra_ctes}" if extra_ctes else ""
+    return f"WITH {ctes_part},\nrecs AS (SELECT t.user_id{final_select}){extra}\n{select}"
+
+
+AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
+LABEL = "CASE WHEN role = 'user' THEN 'Pengguna' ELSE 'Asisten' END"
+
+
+def _history_sql(src: str) -> str:
+    return f"""SELECT session_id, string_agg({LABEL} || ': ' || substring(content, 1, 200) || chr(10), ''
+        ORDER BY turn) AS history FROM (
+          SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY turn) AS _c
+                         FROM {src}) WHERE _c <= 20
+          QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY turn DESC) <= 4)
+        GROUP BY session_id"""
+
+
+ORACLES["upsert_by_key"] = with_ctes(["r_inter"], """SELECT interaction_id, user_id, item_id, kind,
+    score, ts, rating_given FROM r_inter QUALIFY row_number() OVER (PARTITION BY user_id, item_id
+    ORDER BY ts DESC NULLS LAST, interaction_id DESC NULLS LAST) = 1""")
+ORACLES["expire_ttl"] = with_ctes(["r_inter"], """SELECT interaction_id, user_id, item_id, ts FROM r_inter
+    WHERE ts + INTERVAL 30 DAY >= TIMESTAMP '2024-02-15 00:00:00'""")
+ORACLES["range_by_key"] = with_ctes(["c_inter"], """SELECT interaction_id, user_id, item_id, ts,
+    CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, interaction_id) AS INTEGER) AS pos
+    FROM c_inter QUALIFY pos <= 20""")
+ORACLES["catalogue_list"] = with_ctes(["c_items"], """SELECT item_id, coalesce(name, '') AS name,
+    coalesce(category, '') AS category, coalesce(province, '') AS province, price, visit_hours
+    FROM c_items""")
+ORACLES["prediction_log"] = with_recs(REQ_PLAIN, f"""SELECT
+    CAST(user_id AS VARCHAR) || '-' || CAST(epoch({AS_OF}) AS BIGINT) AS prediction_id, user_id,
+    to_json(list({{'rank': rank, 'item_id': item_id, 'name': name, 'category': category,
+                   'hybrid_score': hybrid_score}} ORDER BY rank)) AS recommendations,
+    '2024-02-01 00:00:00' AS timestamp, CAST(epoch({AS_OF}) AS BIGINT) + 86400 AS ttl
+    FROM recs WHERE rank <= 5 GROUP BY user_id""")
+ORACLES["chat_history"] = with_ctes(["r_turns"], _history_sql("r_turns"))
+
+_MSG = """msg AS (SELECT session_id, user_id, turn AS mturn, content AS message FROM r_turns
+    WHERE role = 'user' QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY turn DESC) = 1),
+earlier AS (SELECT t.* FROM r_turns t JOIN msg m USING (session_id) WHERE t.turn < m.mturn),
+hist AS ({hist}),
+rtext AS (SELECT user_id, chr(10) || chr(10) || 'Rekomendasi destinasi wisata untuk user ini:' || chr(10)
+    || string_agg(CAST(rank AS VARCHAR) || '. ' || name || ' (' || category || ', ' || province
+       || ') - Rating: ' || CAST(rating AS VARCHAR) || ' - Harga: Rp' || format('{{:,.2f}}', price)
+       || chr(10), '' ORDER BY rank) AS rec_text
+    FROM recs WHERE rank <= 5 GROUP BY user_id)""".format(hist=_history_sql("earlier"))
+_REQ_CHAT = {"req": (["r_turns"], """SELECT DISTINCT user_id, 5 AS top_n, CAST([] AS BIGINT[]) AS favorites,
+    CAST(NULL AS VARCHAR[]) AS categories, CAST(NULL AS DOUBLE) AS max_budget,
+    CAST(NULL AS VARCHAR) AS province FROM r_turns WHERE role = 'user'""")}
+_INTRO = ("You are a friendly, well-informed travel guide. Answer warmly and "
+          "helpfully in the user's language.")
+ORACLES["chat_context"] = with_recs(_REQ_CHAT, f"""SELECT m.session_id, m.user_id,
+    '{_INTRO.replace("'", "''")}' || chr(10) || coalesce(r.rec_text, '') || chr(10) || 'Riwayat percakapan:' || chr(10)
+    || coalesce(h.history, '') || chr(10) || 'Pengguna: ' || m.message || chr(10) || 'Asisten:' AS prompt
+    FROM msg m LEFT JOIN hist h USING (session_id) LEFT JOIN rtext r USING (user_id)""", _MSG)
+ORACLES["chat_append"] = with_ctes(["r_turns"], f"""SELECT session_id, turn, role,
+    CASE WHEN _r <= 2 THEN substring(content, 1, 2000) ELSE content END AS content,
+    CAST(epoch({AS_OF}) AS BIGINT) + 7 * 86400 AS ttl
+    FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY turn DESC) AS _r FROM r_turns)""")

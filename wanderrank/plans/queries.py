@@ -283,3 +283,80 @@ QUERIES.update({
     "agg_best_similarity": q_agg_best_similarity,
     "join_anti_seen": q_join_anti_seen,
 })
+
+
+# ---------------------------------------------------------------- key-value tables, chat
+
+from wanderrank.operators import chat as CH  # noqa: E402
+from wanderrank.sources import keyvalue as KV  # noqa: E402
+
+AS_OF = "2024-02-01 00:00:00"
+
+
+def q_upsert_by_key(spark, sf_dir):
+    x = driver_roles(spark, sf_dir).interactions
+    return KV.upsert_by_key(x, ["user_id", "item_id"], ["ts", "interaction_id"])
+
+
+def q_expire_ttl(spark, sf_dir):
+    x = driver_roles(spark, sf_dir).interactions
+    return KV.expire_ttl(x, "2024-02-15 00:00:00", ts_col="ts",
+                         days=KV.TTL_INTERACTIONS_DAYS).select("interaction_id", "user_id", "item_id", "ts")
+
+
+def q_range_by_key(spark, sf_dir):
+    x = cleaned(spark, sf_dir).interactions
+    return KV.range_by_key(x, "user_id", ["ts", "interaction_id"]).select(
+        "interaction_id", "user_id", "item_id", "ts", "pos")
+
+
+def q_catalogue_list(spark, sf_dir):
+    return KV.catalogue_list(cleaned(spark, sf_dir).items)
+
+
+def q_prediction_log(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    recs = R.recommend_batch(c.users.select("user_id", F.lit(10).alias("top_n")), c.interactions, c.items)
+    return KV.prediction_log(recs, AS_OF)
+
+
+def session_messages(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per session: the last user turn as the message, earlier turns as history."""
+    w = Window.partitionBy("session_id").orderBy(F.col("turn").desc())
+    msg = (turns.filter(F.col("role") == "user").withColumn("_r", F.row_number().over(w))
+           .filter("_r = 1").select("session_id", "user_id", F.col("turn").alias("_mturn"),
+                                    F.col("content").alias("message")))
+    earlier = (turns.join(msg.select("session_id", "_mturn"), "session_id")
+               .filter(F.col("turn") < F.col("_mturn")).drop("_mturn"))
+    return msg.drop("_mturn"), earlier
+
+
+def q_chat_history(spark, sf_dir):
+    return CH.chat_history(driver_roles(spark, sf_dir).turns)
+
+
+def q_chat_context(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    msg, earlier = session_messages(c.roles.turns)
+    req = msg.select("user_id").distinct().withColumn("top_n", F.lit(5))
+    recs = R.recommend_batch(req, c.interactions, c.items)
+    return CH.chat_context(msg, recs, CH.chat_history(earlier))
+
+
+def q_chat_append(spark, sf_dir):
+    t = driver_roles(spark, sf_dir).turns
+    w = Window.partitionBy("session_id").orderBy(F.col("turn").desc())
+    t = t.withColumn("_r", F.row_number().over(w))
+    return CH.chat_append(t.filter("_r > 2"), t.filter("_r <= 2"), AS_OF)
+
+
+QUERIES.update({
+    "upsert_by_key": q_upsert_by_key,
+    "expire_ttl": q_expire_ttl,
+    "range_by_key": q_range_by_key,
+    "catalogue_list": q_catalogue_list,
+    "prediction_log": q_prediction_log,
+    "chat_history": q_chat_history,
+    "chat_context": q_chat_context,
+    "chat_append": q_chat_append,
+})
