@@ -357,3 +357,47 @@ ORACLES["chat_append"] = with_ctes(["r_turns"], f"""SELECT session_id, turn, rol
     CASE WHEN _r <= 2 THEN substring(content, 1, 2000) ELSE content END AS content,
     CAST(epoch({AS_OF}) AS BIGINT) + 7 * 86400 AS ttl
     FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY turn DESC) AS _r FROM r_turns)""")
+
+
+# ---------------------------------------------------------------- streaming and metrics
+
+ORACLES["track_ingest"] = with_ctes(["r_inter"], """SELECT user_id, item_id, coalesce(kind, 'view') AS kind,
+    TRY_CAST(coalesce(CAST(score AS VARCHAR), '0.2') AS DOUBLE) AS score, ts, 'WebApp' AS platform,
+    epoch_us(ts) // 1000000 + 30 * 86400 AS ttl
+    FROM r_inter WHERE user_id IS NOT NULL AND item_id IS NOT NULL
+      AND trim(CAST(user_id AS VARCHAR)) <> '' AND trim(CAST(item_id AS VARCHAR)) <> ''""")
+ORACLES["stream_user_counts"] = with_ctes(["c_inter"], """SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+    time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end, user_id,
+    count(*) AS n_interactions, count(DISTINCT item_id) AS n_items
+    FROM c_inter GROUP BY 1, 2, 3""")
+
+_LOG = {"mlog": ([], """SELECT event_type AS name, ts, CAST(1 AS BIGINT) AS invocations,
+    CAST(value > 100 AS BIGINT) AS errors, CAST(value AS DECIMAL(12,2)) AS duration_ms FROM events"""),
+        "mwin": (["mlog"], f"""SELECT name, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
+    CAST(sum(invocations) AS BIGINT) AS invocations, CAST(sum(errors) AS BIGINT) AS errors,
+    {avg('duration_ms')} AS avg_duration_ms,
+    round(quantile_cont(CAST(duration_ms AS DOUBLE), 0.99), 6) AS p99_duration_ms
+    FROM mlog GROUP BY 1, 2""")}
+ORACLES["metric_windows"] = with_ctes(["mwin"], "SELECT * FROM mwin", _LOG)
+
+
+def _alarm_sql(alarm: str, src: str, thr: float, n: int) -> str:
+    return f"""SELECT '{alarm}' AS alarm, g.name, g.window_start, CAST(s.value AS DOUBLE) AS value,
+        coalesce(s.value > {thr}, FALSE) AS breaching,
+        CASE WHEN sum(CAST(coalesce(s.value > {thr}, FALSE) AS INTEGER)) OVER (PARTITION BY g.name
+             ORDER BY g.window_start ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) = {n}
+             THEN 'ALARM' ELSE 'OK' END AS state
+        FROM (SELECT name, unnest(generate_series(min(window_start), max(window_start), INTERVAL 5 MINUTE))
+              AS window_start FROM ({src}) GROUP BY name) g
+        LEFT JOIN ({src}) s ON g.name = s.name AND g.window_start = s.window_start"""
+
+
+ORACLES["alarm_eval"] = with_ctes(["mwin"], "\nUNION ALL\n".join([
+    _alarm_sql("errors", "SELECT name, window_start, errors AS value FROM mwin", 5, 2),
+    _alarm_sql("server_errors", "SELECT 'all' AS name, window_start, sum(errors) AS value FROM mwin GROUP BY 2",
+               10, 1),
+    _alarm_sql("latency_p99", "SELECT name, window_start, p99_duration_ms AS value FROM mwin", 25000, 2),
+]), _LOG)
+ORACLES["quota_usage"] = with_ctes(["r_inter"], """SELECT user_id, date_trunc('month', ts) AS month,
+    count(*) AS calls, greatest(10000 - count(*), 0) AS remaining, count(*) > 10000 AS over_quota
+    FROM r_inter GROUP BY 1, 2""")

@@ -360,3 +360,54 @@ QUERIES.update({
     "chat_context": q_chat_context,
     "chat_append": q_chat_append,
 })
+
+
+# ---------------------------------------------------------------- streaming and metrics
+
+from wanderrank.plans.roles import read_table  # noqa: E402
+from wanderrank.streaming import ingest as ING  # noqa: E402
+from wanderrank.streaming import metrics as MET  # noqa: E402
+
+
+def q_track_ingest(spark, sf_dir):
+    x = driver_roles(spark, sf_dir).interactions
+    accepted, _ = ING.track_ingest(x.select("user_id", "item_id", "kind",
+                                            F.col("score").cast("string").alias("score"), "ts"))
+    return accepted
+
+
+def q_stream_user_counts(spark, sf_dir):
+    return ING.user_counts(cleaned(spark, sf_dir).interactions)
+
+
+def _log(spark, sf_dir):
+    driver_roles(spark, sf_dir)  # session settings
+    return MET.log_from_events(read_table(spark, sf_dir, "events"))
+
+
+def _windows(spark, sf_dir):
+    # p99 shown to 6 places: the exact value has at most 4, so the rounding
+    # removes only interpolation noise
+    w = MET.metric_windows(_log(spark, sf_dir))
+    return w.withColumn("p99_duration_ms", F.round("p99_duration_ms", 6))
+
+
+def q_metric_windows(spark, sf_dir):
+    return _windows(spark, sf_dir)
+
+
+def q_alarm_eval(spark, sf_dir):
+    return MET.alarm_eval(_windows(spark, sf_dir))
+
+
+def q_quota_usage(spark, sf_dir):
+    return MET.quota_usage(driver_roles(spark, sf_dir).interactions)
+
+
+QUERIES.update({
+    "track_ingest": q_track_ingest,
+    "stream_user_counts": q_stream_user_counts,
+    "metric_windows": q_metric_windows,
+    "alarm_eval": q_alarm_eval,
+    "quota_usage": q_quota_usage,
+})
