@@ -401,3 +401,17 @@ ORACLES["alarm_eval"] = with_ctes(["mwin"], "\nUNION ALL\n".join([
 ORACLES["quota_usage"] = with_ctes(["r_inter"], """SELECT user_id, date_trunc('month', ts) AS month,
     count(*) AS calls, greatest(10000 - count(*), 0) AS remaining, count(*) > 10000 AS over_quota
     FROM r_inter GROUP BY 1, 2""")
+
+
+# ---------------------------------------------------------------- sources and summary
+
+ORACLES["scan_catalog"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
+    for t in ["customer", "part", "events", "orders", "lineitem"])
+ORACLES["etl_summary"] = with_ctes(["c_users", "c_items", "matrix", "c_txn"], """
+SELECT 'total_users' AS metric, CAST(count(*) AS VARCHAR) AS value FROM c_users
+UNION ALL SELECT 'total_destinations', CAST(count(*) AS VARCHAR) FROM c_items
+UNION ALL SELECT 'total_interactions', CAST(count(*) AS VARCHAR) FROM matrix
+UNION ALL SELECT 'total_transactions', CAST(count(*) AS VARCHAR) FROM c_txn
+UNION ALL SELECT 'etl_timestamp', '2024-02-01 00:00:00'
+UNION ALL SELECT 'etl_job', 'wanderrank-etl'""")

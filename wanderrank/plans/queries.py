@@ -411,3 +411,35 @@ QUERIES.update({
     "alarm_eval": q_alarm_eval,
     "quota_usage": q_quota_usage,
 })
+
+
+# ---------------------------------------------------------------- sources and summary
+
+from wanderrank.plans import etl as ETL  # noqa: E402
+from wanderrank.sources import files as IO  # noqa: E402
+
+RAW_TABLES = ["customer", "part", "events", "orders", "lineitem"]
+
+
+def q_scan_catalog(spark, sf_dir):
+    """Read the raw tables through the session catalog and count them."""
+    for t in RAW_TABLES:
+        read_table(spark, sf_dir, t).createOrReplaceTempView(f"wr_raw_{t}")
+    parts = [spark.table(f"wr_raw_{t}").select(F.lit(t).alias("table_name"),
+                                                F.count(F.lit(1)).alias("row_count"))
+             for t in RAW_TABLES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_etl_summary(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    return ETL.etl_summary(c.users, c.items, matrix(c), c.transactions, AS_OF)
+
+
+QUERIES.update({
+    "scan_catalog": q_scan_catalog,
+    "etl_summary": q_etl_summary,
+})
