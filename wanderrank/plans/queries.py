@@ -443,3 +443,32 @@ QUERIES.update({
     "scan_catalog": q_scan_catalog,
     "etl_summary": q_etl_summary,
 })
+
+
+# ---------------------------------------------------------------- factorization (rows-only)
+
+def _factor_model(c: Cleaned):
+    return CFM.cf_factorization(c.interactions, rank=50, max_iter=20, reg=0.02)
+
+
+def q_cf_factorization(spark, sf_dir):
+    """One row: held-out RMSE of the factor model and of the global mean."""
+    c = cleaned(spark, sf_dir)
+    parts, rmse = _factor_model(c)
+    rated = CFM.ratings(c.interactions).withColumn("rating", F.col("rating").cast("double"))
+    _, te = rated.randomSplit([0.8, 0.2], seed=42)
+    base = te.select(F.sqrt(F.avg(F.pow(F.col("rating") - parts["global"], 2)))).first()[0]
+    return spark.range(1).select(F.lit(rmse).alias("rmse"), F.lit(base).alias("rmse_global_mean"))
+
+
+def q_cf_recommend(spark, sf_dir):
+    c = cleaned(spark, sf_dir)
+    parts, _ = _factor_model(c)
+    req = c.interactions.select("user_id").distinct().withColumn("top_n", F.lit(10))
+    return CFM.cf_recommend_factorized(parts, req, c.items, c.interactions)
+
+
+QUERIES.update({
+    "cf_factorization": q_cf_factorization,
+    "cf_recommend": q_cf_recommend,
+})
