@@ -24,7 +24,7 @@ def parse_date(df: DataFrame, name: str, fmt: str = "yyyy-MM-dd") -> Column:
     """fn_parse_date: ``yyyy-MM-dd`` text -> date; bad text -> null."""
     t = _dtype(df, name)
     if isinstance(t, T.StringType):
-        return F.try_to_date(F.col(name), F.lit(fmt))
+        return F.try_to_date(F.col(name), fmt)
     return F.col(name).cast("date")
 
 

@@ -84,7 +84,7 @@ def start_track_stream(spark: SparkSession, source_dir: str, schema, sink_dir: s
 
     Each micro-batch is written to ``batch=<id>`` with overwrite: a batch
     replayed after a failure replaces its own output (exactly-once result)."""
-    src = spark.readStream.schema(schema).parquet(source_dir)
+    src = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(source_dir)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         acc, rej = track_ingest(batch)
