@@ -32,7 +32,8 @@ def user_features(users: DataFrame, interactions: DataFrame, transactions: DataF
     ui = A.agg_user_interactions(interactions)
     ut = A.agg_user_transactions(transactions, txn_id)
     df = users.join(ui, "user_id", "left").join(ut, "user_id", "left").fillna(USER_FILLS)
-    df = df.withColumn("budget_log", F.log1p(F.col("budget")))
+    # 10 places: the value no longer depends on which libm computed the log
+    df = df.withColumn("budget_log", F.round(F.log1p(F.col("budget")), 10))
     return df.withColumn("engagement_score", scores.engagement_score(
         F.col("total_book"), F.col("total_review"), F.col("total_like"),
         F.col("completed_transactions")))

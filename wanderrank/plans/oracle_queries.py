@@ -55,7 +55,7 @@ SELECT u.*,
   coalesce(t.total_transactions, 0) AS total_transactions, coalesce(t.avg_spend, 0.0) AS avg_spend,
   t.max_spend, t.avg_rating_given, t.avg_stay,
   coalesce(t.completed_transactions, 0) AS completed_transactions,
-  ln(1 + CAST(u.budget AS DOUBLE)) AS budget_log,
+  round(ln(1 + CAST(u.budget AS DOUBLE)), 10) AS budget_log,
   (coalesce(a.total_book, 0) * 5 + coalesce(a.total_review, 0) * 3 + coalesce(a.total_like, 0)
    + coalesce(t.completed_transactions, 0) * 4) / CAST(13.0 AS DOUBLE) AS engagement_score
 FROM c_users u LEFT JOIN ui_agg a USING (user_id) LEFT JOIN ut_agg t USING (user_id)""")
