@@ -159,12 +159,9 @@ def _topk_scores(key, u, it):
     im = np.stack(it["i_vec"].to_numpy())
     iid = it["i_id"].to_numpy()
     pred = np.clip(um @ im.T, 0.0, 5.0)
-    kmax = int(min(u["k"].max(), im.shape[0]))
-    order = np.lexsort((np.broadcast_to(iid, pred.shape), -pred), axis=1)[:, :kmax]
-    keep = np.arange(kmax)[None, :] < u["k"].to_numpy()[:, None]
-    return pd.DataFrame({"user_id": np.repeat(u["user_id"].to_numpy(), kmax)[keep.ravel()],
-                         "item_id": iid[order][keep],
-                         "pred": np.take_along_axis(pred, order, axis=1)[keep]})
+    from wanderrank.operators.topk import topk_rows
+    r, c = topk_rows(pred, iid, u["k"].to_numpy())
+    return pd.DataFrame({"user_id": u["user_id"].to_numpy()[r], "item_id": iid[c], "pred": pred[r, c]})
 
 
 def cf_recommend_factorized(parts: dict, requests: DataFrame, items: DataFrame, train: DataFrame,
@@ -206,6 +203,9 @@ def cf_recommend_factorized(parts: dict, requests: DataFrame, items: DataFrame,
           .withColumn("i_ub", F.explode(F.sequence(F.lit(0), F.lit(ub - 1)))))
     uid_t = req.schema["user_id"].dataType.simpleString()
     iid_t = cat.schema["item_id"].dataType.simpleString()
+    from wanderrank.operators.topk import block_tasks
+    n = block_tasks(requests.sparkSession, ub * ib)
+    u, it = u.repartition(n, "ub", "ib"), it.repartition(n, "i_ub", "i_ib")
     scored = (u.groupBy("ub", "ib").cogroup(it.groupBy("i_ub", "i_ib"))
               .applyInPandas(_topk_scores, f"user_id {uid_t}, item_id {iid_t}, pred double"))
     unseen = scored.join(seen, ["user_id", "item_id"], "left_anti")

@@ -40,6 +40,7 @@ from wanderrank.functions.scalar import round4
 from wanderrank.functions.scores import adaptive_weights
 from wanderrank.operators import collaborative as CF
 from wanderrank.operators.indexing import index_by
+from wanderrank.operators.topk import block_tasks
 from wanderrank.session import ensure_checkpoint_dir
 
 TOP_N_DEFAULT = 10
@@ -164,10 +165,13 @@ def _blocked_filter(req: DataFrame, items: DataFrame, block_rows: int) -> tuple[
     it = it.withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(ublocks - 1))))
     uid_t = req.schema["user_id"].dataType.simpleString()
     iid_t = items.schema["item_id"].dataType.simpleString()
+    n = block_tasks(req.sparkSession, ublocks * iblocks)
     out = (u.select("ub", "ib", "user_id", "categories", "max_budget", "province", "limit")
-           .groupBy("ub", "ib")
-           .cogroup(it.select("ub", "ib", "item_id", "category", "province", "price").groupBy("ub", "ib"))
-           .applyInPandas(_first_passing(0), f"user_id {uid_t}, item_id {iid_t}, n_pass long"))
+           .repartition(n, "ub", "ib").groupBy("ub", "ib")
+           .cogroup(it.select("ub", "ib", "item_id", "category", "province", "price")
+                    .repartition(n, "ub", "ib").groupBy("ub", "ib"))
+           .applyInPandas(_first_passing(0), f"user_id {uid_t}, item_id {iid_t}, n_pass long")
+           .checkpoint())  # read by two branches: run the block tasks once
     picked = out.filter(F.col("item_id").isNotNull()).select("user_id", "item_id")
     counts = (out.filter(F.col("item_id").isNull()).groupBy("user_id")
               .agg(F.sum("n_pass").alias("n_pass")))

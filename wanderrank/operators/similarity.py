@@ -4,7 +4,8 @@ Exact all-pairs top-k is computed block by block:
 
 1. vectors are L2-normalised in the JVM (zero vector stays zero, so its
    cosine with anything is 0);
-2. each item gets a block ``pmod(xxhash64(id), B)`` with ``B = ceil(n / block_rows)``;
+2. each item gets a block ``pmod(xxhash64(id), B)`` with ``B = ceil(n / block_rows)``
+   (4096 rows: a block pair is a ~130 MB score matrix, ~0.4 GB peak per task);
 3. query rows are tagged ``(q_block, c_block)`` for every candidate block and
    candidate rows ``(q_block, c_block)`` for every query block; a cogroup on
    that pair hands one task exactly two blocks (each at most ~block_rows
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wanderrank.operators.features import label_encode
+from wanderrank.operators.topk import block_tasks, topk_rows
 from wanderrank.session import ensure_checkpoint_dir
 
 NUMERIC_FEATURES = ["rating", "price", "visit_hours", "annual_visitors"]
@@ -89,19 +91,12 @@ def _topk_block(k: int):
         sims = qm @ cm.T
         # exclude self pairs
         sims = np.where(qid[:, None] == cid[None, :], -np.inf, sims)
-        kk = min(k, cm.shape[0])
-        rounded = np.round(sims, RANK_DIGITS)
-        # per row: score desc (rounded), then neighbour id asc
-        order = np.lexsort((np.broadcast_to(cid, sims.shape), -rounded), axis=1)[:, :kk]
-        top = np.take_along_axis(sims, order, axis=1)
-        keep = np.isfinite(top)
-        return pd.DataFrame({"src": np.repeat(qid, kk)[keep.ravel()],
-                             "dst": cid[order][keep],
-                             "score": top[keep]})
+        r, col = topk_rows(sims, cid, k, np.round(sims, RANK_DIGITS))
+        return pd.DataFrame({"src": qid[r], "dst": cid[col], "score": sims[r, col]})
     return score
 
 
-def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 2048,
+def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
                 id_col: str = "item_id", features: str = "features") -> DataFrame:
     """Exact cosine top-k neighbours per item, self excluded.
 
@@ -122,6 +117,8 @@ def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 2048,
     c = v.select(F.col("item_id").alias("c_id"), F.col("u").alias("c_u"),
                  F.explode(all_blocks).alias("c_qb"), F.col("_b").alias("c_cb"))
     id_type = v.schema["item_id"].dataType.simpleString()
+    n = block_tasks(vectors.sparkSession, blocks * blocks)
+    q, c = q.repartition(n, "qb", "cb"), c.repartition(n, "c_qb", "c_cb")
     pairs = (q.groupBy("qb", "cb").cogroup(c.groupBy("c_qb", "c_cb"))
              .applyInPandas(_topk_block(k), f"src {id_type}, dst {id_type}, score double"))
     w = Window.partitionBy("src").orderBy(F.round("score", RANK_DIGITS).desc(), F.col("dst").asc())

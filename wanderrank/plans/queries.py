@@ -7,8 +7,6 @@ work grows with the data. The DuckDB twin of each query lives in
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,30 +14,54 @@ from wanderrank.operators import aggregate as A
 from wanderrank.operators import clean as C
 from wanderrank.operators import features as FE
 from wanderrank.plans.roles import Roles, driver_roles
+from wanderrank.session import ensure_checkpoint_dir
 
 
-@dataclass
 class Cleaned:
-    roles: Roles
-    users: DataFrame
-    items: DataFrame
-    interactions: DataFrame
-    transactions: DataFrame
+    """Cleaned role tables of one query. Each is written once to the shared
+    checkpoint folder on first use and read back from there, so a query that
+    uses a table in several branches (or around an eager step) does not
+    re-run its scan, join and de-duplication."""
+
+    def __init__(self, roles: Roles, reuse: bool = False):
+        self.roles = roles
+        self.reuse = reuse
+        self._cache: dict[str, DataFrame] = {}
+
+    def _get(self, name: str, build) -> DataFrame:
+        if name not in self._cache:
+            df = build()
+            if self.reuse:
+                ensure_checkpoint_dir(self.roles.users.sparkSession)
+                df = df.checkpoint()
+            self._cache[name] = df
+        return self._cache[name]
+
+    @property
+    def users(self) -> DataFrame:
+        return self._get("users", lambda: C.clean_users(self.roles.users))
+
+    @property
+    def items(self) -> DataFrame:
+        return self._get("items", lambda: C.clean_items(self.roles.items))
+
+    @property
+    def interactions(self) -> DataFrame:
+        return self._get("interactions", lambda: C.clean_interactions(self.roles.interactions))
+
+    @property
+    def transactions(self) -> DataFrame:
+        return self._get("transactions",
+                         lambda: C.clean_transactions(self.roles.transactions, key=self.roles.txn_key))
 
     @property
     def txn_id(self) -> str:
         return self.roles.txn_key[0]
 
 
-def cleaned(spark: SparkSession, sf_dir: str) -> Cleaned:
-    r = driver_roles(spark, sf_dir)
-    return Cleaned(
-        roles=r,
-        users=C.clean_users(r.users),
-        items=C.clean_items(r.items),
-        interactions=C.clean_interactions(r.interactions),
-        transactions=C.clean_transactions(r.transactions, key=r.txn_key),
-    )
+def cleaned(spark: SparkSession, sf_dir: str, reuse: bool = False) -> Cleaned:
+    """``reuse=True`` for queries that read a cleaned table more than once."""
+    return Cleaned(driver_roles(spark, sf_dir), reuse)
 
 
 def matrix(c: Cleaned) -> DataFrame:
@@ -163,12 +185,12 @@ def item_vectors(c: Cleaned) -> DataFrame:
 
 
 def q_build_item_vectors(spark, sf_dir):
-    v = item_vectors(cleaned(spark, sf_dir))
+    v = item_vectors(cleaned(spark, sf_dir, reuse=True))
     return v.select("item_id", F.posexplode("features").alias("dim", "value"))
 
 
 def q_cosine_topk(spark, sf_dir):
-    nb = SIM.cosine_topk(item_vectors(cleaned(spark, sf_dir)), k=5)
+    nb = SIM.cosine_topk(item_vectors(cleaned(spark, sf_dir, reuse=True)), k=5)
     return nb.select("src", "dst", F.round("score", 4).alias("score"), "rank")
 
 
@@ -200,13 +222,13 @@ def favourite_requests(c: Cleaned, k_fav: int = 2) -> DataFrame:
 
 
 def q_recommend_batch(spark, sf_dir):
-    c = cleaned(spark, sf_dir)
+    c = cleaned(spark, sf_dir, reuse=True)
     req = c.users.select("user_id", F.lit(10).alias("top_n"))
     return R.recommend_batch(req, c.interactions, c.items)
 
 
 def q_recommend_prefs(spark, sf_dir):
-    c = cleaned(spark, sf_dir)
+    c = cleaned(spark, sf_dir, reuse=True)
     nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS)
     return R.recommend_batch(favourite_requests(c), c.interactions, c.items, nb)
 
@@ -243,7 +265,7 @@ from wanderrank.operators import evaluate as EV  # noqa: E402
 
 
 def q_eval_precision_coverage(spark, sf_dir):
-    c = cleaned(spark, sf_dir)
+    c = cleaned(spark, sf_dir, reuse=True)
     return EV.eval_precision_coverage(c.interactions, c.items)
 
 
@@ -254,14 +276,14 @@ def q_nlargest_true(spark, sf_dir):
 
 
 def q_similar_items(spark, sf_dir):
-    c = cleaned(spark, sf_dir)
+    c = cleaned(spark, sf_dir, reuse=True)
     nb = SIM.cosine_topk(item_vectors(c), k=5)
     ids = c.interactions.select("item_id")
     return SIM.similar_items(nb, ids, 5).select("src", "dst", F.round("score", 4).alias("score"), "rank")
 
 
 def q_agg_best_similarity(spark, sf_dir):
-    c = cleaned(spark, sf_dir)
+    c = cleaned(spark, sf_dir, reuse=True)
     nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS)
     req = R.normalize_requests(favourite_requests(c))
     return R.cb_scores(req, nb).select("user_id", "item_id", "cb", "cb_norm")
@@ -269,7 +291,7 @@ def q_agg_best_similarity(spark, sf_dir):
 
 def q_join_anti_seen(spark, sf_dir):
     """CB candidates of each user that the user has not interacted with."""
-    c = cleaned(spark, sf_dir)
+    c = cleaned(spark, sf_dir, reuse=True)
     nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS)
     req = R.normalize_requests(favourite_requests(c))
     cb = R.cb_scores(req, nb).select("user_id", "item_id")
@@ -315,7 +337,7 @@ def q_catalogue_list(spark, sf_dir):
 
 
 def q_prediction_log(spark, sf_dir):
-    c = cleaned(spark, sf_dir)
+    c = cleaned(spark, sf_dir, reuse=True)
     recs = R.recommend_batch(c.users.select("user_id", F.lit(10).alias("top_n")), c.interactions, c.items)
     return KV.prediction_log(recs, AS_OF)
 
@@ -336,7 +358,7 @@ def q_chat_history(spark, sf_dir):
 
 
 def q_chat_context(spark, sf_dir):
-    c = cleaned(spark, sf_dir)
+    c = cleaned(spark, sf_dir, reuse=True)
     msg, earlier = session_messages(c.roles.turns)
     req = msg.select("user_id").distinct().withColumn("top_n", F.lit(5))
     recs = R.recommend_batch(req, c.interactions, c.items)
@@ -435,7 +457,7 @@ def q_scan_catalog(spark, sf_dir):
 
 
 def q_etl_summary(spark, sf_dir):
-    c = cleaned(spark, sf_dir)
+    c = cleaned(spark, sf_dir, reuse=True)
     return ETL.etl_summary(c.users, c.items, matrix(c), c.transactions, AS_OF)
 
 
@@ -453,7 +475,7 @@ def _factor_model(c: Cleaned):
 
 def q_cf_factorization(spark, sf_dir):
     """One row: held-out RMSE of the factor model and of the global mean."""
-    c = cleaned(spark, sf_dir)
+    c = cleaned(spark, sf_dir, reuse=True)
     parts, rmse = _factor_model(c)
     rated = CFM.ratings(c.interactions).withColumn("rating", F.col("rating").cast("double"))
     _, te = rated.randomSplit([0.8, 0.2], seed=42)
@@ -462,7 +484,7 @@ def q_cf_factorization(spark, sf_dir):
 
 
 def q_cf_recommend(spark, sf_dir):
-    c = cleaned(spark, sf_dir)
+    c = cleaned(spark, sf_dir, reuse=True)
     parts, _ = _factor_model(c)
     req = c.interactions.select("user_id").distinct().withColumn("top_n", F.lit(10))
     return CFM.cf_recommend_factorized(parts, req, c.items, c.interactions)
