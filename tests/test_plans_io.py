@@ -77,3 +77,4 @@ def test_entry_and_contract(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert set(qs) - set(sql) == {"cf_factorization", "cf_recommend"}
+    assert len(qs) >= 47

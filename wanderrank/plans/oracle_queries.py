@@ -415,3 +415,11 @@ UNION ALL SELECT 'total_interactions', CAST(count(*) AS VARCHAR) FROM matrix
 UNION ALL SELECT 'total_transactions', CAST(count(*) AS VARCHAR) FROM c_txn
 UNION ALL SELECT 'etl_timestamp', '2024-02-01 00:00:00'
 UNION ALL SELECT 'etl_job', 'wanderrank-etl'""")
+
+
+# ---------------------------------------------------------------- single-rule views
+
+from wanderrank.plans.oracle import dedup_sql  # noqa: E402
+
+ORACLES["dedup_by_key"] = with_ctes(["r_txn"], dedup_sql("r_txn", ["order_key", "line_number"]))
+ORACLES["distinct_items"] = with_recs(REQ_PLAIN, "SELECT DISTINCT item_id FROM recs")

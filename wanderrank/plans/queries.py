@@ -494,3 +494,21 @@ QUERIES.update({
     "cf_factorization": q_cf_factorization,
     "cf_recommend": q_cf_recommend,
 })
+
+
+# ---------------------------------------------------------------- single-rule views
+
+def q_dedup_by_key(spark, sf_dir):
+    """The survivor rule alone: one transaction line per (order, line) key."""
+    r = driver_roles(spark, sf_dir)
+    return C.dedup_by_key(r.transactions, r.txn_key)
+
+
+def q_distinct_items(spark, sf_dir):
+    """The set of all recommended items (the numerator of coverage)."""
+    c = cleaned(spark, sf_dir, reuse=True)
+    recs = R.recommend_batch(c.users.select("user_id", F.lit(10).alias("top_n")), c.interactions, c.items)
+    return recs.select("item_id").distinct()
+
+
+QUERIES.update({"dedup_by_key": q_dedup_by_key, "distinct_items": q_distinct_items})
