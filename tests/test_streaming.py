@@ -87,3 +87,16 @@ def test_alarm_consecutive_and_missing_windows(spark):
     out = MET.alarm_eval(wins, [MET.Alarm("errors", "errors", 5, 2)]).orderBy("window_start").collect()
     assert [r.state for r in out] == ["OK", "OK", "OK", "ALARM", "ALARM", "OK", "OK", "OK", "OK"]
     assert [r.breaching for r in out][5:8] == [False, False, False]
+
+
+def test_exact_percentile_matches_numpy_with_hot_group(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    hot = rng.integers(0, 500, 3000).tolist()           # one group holds most rows
+    rows = [("hot", float(v)) for v in hot] + [(f"g{i % 7}", float(v))
+                                               for i, v in enumerate(rng.integers(0, 50, 200))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r.p for r in MET.exact_percentile(df, ["g"], "v", 0.99, "p").collect()}
+    for g in got:
+        vals = np.array([v for k, v in rows if k == g])
+        assert abs(got[g] - np.percentile(vals, 99)) < 1e-9
