@@ -123,18 +123,30 @@ def _first_passing(k_cap: int):
         if users.empty or items.empty:
             return empty
         items = items.sort_values("item_id", kind="stable")
-        cat = items["category"].to_numpy(dtype=object)
-        prov = items["province"].to_numpy(dtype=object)
+        # integer codes for the item categories / provinces of this block
+        cat_codes, cat_vocab = pd.factorize(items["category"], use_na_sentinel=True)
+        prov_codes, prov_vocab = pd.factorize(items["province"], use_na_sentinel=True)
         price = items["price"].to_numpy(dtype="float64")
-        ok = np.ones((len(users), len(items)), dtype=bool)
+        n_u = len(users)
+        ok = np.ones((n_u, len(items)), dtype=bool)
         budgets = users["max_budget"].to_numpy(dtype="float64")
         has_b = ~np.isnan(budgets)
         ok[has_b] &= ~(price[None, :] > budgets[has_b, None])  # NaN price passes
-        for r, (cats, p) in enumerate(zip(users["categories"], users["province"])):
+        # category: user x vocabulary membership, then gather by item code
+        cat_index = {c: i for i, c in enumerate(cat_vocab)}
+        member = np.zeros((n_u, len(cat_vocab) + 1), dtype=bool)   # last column: null / unseen
+        has_c = np.zeros(n_u, dtype=bool)
+        for r, cats in enumerate(users["categories"]):
             if cats is not None and len(cats) > 0:
-                ok[r] &= np.isin(cat, np.asarray(list(cats), dtype=object))
-            if p is not None and not (isinstance(p, float) and np.isnan(p)):
-                ok[r] &= prov == p
+                has_c[r] = True
+                member[r, [cat_index[c] for c in cats if c in cat_index]] = True
+        ok[has_c] &= member[has_c][:, np.where(cat_codes < 0, len(cat_vocab), cat_codes)]
+        # province: equality of codes (an item without province never matches)
+        prov_index = {p: i for i, p in enumerate(prov_vocab)}
+        want = np.array([-2 if p is None or (isinstance(p, float) and np.isnan(p))
+                         else prov_index.get(p, -3) for p in users["province"]], dtype=np.int64)
+        has_p = want != -2
+        ok[has_p] &= prov_codes[None, :] == want[has_p, None]
         n_pass = ok.sum(axis=1)
         limit = users["limit"].to_numpy(dtype="int64")
         keep = ok & (np.cumsum(ok, axis=1) <= limit[:, None])
