@@ -97,11 +97,14 @@ def _topk_block(k: int):
 
 
 def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
-                id_col: str = "item_id", features: str = "features") -> DataFrame:
+                id_col: str = "item_id", features: str = "features",
+                queries: DataFrame | None = None) -> DataFrame:
     """Exact cosine top-k neighbours per item, self excluded.
 
     Returns ``(src, dst, score, rank)`` with the raw cosine in ``score``
-    (round for display with ``round4``).
+    (round for display with ``round4``). ``queries`` (a frame with ``id_col``)
+    restricts the source side to those ids; candidates are always the whole
+    table, so the result for those sources is the same.
     """
     ensure_checkpoint_dir(vectors.sparkSession)
     # Written once to the shared checkpoint folder: both sides of the cogroup
@@ -111,7 +114,10 @@ def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
     blocks = max(1, math.ceil(n / block_rows))
     v = v.withColumn("_b", F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int"))
     all_blocks = F.sequence(F.lit(0), F.lit(blocks - 1))
-    q = v.select("item_id", "u", F.col("_b").alias("qb"), F.explode(all_blocks).alias("cb"))
+    src = v
+    if queries is not None:
+        src = v.join(queries.select(F.col(id_col).alias("item_id")).distinct(), "item_id", "left_semi")
+    q = src.select("item_id", "u", F.col("_b").alias("qb"), F.explode(all_blocks).alias("cb"))
     # fresh names on the candidate side: both sides derive from ``v``, and a
     # cogroup over shared attributes can lose the right side's columns
     c = v.select(F.col("item_id").alias("c_id"), F.col("u").alias("c_u"),

@@ -229,8 +229,11 @@ def q_recommend_batch(spark, sf_dir):
 
 def q_recommend_prefs(spark, sf_dir):
     c = cleaned(spark, sf_dir, reuse=True)
-    nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS)
-    return R.recommend_batch(favourite_requests(c), c.interactions, c.items, nb)
+    req = favourite_requests(c).checkpoint()
+    favs = req.select(F.explode("favorites").alias("item_id"))
+    # neighbours are needed for the favourites only (exact: candidates are all items)
+    nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS, queries=favs)
+    return R.recommend_batch(req, c.interactions, c.items, nb)
 
 
 def q_cf_user_mean(spark, sf_dir):
@@ -277,23 +280,25 @@ def q_nlargest_true(spark, sf_dir):
 
 def q_similar_items(spark, sf_dir):
     c = cleaned(spark, sf_dir, reuse=True)
-    nb = SIM.cosine_topk(item_vectors(c), k=5)
     ids = c.interactions.select("item_id")
+    nb = SIM.cosine_topk(item_vectors(c), k=5, queries=ids)
     return SIM.similar_items(nb, ids, 5).select("src", "dst", F.round("score", 4).alias("score"), "rank")
 
 
 def q_agg_best_similarity(spark, sf_dir):
     c = cleaned(spark, sf_dir, reuse=True)
-    nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS)
-    req = R.normalize_requests(favourite_requests(c))
+    req = R.normalize_requests(favourite_requests(c)).checkpoint()
+    nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS,
+                         queries=req.select(F.explode("favorites").alias("item_id")))
     return R.cb_scores(req, nb).select("user_id", "item_id", "cb", "cb_norm")
 
 
 def q_join_anti_seen(spark, sf_dir):
     """CB candidates of each user that the user has not interacted with."""
     c = cleaned(spark, sf_dir, reuse=True)
-    nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS)
-    req = R.normalize_requests(favourite_requests(c))
+    req = R.normalize_requests(favourite_requests(c)).checkpoint()
+    nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS,
+                         queries=req.select(F.explode("favorites").alias("item_id")))
     cb = R.cb_scores(req, nb).select("user_id", "item_id")
     return cb.join(c.interactions.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
 
