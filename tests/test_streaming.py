@@ -100,3 +100,18 @@ def test_exact_percentile_matches_numpy_with_hot_group(spark):
     for g in got:
         vals = np.array([v for k, v in rows if k == g])
         assert abs(got[g] - np.percentile(vals, 99)) < 1e-9
+
+
+def test_stream_metric_windows_append(spark):
+    src = tempfile.mkdtemp(prefix="wr-msrc-")
+    schema = "name string, ts timestamp, invocations long, errors long, duration_ms double"
+    rows = [("f", T0 + dt.timedelta(minutes=m), 1, int(m % 4 == 0), float(10 * m)) for m in range(30)]
+    spark.createDataFrame(rows, schema).write.parquet(os.path.join(src, "a"))
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(src)
+    q = (MET.stream_metric_windows(stream, watermark="1 minute").writeStream.outputMode("append")
+         .format("memory").queryName("wr_mw").option("checkpointLocation", tempfile.mkdtemp(prefix="wr-mck-"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    got = {r.window_start: (r.invocations, r.errors) for r in spark.sql("SELECT * FROM wr_mw").collect()}
+    # every closed 5-minute period has 5 invocations; the last one is still open
+    assert len(got) == 5 and all(v[0] == 5 for v in got.values())

@@ -49,11 +49,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     it is read from the session and never replaced. Only when it is unset
     (tests, a laptop) a fresh local folder is chosen.
     """
+    sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="wr-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    if path:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(path)
+        return path
+    existing = sc.getCheckpointDir()
+    if existing:
+        return existing
+    path = tempfile.mkdtemp(prefix="wr-ckpt-")
+    spark.conf.set("spark.checkpoint.dir", path)
+    sc.setCheckpointDir(path)
     return path
 
 

@@ -65,13 +65,15 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float,
 def metric_windows(log: DataFrame, period: str = PERIOD, exact: bool = True) -> DataFrame:
     """Per name and tumbling period: invocations, errors (sums), mean and
     99th-percentile duration (exact in batch, a sketch in streams)."""
-    keyed = log.withColumn("window_start", F.window("ts", period).start)
-    sums = keyed.groupBy("name", "window_start").agg(
+    # grouped by the window() column itself, so a stream's watermark applies
+    sums = (log.groupBy("name", F.window("ts", period).alias("w")).agg(
         F.sum("invocations").alias("invocations"), F.sum("errors").alias("errors"),
         exact_avg(F.col("duration_ms")).alias("avg_duration_ms"),
         *([] if exact else [F.percentile_approx("duration_ms", 0.99).alias("p99_duration_ms")]))
+        .withColumn("window_start", F.col("w.start")).drop("w"))
     if not exact:
         return sums
+    keyed = log.withColumn("window_start", F.window("ts", period).start)
     p99 = exact_percentile(keyed, ["name", "window_start"], "duration_ms", 0.99, "p99_duration_ms")
     return sums.join(p99, ["name", "window_start"], "left")
 
