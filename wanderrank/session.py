@@ -46,8 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is set by the operator (a shared file system);
-    it is read from the session and never replaced. Only when it is unset
-    (tests, a laptop) a fresh local folder is chosen.
+    it is read from the session and never replaced. Only when it is unset on a
+    local master (tests, a laptop) a fresh local folder is chosen; on a
+    cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
@@ -58,6 +59,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                           "(a machine-local folder does not survive executor loss)")
     path = tempfile.mkdtemp(prefix="wr-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
