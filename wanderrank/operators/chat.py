@@ -39,7 +39,7 @@ def _label(role: Column) -> Column:
     return F.when(role == "user", F.lit(USER_LABEL)).otherwise(F.lit(ASSISTANT_LABEL))
 
 
-def _join_lines(order: Column, line: Column, key: str) -> Column:
+def _join_lines(order: Column, line: Column) -> Column:
     """Aggregate: lines of one group in ``order``, concatenated."""
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"),
                                                                           line.alias("l")))),
@@ -57,7 +57,7 @@ def chat_history(turns: DataFrame, session: str = "session_id", order: str = "tu
     w_last = Window.partitionBy(session).orderBy(F.col(order).desc())
     shown = capped.withColumn("_l", F.row_number().over(w_last)).filter(F.col("_l") <= last)
     line = F.concat(_label(F.col("role")), F.lit(": "), truncate(F.col("content"), chars), F.lit("\n"))
-    return shown.groupBy(session).agg(_join_lines(F.col(order), line, session).alias("history"))
+    return shown.groupBy(session).agg(_join_lines(F.col(order), line).alias("history"))
 
 
 def rec_lines(recs: DataFrame, k: int = PROMPT_RECS, short: bool = False) -> DataFrame:
@@ -75,7 +75,7 @@ def rec_lines(recs: DataFrame, k: int = PROMPT_RECS, short: bool = False) -> Dat
                         F.lit(f" - {PRICE_LABEL}: {CURRENCY}"), format_money(F.col("price"), 0 if integral else 2),
                         F.lit("\n"))
         header = RECS_HEADER
-    lines = first.groupBy("user_id").agg(_join_lines(F.col("rank"), line, "user_id").alias("_lines"))
+    lines = first.groupBy("user_id").agg(_join_lines(F.col("rank"), line).alias("_lines"))
     return lines.select("user_id", F.concat(F.lit(f"\n\n{header}\n"), F.col("_lines")).alias("rec_text"))
 
 

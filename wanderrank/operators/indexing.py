@@ -26,6 +26,7 @@ def index_by(df: DataFrame, *order_cols: str, out: str = "pos") -> DataFrame:
     parts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("_pid", "_m0", F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_off"))
+    # broadcast: one row per partition of ``tagged`` (bounded by the partition count)
     return (tagged.join(F.broadcast(offsets), "_pid")
             .withColumn(out, F.col("_off") + (F.col("_mid") - F.col("_m0")) + 1)
             .drop("_pid", "_mid", "_m0", "_off"))

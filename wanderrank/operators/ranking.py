@@ -115,7 +115,7 @@ def minmax_per_user(df: DataFrame, col: str, out: str, key: str = "user_id") ->
     return df.withColumn(out, F.when(hi == lo, F.lit(0.5)).otherwise((F.col(col) - lo) / (hi - lo)))
 
 
-def _first_passing(k_cap: int):
+def _first_passing():
     """cogroup task: one user block x one item block."""
     def run(key, users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"user_id": users["user_id"].iloc[:0], "item_id": items["item_id"].iloc[:0],
@@ -182,7 +182,7 @@ def _blocked_filter(req: DataFrame, items: DataFrame, block_rows: int) -> tuple[
            .repartition(n, "ub", "ib").groupBy("ub", "ib")
            .cogroup(it.select("ub", "ib", "item_id", "category", "province", "price")
                     .repartition(n, "ub", "ib").groupBy("ub", "ib"))
-           .applyInPandas(_first_passing(0), f"user_id {uid_t}, item_id {iid_t}, n_pass long")
+           .applyInPandas(_first_passing(), f"user_id {uid_t}, item_id {iid_t}, n_pass long")
            .checkpoint())  # read by two branches: run the block tasks once
     picked = out.filter(F.col("item_id").isNotNull()).select("user_id", "item_id")
     counts = (out.filter(F.col("item_id").isNull()).groupBy("user_id")
