@@ -75,6 +75,11 @@ def test_catalogue_goldens(spark):
     assert [sums[w] for w in schemas.TRAVEL_FACILITIES] == [8, 11, 24, 8, 17, 10, 1]
     free = sorted(r.item_id for r in items.filter("price = 0").collect())
     assert free == ["DST0002", "DST0005", "DST0008", "DST0021"]
+    stats = {r.category: (r.lo, r.hi, r.n) for r in items.groupBy("category").agg(
+        F.min("price").alias("lo"), F.max("price").alias("hi"), F.count("*").alias("n")).collect()}
+    assert stats == {"Alam": (20000, 150000, 5), "Bahari": (20000, 500000, 7), "Budaya": (15000, 60000, 3),
+                     "Gunung": (150000, 320000, 2), "Kuliner": (0, 0, 1), "Pantai": (0, 150000, 6),
+                     "Petualangan": (70000, 100000, 2), "Sejarah": (5000, 350000, 3)}
     norm = {r.item_id: r.price_normalized
             for r in FE.group_minmax(items, "category", "price", "price_normalized").collect()}
     for k, v in {"DST0001": 0.999977778, "DST0003": 0.461534911, "DST0011": 0.999997917,
