@@ -1,7 +1,8 @@
 """recommend_batch against a direct pure-Python reading of the ranking rules
 on a random fixture (favourites, unknown ids, filters that pass nothing,
-empty lists, top_n edge values, unknown users), with tiny block sizes so the
-blocked paths really use several blocks."""
+empty lists, top_n edge values, unknown users, items without price); the
+catalogue is larger than the first scan window, so the filtered scan really
+widens over several rounds."""
 
 import random
 from collections import Counter, defaultdict
@@ -74,7 +75,7 @@ def test_recommend_batch_matches_bruteforce(spark, seed):
     rnd = random.Random(seed)
     cats, provs = ["A", "B", "C"], ["P", "Q", "R"]
     catalog = {i: (rnd.choice(cats), rnd.choice(provs), rnd.choice([None] + list(range(10, 100, 7))))
-               for i in range(1, 41)}
+               for i in range(1, 201)}
     train = []
     for u in range(1, 26):
         for _ in range(rnd.choice([0, 1, 4, 5, 12, 19, 20, 30])):
@@ -99,7 +100,7 @@ def test_recommend_batch_matches_bruteforce(spark, seed):
     tr = spark.createDataFrame(train, "user_id long, item_id long, score double")
     req = spark.createDataFrame(requests, "user_id long, top_n int, favorites array<long>, "
                                           "categories array<string>, max_budget double, province string")
-    got = R.recommend_batch(req, tr, items, nb, block_rows=6).collect()
+    got = R.recommend_batch(req, tr, items, nb).collect()
     want = brute(requests, train, catalog, nb_rows)
     by_user = defaultdict(list)
     for r in sorted(got, key=lambda r: (r.user_id, r["rank"])):

@@ -22,17 +22,15 @@ are found without pairing users with the whole catalogue:
   with ``e`` excluded items (seen + cb) takes positions ``1 .. top_n + e``
   (``explode(sequence)`` + equi-join), drops the excluded, keeps ``top_n``:
   ``sum(top_n) + |seen| + |cb|`` rows in total;
-* filter: users and items are cut into bounded blocks; one cogroup task per
-  (user block, item block) evaluates the filter as numpy arrays and keeps
-  only the first ``top_n + e`` passing items per user, plus the pass count.
+* filter: a per-class (category x province) minimum-price table says whether
+  anything can pass at all; users for whom something can are scanned over the
+  same id positions in widening windows until ``top_n`` passing, non-excluded
+  items are found (``_scan_filtered``): work proportional to the depth of the
+  answer in the id order, never a user x catalogue product.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +38,6 @@ from wanderrank.functions.scalar import round4
 from wanderrank.functions.scores import adaptive_weights
 from wanderrank.operators import collaborative as CF
 from wanderrank.operators.indexing import index_by
-from wanderrank.operators.topk import block_tasks
 from wanderrank.session import ensure_checkpoint_dir
 
 TOP_N_DEFAULT = 10
@@ -115,79 +112,69 @@ def minmax_per_user(df: DataFrame, col: str, out: str, key: str = "user_id") ->
     return df.withColumn(out, F.when(hi == lo, F.lit(0.5)).otherwise((F.col(col) - lo) / (hi - lo)))
 
 
-def _first_passing():
-    """cogroup task: one user block x one item block."""
-    def run(key, users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"user_id": users["user_id"].iloc[:0], "item_id": items["item_id"].iloc[:0],
-                              "n_pass": pd.Series([], dtype="int64")})
-        if users.empty or items.empty:
-            return empty
-        items = items.sort_values("item_id", kind="stable")
-        # integer codes for the item categories / provinces of this block
-        cat_codes, cat_vocab = pd.factorize(items["category"], use_na_sentinel=True)
-        prov_codes, prov_vocab = pd.factorize(items["province"], use_na_sentinel=True)
-        price = items["price"].to_numpy(dtype="float64")
-        n_u = len(users)
-        ok = np.ones((n_u, len(items)), dtype=bool)
-        budgets = users["max_budget"].to_numpy(dtype="float64")
-        has_b = ~np.isnan(budgets)
-        ok[has_b] &= ~(price[None, :] > budgets[has_b, None])  # NaN price passes
-        # category: user x vocabulary membership, then gather by item code
-        cat_index = {c: i for i, c in enumerate(cat_vocab)}
-        member = np.zeros((n_u, len(cat_vocab) + 1), dtype=bool)   # last column: null / unseen
-        has_c = np.zeros(n_u, dtype=bool)
-        for r, cats in enumerate(users["categories"]):
-            if cats is not None and len(cats) > 0:
-                has_c[r] = True
-                member[r, [cat_index[c] for c in cats if c in cat_index]] = True
-        ok[has_c] &= member[has_c][:, np.where(cat_codes < 0, len(cat_vocab), cat_codes)]
-        # province: equality of codes (an item without province never matches)
-        prov_index = {p: i for i, p in enumerate(prov_vocab)}
-        want = np.array([-2 if p is None or (isinstance(p, float) and np.isnan(p))
-                         else prov_index.get(p, -3) for p in users["province"]], dtype=np.int64)
-        has_p = want != -2
-        ok[has_p] &= prov_codes[None, :] == want[has_p, None]
-        n_pass = ok.sum(axis=1)
-        limit = users["limit"].to_numpy(dtype="int64")
-        keep = ok & (np.cumsum(ok, axis=1) <= limit[:, None])
-        rows, cols = np.nonzero(keep)
-        picked = pd.DataFrame({"user_id": users["user_id"].to_numpy()[rows],
-                               "item_id": items["item_id"].to_numpy()[cols],
-                               "n_pass": pd.Series(np.zeros(len(rows), dtype="int64"))})
-        counts = pd.DataFrame({"user_id": users["user_id"].to_numpy(),
-                               "item_id": pd.Series([None] * len(users), dtype=object),
-                               "n_pass": n_pass.astype("int64")})
-        return pd.concat([picked.astype({"item_id": object}), counts], ignore_index=True)
-    return run
-
-
-def _blocked_filter(req: DataFrame, items: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
-    """For filtered requests: first ``limit`` passing items by id, and the
-    number of passing catalogue items per user."""
-    n_req = req.count()
-    if n_req == 0:
-        none = req.select("user_id", F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id"),
-                          F.lit(0).cast("long").alias("n_pass"))
-        return none.select("user_id", "item_id"), none.select("user_id", "n_pass")
-    ublocks = max(1, math.ceil(n_req / block_rows))
-    iblocks = max(1, math.ceil(items.count() / block_rows))
-    u = req.withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(ublocks)).cast("int"))
-    it = items.withColumn("ib", F.pmod(F.xxhash64("item_id"), F.lit(iblocks)).cast("int"))
-    u = u.withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(iblocks - 1))))
-    it = it.withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(ublocks - 1))))
-    uid_t = req.schema["user_id"].dataType.simpleString()
-    iid_t = items.schema["item_id"].dataType.simpleString()
-    n = block_tasks(req.sparkSession, ublocks * iblocks)
-    out = (u.select("ub", "ib", "user_id", "categories", "max_budget", "province", "limit")
-           .repartition(n, "ub", "ib").groupBy("ub", "ib")
-           .cogroup(it.select("ub", "ib", "item_id", "category", "province", "price")
-                    .repartition(n, "ub", "ib").groupBy("ub", "ib"))
-           .applyInPandas(_first_passing(), f"user_id {uid_t}, item_id {iid_t}, n_pass long")
-           .checkpoint())  # read by two branches: run the block tasks once
-    picked = out.filter(F.col("item_id").isNotNull()).select("user_id", "item_id")
-    counts = (out.filter(F.col("item_id").isNull()).groupBy("user_id")
-              .agg(F.sum("n_pass").alias("n_pass")))
-    return picked, counts
+def _class_exists(users: DataFrame, cat: DataFrame) -> DataFrame:
+    """Per filtered user: does any catalogue item pass the filter at all?
+
+    Answered from one row per (category, province) class (its minimum price
+    and whether it has an item without price) instead of the items: equi-joins
+    on the category and/or province the user asks for, or the one global row
+    when the user names neither."""
+    stats = cat.groupBy("category", "province").agg(
+        F.min("price").alias("_minp"), F.max(F.col("price").isNull().cast("int")).alias("_nullp"))
+    ok = (F.col("max_budget").isNull() | (F.col("_nullp") == 1) | (F.col("_minp") <= F.col("max_budget")))
+    u = users.select("user_id", "categories", "max_budget", F.col("province").alias("_pp"))
+    has_c = F.coalesce(F.size("categories"), F.lit(0)) > 0
+    by_cat = (u.filter(has_c).select("user_id", "max_budget", "_pp", F.explode("categories").alias("category"))
+              .join(stats, "category")
+              .filter(F.col("_pp").isNull() | (F.col("province") == F.col("_pp"))))
+    by_prov = (u.filter(~has_c & F.col("_pp").isNotNull())
+               .join(stats, F.col("province") == F.col("_pp")))
+    glob = stats.agg(F.min("_minp").alias("_minp"), F.max("_nullp").alias("_nullp"))
+    g = glob.select(F.struct("_minp", "_nullp")).scalar()
+    by_all = (u.filter(~has_c & F.col("_pp").isNull())
+              .select("user_id", "max_budget", g.getField("_minp").alias("_minp"),
+                      g.getField("_nullp").alias("_nullp")))
+    cols = ["user_id", "max_budget", "_minp", "_nullp"]
+    rows = by_cat.select(*cols).unionByName(by_prov.select(*cols)).unionByName(by_all.select(*cols))
+    return rows.filter(ok).select("user_id").distinct()
+
+
+def _scan_filtered(users: DataFrame, pos_items: DataFrame, excluded: DataFrame, n_items: int,
+                   first: int = 64, growth: int = 8) -> tuple[DataFrame, DataFrame]:
+    """First ``top_n`` passing, non-excluded items per filtered user, in id order.
+
+    Each round explodes only the users still short of ``top_n`` finds over
+    their next window of positions (``first`` or ``limit`` wide at the start,
+    ``growth`` times wider each round, never past the catalogue), joins the
+    positioned items (an equi-join), filters and drops excluded items. A
+    user's work is proportional to how deep its answer lies in the id order,
+    at most the catalogue size. Returns (filler, found-count per user)."""
+    item_t = pos_items.schema["item_id"].dataType
+    state = users.select(
+        "user_id", "top_n", "categories", "max_budget", "province",
+        F.lit(0).cast("long").alias("lo"),
+        F.least(F.greatest(F.col("limit").cast("long"), F.lit(first).cast("long")),
+                F.lit(n_items).cast("long")).alias("hi")).checkpoint()
+    found = users.select("user_id", F.lit(None).cast(item_t).alias("item_id")).filter(F.lit(False))
+    while not state.isEmpty():
+        cand = (state.select("user_id", "categories", "max_budget", F.col("province").alias("_pp"),
+                             F.explode(F.sequence(F.col("lo") + 1, F.col("hi"))).alias("pos"))
+                .join(pos_items, "pos")
+                .filter(passes(F.col("category"), F.col("price"), F.col("province"),
+                               F.col("categories"), F.col("max_budget"), F.col("_pp")))
+                .select("user_id", "item_id")
+                .join(excluded, ["user_id", "item_id"], "left_anti"))
+        found = found.unionByName(cand).checkpoint()
+        n = found.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+        state = (state.join(n, "user_id", "left")
+                 .filter((F.coalesce("_n", F.lit(0)) < F.col("top_n")) & (F.col("hi") < n_items))
+                 .select("user_id", "top_n", "categories", "max_budget", "province",
+                         F.col("hi").alias("lo"),
+                         F.least(F.col("hi") * growth, F.lit(n_items).cast("long")).alias("hi"))
+                 .checkpoint())
+    n_found = found.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_found"))
+    filler = _first_by_id(found.join(users.select("user_id", "top_n"), "user_id"), "top_n")
+    return filler.select("user_id", "item_id"), n_found
 
 
 def _first_by_id(cands: DataFrame, limit_col: str) -> DataFrame:
@@ -197,8 +184,7 @@ def _first_by_id(cands: DataFrame, limit_col: str) -> DataFrame:
 
 
 def recommend_batch(requests: DataFrame, train: DataFrame, items: DataFrame,
-                    neighbours: DataFrame | None = None, mode: str = "clamp",
-                    block_rows: int = 4096) -> DataFrame:
+                    neighbours: DataFrame | None = None, mode: str = "clamp") -> DataFrame:
     """Top-N hybrid recommendations for every request (user-mean CF).
 
     ``train``: (user_id, item_id, score...) interactions the CF and weights use;
@@ -247,16 +233,12 @@ def recommend_batch(requests: DataFrame, train: DataFrame, items: DataFrame,
     filler_any = (wanted.join(pos, "pos").join(excluded, ["user_id", "item_id"], "left_anti"))
     filler_any = _first_by_id(filler_any, "top_n").select("user_id", "item_id")
 
-    # ---- filler with filter, and whether anything passes at all
-    freq = users.filter(F.col("has_filter"))
-    picked, n_pass = _blocked_filter(
-        freq.select("user_id", "categories", "max_budget", "province", "limit"),
-        cat.select("item_id", "category", "province", "price"), block_rows)
-    pick_top = freq.select("user_id", "top_n", "limit", "cf_nonempty")
-    filler_pass = (_first_by_id(picked.join(pick_top, "user_id"), "limit")
-                   .filter(F.col("cf_nonempty"))
-                   .join(excluded, ["user_id", "item_id"], "left_anti"))
-    filler_pass = _first_by_id(filler_pass, "top_n").select("user_id", "item_id")
+    # ---- filler with filter: only users for whom something can pass are scanned
+    pos_items = pos.join(cat.select("item_id", "category", "province", "price"), "item_id").checkpoint()
+    n_items = pos_items.count()
+    scan_users = (users.filter(F.col("has_filter") & F.col("cf_nonempty") & (F.col("top_n") >= 1))
+                  .join(_class_exists(users.filter(F.col("has_filter")), cat), "user_id", "left_semi"))
+    filler_pass, n_found = _scan_filtered(scan_users, pos_items, excluded, n_items)
 
     prefs = users.select("user_id", "categories", "max_budget", "province")
 
@@ -271,20 +253,15 @@ def recommend_batch(requests: DataFrame, train: DataFrame, items: DataFrame,
                 .withColumn("passes", F.when(~F.col("known"), True).otherwise(ok))
                 .drop("categories", "max_budget", "province", "_c", "_p", "_pr", "_known"))
 
-    seen_pass = (with_pass(seen_in_cat).filter("passes").groupBy("user_id")
-                 .agg(F.count(F.lit(1)).alias("n_seen_pass")))
     cb_flagged = with_pass(cb).join(seen_in_cat.withColumn("seen", F.lit(True)),
                                     ["user_id", "item_id"], "left")
-    # passing cb keys the unseen-catalogue count misses: seen ones and ones
-    # unknown to the catalogue (those always pass)
-    cb_seen_pass = (cb_flagged.filter(F.col("passes") & (F.col("seen").isNotNull() | ~F.col("known")))
-                    .groupBy("user_id").agg(F.count(F.lit(1)).alias("n_cb_seen_pass")))
-    users = (users.join(n_pass, "user_id", "left").join(seen_pass, "user_id", "left")
-             .join(cb_seen_pass, "user_id", "left")
+    # a passing key exists when a cb key passes or the scan found an unseen,
+    # non-cb passing item (the scan covers every other unseen catalogue item)
+    cb_pass = (cb_flagged.filter(F.col("passes")).groupBy("user_id")
+               .agg(F.count(F.lit(1)).alias("n_cb_pass")))
+    users = (users.join(n_found, "user_id", "left").join(cb_pass, "user_id", "left")
              .withColumn("use_filter", F.col("has_filter") & (
-                 F.when(F.col("cf_nonempty"), F.coalesce("n_pass", F.lit(0))
-                        - F.coalesce("n_seen_pass", F.lit(0))).otherwise(0)
-                 + F.coalesce("n_cb_seen_pass", F.lit(0)) > 0)))
+                 F.coalesce("n_found", F.lit(0)) + F.coalesce("n_cb_pass", F.lit(0)) > 0)))
     flags = users.select("user_id", "use_filter", "top_n", "w_cf", "w_cb", "cf_nonempty")
 
     cb_part = (cb_flagged.join(flags, "user_id")
