@@ -187,6 +187,9 @@ def recommend_batch(requests: DataFrame, train: DataFrame, items: DataFrame,
                     neighbours: DataFrame | None = None, mode: str = "clamp") -> DataFrame:
     """Top-N hybrid recommendations for every request (user-mean CF).
 
+    ``requests`` holds one request per user (user_id, top_n[, favorites,
+    categories, max_budget, province]).
+
     ``train``: (user_id, item_id, score...) interactions the CF and weights use;
     ``items``: catalogue (item_id, name, category, province, price[, rating]);
     ``neighbours``: cosine_topk output (src, dst, score, rank), may be None.
