@@ -78,3 +78,24 @@ def test_entry_and_contract(spark):
     assert set(sql) <= set(qs)
     assert set(qs) - set(sql) == {"cf_factorization", "cf_recommend"}
     assert len(qs) >= 47
+
+
+def test_partitioning_is_reused_without_broadcast(spark):
+    """At scale (no broadcast): the transaction dedup reuses the join's
+    order-key partitioning, and the user feature joins reuse the user-key
+    partitioning of the dedup and the aggregates."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        txn = _plan(Q.q_clean_transactions(spark, SF))
+        assert txn.count("Exchange hashpartitioning") == 2   # lineitem and orders only
+        uf = _plan(Q.q_user_features(spark, SF))
+        lines = uf.split("\n")
+        joins = [i for i, line in enumerate(lines) if "SortMergeJoin" in line and "LeftOuter" in line]
+        assert len(joins) == 2
+        # the first child operator below each join is never an exchange
+        for i in joins:
+            assert "Exchange" not in lines[i + 1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
