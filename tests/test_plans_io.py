@@ -76,7 +76,7 @@ def test_entry_and_contract(spark):
                                               "final_score"]
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"cf_factorization", "cf_recommend"}
+    assert set(qs) - set(sql) == {"cf_factorization", "cf_recommend", "recommend_factorized"}
     assert len(qs) >= 47
 
 

@@ -300,3 +300,191 @@ def join_enrich(top: DataFrame, cat: DataFrame) -> DataFrame:
         round4(F.col("cf_norm")).alias("cf_score"),
         round4(F.col("cb_norm")).alias("cb_score"),
         "w_cf", "w_cb")
+
+
+# ---------------------------------------------------------------- factor-model CF
+
+def _factor_block(key, u, it):
+    """One user block x one item block of the factor model: per user the top
+    ``limit`` items by rounded score (kind 0), the top ``limit`` passing items
+    (kind 1), the bottom ``n_seen + 1`` (kind 2), the scores of its cb items
+    (kind 3), and the number of passing items (kind 4, item null)."""
+    import numpy as np
+    import pandas as pd
+
+    from wanderrank.operators.topk import topk_rows
+
+    cols = {"user_id": [], "item_id": [], "s": [], "kind": []}
+    if u.empty or it.empty:
+        return pd.DataFrame({"user_id": u["user_id"].iloc[:0], "item_id": it["i_id"].iloc[:0],
+                             "s": pd.Series([], dtype="float64"), "kind": pd.Series([], dtype="int32")})
+    iid = it["i_id"].to_numpy()
+    uid = u["user_id"].to_numpy()
+    s = np.round(np.clip(np.stack(u["vec"].to_numpy()) @ np.stack(it["i_vec"].to_numpy()).T, 0.0, 5.0), 4)
+    # preference mask (same rules as ``passes``)
+    cat = it["i_cat"].to_numpy(dtype=object)
+    prov = it["i_prov"].to_numpy(dtype=object)
+    price = it["i_price"].to_numpy(dtype="float64")
+    ok = np.ones(s.shape, dtype=bool)
+    bud = u["max_budget"].to_numpy(dtype="float64")
+    hb = ~np.isnan(bud)
+    ok[hb] &= ~(price[None, :] > bud[hb, None])
+    for r, (cats, p) in enumerate(zip(u["categories"], u["province"])):
+        if cats is not None and len(cats) > 0:
+            ok[r] &= np.isin(cat, np.asarray(list(cats), dtype=object))
+        if p is not None and not (isinstance(p, float) and np.isnan(p)):
+            ok[r] &= prov == p
+    limit = u["limit"].to_numpy(dtype="int64")
+    low = u["n_seen"].to_numpy(dtype="int64") + 1
+
+    def emit(r, c, kind):
+        cols["user_id"].append(uid[r])
+        cols["item_id"].append(iid[c].astype(object))
+        cols["s"].append(s[r, c])
+        cols["kind"].append(np.full(len(r), kind, dtype="int32"))
+
+    emit(*topk_rows(s, iid, limit), 0)
+    emit(*topk_rows(s, iid, np.where(u["has_filter"].to_numpy(dtype=bool), limit, 0),
+                    np.where(ok, s, -np.inf)), 1)
+    emit(*topk_rows(-s, iid, low), 2)
+    pos = {v: j for j, v in enumerate(iid)}
+    rr, cc = [], []
+    for r, items in enumerate(u["cb_items"]):
+        for x in (items if items is not None else []):
+            if x in pos:
+                rr.append(r)
+                cc.append(pos[x])
+    emit(np.asarray(rr, dtype=np.int64), np.asarray(cc, dtype=np.int64), 3)
+    cols["user_id"].append(uid)
+    cols["item_id"].append(np.full(len(uid), None, dtype=object))
+    cols["s"].append(ok.sum(axis=1).astype("float64"))
+    cols["kind"].append(np.full(len(uid), 4, dtype="int32"))
+    return pd.DataFrame({k: np.concatenate(v) for k, v in cols.items()})
+
+
+def recommend_batch_factorized(requests: DataFrame, train: DataFrame, items: DataFrame,
+                               parts: dict, neighbours: DataFrame | None = None,
+                               mode: str = "clamp", block_rows: int = 2048) -> DataFrame:
+    """recommend_batch with the factor model as CF (scores vary per item).
+
+    CF scores are ``round(clip(prediction, 0, 5), 4)`` for unseen catalogue
+    items, min-max normalised over all of a user's unseen items. A factor
+    model's exact top-N is a users x items product by nature: it runs as
+    bounded user-block x item-block tasks that each return only the per-user
+    lists described in ``_factor_block``; everything else is relational.
+    """
+    import math
+
+    from wanderrank.operators.topk import block_tasks
+
+    spark = requests.sparkSession
+    ensure_checkpoint_dir(spark)
+    req = normalize_requests(requests, mode).checkpoint()
+    cat = items.select("item_id", *[c for c in ("name", "category", "province", "rating", "price")
+                                    if c in items.columns])
+    for c, t in (("name", "string"), ("category", "string"), ("province", "string"),
+                 ("rating", "double"), ("price", "double")):
+        if c not in cat.columns:
+            cat = cat.withColumn(c, F.lit(None).cast(t))
+    rated = CF.ratings(train)
+    n_u = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    seen_in_cat = (rated.select("user_id", "item_id").distinct()
+                   .join(cat.select("item_id"), "item_id", "left_semi").checkpoint())
+    n_cat = cat.select(F.count(F.lit(1))).scalar()
+    if neighbours is not None:
+        cb = cb_scores(req, neighbours).select("user_id", "item_id", "cb_norm").checkpoint()
+    else:
+        cb = seen_in_cat.select("user_id", "item_id", F.lit(None).cast("double").alias("cb_norm")).filter(
+            F.lit(False))
+    cb_lists = cb.groupBy("user_id").agg(F.collect_list("item_id").alias("cb_items"),
+                                         F.count(F.lit(1)).alias("n_cb"))
+    w_cf, w_cb = adaptive_weights(F.col("n_rows"))
+    users = (req.join(n_u, "user_id", "left")
+             .join(seen_in_cat.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen")), "user_id", "left")
+             .join(cb_lists, "user_id", "left")
+             .withColumn("n_seen", F.coalesce("n_seen", F.lit(0)))
+             .withColumn("w_cf", w_cf).withColumn("w_cb", w_cb)
+             .withColumn("cf_nonempty", n_cat - F.col("n_seen") > 0)
+             .withColumn("limit", F.col("top_n") + F.col("n_seen") + F.coalesce("n_cb", F.lit(0)) + 1)
+             .checkpoint())
+
+    uvec, ivec = CF._augmented(parts)
+    rank = parts["als"].rank
+    U = (users.join(uvec, "user_id", "left")
+         .withColumn("vec", F.coalesce("vec", F.concat(F.array(F.lit(parts["global"]), F.lit(1.0)),
+                                                      F.array_repeat(F.lit(0.0), rank))))
+         .select("user_id", "vec", "limit", "n_seen", "has_filter", "categories", "max_budget",
+                 "province", "cb_items").checkpoint())
+    I = (cat.join(ivec, "item_id", "left")
+         .withColumn("vec", F.coalesce("vec", F.concat(F.array(F.lit(1.0), F.lit(0.0)),
+                                                      F.array_repeat(F.lit(0.0), rank))))
+         .select(F.col("item_id").alias("i_id"), F.col("vec").alias("i_vec"),
+                 F.col("category").alias("i_cat"), F.col("province").alias("i_prov"),
+                 F.col("price").alias("i_price")).checkpoint())
+    ub = max(1, math.ceil(U.count() / block_rows))
+    ib = max(1, math.ceil(I.count() / block_rows))
+    n = block_tasks(spark, ub * ib)
+    Ub = (U.withColumn("ub", F.pmod(F.xxhash64("user_id"), F.lit(ub)).cast("int"))
+          .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(ib - 1)))).repartition(n, "ub", "ib"))
+    Ib = (I.withColumn("i_ib", F.pmod(F.xxhash64("i_id"), F.lit(ib)).cast("int"))
+          .withColumn("i_ub", F.explode(F.sequence(F.lit(0), F.lit(ub - 1)))).repartition(n, "i_ub", "i_ib"))
+    uid_t = users.schema["user_id"].dataType.simpleString()
+    iid_t = cat.schema["item_id"].dataType.simpleString()
+    out = (Ub.groupBy("ub", "ib").cogroup(Ib.groupBy("i_ub", "i_ib"))
+           .applyInPandas(_factor_block, f"user_id {uid_t}, item_id {iid_t}, s double, kind int")
+           .checkpoint())
+
+    scored = out.filter(F.col("kind") < 4).join(seen_in_cat, ["user_id", "item_id"], "left_anti")
+    bounds = scored.filter(F.col("kind") != 3).groupBy("user_id").agg(
+        F.max("s").alias("hi"), F.min("s").alias("lo"))
+    n_pass = out.filter(F.col("kind") == 4).groupBy("user_id").agg(F.sum("s").cast("long").alias("n_pass"))
+
+    prefs = users.select("user_id", "categories", "max_budget", "province")
+    pj = (seen_in_cat.join(prefs, "user_id")
+          .join(cat.select("item_id", F.col("category").alias("_c"), F.col("province").alias("_p"),
+                           F.col("price").alias("_pr")), "item_id"))
+    seen_pass = (pj.filter(passes(F.col("_c"), F.col("_pr"), F.col("_p"), F.col("categories"),
+                                  F.col("max_budget"), F.col("province")))
+                 .groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen_pass")))
+    cbj = (cb.join(prefs, "user_id")
+           .join(cat.select("item_id", F.col("category").alias("_c"), F.col("province").alias("_p"),
+                            F.col("price").alias("_pr"), F.lit(True).alias("_known")), "item_id", "left"))
+    cb_flag = (cbj.withColumn("known", F.col("_known").isNotNull())
+               .withColumn("passes", ~F.col("known") | passes(F.col("_c"), F.col("_pr"), F.col("_p"),
+                                                              F.col("categories"), F.col("max_budget"),
+                                                              F.col("province")))
+               .join(seen_in_cat.withColumn("seen", F.lit(True)), ["user_id", "item_id"], "left")
+               .select("user_id", "item_id", "cb_norm", "passes",
+                       (F.col("known") & F.col("seen").isNull()).alias("cf_key")))
+    cb_extra = (cb_flag.filter(F.col("passes") & ~F.col("cf_key")).groupBy("user_id")
+                .agg(F.count(F.lit(1)).alias("n_cb_extra")))
+    flags = (users.join(n_pass, "user_id", "left").join(seen_pass, "user_id", "left")
+             .join(cb_extra, "user_id", "left").join(bounds, "user_id", "left")
+             .withColumn("use_filter", F.col("has_filter") & (
+                 F.when(F.col("cf_nonempty"), F.coalesce("n_pass", F.lit(0))
+                        - F.coalesce("n_seen_pass", F.lit(0))).otherwise(0)
+                 + F.coalesce("n_cb_extra", F.lit(0)) > 0))
+             .select("user_id", "top_n", "w_cf", "w_cb", "use_filter", "hi", "lo"))
+
+    excluded = seen_in_cat.unionByName(cb.select("user_id", "item_id"))
+    fill = (scored.filter(F.col("kind") <= 1).join(flags, "user_id")
+            .filter(F.when(F.col("use_filter"), F.col("kind") == 1).otherwise(F.col("kind") == 0))
+            .join(excluded, ["user_id", "item_id"], "left_anti")
+            .select("user_id", "item_id", "s", "top_n").distinct())
+    wf = Window.partitionBy("user_id").orderBy(F.col("s").desc(), F.col("item_id").asc())
+    fill = (fill.withColumn("_r", F.row_number().over(wf)).filter(F.col("_r") <= F.col("top_n"))
+            .select("user_id", "item_id", "s", F.lit(None).cast("double").alias("cb_norm")))
+    cb_s = scored.filter(F.col("kind") == 3).select("user_id", "item_id", "s").distinct()
+    cb_part = (cb_flag.join(flags.select("user_id", "use_filter"), "user_id")
+               .filter(~F.col("use_filter") | F.col("passes"))
+               .join(cb_s, ["user_id", "item_id"], "left")
+               .select("user_id", "item_id", F.when(F.col("cf_key"), F.col("s")).alias("s"), "cb_norm"))
+    cands = (fill.unionByName(cb_part).join(flags, "user_id")
+             .withColumn("cf_norm", F.when(F.col("s").isNull(), F.lit(0.0))
+                         .when(F.col("hi") == F.col("lo"), F.lit(0.5))
+                         .otherwise((F.col("s") - F.col("lo")) / (F.col("hi") - F.col("lo"))))
+             .withColumn("cb_norm", F.coalesce("cb_norm", F.lit(0.0)))
+             .withColumn("score", F.col("w_cf") * F.col("cf_norm") + F.col("w_cb") * F.col("cb_norm")))
+    w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
+    top = cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.col("top_n"))
+    return join_enrich(top, cat)

@@ -517,3 +517,16 @@ def q_distinct_items(spark, sf_dir):
 
 
 QUERIES.update({"dedup_by_key": q_dedup_by_key, "distinct_items": q_distinct_items})
+
+
+def q_recommend_factorized(spark, sf_dir):
+    """Hybrid recommendations with the factor model as CF (rows-only: ALS)."""
+    c = cleaned(spark, sf_dir, reuse=True)
+    parts, _ = _factor_model(c)
+    req = favourite_requests(c).checkpoint()
+    nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS,
+                         queries=req.select(F.explode("favorites").alias("item_id")))
+    return R.recommend_batch_factorized(req, c.interactions, c.items, parts, nb)
+
+
+QUERIES["recommend_factorized"] = q_recommend_factorized
