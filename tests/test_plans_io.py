@@ -99,3 +99,11 @@ def test_partitioning_is_reused_without_broadcast(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_register_and_scan_catalog(spark):
+    tables = {t: f"{SF}/{t}.parquet" for t in ("customer", "part")}
+    IO.register_catalog(spark, "wr_raw_db", tables)
+    got = IO.scan_catalog(spark, "wr_raw_db", list(tables))
+    assert {k: v.count() for k, v in got.items()} == {
+        k: spark.read.parquet(p).count() for k, p in tables.items()}
