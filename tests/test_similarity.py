@@ -100,3 +100,21 @@ def test_catalogue_goldens(spark):
                               ("DST0015", .8243), ("DST0014", .7798)]
     assert top("DST0012") == [("DST0029", .9743), ("DST0011", .9617), ("DST0028", .9484),
                               ("DST0014", .9434), ("DST0018", .9315)]
+
+
+def test_approx_neighbours_finds_close_pairs(spark):
+    rows = [(i, [1.0, 0.01 * i, 0.0]) for i in range(10)] + [(100 + i, [0.0, 0.0, 1.0 + 0.01 * i]) for i in range(5)]
+    df = spark.createDataFrame(rows, "item_id long, features array<double>")
+    pairs = SIM.approx_neighbours(df, threshold=0.3).collect()
+    assert pairs and all(r.src != r.dst for r in pairs)
+    assert all(r.score > 0.9 for r in pairs)
+    assert not any((r.src < 100) != (r.dst < 100) for r in pairs)   # the two groups never meet
+
+
+def test_window_and_group_minmax_agree(spark):
+    from wanderrank.operators import features as FE
+    df = spark.createDataFrame([(i, "ab"[i % 2], float(i * 7 % 13)) for i in range(20)],
+                               "item_id long, category string, price double")
+    a = {r.item_id: r.n for r in FE.group_minmax(df, "category", "price", "n").collect()}
+    b = {r.item_id: r.n for r in FE.window_minmax(df, "category", "price", "n").collect()}
+    assert a == b
