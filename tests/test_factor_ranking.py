@@ -74,3 +74,29 @@ def test_factorized_recommend_matches_bruteforce(spark):
         want = [k for k, _ in sorted(final.items(), key=lambda kv: (-kv[1], kv[0]))[:top_n]]
         have = [r.item_id for r in sorted((r for r in got if r.user_id == u), key=lambda r: r["rank"])]
         assert have == want, (u, have, want)
+
+
+def test_factorized_cf_topn_matches_pairwise(spark):
+    rnd = random.Random(4)
+    train = [(u, rnd.randint(1, 40), round(rnd.random() * 5, 2)) for u in range(1, 12) for _ in range(8)]
+    tr = spark.createDataFrame(train, "user_id long, item_id long, score double")
+    items = spark.createDataFrame([(i,) for i in range(1, 41)], "item_id long")
+    parts, rmse = CFM.cf_factorization(tr, rank=3, max_iter=4, min_rows=5)
+    assert rmse is not None and rmse >= 0
+    uvec, ivec = CFM._augmented(parts)
+    U = {r.user_id: np.array(r.vec) for r in uvec.collect() if r.vec is not None}
+    V = {r.item_id: np.array(r.vec) for r in ivec.collect() if r.vec is not None}
+    gval = spark.range(1).select(parts["global"]).first()[0]
+    req = spark.createDataFrame([(u, 5) for u in range(1, 14)], "user_id long, top_n int")
+    got = CFM.cf_recommend_factorized(parts, req, items, tr, block_rows=4).collect()
+    seen = defaultdict(set)
+    for u, i, _ in train:
+        seen[u].add(i)
+    rank = parts["als"].rank
+    for u in range(1, 14):
+        uv = U.get(u, np.concatenate([[gval, 1.0], np.zeros(rank)]))
+        pred = {i: float(np.clip(uv @ V.get(i, np.concatenate([[1.0, 0.0], np.zeros(rank)])), 0, 5))
+                for i in range(1, 41) if i not in seen[u]}
+        want = sorted(pred, key=lambda i: (-pred[i], i))[:5]
+        have = [r.item_id for r in sorted((r for r in got if r.user_id == u), key=lambda r: r["rank"])]
+        assert have == want, (u, have, want)
