@@ -443,7 +443,6 @@ QUERIES.update({
 # ---------------------------------------------------------------- sources and summary
 
 from wanderrank.plans import etl as ETL  # noqa: E402
-from wanderrank.sources import files as IO  # noqa: E402
 
 RAW_TABLES = ["customer", "part", "events", "orders", "lineitem"]
 
