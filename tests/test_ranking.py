@@ -70,7 +70,7 @@ def brute(requests, train, catalog, neighbours):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
 def test_recommend_batch_matches_bruteforce(spark, seed):
     rnd = random.Random(seed)
     cats, provs = ["A", "B", "C"], ["P", "Q", "R"]
