@@ -212,9 +212,15 @@ def recommend_batch(requests: DataFrame, train: DataFrame, items: DataFrame,
     n_cat = cat.select(F.count(F.lit(1))).scalar()
 
     w_cf, w_cb = adaptive_weights(F.col("n_rows"))
+    # a budget-only filter at or above the highest price passes every item:
+    # it changes nothing, so such a request takes the unfiltered path
+    max_price = cat.select(F.max("price")).scalar()
+    passes_all = ((F.coalesce(F.size("categories"), F.lit(0)) == 0) & F.col("province").isNull()
+                  & (F.col("max_budget").isNull() | (F.col("max_budget") >= max_price)))
     users = (req.join(n_u, "user_id", "left")
              .join(seen_in_cat.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen")),
                    "user_id", "left")
+             .withColumn("has_filter", F.col("has_filter") & ~F.coalesce(passes_all, F.lit(False)))
              .withColumn("w_cf", w_cf).withColumn("w_cb", w_cb)
              .withColumn("cf_nonempty", n_cat - F.coalesce(F.col("n_seen"), F.lit(0)) > 0))
 
