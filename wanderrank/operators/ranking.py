@@ -22,7 +22,8 @@ are found without pairing users with the whole catalogue:
   with ``e`` excluded items (seen + cb) takes positions ``1 .. top_n + e``
   (``explode(sequence)`` + equi-join), drops the excluded, keeps ``top_n``:
   ``sum(top_n) + |seen| + |cb|`` rows in total;
-* filter: a per-class (category x province) minimum-price table says whether
+* filter (a budget-only filter at or above the top price passes everything
+  and takes the unfiltered path): a per-class (category x province) minimum-price table says whether
   anything can pass at all; users for whom something can are scanned over the
   same id positions in widening windows until ``top_n`` passing, non-excluded
   items are found (``_scan_filtered``): work proportional to the depth of the
