@@ -181,6 +181,8 @@ def cf_recommend_factorized(parts: dict, requests: DataFrame, items: DataFrame,
     from wanderrank.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(requests.sparkSession)
+    from wanderrank.session import ship_package
+    ship_package(requests.sparkSession)
     seen = train.select("user_id", "item_id").distinct()
     n_seen = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("_s"))
     uvec, ivec = _augmented(parts)

@@ -386,6 +386,8 @@ def recommend_batch_factorized(requests: DataFrame, train: DataFrame, items: Dat
 
     spark = requests.sparkSession
     ensure_checkpoint_dir(spark)
+    from wanderrank.session import ship_package
+    ship_package(spark)
     req = normalize_requests(requests, mode).checkpoint()
     cat = items.select("item_id", *[c for c in ("name", "category", "province", "rating", "price")
                                     if c in items.columns])

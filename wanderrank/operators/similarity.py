@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from wanderrank.operators.features import label_encode
 from wanderrank.operators.topk import block_tasks, topk_rows
-from wanderrank.session import ensure_checkpoint_dir
+from wanderrank.session import ensure_checkpoint_dir, ship_package
 
 NUMERIC_FEATURES = ["rating", "price", "visit_hours", "annual_visitors"]
 RANK_DIGITS = 12
@@ -107,6 +107,7 @@ def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
     table, so the result for those sources is the same.
     """
     ensure_checkpoint_dir(vectors.sparkSession)
+    ship_package(vectors.sparkSession)
     # Written once to the shared checkpoint folder: both sides of the cogroup
     # and the count read it instead of recomputing the feature lineage.
     v = vectors.select(F.col(id_col).alias("item_id"), _unit(features).alias("u")).checkpoint()

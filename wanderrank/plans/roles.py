@@ -138,6 +138,8 @@ def driver_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def driver_roles(spark: SparkSession, sf_dir: str) -> Roles:
     # the driver tables hold wall-clock (timestamp_ntz) values: read in UTC
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    from wanderrank.session import ship_package
+    ship_package(spark)  # block tasks run this package's code in Python workers
     return Roles(
         users=driver_users(spark, sf_dir),
         items=driver_items(spark, sf_dir),
