@@ -7,7 +7,7 @@ per character. Counting, scoring and span arithmetic are SQL functions.
 
 ``fit`` takes any DataFrame (value, random). The query labels its own samples:
 values of pattern matches are random, letter-only tokens of at least
-``MIN_LENGTH`` characters are ordinary. It fits on at most ``SAMPLES`` values
+``MIN_SAMPLE`` characters are ordinary. It fits on at most ``SAMPLES`` values
 per label, chosen by hash (documented bound); every text is scanned.
 
 Spans are code-point offsets, end exclusive, over the whole match (for
@@ -45,7 +45,8 @@ MIN_RATIO_PER_CHAR = 0.6
 TOKEN = "[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH
 # A token run that can be a secret holds a digit and a letter.
 MIXED = "(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])" + TOKEN
-ORDINARY = "[A-Za-z]{%d,}" % MIN_LENGTH
+MIN_SAMPLE = 8            # shortest value that a fit uses
+ORDINARY = "[A-Za-z]{%d,}" % MIN_SAMPLE
 
 _SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
 
@@ -88,14 +89,16 @@ def labelled_samples(documents: DataFrame, text: str = "text", limit: int = SAMP
     t = F.coalesce(F.col(text), F.lit(""))
 
     def some(df: DataFrame, label: int) -> DataFrame:
-        return (df.where(F.char_length("value") >= MIN_LENGTH).select(F.left("value", F.lit(256)).alias("value"))
-                .withColumn("_o", F.xxhash64("value")).orderBy("_o", "value").limit(limit)
+        return (df.where(F.char_length("value") >= MIN_SAMPLE)
+                .select(F.left("value", F.lit(256)).alias("value"), F.xxhash64("value", "_row").alias("_o"))
+                .orderBy("_o", "value").limit(limit)
                 .select("value", F.lit(label).alias("random")))
 
     either = f"(?:{ASSIGN})|(?:{ACCESS})|(?:{HEX})"
-    found = pattern_spans(documents.select(text).where(F.regexp_like(t, F.lit(either))), text)
-    random = found.select(F.explode(F.concat("_assign", "_access", "_hex")).alias("s")).select("s.value")
-    plain = documents.select(F.explode(F.regexp_extract_all(t, F.lit(ORDINARY), F.lit(0))).alias("value"))
+    rows = documents.select(text, F.xxhash64(text).alias("_row"))
+    found = pattern_spans(rows.where(F.regexp_like(t, F.lit(either))), text)
+    random = found.select(F.explode(F.concat("_assign", "_access", "_hex")).alias("s"), "_row").select("s.value", "_row")
+    plain = rows.select(F.explode(F.regexp_extract_all(t, F.lit(ORDINARY), F.lit(0))).alias("value"), "_row")
     return some(random, 1).unionAll(some(plain, 0))
 
 
@@ -147,10 +150,11 @@ def scan(df: DataFrame, model: list[float], text: str = "text") -> DataFrame:
     df = df.withColumn("_markov", F.when(F.size("_tokens") > 0, F.transform(markov, lambda c: F.struct(
         c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value")))
     ).otherwise(F.array().cast(_SPANS)))
-    named = [F.transform(f"_{k}", lambda s, i=i, k=k: F.struct(
-        s["start"].alias("start"), F.lit(i).alias("k"), s["end"].alias("end"), F.lit(k).alias("kind")))
-        for i, k in enumerate(KINDS)]
-    return df.withColumn("secret_spans", F.array_sort(F.concat(*named)))
+    def named(i: int, kind: str) -> Column:
+        return F.transform(f"_{kind}", lambda s: F.struct(
+            s["start"].alias("start"), F.lit(i).alias("k"), s["end"].alias("end"), F.lit(kind).alias("kind")))
+
+    return df.withColumn("secret_spans", F.array_sort(F.concat(*[named(i, k) for i, k in enumerate(KINDS)])))
 
 
 def scan_documents(documents: DataFrame) -> DataFrame:
