@@ -6,9 +6,10 @@ its log-likelihood ratio (random over ordinary) is high enough, in total and
 per character. Counting, scoring and span arithmetic are SQL functions.
 
 ``fit`` takes any DataFrame (value, random). The query labels its own samples:
-values of pattern matches are random, letter-only tokens of at least
-``MIN_SAMPLE`` characters are ordinary. It fits on at most ``SAMPLES`` values
-per label, chosen by hash (documented bound); every text is scanned.
+values of pattern matches and base64 digests are random; letter-only tokens of
+at least ``MIN_SAMPLE`` characters, pairs of them and numbered ones are
+ordinary. At most ``SAMPLES`` matched values and tokens, chosen by hash, go in
+(documented bound); every text is scanned.
 
 Spans are code-point offsets, end exclusive, over the whole match (for
 ``assign`` the keyword is part of the match, its value is group 2). Pattern
@@ -27,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wanderrank.llm.common import span_text
+from wanderrank.llm.common import materialise, span_text
 
 # Fixed patterns (ASCII letters of the keyword in either case).
 ASSIGN = (r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]"
@@ -99,7 +100,15 @@ def labelled_samples(documents: DataFrame, text: str = "text", limit: int = SAMP
     found = pattern_spans(rows.where(F.regexp_like(t, F.lit(either))), text)
     random = found.select(F.explode(F.concat("_assign", "_access", "_hex")).alias("s"), "_row").select("s.value", "_row")
     plain = rows.select(F.explode(F.regexp_extract_all(t, F.lit(ORDINARY), F.lit(0))).alias("value"), "_row")
-    return some(random, 1).unionAll(some(plain, 0))
+    ordinary = materialise(some(plain, 0), "ordinary-samples")
+    made = F.left(F.base64(F.unhex(F.sha2("value", 256))), F.lit(40))
+    joined = F.concat_ws("_", F.lower(F.left("value", F.lit(6))), F.lower("value"))
+    numbered = F.concat("value", F.pmod(F.xxhash64("value"), F.lit(100)).cast("string"))
+    return some(random, 1).unionAll(ordinary.select(F.explode(F.array(
+        F.struct("value", "random"),
+        F.struct(joined.alias("value"), "random"),
+        F.struct(numbered.alias("value"), "random"),
+        F.struct(made.alias("value"), F.lit(1).alias("random")))).alias("s")).select("s.*"))
 
 
 def fit(samples: DataFrame) -> list[float]:
