@@ -104,11 +104,15 @@ def chat_context(sessions: DataFrame, recs: DataFrame, history: DataFrame,
 def chat_append(store: DataFrame, new_turns: DataFrame, as_of: str,
                 ttl_days: int = TTL_TURNS_DAYS, chars: int = TURN_CHARS) -> DataFrame:
     """Append turns (content cut to ``chars``, ttl = as_of + ttl_days) and
-    drop expired rows. Both frames: (session_id, turn, role, content[, ttl])."""
+    drop expired rows. Both frames: (session_id, turn, role, content[, ttl, ts]).
+    A stored row without a ttl gets one counted from its own ``ts``, so it
+    expires in its turn; without either it is kept as fresh."""
     epoch = F.unix_timestamp(F.to_timestamp(F.lit(as_of)))
     new = new_turns.select("session_id", "turn", "role", truncate(F.col("content"), chars).alias("content"),
                            (epoch + F.lit(ttl_days * 86400)).alias("ttl"))
+    own = F.unix_timestamp(F.col("ts").cast("timestamp")) + F.lit(ttl_days * 86400) \
+        if "ts" in store.columns else F.lit(None)
+    ttl = F.col("ttl") if "ttl" in store.columns else F.lit(None)
     old = store.select("session_id", "turn", "role", "content",
-                       (F.col("ttl") if "ttl" in store.columns else epoch + F.lit(ttl_days * 86400))
-                       .cast("long").alias("ttl"))
+                       F.coalesce(ttl.cast("long"), own.cast("long"), epoch + F.lit(ttl_days * 86400)).alias("ttl"))
     return expire_ttl(old.unionByName(new), as_of, ttl_col="ttl")

@@ -18,13 +18,15 @@ from wanderrank.operators.indexing import index_by
 SCORE_CANDIDATES = ["final_score", "score", "total_score"]
 
 
-def ratings(train: DataFrame) -> DataFrame:
-    """``(user_id, item_id, rating)`` with the clipped rating."""
+def ratings(train: DataFrame, keep: dict | None = None) -> DataFrame:
+    """``(user_id, item_id, rating)`` with the clipped rating (plus the columns
+    of ``keep``)."""
     col = first_present(train, SCORE_CANDIDATES)
     raw = F.col(col) if col else F.lit(1.0)
     t = train.schema[col].dataType if col else None
     dtype = t.simpleString() if isinstance(t, T.DecimalType) else None
-    return train.select("user_id", "item_id", clip_rating(raw, dtype=dtype).alias("rating"))
+    return train.select("user_id", "item_id", clip_rating(raw, dtype=dtype).alias("rating"),
+                        *[c.alias(n) for n, c in (keep or {}).items()])
 
 
 def agg_user_mean(rated: DataFrame) -> DataFrame:
@@ -71,50 +73,115 @@ def cf_user_mean(users: DataFrame, train: DataFrame, places: int = 4) -> DataFra
 
 # ---------------------------------------------------------------- factorization
 
-def cf_factorization(train: DataFrame, rank: int = 50, max_iter: int = 20, reg: float = 0.02,
-                     test_fraction: float = 0.2, seed: int = 42, min_rows: int = 50):
-    """Matrix factorization on (global + user + item bias) residuals.
+BIAS_SHRINK = 10.0
+
+
+def in_test(df: DataFrame, fraction: float = 0.2, id_col: str | None = None, salt: str = "split"):
+    """Held-out flag from a hash of the row's keys: the same rows whatever the
+    partitioning, in every branch of a plan. The fraction is met in steps of
+    1/256."""
+    keys = [F.col(c).cast("string") for c in ("user_id", "item_id", *( [id_col] if id_col else []))]
+    digest = F.md5(F.concat_ws(":", *[F.coalesce(k, F.lit("")) for k in keys], F.lit(salt)))
+    return F.left(digest, F.lit(2)) < F.lit(f"{int(fraction * 256):02x}")
+
+
+def bias_model(tr: DataFrame, shrink: float = BIAS_SHRINK) -> dict:
+    """Global mean and shrunk biases: sum(residual) / (n + shrink), users first."""
+    g = tr.select(exact_avg(F.col("rating"))).first()[0]
+    g = 0.0 if g is None else g
+    r = F.col("rating").cast("double")
+    bu = tr.groupBy("user_id").agg((F.sum(r - g) / (F.count(F.lit(1)) + F.lit(shrink))).alias("b_u"))
+    bi = (tr.join(bu, "user_id").groupBy("item_id")
+          .agg((F.sum(r - g - F.col("b_u")) / (F.count(F.lit(1)) + F.lit(shrink))).alias("b_i")))
+    return {"global": g, "b_u": bu, "b_i": bi}
+
+
+def predict_bias(parts: dict, pairs: DataFrame) -> DataFrame:
+    """``pairs`` plus ``prediction``: global + b_u + b_i, clipped to 0..5."""
+    p = pairs.join(parts["b_u"], "user_id", "left").join(parts["b_i"], "item_id", "left")
+    raw = F.lit(parts["global"]) + F.coalesce("b_u", F.lit(0.0)) + F.coalesce("b_i", F.lit(0.0))
+    return p.withColumn("prediction", F.least(F.greatest(raw, F.lit(0.0)), F.lit(5.0))).drop("b_u", "b_i")
+
+
+def split_ratings(train: DataFrame, test_fraction: float = 0.2, id_col: str | None = None):
+    """(training part, held-out part) of the rated rows."""
+    if id_col is None and "interaction_id" in train.columns:
+        id_col = "interaction_id"
+    flagged = ratings(train.filter(F.col("item_id").isNotNull()),
+                      keep={"_test": in_test(train, test_fraction, id_col)})
+    return flagged.filter(~F.col("_test")).drop("_test"), flagged.filter("_test").drop("_test")
+
+
+def cf_factorization(train: DataFrame, rank: int = 50, max_iter: int = 20, reg: float = 0.3,
+                     test_fraction: float = 0.2, seed: int = 42, blocks: int | None = None,
+                     shrink: float = BIAS_SHRINK):
+    """Matrix factorization on (global + shrunk user + item bias) residuals.
 
     Biases are plain aggregates; the residual is fit by MLlib ALS (explicit
     feedback). Prediction = global + b_user + b_item + u.v, clipped to [0, 5].
-    Returns ``(model_dict, rmse)``; with ``min_rows`` or fewer rows no model is
-    fit (the user mean is used) and rmse is None. ``test_fraction`` of rows
-    (seeded split) is held out for the RMSE.
+    Returns ``(model_dict, rmse)``. Held-out rows (``split_ratings``) give the
+    RMSE; None when there are none. ``blocks``: ALS user and item blocks
+    (default: the cluster's parallelism, 10 at least). A training part without
+    rows gives the bias model of that part, all zeros: every score is equal.
     """
     from pyspark.ml.recommendation import ALS
 
-    rated = ratings(train).filter(F.col("item_id").isNotNull())
-    if rated.limit(min_rows + 1).count() <= min_rows:
-        return None, None
-    rated = rated.withColumn("rating", F.col("rating").cast("double"))
-    tr, te = rated.randomSplit([1 - test_fraction, test_fraction], seed=seed)
-    g = tr.select(F.avg("rating")).scalar()
-    bu = tr.groupBy("user_id").agg(F.avg(F.col("rating") - g).alias("b_u"))
-    bi = (tr.join(bu, "user_id").groupBy("item_id")
-          .agg(F.avg(F.col("rating") - g - F.col("b_u")).alias("b_i")))
+    tr, te = split_ratings(train, test_fraction)
+    tr, te = (x.withColumn("rating", F.col("rating").cast("double")) for x in (tr, te))
+    parts = bias_model(tr, shrink)
+    g, bu, bi = parts["global"], parts["b_u"], parts["b_i"]
     # ALS needs int ids: consecutive positions of the distinct ids (no hashing,
     # so no collisions).
     uid = index_by(tr.select("user_id").distinct(), "user_id", out="u_ix").withColumn(
         "u_ix", F.col("u_ix").cast("int"))
     iid = index_by(tr.select("item_id").distinct(), "item_id", out="i_ix").withColumn(
         "i_ix", F.col("i_ix").cast("int"))
+    parts |= {"users": uid, "items": iid, "rank": rank, "als": None}
     resid = (tr.join(bu, "user_id").join(bi, "item_id").join(uid, "user_id").join(iid, "item_id")
              .select("u_ix", "i_ix", (F.col("rating") - g - F.col("b_u") - F.col("b_i")).alias("r")))
-    als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="u_ix", itemCol="i_ix",
-              ratingCol="r", coldStartStrategy="nan", seed=seed, checkpointInterval=5,
-              numUserBlocks=4, numItemBlocks=4)
-    model = als.fit(resid)
-    parts = {"global": g, "b_u": bu, "b_i": bi, "users": uid, "items": iid, "als": model}
-    rmse = eval_rmse(predict_factorized(parts, te), "rating", "prediction")
-    return parts, rmse
+    if not tr.isEmpty():
+        n = blocks or max(10, train.sparkSession.sparkContext.defaultParallelism)
+        als = ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="u_ix", itemCol="i_ix",
+                  ratingCol="r", coldStartStrategy="nan", seed=seed, checkpointInterval=5,
+                  numUserBlocks=n, numItemBlocks=n)
+        parts["als"] = als.fit(resid)
+    return parts, eval_rmse(predict_factorized(parts, te), "rating", "prediction")
+
+
+def _factors(parts: dict, side: str, ix: str, out: str) -> DataFrame:
+    """(ix, out): the factors of one side; none without a fitted model."""
+    model = parts["als"]
+    if model is None:
+        spark = parts["users"].sparkSession
+        return spark.createDataFrame([], f"{ix} int, {out} array<float>")
+    table = model.userFactors if side == "user" else model.itemFactors
+    return table.select(F.col("id").alias(ix), F.col("features").alias(out))
+
+
+def save_model(parts: dict, path: str) -> None:
+    """Write the model as tables: vectors of users and items, and the scalars."""
+    import os
+    users, items = _augmented(parts)
+    users.write.mode("overwrite").parquet(os.path.join(path, "users"))
+    items.write.mode("overwrite").parquet(os.path.join(path, "items"))
+    spark = users.sparkSession
+    spark.createDataFrame([(float(parts["global"]), int(parts["rank"]))], "global double, rank int") \
+        .coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "scalars"))
+
+
+def load_model(spark, path: str) -> dict:
+    """The tables of ``save_model``, as recommend_* take them."""
+    import os
+    s = spark.read.parquet(os.path.join(path, "scalars")).first()
+    return {"global": s["global"], "rank": s["rank"],
+            "vectors": (spark.read.parquet(os.path.join(path, "users")),
+                        spark.read.parquet(os.path.join(path, "items")))}
 
 
 def predict_factorized(parts: dict, pairs: DataFrame) -> DataFrame:
     """Prediction for ``(user_id, item_id)`` pairs; unknown ids fall back to
     the biases that exist (global at least)."""
-    model = parts["als"]
-    uf = model.userFactors.select(F.col("id").alias("u_ix"), F.col("features").alias("uf"))
-    itf = model.itemFactors.select(F.col("id").alias("i_ix"), F.col("features").alias("if"))
+    uf, itf = _factors(parts, "user", "u_ix", "uf"), _factors(parts, "item", "i_ix", "if")
     dot = F.aggregate(F.zip_with("uf", "if", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
     p = (pairs.join(parts["b_u"], "user_id", "left").join(parts["b_i"], "item_id", "left")
          .join(parts["users"], "user_id", "left").join(parts["items"], "item_id", "left")
@@ -135,17 +202,16 @@ def eval_rmse(pred: DataFrame, label: str = "rating", prediction: str = "predict
 def _augmented(parts: dict):
     """User vector [g + b_u, 1, u...] and item vector [1, b_i, v...]: their
     dot product is the full prediction g + b_u + b_i + u.v."""
-    import pyspark.sql.functions as Fn
-    model = parts["als"]
-    g = parts["global"]
-    uf = model.userFactors.select(Fn.col("id").alias("u_ix"), Fn.col("features").alias("f"))
-    itf = model.itemFactors.select(Fn.col("id").alias("i_ix"), Fn.col("features").alias("f"))
+    if "vectors" in parts:
+        return parts["vectors"]
+    g, zeros = parts["global"], F.array_repeat(F.lit(0.0), parts["rank"])
+    uf, itf = _factors(parts, "user", "u_ix", "f"), _factors(parts, "item", "i_ix", "f")
     users = (parts["users"].join(parts["b_u"], "user_id", "left").join(uf, "u_ix", "left")
-             .select("user_id", Fn.concat(Fn.array(Fn.lit(g) + Fn.coalesce("b_u", Fn.lit(0.0)), Fn.lit(1.0)),
-                                          Fn.col("f").cast("array<double>")).alias("vec")))
+             .select("user_id", F.concat(F.array(F.lit(g) + F.coalesce("b_u", F.lit(0.0)), F.lit(1.0)),
+                                         F.coalesce(F.col("f").cast("array<double>"), zeros)).alias("vec")))
     items = (parts["items"].join(parts["b_i"], "item_id", "left").join(itf, "i_ix", "left")
-             .select("item_id", Fn.concat(Fn.array(Fn.lit(1.0), Fn.coalesce("b_i", Fn.lit(0.0))),
-                                          Fn.col("f").cast("array<double>")).alias("vec")))
+             .select("item_id", F.concat(F.array(F.lit(1.0), F.coalesce("b_i", F.lit(0.0))),
+                                         F.coalesce(F.col("f").cast("array<double>"), zeros)).alias("vec")))
     return users, items
 
 
@@ -190,11 +256,11 @@ def cf_recommend_factorized(parts: dict, requests: DataFrame, items: DataFrame,
            .withColumn("k", F.col("top_n") + F.coalesce("_s", F.lit(0)))
            .join(uvec, "user_id", "left")
            .withColumn("vec", F.coalesce("vec", F.concat(F.array(F.lit(parts["global"]), F.lit(1.0)),
-                                                        F.array_repeat(F.lit(0.0), parts["als"].rank))))
+                                                        F.array_repeat(F.lit(0.0), parts["rank"]))))
            .checkpoint())
     cat = (items.select("item_id").join(ivec, "item_id", "left")
            .withColumn("vec", F.coalesce("vec", F.concat(F.array(F.lit(1.0), F.lit(0.0)),
-                                                        F.array_repeat(F.lit(0.0), parts["als"].rank))))
+                                                        F.array_repeat(F.lit(0.0), parts["rank"]))))
            .checkpoint())
     ub = max(1, math.ceil(req.count() / block_rows))
     ib = max(1, math.ceil(cat.count() / block_rows))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from wanderrank.functions.scalar import first_present
 from wanderrank.operators import ranking as R
 from wanderrank.operators.collaborative import SCORE_CANDIDATES
+from wanderrank.session import ensure_checkpoint_dir
 
 
 def sample_users(train: DataFrame, n: int = 50, seed: int = 42) -> DataFrame:
@@ -44,20 +45,26 @@ def intersect_hits(recs: DataFrame, truth: DataFrame) -> DataFrame:
             .groupBy("user_id").agg(F.count(F.lit(1)).alias("hits")))
 
 
-def eval_precision_coverage(train: DataFrame, items: DataFrame, sample: int = 50, seed: int = 42,
+def eval_precision_coverage(train: DataFrame, items: DataFrame, sample: int | None = 50, seed: int = 42,
                             k: int = 5, holdout: str = "none") -> DataFrame:
     """One row: precision_at_5, coverage (distinct recommended / catalogue
-    rows), users_evaluated (rounded 4)."""
-    users = sample_users(train, sample, seed)
+    rows), users_evaluated (rounded 4). ``sample=None``: every user (the
+    source system takes 50)."""
+    ensure_checkpoint_dir(train.sparkSession)
+    users = (train.select("user_id").distinct() if sample is None
+             else sample_users(train, sample, seed)).checkpoint()
     if holdout == "last":
-        tw = Window.partitionBy("user_id").orderBy(F.col("ts").desc(), F.col("item_id").desc())
+        ids = [F.col("interaction_id").desc()] if "interaction_id" in train.columns else []
+        tw = Window.partitionBy("user_id").orderBy(F.col("ts").desc(), F.col("item_id").desc(), *ids)
         tagged = train.withColumn("_last", F.row_number().over(tw))
         held = tagged.join(users, "user_id", "left_semi").filter(F.col("_last") <= k)
         truth = held.select("user_id", "item_id").distinct()
         train = tagged.join(held.select("user_id", "_last"), ["user_id", "_last"], "left_anti").drop("_last")
     else:
         truth = nlargest_true(train, users, k)
-    recs = R.recommend_batch(users.withColumn("top_n", F.lit(k)), train, items)
+    # read twice below: written once
+    recs = R.recommend_batch(users.withColumn("top_n", F.lit(k)), train, items, max_top_n=None) \
+        .select("user_id", "item_id").checkpoint()
     hits = intersect_hits(recs, truth)
     n_cat = items.select(F.count(F.lit(1))).scalar()
     per_user = users.join(hits, "user_id", "left").select(

@@ -48,12 +48,14 @@ OUTPUT_COLUMNS = ["user_id", "rank", "item_id", "name", "category", "province",
                   "price", "hybrid_score", "cf_score", "cb_score", "w_cf", "w_cb"]
 
 
-def normalize_requests(requests: DataFrame, mode: str = "clamp") -> DataFrame:
+def normalize_requests(requests: DataFrame, mode: str = "clamp",
+                       max_top_n: int | None = TOP_N_MAX) -> DataFrame:
     """Request table -> (user_id, top_n, favorites, categories, max_budget,
-    province, has_filter).
+    province, clamped, has_filter).
 
-    ``mode="clamp"``: top_n defaults to 10 and is capped at 20 (values below 1
-    give no rows); ``mode="reject"``: requests outside 1..20 are dropped.
+    ``mode="clamp"``: top_n defaults to 10 and is capped at ``max_top_n`` (the
+    source system's 20; None: no cap), which ``clamped`` tells; values below 1
+    give no rows. ``mode="reject"``: requests outside 1..max_top_n are dropped.
     A null preference field means "not given"; an empty category list is no
     category filter.
     """
@@ -69,10 +71,14 @@ def normalize_requests(requests: DataFrame, mode: str = "clamp") -> DataFrame:
         opt("max_budget", F.lit(None)).cast("double").alias("max_budget"),
         opt("province", F.lit(None)).cast("string").alias("province"),
     )
+    above = F.lit(False) if max_top_n is None else F.col("top_n") > max_top_n
     if mode == "reject":
-        df = df.filter(F.col("top_n").between(1, TOP_N_MAX))
+        df = df.filter((F.col("top_n") >= 1) & ~above).withColumn("clamped", F.lit(False))
     else:
-        df = df.withColumn("top_n", F.greatest(F.least(F.col("top_n"), F.lit(TOP_N_MAX)), F.lit(0)))
+        df = df.withColumn("clamped", above)
+        if max_top_n is not None:
+            df = df.withColumn("top_n", F.least(F.col("top_n"), F.lit(max_top_n)))
+        df = df.withColumn("top_n", F.greatest(F.col("top_n"), F.lit(0)))
     has_filter = ((F.coalesce(F.size("categories"), F.lit(0)) > 0) | F.col("max_budget").isNotNull()
                   | F.col("province").isNotNull())
     return df.withColumn("has_filter", has_filter)
@@ -184,20 +190,49 @@ def _first_by_id(cands: DataFrame, limit_col: str) -> DataFrame:
             .filter(F.col("_r") <= F.col(limit_col)).drop("_r"))
 
 
+def _by_request(requests: DataFrame, train: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Give every request a key of its own, so several requests of one user do
+    not mix. Returns (requests keyed in ``user_id``, the training rows of each
+    request's user under the same key, owners: key -> user [and request_id])."""
+    ensure_checkpoint_dir(requests.sparkSession)
+    given = "request_id" in requests.columns
+    key = F.col("request_id") if given else F.monotonically_increasing_id()
+    keyed = requests.withColumn("_req", key).checkpoint()
+    owners = keyed.select("_req", F.col("user_id").alias("_owner"))
+    of = owners.select("_req", F.col("_owner").alias("user_id"))
+    rows = train.join(of, "user_id").drop("user_id").withColumnRenamed("_req", "user_id")
+    return (keyed.drop("user_id", "request_id").withColumnRenamed("_req", "user_id"), rows, owners)
+
+
+def _to_users(recs: DataFrame, owners: DataFrame, with_request: bool) -> DataFrame:
+    out = recs.withColumnRenamed("user_id", "_req").join(owners, "_req").withColumn("user_id", F.col("_owner"))
+    head = [F.col("_req").alias("request_id")] if with_request else []
+    return out.select(*head, *OUTPUT_COLUMNS)
+
+
 def recommend_batch(requests: DataFrame, train: DataFrame, items: DataFrame,
-                    neighbours: DataFrame | None = None, mode: str = "clamp") -> DataFrame:
+                    neighbours: DataFrame | None = None, mode: str = "clamp",
+                    k: int = CB_NEIGHBOURS, max_top_n: int | None = TOP_N_MAX) -> DataFrame:
     """Top-N hybrid recommendations for every request (user-mean CF).
 
-    ``requests`` holds one request per user (user_id, top_n[, favorites,
-    categories, max_budget, province]).
+    ``requests``: (user_id, top_n[, request_id, favorites, categories,
+    max_budget, province]); a user may send several. With a ``request_id``
+    (unique) the result carries it as its first column.
 
     ``train``: (user_id, item_id, score...) interactions the CF and weights use;
     ``items``: catalogue (item_id, name, category, province, price[, rating]);
-    ``neighbours``: cosine_topk output (src, dst, score, rank), may be None.
-    Output columns: ``OUTPUT_COLUMNS``.
+    ``neighbours``: cosine_topk output (src, dst, score, rank), may be None;
+    ``k``: neighbours used per favourite. Output columns: ``OUTPUT_COLUMNS``.
     """
-    ensure_checkpoint_dir(requests.sparkSession)
-    req = normalize_requests(requests, mode).checkpoint()
+    keyed, rows, owners = _by_request(requests, train)
+    recs = _recommend(keyed, rows, items, neighbours, mode, k, max_top_n)
+    return _to_users(recs, owners, "request_id" in requests.columns)
+
+
+def _recommend(requests: DataFrame, train: DataFrame, items: DataFrame, neighbours: DataFrame | None,
+               mode: str, k: int, max_top_n: int | None) -> DataFrame:
+    """recommend_batch with one row per ``user_id`` (a request key)."""
+    req = normalize_requests(requests, mode, max_top_n).checkpoint()
     cat = items.select("item_id", *[c for c in ("name", "category", "province", "rating", "price")
                                     if c in items.columns])
     for c, t in (("name", "string"), ("category", "string"), ("province", "string"),
@@ -226,7 +261,7 @@ def recommend_batch(requests: DataFrame, train: DataFrame, items: DataFrame,
              .withColumn("cf_nonempty", n_cat - F.coalesce(F.col("n_seen"), F.lit(0)) > 0))
 
     if neighbours is not None:
-        cb = cb_scores(req, neighbours).select("user_id", "item_id", "cb_norm").checkpoint()
+        cb = cb_scores(req, neighbours, k).select("user_id", "item_id", "cb_norm").checkpoint()
     else:
         cb = seen.select("user_id", "item_id", F.lit(None).cast("double").alias("cb_norm")).filter(
             F.lit(False))
@@ -328,19 +363,25 @@ def _factor_block(key, u, it):
     iid = it["i_id"].to_numpy()
     uid = u["user_id"].to_numpy()
     s = np.round(np.clip(np.stack(u["vec"].to_numpy()) @ np.stack(it["i_vec"].to_numpy()).T, 0.0, 5.0), 4)
-    # preference mask (same rules as ``passes``)
-    cat = it["i_cat"].to_numpy(dtype=object)
-    prov = it["i_prov"].to_numpy(dtype=object)
+    # preference mask (same rules as ``passes``): labels as integer codes, each
+    # distinct category list and province evaluated once per block
+    cat_names, cat = np.unique(it["i_cat"].fillna("\0").to_numpy(dtype=str), return_inverse=True)
+    prov_names, prov = np.unique(it["i_prov"].fillna("\0").to_numpy(dtype=str), return_inverse=True)
     price = it["i_price"].to_numpy(dtype="float64")
     ok = np.ones(s.shape, dtype=bool)
     bud = u["max_budget"].to_numpy(dtype="float64")
     hb = ~np.isnan(bud)
     ok[hb] &= ~(price[None, :] > bud[hb, None])
-    for r, (cats, p) in enumerate(zip(u["categories"], u["province"])):
-        if cats is not None and len(cats) > 0:
-            ok[r] &= np.isin(cat, np.asarray(list(cats), dtype=object))
-        if p is not None and not (isinstance(p, float) and np.isnan(p)):
-            ok[r] &= prov == p
+    lists = [() if c is None else tuple(sorted(x for x in c if x is not None)) if len(c) else ()
+             for c in u["categories"]]
+    some = np.array([c is not None and len(c) > 0 for c in u["categories"]], dtype=bool)
+    provs = u["province"].where(u["province"].notna(), None)
+    for wanted in {c for c, has in zip(lists, some) if has}:
+        rows = np.flatnonzero(some & np.array([c == wanted for c in lists], dtype=bool))
+        ok[rows] &= np.isin(cat, np.flatnonzero(np.isin(cat_names, np.array(wanted, dtype=str))))
+    for wanted in {p for p in provs if p is not None}:
+        rows = np.flatnonzero((provs == wanted).to_numpy(dtype=bool))
+        ok[rows] &= np.isin(prov, np.flatnonzero(prov_names == wanted))
     limit = u["limit"].to_numpy(dtype="int64")
     low = u["n_seen"].to_numpy(dtype="int64") + 1
 
@@ -354,13 +395,14 @@ def _factor_block(key, u, it):
     emit(*topk_rows(s, iid, np.where(u["has_filter"].to_numpy(dtype=bool), limit, 0),
                     np.where(ok, s, -np.inf)), 1)
     emit(*topk_rows(-s, iid, low), 2)
-    pos = {v: j for j, v in enumerate(iid)}
-    rr, cc = [], []
-    for r, items in enumerate(u["cb_items"]):
-        for x in (items if items is not None else []):
-            if x in pos:
-                rr.append(r)
-                cc.append(pos[x])
+    cb = u["cb_items"]
+    sizes = np.array([0 if x is None else len(x) for x in cb], dtype=np.int64)
+    rr = np.repeat(np.arange(len(u)), sizes)
+    flat = np.concatenate([np.asarray(x) for x in cb if x is not None and len(x)]) if len(rr) else iid[:0]
+    order = np.argsort(iid)
+    at = np.minimum(np.searchsorted(iid[order], flat), len(iid) - 1)
+    here = iid[order][at] == flat
+    rr, cc = rr[here], order[at][here]
     emit(np.asarray(rr, dtype=np.int64), np.asarray(cc, dtype=np.int64), 3)
     cols["user_id"].append(uid)
     cols["item_id"].append(np.full(len(uid), None, dtype=object))
@@ -371,7 +413,8 @@ def _factor_block(key, u, it):
 
 def recommend_batch_factorized(requests: DataFrame, train: DataFrame, items: DataFrame,
                                parts: dict, neighbours: DataFrame | None = None,
-                               mode: str = "clamp", block_rows: int = 2048) -> DataFrame:
+                               mode: str = "clamp", block_rows: int = 2048,
+                               k: int = CB_NEIGHBOURS, max_top_n: int | None = TOP_N_MAX) -> DataFrame:
     """recommend_batch with the factor model as CF (scores vary per item).
 
     CF scores are ``round(clip(prediction, 0, 5), 4)`` for unseen catalogue
@@ -388,7 +431,9 @@ def recommend_batch_factorized(requests: DataFrame, train: DataFrame, items: Dat
     ensure_checkpoint_dir(spark)
     from wanderrank.session import ship_package
     ship_package(spark)
-    req = normalize_requests(requests, mode).checkpoint()
+    with_request = "request_id" in requests.columns
+    requests, train, owners = _by_request(requests, train)
+    req = normalize_requests(requests, mode, max_top_n).checkpoint()
     cat = items.select("item_id", *[c for c in ("name", "category", "province", "rating", "price")
                                     if c in items.columns])
     for c, t in (("name", "string"), ("category", "string"), ("province", "string"),
@@ -401,7 +446,7 @@ def recommend_batch_factorized(requests: DataFrame, train: DataFrame, items: Dat
                    .join(cat.select("item_id"), "item_id", "left_semi").checkpoint())
     n_cat = cat.select(F.count(F.lit(1))).scalar()
     if neighbours is not None:
-        cb = cb_scores(req, neighbours).select("user_id", "item_id", "cb_norm").checkpoint()
+        cb = cb_scores(req, neighbours, k).select("user_id", "item_id", "cb_norm").checkpoint()
     else:
         cb = seen_in_cat.select("user_id", "item_id", F.lit(None).cast("double").alias("cb_norm")).filter(
             F.lit(False))
@@ -418,7 +463,8 @@ def recommend_batch_factorized(requests: DataFrame, train: DataFrame, items: Dat
              .checkpoint())
 
     uvec, ivec = CF._augmented(parts)
-    rank = parts["als"].rank
+    rank = parts["rank"]
+    uvec = owners.join(uvec, F.col("_owner") == F.col("user_id")).select(F.col("_req").alias("user_id"), "vec")
     U = (users.join(uvec, "user_id", "left")
          .withColumn("vec", F.coalesce("vec", F.concat(F.array(F.lit(parts["global"]), F.lit(1.0)),
                                                       F.array_repeat(F.lit(0.0), rank))))
@@ -496,4 +542,4 @@ def recommend_batch_factorized(requests: DataFrame, train: DataFrame, items: Dat
              .withColumn("score", F.col("w_cf") * F.col("cf_norm") + F.col("w_cb") * F.col("cb_norm")))
     w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("item_id").asc())
     top = cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.col("top_n"))
-    return join_enrich(top, cat)
+    return _to_users(join_enrich(top, cat), owners, with_request)

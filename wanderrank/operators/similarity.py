@@ -6,10 +6,11 @@ Exact all-pairs top-k is computed block by block:
    cosine with anything is 0);
 2. each item gets a block ``pmod(xxhash64(id), B)`` with ``B = ceil(n / block_rows)``
    (4096 rows: a block pair is a ~130 MB score matrix, ~0.4 GB peak per task);
-3. query rows are tagged ``(q_block, c_block)`` for every candidate block and
-   candidate rows ``(q_block, c_block)`` for every query block; a cogroup on
-   that pair hands one task exactly two blocks (each at most ~block_rows
-   rows, whatever the table size), scored as one numpy matrix product;
+3. query blocks are numbered apart from candidate blocks: a candidate row is
+   copied once per *query* block, ``ceil(n_queries / block_rows)`` times, and a
+   query row once per candidate block; a cogroup on the pair hands one task
+   exactly two blocks (each about ``block_rows`` rows, whatever the table
+   size), scored as one numpy matrix product;
 4. the task keeps the k best per query row, so only ``n * k * B`` rows leave
    it, never the ``n^2`` pairs;
 5. ``row_number() <= k`` per source merges the blocks (planned with a
@@ -96,6 +97,26 @@ def _topk_block(k: int):
     return score
 
 
+def _n_blocks(df: DataFrame, block_rows: int) -> int:
+    return max(1, math.ceil(df.count() / block_rows))
+
+
+def block_copies(src: DataFrame, v: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Query rows (item_id, u, qb, cb), one per candidate block, and candidate
+    rows (c_id, c_u, c_qb, c_cb), one per query block. Fresh names on the
+    candidate side: both derive from ``v``, and a cogroup over shared
+    attributes can lose the right side's columns."""
+    nq, nc = _n_blocks(src, block_rows), _n_blocks(v, block_rows)
+
+    def block(n: int):
+        return F.pmod(F.xxhash64("item_id"), F.lit(n)).cast("int")
+
+    q = src.select("item_id", "u", block(nq).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(nc - 1))).alias("cb"))
+    c = v.select(F.col("item_id").alias("c_id"), F.col("u").alias("c_u"),
+                 F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("c_qb"), block(nc).alias("c_cb"))
+    return q, c
+
+
 def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
                 id_col: str = "item_id", features: str = "features",
                 queries: DataFrame | None = None) -> DataFrame:
@@ -111,20 +132,13 @@ def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
     # Written once to the shared checkpoint folder: both sides of the cogroup
     # and the count read it instead of recomputing the feature lineage.
     v = vectors.select(F.col(id_col).alias("item_id"), _unit(features).alias("u")).checkpoint()
-    n = v.count()
-    blocks = max(1, math.ceil(n / block_rows))
-    v = v.withColumn("_b", F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int"))
-    all_blocks = F.sequence(F.lit(0), F.lit(blocks - 1))
     src = v
     if queries is not None:
-        src = v.join(queries.select(F.col(id_col).alias("item_id")).distinct(), "item_id", "left_semi")
-    q = src.select("item_id", "u", F.col("_b").alias("qb"), F.explode(all_blocks).alias("cb"))
-    # fresh names on the candidate side: both sides derive from ``v``, and a
-    # cogroup over shared attributes can lose the right side's columns
-    c = v.select(F.col("item_id").alias("c_id"), F.col("u").alias("c_u"),
-                 F.explode(all_blocks).alias("c_qb"), F.col("_b").alias("c_cb"))
+        src = v.join(queries.select(F.col(id_col).alias("item_id")).distinct(), "item_id",
+                     "left_semi").checkpoint()
+    q, c = block_copies(src, v, block_rows)
     id_type = v.schema["item_id"].dataType.simpleString()
-    n = block_tasks(vectors.sparkSession, blocks * blocks)
+    n = block_tasks(vectors.sparkSession, _n_blocks(src, block_rows) * _n_blocks(v, block_rows))
     q, c = q.repartition(n, "qb", "cb"), c.repartition(n, "c_qb", "c_cb")
     pairs = (q.groupBy("qb", "cb").cogroup(c.groupBy("c_qb", "c_cb"))
              .applyInPandas(_topk_block(k), f"src {id_type}, dst {id_type}, score double"))
@@ -134,10 +148,17 @@ def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
 
 
 def similar_items(neighbours: DataFrame, ids: DataFrame, k: int = 5,
-                  id_col: str = "item_id") -> DataFrame:
-    """Neighbours of the requested ids (unknown id -> no rows), first ``k``."""
+                  id_col: str = "item_id", catalogue: DataFrame | None = None) -> DataFrame:
+    """Neighbours of the requested ids (unknown id -> no rows), first ``k``;
+    with a ``catalogue`` also the neighbour's name, category and rating."""
     req = ids.select(F.col(id_col).alias("src")).distinct()
-    return neighbours.join(req, "src", "left_semi").filter(F.col("rank") <= k)
+    out = neighbours.join(req, "src", "left_semi").filter(F.col("rank") <= k)
+    if catalogue is None:
+        return out
+    attrs = [F.col(c) if c in catalogue.columns else F.lit(None).cast(t).alias(c)
+             for c, t in (("name", "string"), ("category", "string"), ("rating", "double"))]
+    return out.join(catalogue.select(F.col("item_id").alias("dst"), *attrs), "dst", "left").select(
+        *neighbours.columns, "name", "category", "rating")
 
 
 def approx_neighbours(vectors: DataFrame, threshold: float = 0.5, bucket_length: float = 0.5,

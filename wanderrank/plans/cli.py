@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from wanderrank import schemas
 from wanderrank.operators import clean as C
+from wanderrank.operators import collaborative as CF
 from wanderrank.operators import ranking as R
 from wanderrank.plans import etl as ETL
 from wanderrank.plans.roles import Roles, travel_roles
@@ -67,6 +68,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--model", required=True)
     r.add_argument("--requests", required=True)
     r.add_argument("--out", required=True)
+    r.add_argument("--factorized", action="store_true", help="use the factor model that train --factorize kept")
     args = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName(f"wanderrank-{args.cmd}")
@@ -88,8 +90,12 @@ def main(argv: list[str] | None = None) -> None:
     else:
         nb = spark.read.parquet(os.path.join(args.model, "neighbours"))
         items = C.clean_items(roles.items)
-        recs = R.recommend_batch(read_requests(spark, args.requests),
-                                 C.clean_interactions(roles.interactions), items, nb)
+        req, inter = read_requests(spark, args.requests), C.clean_interactions(roles.interactions)
+        if args.factorized:
+            parts = CF.load_model(spark, os.path.join(args.model, "factors"))
+            recs = R.recommend_batch_factorized(req, inter, items, parts, nb)
+        else:
+            recs = R.recommend_batch(req, inter, items, nb)
         OUT.sink_parquet(recs, args.out)
 
 

@@ -97,7 +97,8 @@ def run_training(spark: SparkSession, out_dir: str, items_features: DataFrame,
     OUT.sink_parquet(CF.agg_user_mean(rated), p("user_stats"))
     rmse = None
     if factorize:
-        _, rmse = CF.cf_factorization(interactions)
+        parts, rmse = CF.cf_factorization(interactions)
+        CF.save_model(parts, p("factors"))
     metrics_row = EV.eval_precision_coverage(interactions, items_features).first()
     meta = {
         "version": MODEL_VERSION,

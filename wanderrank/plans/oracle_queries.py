@@ -272,8 +272,9 @@ ORACLES["eval_precision_coverage"] = _eval_sql()
 ORACLES["nlargest_true"] = with_ctes(["c_inter"], """SELECT DISTINCT user_id, item_id FROM (
     SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, item_id ASC) AS r
     FROM c_inter) WHERE r <= 5""")
-ORACLES["similar_items"] = with_ctes(["nbr", "c_inter"], """SELECT src, dst, round(s, 4) AS score,
-    CAST(rk AS INTEGER) AS rank FROM nbr WHERE src IN (SELECT item_id FROM c_inter)""",
+ORACLES["similar_items"] = with_ctes(["nbr", "c_inter", "c_items"], """SELECT src, dst, round(s, 4) AS score,
+    CAST(rk AS INTEGER) AS rank, i.name, i.category, CAST(NULL AS DOUBLE) AS rating
+    FROM nbr LEFT JOIN c_items i ON i.item_id = dst WHERE src IN (SELECT item_id FROM c_inter)""",
     {**VEC, **_neighbour_ctes("vec", 5)})
 
 _CB = dict(CF_CTES)
@@ -330,8 +331,10 @@ ORACLES["catalogue_list"] = with_ctes(["c_items"], """SELECT item_id, coalesce(n
 ORACLES["prediction_log"] = with_recs(REQ_PLAIN, f"""SELECT
     CAST(user_id AS VARCHAR) || '-' || CAST(epoch({AS_OF}) AS BIGINT) AS prediction_id, user_id,
     to_json(list({{'rank': rank, 'item_id': item_id, 'name': name, 'category': category,
-                   'hybrid_score': hybrid_score}} ORDER BY rank)) AS recommendations,
-    '2024-02-01 00:00:00' AS timestamp, CAST(epoch({AS_OF}) AS BIGINT) + 86400 AS ttl
+                   'province': province, 'rating': rating, 'price': price, 'hybrid_score': hybrid_score,
+                   'cf_score': cf_score, 'cb_score': cb_score, 'weights': {{'cf': w_cf, 'cb': w_cb}}}}
+                  ORDER BY rank)) AS recommendations,
+    '2024-02-01 00:00:00' AS timestamp, CAST(NULL AS VARCHAR) AS latency_ms, CAST(epoch({AS_OF}) AS BIGINT) + 86400 AS ttl
     FROM recs WHERE rank <= 5 GROUP BY user_id""")
 ORACLES["chat_history"] = with_ctes(["r_turns"], _history_sql("r_turns"))
 
@@ -406,8 +409,9 @@ ORACLES["quota_usage"] = with_ctes(["r_inter"], """SELECT user_id, date_trunc('m
 # ---------------------------------------------------------------- sources and summary
 
 ORACLES["scan_catalog"] = "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
-    for t in ["customer", "part", "events", "orders", "lineitem"])
+    f"SELECT '{t}' AS table_name, count({k}) AS row_count, CAST(sum({k}) AS BIGINT) AS key_sum FROM {t}"
+    for t, k in [("customer", "c_custkey"), ("part", "p_partkey"), ("events", "event_id"),
+                 ("orders", "o_orderkey"), ("lineitem", "l_orderkey")])
 ORACLES["etl_summary"] = with_ctes(["c_users", "c_items", "matrix", "c_txn"], """
 SELECT 'total_users' AS metric, CAST(count(*) AS VARCHAR) AS value FROM c_users
 UNION ALL SELECT 'total_destinations', CAST(count(*) AS VARCHAR) FROM c_items
@@ -423,3 +427,127 @@ from wanderrank.plans.oracle import dedup_sql  # noqa: E402
 
 ORACLES["dedup_by_key"] = with_ctes(["r_txn"], dedup_sql("r_txn", ["order_key", "line_number"]))
 ORACLES["distinct_items"] = with_recs(REQ_PLAIN, "SELECT DISTINCT item_id FROM recs")
+
+
+# ---------------------------------------------------------------- rules that the plain queries do not reach
+
+# Requests keyed by request_id: the brute-force recommender runs with the
+# request as its "user"; counts and seen items come from the request's owner.
+REQ_MULTI = {k: v for k, v in REQ_FAV.items() if k != "req"}
+REQ_MULTI["base"] = (REQ_FAV["req"][0], REQ_FAV["req"][1])
+REQ_MULTI["owner"] = (["base"], """SELECT user_id * 2 + k AS request_id, user_id AS owner_id
+    FROM base, (VALUES (0), (1)) AS t(k)""")
+REQ_MULTI["req"] = (["base"], """SELECT user_id * 2 AS user_id, 3 AS top_n, favorites, categories,
+    CAST(NULL AS DOUBLE) AS max_budget,
+    CASE WHEN user_id % 3 = 0 THEN 'Brand#' || CAST(user_id % 25 + 1 AS VARCHAR) END AS province FROM base
+    UNION ALL SELECT user_id * 2 + 1, 5, CAST([] AS BIGINT[]), CAST([] AS VARCHAR[]),
+    CASE WHEN user_id % 2 = 0 THEN max_budget END, CAST(NULL AS VARCHAR) FROM base""")
+REQ_MULTI["nu"] = (["rated", "owner"], """SELECT request_id AS user_id, count(*) AS n_rows
+    FROM rated JOIN owner ON owner_id = user_id GROUP BY 1""")
+REQ_MULTI["seen"] = (["rated", "owner", "c_items"], """SELECT DISTINCT request_id AS user_id, item_id
+    FROM rated JOIN owner ON owner_id = rated.user_id WHERE item_id IN (SELECT item_id FROM c_items)""")
+
+
+def _multi_sql() -> str:
+    body = recommend_sql(REQ_MULTI, with_cb=True)[len("WITH "):]
+    ctes_part, final = body.rsplit("\nSELECT t.user_id", 1)
+    return f"""WITH {ctes_part},
+owners AS (SELECT user_id * 2 + k AS request_id, user_id AS owner_id FROM c_users, (VALUES (0), (1)) AS t(k)),
+recs AS (SELECT t.user_id{final})
+SELECT r.user_id AS request_id, o.owner_id AS user_id, r.* EXCLUDE (user_id)
+FROM recs r JOIN owners o ON o.request_id = r.user_id"""
+
+
+ORACLES["recommend_multi"] = _multi_sql()
+ORACLES["eval_all_users"] = _eval_sql().replace(
+    "ORDER BY md5(CAST(user_id AS VARCHAR) || ':42'), user_id LIMIT 50", "")
+ORACLES["adaptive_weights_recent"] = with_ctes(["c_users", "c_inter"], f"""SELECT u.user_id,
+    coalesce(n.k, 0) AS n_interactions, {WEIGHTS.format(n='coalesce(n.k, 0)')}
+    FROM c_users u LEFT JOIN (SELECT user_id, count(*) AS k FROM c_inter
+      WHERE ts > (SELECT max(ts) FROM c_inter) - INTERVAL 3 DAY GROUP BY 1) n USING (user_id)""")
+ORACLES["matrix_cap"] = with_ctes(["matrix"], """SELECT user_id, item_id, total_score, interaction_count,
+    least(total_score, 1.0) AS final_score FROM matrix""")
+ORACLES["quota_usage_low"] = ORACLES["quota_usage"].replace("10000", "60")
+ORACLES["alarm_eval_low"] = with_ctes(["mwin"], "\nUNION ALL\n".join([
+    _alarm_sql("errors", "SELECT name, window_start, errors AS value FROM mwin", 0, 2),
+    _alarm_sql("server_errors", "SELECT 'all' AS name, window_start, sum(errors) AS value FROM mwin GROUP BY 2", 1, 1),
+    _alarm_sql("latency_p99", "SELECT name, window_start, p99_duration_ms AS value FROM mwin", 60, 2),
+]), _LOG)
+ORACLES["dedup_events"] = with_ctes(["r_dup"], dedup_sql("r_inter", ["interaction_id"]).replace("FROM r_inter", "FROM r_dup"), {
+    "r_dup": (["r_inter"], """SELECT * FROM r_inter UNION ALL SELECT * REPLACE (CAST(round(CAST(score AS DECIMAL(16,5)) * 0.5, 4)
+        AS DECIMAL(12,4)) AS score) FROM r_inter WHERE interaction_id % 5 = 0""")})
+ORACLES["clean_dirty"] = with_ctes(["r_inter"], """SELECT interaction_id, user_id, item_id, kind, score, t AS ts, rating_given,
+    CAST(hour(t) AS INTEGER) AS hour, CAST(dayofweek(t) + 1 AS INTEGER) AS day_of_week, CAST(month(t) AS INTEGER) AS month
+    FROM (SELECT * EXCLUDE (user_id, score, ts), CASE WHEN interaction_id % 7 <> 0 THEN user_id END AS user_id,
+      CASE WHEN interaction_id % 11 = 0 THEN -score ELSE score END AS score,
+      CASE WHEN interaction_id % 13 <> 0 THEN date_trunc('second', ts) END AS t FROM r_inter)
+    WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND score BETWEEN 0.0 AND 1.0""")
+ORACLES["label_encode_nulls"] = with_ctes(["n_items", "f", "a"], """SELECT i.item_id, f._idx AS category_idx, a._idx AS category_code
+    FROM n_items i LEFT JOIN f ON i.category IS NOT DISTINCT FROM f._label
+    LEFT JOIN a ON coalesce(i.category, 'LARGE') = a._label""", {
+    "n_items": (["c_items"], "SELECT item_id, CASE WHEN item_id % 4 <> 0 THEN category END AS category FROM c_items"),
+    "f": _label_cte("n_items", "category", "freq"), "a": _label_cte("n_items", "category", "alpha", "LARGE")})
+ORACLES["track_ingest_dirty"] = with_ctes(["dirty"], """SELECT user_id, item_id, coalesce(kind, 'view') AS kind,
+    TRY_CAST(coalesce(score, '0.2') AS DOUBLE) AS score, ts, CAST(NULL AS VARCHAR) AS reason FROM dirty WHERE u AND i
+    UNION ALL SELECT user_id, item_id, kind, NULL, ts, CASE WHEN NOT u THEN 'missing user_id' ELSE 'missing item_id' END
+    FROM dirty WHERE NOT (u AND i)""", {"dirty": (["r_inter"], """SELECT *, user_id IS NOT NULL AND trim(user_id) <> '' AS u,
+        item_id IS NOT NULL AND trim(item_id) <> '' AS i FROM (SELECT
+        CASE interaction_id % 7 WHEN 0 THEN NULL WHEN 1 THEN ' ' ELSE CAST(user_id AS VARCHAR) END AS user_id,
+        CASE WHEN interaction_id % 11 = 0 THEN '' ELSE CAST(item_id AS VARCHAR) END AS item_id,
+        CASE WHEN interaction_id % 3 <> 0 THEN kind END AS kind,
+        CASE interaction_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'much' ELSE CAST(score AS VARCHAR) END AS score, ts FROM r_inter)""")})
+ORACLES["chat_append_ttl"] = with_ctes(["r_turns"], f"""SELECT session_id, turn, role,
+    CASE WHEN _r = 1 THEN substring(content, 1, 50) ELSE content END AS content, ttl
+    FROM (SELECT *, CAST(epoch({AS_OF}) AS BIGINT) + CASE WHEN _r = 1 THEN 7 * 86400 ELSE (turn - 2) * 3600 END AS ttl
+      FROM (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY turn DESC) AS _r FROM r_turns))
+    WHERE ttl >= epoch({AS_OF})""")
+ORACLES["chat_context_short"] = with_recs(_REQ_CHAT, f"""SELECT m.session_id,
+    CASE WHEN m.user_id % 5 <> 0 THEN m.user_id END AS user_id,
+    '{_INTRO.replace("'", "''")}' || coalesce(CASE WHEN m.user_id % 5 <> 0 THEN r.rec_text END, '') || chr(10) || chr(10)
+    || 'Pengguna: ' || m.message || chr(10) || 'Asisten:' AS prompt
+    FROM msg m LEFT JOIN rtext r USING (user_id)""", """msg AS (SELECT session_id, user_id, content AS message FROM r_turns
+    WHERE role = 'user' QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY turn DESC) = 1),
+rtext AS (SELECT user_id, chr(10) || chr(10) || 'Rekomendasi untuk user ini:' || chr(10)
+    || string_agg(CAST(rank AS VARCHAR) || '. ' || name || ' (' || category || ')' || chr(10), '' ORDER BY rank) AS rec_text
+    FROM recs WHERE rank <= 3 GROUP BY user_id)""")
+ORACLES["stream_item_counts"] = with_ctes(["c_inter"], """SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+    time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end, item_id,
+    count(*) AS n_interactions, count(DISTINCT user_id) AS n_users FROM c_inter GROUP BY 1, 2, 3""")
+
+_BIAS = {
+    "halves": (["c_inter"], """SELECT user_id, item_id, CASE WHEN score IS NULL THEN 1.0 ELSE least(greatest(score, 0), 5) END AS rating,
+        left(md5(CAST(user_id AS VARCHAR) || ':' || CAST(item_id AS VARCHAR) || ':' || CAST(interaction_id AS VARCHAR)
+                 || ':split'), 2) < '33' AS test FROM c_inter"""),
+    "g": (["halves"], f"SELECT {avg('rating')} AS g FROM halves WHERE NOT test"),
+    "bu": (["halves", "g"], """SELECT user_id, sum(CAST(rating AS DOUBLE) - g) / (count(*) + 10.0) AS b_u
+        FROM halves, g WHERE NOT test GROUP BY 1"""),
+    "bi": (["halves", "g", "bu"], """SELECT item_id, sum(CAST(rating AS DOUBLE) - g - b_u) / (count(*) + 10.0) AS b_i
+        FROM halves JOIN bu USING (user_id), g WHERE NOT test GROUP BY 1"""),
+}
+ORACLES["eval_rmse"] = with_ctes(["halves", "g", "bu", "bi"], """SELECT round(sqrt(avg((r - p) * (r - p))), 6) AS rmse,
+    round(sqrt(avg((r - g) * (r - g))), 6) AS rmse_global_mean, count(*) AS n_test
+    FROM (SELECT CAST(rating AS DOUBLE) AS r, g, least(greatest(g + coalesce(b_u, 0.0) + coalesce(b_i, 0.0), 0.0), 5.0) AS p
+      FROM halves LEFT JOIN bu USING (user_id) LEFT JOIN bi USING (item_id), g WHERE test)""", _BIAS)
+ORACLES["cf_bias_recommend"] = with_ctes(["c_users", "c_items", "c_inter", "g", "bu", "bi"], """SELECT user_id,
+    CAST(rk AS INTEGER) AS rank, item_id, round(least(greatest(g + coalesce(b_u, 0.0) + o, 0.0), 5.0), 4) AS cf_score
+    FROM (SELECT u.user_id, i.item_id, b_u, g, round(coalesce(b_i, 0.0), 9) AS o,
+        row_number() OVER (PARTITION BY u.user_id ORDER BY round(coalesce(b_i, 0.0), 9) DESC, i.item_id) AS rk
+      FROM c_users u CROSS JOIN c_items i CROSS JOIN g LEFT JOIN bu ON bu.user_id = u.user_id LEFT JOIN bi ON bi.item_id = i.item_id
+      WHERE NOT EXISTS (SELECT 1 FROM c_inter x WHERE x.user_id = u.user_id AND x.item_id = i.item_id))
+    WHERE rk <= 10""", _BIAS)
+_INVARIANT = with_ctes(["c_users", "c_items", "c_inter"], """SELECT u.user_id, least(10, n) AS n_rows, least(10, n) AS last_rank,
+    least(10, n) AS n_items, CAST(0 AS BIGINT) AS n_seen, TRUE AS in_range
+    FROM (SELECT u.user_id, (SELECT count(*) FROM c_items) - coalesce(s.k, 0) AS n FROM c_users u LEFT JOIN (
+      SELECT user_id, count(DISTINCT item_id) AS k FROM c_inter WHERE item_id IN (SELECT item_id FROM c_items) GROUP BY 1) s
+      USING (user_id)) u WHERE n > 0""")
+ORACLES["cf_recommend_invariants"] = _INVARIANT
+ORACLES["recommend_factorized_invariants"] = _INVARIANT
+ORACLES["sink_scan_parquet"] = with_ctes(["c_items"], "SELECT item_id, price, category FROM c_items")
+ORACLES["scan_inferred"] = with_ctes(["c_items"], "SELECT item_id, name, price, visit_hours FROM c_items")
+ORACLES["scan_csv_fallback"] = with_ctes(["c_users"], """SELECT CASE WHEN user_id % 2 = 0 THEN 'csv' ELSE 'parquet' END AS origin,
+    user_id, segment, budget FROM c_users""")
+ORACLES["row_counts"] = with_ctes(["c_users", "c_items", "c_inter", "c_txn"], "\nUNION ALL ".join(
+    f"SELECT '{n}' AS metric, CAST(count(*) AS VARCHAR) AS value FROM {t}"
+    for n, t in [("users", "c_users"), ("items", "c_items"), ("interactions", "c_inter"), ("transactions", "c_txn")]))
+ORACLES["sink_metadata"] = with_ctes(["c_users", "c_items"], """SELECT '1.0.0' AS version,
+    (SELECT count(*) FROM c_users) AS n_users, (SELECT count(*) FROM c_items) AS n_items""")

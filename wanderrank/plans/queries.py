@@ -124,7 +124,9 @@ def q_agg_user_counts(spark, sf_dir):
 
 def q_user_features(spark, sf_dir):
     c = cleaned(spark, sf_dir)
-    return FE.user_features(c.users, c.interactions, c.transactions, c.txn_id)
+    out = FE.user_features(c.users, c.interactions, c.transactions, c.txn_id)
+    # 10 places: what is shown does not depend on which libm computed the log
+    return out.withColumn("budget_log", F.round("budget_log", 10))
 
 
 def q_item_features(spark, sf_dir):
@@ -282,7 +284,8 @@ def q_similar_items(spark, sf_dir):
     c = cleaned(spark, sf_dir, reuse=True)
     ids = c.interactions.select("item_id")
     nb = SIM.cosine_topk(item_vectors(c), k=5, queries=ids)
-    return SIM.similar_items(nb, ids, 5).select("src", "dst", F.round("score", 4).alias("score"), "rank")
+    return SIM.similar_items(nb, ids, 5, catalogue=c.items).select(
+        "src", "dst", F.round("score", 4).alias("score"), "rank", "name", "category", "rating")
 
 
 def q_agg_best_similarity(spark, sf_dir):
@@ -443,16 +446,24 @@ QUERIES.update({
 # ---------------------------------------------------------------- sources and summary
 
 from wanderrank.plans import etl as ETL  # noqa: E402
+from wanderrank.sources import files as IO  # noqa: E402
 
 RAW_TABLES = ["customer", "part", "events", "orders", "lineitem"]
 
 
+KEY_COLUMN = {"customer": "c_custkey", "part": "p_partkey", "events": "event_id",
+              "orders": "o_orderkey", "lineitem": "l_orderkey"}
+
+
 def q_scan_catalog(spark, sf_dir):
-    """Read the raw tables through the session catalog and count them."""
-    for t in RAW_TABLES:
-        read_table(spark, sf_dir, t).createOrReplaceTempView(f"wr_raw_{t}")
-    parts = [spark.table(f"wr_raw_{t}").select(F.lit(t).alias("table_name"),
-                                                F.count(F.lit(1)).alias("row_count"))
+    """The raw tables as external tables of a catalog database, read back by
+    name; per table the rows and a checksum of a key column (so rows are read)."""
+    import hashlib
+    db = "wr_raw_" + hashlib.md5(sf_dir.encode()).hexdigest()[:12]
+    IO.register_catalog(spark, db, {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in RAW_TABLES})
+    tables = IO.scan_catalog(spark, db, RAW_TABLES)
+    parts = [tables[t].select(F.lit(t).alias("table_name"), F.count(KEY_COLUMN[t]).alias("row_count"),
+                              F.sum(KEY_COLUMN[t]).alias("key_sum"))
              for t in RAW_TABLES]
     out = parts[0]
     for p in parts[1:]:
@@ -474,15 +485,14 @@ QUERIES.update({
 # ---------------------------------------------------------------- factorization (rows-only)
 
 def _factor_model(c: Cleaned):
-    return CFM.cf_factorization(c.interactions, rank=50, max_iter=20, reg=0.02)
+    return CFM.cf_factorization(c.interactions, rank=50, max_iter=20)
 
 
 def q_cf_factorization(spark, sf_dir):
     """One row: held-out RMSE of the factor model and of the global mean."""
     c = cleaned(spark, sf_dir, reuse=True)
     parts, rmse = _factor_model(c)
-    rated = CFM.ratings(c.interactions).withColumn("rating", F.col("rating").cast("double"))
-    _, te = rated.randomSplit([0.8, 0.2], seed=42)
+    te = CFM.split_ratings(c.interactions)[1].withColumn("rating", F.col("rating").cast("double"))
     base = te.select(F.sqrt(F.avg(F.pow(F.col("rating") - parts["global"], 2)))).first()[0]
     return spark.range(1).select(F.lit(rmse).alias("rmse"), F.lit(base).alias("rmse_global_mean"))
 
@@ -490,7 +500,7 @@ def q_cf_factorization(spark, sf_dir):
 def q_cf_recommend(spark, sf_dir):
     c = cleaned(spark, sf_dir, reuse=True)
     parts, _ = _factor_model(c)
-    req = c.interactions.select("user_id").distinct().withColumn("top_n", F.lit(10))
+    req = c.users.select("user_id", F.lit(10).alias("top_n"))
     return CFM.cf_recommend_factorized(parts, req, c.items, c.interactions)
 
 
@@ -529,3 +539,282 @@ def q_recommend_factorized(spark, sf_dir):
 
 
 QUERIES["recommend_factorized"] = q_recommend_factorized
+
+
+# ---------------------------------------------------------------- rules that the plain queries do not reach
+
+import uuid  # noqa: E402
+
+from wanderrank.functions import scalar as S  # noqa: E402
+from wanderrank.session import scratch_path  # noqa: E402
+from wanderrank.sources import sinks as OUT  # noqa: E402
+
+
+def q_recommend_multi(spark, sf_dir):
+    """Two requests of every user: favourites and category, a province for a
+    third of them, no budget; and a plain one with the budget for half."""
+    c = cleaned(spark, sf_dir, reuse=True)
+    base = favourite_requests(c).checkpoint()
+    u = F.col("user_id")
+    first = base.select((u * 2).alias("request_id"), "user_id", F.lit(3).alias("top_n"), "favorites", "categories",
+                        F.lit(None).cast("double").alias("max_budget"),
+                        F.when(u % 3 == 0, F.concat(F.lit("Brand#"), (u % 25 + 1).cast("string"))).alias("province"))
+    second = base.select((u * 2 + 1).alias("request_id"), "user_id", F.lit(5).alias("top_n"),
+                         F.array().cast("array<bigint>").alias("favorites"),
+                         F.array().cast("array<string>").alias("categories"),
+                         F.when(u % 2 == 0, F.col("max_budget")).alias("max_budget"),
+                         F.lit(None).cast("string").alias("province"))
+    favs = base.select(F.explode("favorites").alias("item_id"))
+    nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS, queries=favs)
+    return R.recommend_batch(first.unionByName(second), c.interactions, c.items, nb)
+
+
+def q_eval_all_users(spark, sf_dir):
+    """Precision and coverage over every user instead of the reference's 50."""
+    c = cleaned(spark, sf_dir, reuse=True)
+    return EV.eval_precision_coverage(c.interactions, c.items, sample=None)
+
+
+def q_adaptive_weights_recent(spark, sf_dir):
+    """Weights from the last five days of events: all three bands occur."""
+    from wanderrank.functions.scores import adaptive_weights
+    x = cleaned(spark, sf_dir).interactions
+    last = x.select(F.max("ts")).scalar()
+    n = A.agg_user_counts(x.filter(F.col("ts") > last - F.expr("INTERVAL 3 DAYS")))
+    w_cf, w_cb = adaptive_weights(F.col("n_interactions"))
+    return (cleaned(spark, sf_dir).users.select("user_id").join(n, "user_id", "left")
+            .select("user_id", F.coalesce("n_interactions", F.lit(0)).alias("n_interactions"),
+                    w_cf.alias("w_cf"), w_cb.alias("w_cb")))
+
+
+def q_matrix_cap(spark, sf_dir):
+    """interaction_matrix with a cap that totals reach."""
+    c = cleaned(spark, sf_dir)
+    return A.interaction_matrix(A.union_all_signals(c.interactions, c.transactions), cap=1.0)
+
+
+def q_quota_usage_low(spark, sf_dir):
+    return MET.quota_usage(driver_roles(spark, sf_dir).interactions, quota=60)
+
+
+LOW_ALARMS = [MET.Alarm("errors", "errors", 0, 2), MET.Alarm("server_errors", "errors", 1, 1, level="all"),
+              MET.Alarm("latency_p99", "p99_duration_ms", 60, 2)]
+
+
+def q_alarm_eval_low(spark, sf_dir):
+    """Thresholds that the log exceeds, so alarms are raised."""
+    return MET.alarm_eval(_windows(spark, sf_dir), LOW_ALARMS)
+
+
+def q_dedup_events(spark, sf_dir):
+    """Events with altered copies under the same id: one survivor per id."""
+    x = driver_roles(spark, sf_dir).interactions
+    copies = x.filter(F.col("interaction_id") % 5 == 0).withColumn(
+        "score", (F.col("score") / 2).cast(x.schema["score"].dataType))
+    return C.dedup_by_key(x.unionByName(copies), "interaction_id")
+
+
+def q_clean_dirty(spark, sf_dir):
+    """Interactions with missing keys, scores out of range and text times
+    (some broken) through clean_interactions."""
+    x = driver_roles(spark, sf_dir).interactions
+    i = F.col("interaction_id")
+    dirty = x.withColumns({
+        "user_id": F.when(i % 7 != 0, F.col("user_id")),
+        "score": F.when(i % 11 == 0, -F.col("score")).otherwise(F.col("score")).cast(x.schema["score"].dataType),
+        "ts": F.when(i % 13 == 0, F.lit("not a time")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))})
+    return C.clean_interactions(dirty).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def q_label_encode_nulls(spark, sf_dir):
+    """Frequency and alphabetical codes of a column with nulls."""
+    items = cleaned(spark, sf_dir).items.select(
+        "item_id", F.when(F.col("item_id") % 4 != 0, F.col("category")).alias("category"))
+    df = FE.index_category(items, "category", "category_idx")
+    return FE.label_encode(df, "category", "category_code", default="LARGE").select(
+        "item_id", "category_idx", "category_code")
+
+
+def q_track_ingest_dirty(spark, sf_dir):
+    """Rows with missing ids, kinds and scores: accepted and rejected ones."""
+    x = driver_roles(spark, sf_dir).interactions
+    i = F.col("interaction_id")
+    dirty = x.select(
+        F.when(i % 7 == 0, F.lit(None)).when(i % 7 == 1, F.lit(" ")).otherwise(F.col("user_id").cast("string")).alias("user_id"),
+        F.when(i % 11 == 0, F.lit("")).otherwise(F.col("item_id").cast("string")).alias("item_id"),
+        F.when(i % 3 != 0, F.col("kind")).alias("kind"),
+        F.when(i % 5 == 0, F.lit(None)).when(i % 5 == 1, F.lit("much")).otherwise(F.col("score").cast("string")).alias("score"),
+        "ts")
+    accepted, rejected = ING.track_ingest(dirty)
+    a = accepted.select("user_id", "item_id", "kind", F.col("score"), "ts", F.lit(None).cast("string").alias("reason"))
+    r = rejected.select("user_id", "item_id", "kind", F.lit(None).cast("double").alias("score"), "ts", "reason")
+    return a.unionByName(r)
+
+
+def q_chat_append_ttl(spark, sf_dir):
+    """A store whose rows have a ttl of their own: some expire, one exactly now."""
+    t = driver_roles(spark, sf_dir).turns
+    now = F.unix_timestamp(F.to_timestamp(F.lit(AS_OF)))
+    w = Window.partitionBy("session_id").orderBy(F.col("turn").desc())
+    t = t.withColumn("_r", F.row_number().over(w))
+    store = t.filter("_r > 1").withColumn("ttl", now + (F.col("turn") - 2) * 3600)
+    return CH.chat_append(store, t.filter("_r = 1"), AS_OF, chars=50)
+
+
+def q_chat_context_short(spark, sf_dir):
+    """The short prompt; every fifth session is anonymous."""
+    c = cleaned(spark, sf_dir, reuse=True)
+    msg, earlier = session_messages(c.roles.turns)
+    req = msg.select("user_id").distinct().withColumn("top_n", F.lit(5))
+    recs = R.recommend_batch(req, c.interactions, c.items)
+    msg = msg.withColumn("user_id", F.when(F.col("user_id") % 5 != 0, F.col("user_id")))
+    return CH.chat_context(msg, recs, CH.chat_history(earlier), short=True)
+
+
+def q_stream_item_counts(spark, sf_dir):
+    return ING.item_counts(cleaned(spark, sf_dir).interactions)
+
+
+def _bias(c: Cleaned):
+    tr, te = CFM.split_ratings(c.interactions)
+    return CFM.bias_model(tr), te
+
+
+def q_eval_rmse(spark, sf_dir):
+    """Held-out error of the bias model and of the global mean (6 places)."""
+    parts, te = _bias(cleaned(spark, sf_dir, reuse=True))
+    p = CFM.predict_bias(parts, te).withColumn("rating", F.col("rating").cast("double"))
+    sq = lambda c: F.round(F.sqrt(F.avg(F.pow(F.col("rating") - c, 2))), 6)
+    return p.select(sq(F.col("prediction")).alias("rmse"), sq(F.lit(parts["global"])).alias("rmse_global_mean"),
+                    F.count(F.lit(1)).alias("n_test"))
+
+
+def q_cf_bias_recommend(spark, sf_dir):
+    """Top ten unseen items per user by the bias model. A user's order of items
+    is the items' bias order, so only its first 10 + seen positions are read."""
+    c = cleaned(spark, sf_dir, reuse=True)
+    parts, _ = _bias(c)
+    score = F.round(F.coalesce("b_i", F.lit(0.0)), 9)
+    from wanderrank.operators.indexing import index_by
+    pos = index_by(c.items.select("item_id").join(parts["b_i"], "item_id", "left")
+                   .select("item_id", (-score).alias("_o")), "_o", "item_id")
+    seen = c.interactions.select("user_id", "item_id").distinct()
+    n = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("_s"))
+    users = c.users.select("user_id").join(n, "user_id", "left").join(parts["b_u"], "user_id", "left")
+    cand = (users.withColumn("pos", F.explode(F.sequence(F.lit(1), F.lit(10) + F.coalesce("_s", F.lit(0)))))
+            .join(pos, "pos").join(seen, ["user_id", "item_id"], "left_anti"))
+    w = Window.partitionBy("user_id").orderBy("pos")
+    raw = F.lit(parts["global"]) + F.coalesce("b_u", F.lit(0.0)) - F.col("_o")
+    return (cand.withColumn("rank", F.row_number().over(w)).filter("rank <= 10")
+            .select("user_id", "rank", "item_id",
+                    F.round(F.least(F.greatest(raw, F.lit(0.0)), F.lit(5.0)), 4).alias("cf_score")))
+
+
+def _invariants(recs: DataFrame, c: Cleaned, score: str, top: float) -> DataFrame:
+    """Per user what any correct model must give: as many rows as asked or
+    unseen, ranks without gaps, no seen item, no item twice, scores in range."""
+    seen = c.interactions.select("user_id", "item_id").distinct().withColumn("_seen", F.lit(1))
+    return (recs.join(seen, ["user_id", "item_id"], "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("rank").cast("long").alias("last_rank"),
+        F.count_distinct("item_id").alias("n_items"), F.count("_seen").alias("n_seen"),
+        F.min((F.col(score) >= 0) & (F.col(score) <= top)).alias("in_range")))
+
+
+def q_cf_recommend_invariants(spark, sf_dir):
+    c = cleaned(spark, sf_dir, reuse=True)
+    parts, _ = _factor_model(c)
+    req = c.users.select("user_id", F.lit(10).alias("top_n"))
+    return _invariants(CFM.cf_recommend_factorized(parts, req, c.items, c.interactions), c, "cf_score", 5.0)
+
+
+def q_recommend_factorized_invariants(spark, sf_dir):
+    """Plain requests (no favourites, no filter): ten unseen items each."""
+    c = cleaned(spark, sf_dir, reuse=True)
+    parts, _ = _factor_model(c)
+    req = c.users.select("user_id", F.lit(10).alias("top_n"))
+    return _invariants(R.recommend_batch_factorized(req, c.interactions, c.items, parts), c, "hybrid_score", 1.0)
+
+
+def _round_trip(spark, name: str) -> str:
+    return scratch_path(spark, f"{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def q_sink_scan_parquet(spark, sf_dir):
+    """Written by partition and read back: the partition column survives."""
+    path = _round_trip(spark, "parquet")
+    items = cleaned(spark, sf_dir).items.select("item_id", "price", "category")
+    OUT.sink_parquet(items, path, partition_by=["category"])
+    return IO.scan_parquet_dir(spark, path).select("item_id", "price", "category")
+
+
+def q_scan_inferred(spark, sf_dir):
+    """Written as CSV with a header and read back with inferred types."""
+    path = _round_trip(spark, "csv")
+    cleaned(spark, sf_dir).items.select("item_id", "name", "price", "visit_hours").write.option("header", True).csv(path)
+    return IO.scan_inferred(spark, path).select(
+        F.col("item_id").cast("bigint").alias("item_id"), "name", "price", "visit_hours")
+
+
+def q_scan_csv_fallback(spark, sf_dir):
+    """No Parquet folder: the named CSV is read; with the folder it is not."""
+    path = _round_trip(spark, "fallback")
+    users = cleaned(spark, sf_dir).users.select("user_id", "segment", "budget")
+    schema = users.schema
+    users.filter("user_id % 2 = 0").write.option("header", True).csv(f"{path}/csv")
+    OUT.sink_parquet(users.filter("user_id % 2 = 1"), f"{path}/there")
+    absent = IO.scan_csv_fallback(spark, f"{path}/absent", f"{path}/csv", schema)
+    there = IO.scan_csv_fallback(spark, f"{path}/there", f"{path}/csv", schema)
+    return absent.select(F.lit("csv").alias("origin"), "*").unionByName(there.select(F.lit("parquet").alias("origin"), "*"))
+
+
+def q_row_counts(spark, sf_dir):
+    """Counts observed on the writes of the cleaned tables, as the summary sink
+    writes and the reader sees them."""
+    c = cleaned(spark, sf_dir)
+    path = _round_trip(spark, "counts")
+    tables = {"users": c.users, "items": c.items, "interactions": c.interactions, "transactions": c.transactions}
+    IO.require_nonempty(tables)
+    counts = []
+    for name, df in tables.items():
+        seen, obs = IO.row_counts(df, name)
+        OUT.sink_parquet(seen, f"{path}/{name}")
+        counts.append((name, obs.get["rows"]))
+    OUT.sink_summary(OUT.summary_frame(spark, counts), f"{path}/summary")
+    return spark.read.option("header", True).schema("metric string, value string").csv(f"{path}/summary")
+
+
+def q_sink_metadata(spark, sf_dir):
+    """Metadata written as one JSON record and read back by field."""
+    c = cleaned(spark, sf_dir)
+    path = _round_trip(spark, "metadata")
+    n = {"n_users": c.users.count(), "n_items": c.items.count()}
+    OUT.sink_metadata(spark, path, {"version": ETL.MODEL_VERSION, **n})
+    j = spark.read.text(path)
+    return j.select(F.get_json_object("value", "$.version").alias("version"),
+                    *[F.get_json_object("value", f"$.{k}").cast("bigint").alias(k) for k in n])
+
+
+QUERIES.update({
+    "recommend_multi": q_recommend_multi,
+    "eval_all_users": q_eval_all_users,
+    "adaptive_weights_recent": q_adaptive_weights_recent,
+    "matrix_cap": q_matrix_cap,
+    "quota_usage_low": q_quota_usage_low,
+    "alarm_eval_low": q_alarm_eval_low,
+    "dedup_events": q_dedup_events,
+    "clean_dirty": q_clean_dirty,
+    "label_encode_nulls": q_label_encode_nulls,
+    "track_ingest_dirty": q_track_ingest_dirty,
+    "chat_append_ttl": q_chat_append_ttl,
+    "chat_context_short": q_chat_context_short,
+    "stream_item_counts": q_stream_item_counts,
+    "eval_rmse": q_eval_rmse,
+    "cf_bias_recommend": q_cf_bias_recommend,
+    "cf_recommend_invariants": q_cf_recommend_invariants,
+    "recommend_factorized_invariants": q_recommend_factorized_invariants,
+    "sink_scan_parquet": q_sink_scan_parquet,
+    "scan_inferred": q_scan_inferred,
+    "scan_csv_fallback": q_scan_csv_fallback,
+    "row_counts": q_row_counts,
+    "sink_metadata": q_sink_metadata,
+})

@@ -156,35 +156,31 @@ def driver_roles(spark: SparkSession, sf_dir: str) -> Roles:
 
 def travel_roles(users: DataFrame, items: DataFrame, interactions: DataFrame,
                  transactions: DataFrame) -> Roles:
-    """Project the raw travel tables (source column names) onto the roles."""
-    u = users.select(
-        F.col("user_id"), F.col("nama").alias("name"), F.col("usia").alias("age"),
-        F.col("kota_asal").alias("city"), F.col("segmen").alias("segment"),
-        F.col("preferensi_kategori").alias("preferred_categories"),
-        F.col("budget_per_trip").alias("budget"), F.col("jumlah_trip").alias("trip_count"),
-        F.col("member_sejak").alias("member_since"), F.col("is_active"),
-    )
-    i = items.select(
-        F.col("destination_id").alias("item_id"), F.col("nama_destinasi").alias("name"),
-        F.col("kategori").alias("category"), F.col("provinsi").alias("province"),
-        F.col("rating_rata_rata").alias("rating"), F.col("harga_tiket_dewasa").alias("price"),
-        F.col("durasi_kunjungan_jam").alias("visit_hours"), F.col("fasilitas").alias("facilities"),
-        F.col("tersedia").alias("available"),
-        F.col("total_pengunjung_tahunan").alias("annual_visitors"),
-    )
-    x = interactions.select(
-        F.col("interaction_id"), F.col("user_id"), F.col("destination_id").alias("item_id"),
-        F.col("tipe_interaksi").alias("kind"), F.col("skor_interaksi").alias("score"),
-        F.col("timestamp").alias("ts"), F.col("rating_diberikan").alias("rating_given"),
-    )
-    t = transactions.select(
-        F.col("transaction_id").alias("txn_id"), F.col("user_id"),
-        F.col("destination_id").alias("item_id"), F.col("total_bayar").alias("paid"),
-        _map(F.col("status_booking"), schemas.TRAVEL_STATUSES).alias("status"),
-        F.col("tanggal_transaksi").alias("txn_date"), F.col("tanggal_check_in").alias("check_in"),
-        F.col("tanggal_check_out").alias("check_out"),
-        F.col("rating_pasca_kunjungan").alias("rating_after"),
-    )
+    """Rename the raw travel tables (source column names) onto the roles. Every
+    raw column goes through: those without a role keep their source name (with
+    a ``raw_`` prefix where a role has it). The pipe list of preferred
+    categories also becomes an array."""
+    def onto(df: DataFrame, names: dict[str, str]) -> DataFrame:
+        roles = set(names.values())
+        return df.select(*[F.col(c).alias(names.get(c, f"raw_{c}" if c in roles else c)) for c in df.columns])
+
+    u = onto(users, {"nama": "name", "usia": "age", "kota_asal": "city", "segmen": "segment",
+                     "preferensi_kategori": "preferred_categories", "budget_per_trip": "budget",
+                     "jumlah_trip": "trip_count", "member_sejak": "member_since"})
+    if "preferred_categories" in u.columns:
+        u = u.withColumn("preferred_list", F.filter(F.transform(
+            F.split("preferred_categories", r"\|"), lambda x: F.trim(x)), lambda x: x != ""))
+    i = onto(items, {"destination_id": "item_id", "nama_destinasi": "name", "kategori": "category",
+                     "provinsi": "province", "rating_rata_rata": "rating", "harga_tiket_dewasa": "price",
+                     "durasi_kunjungan_jam": "visit_hours", "fasilitas": "facilities", "tersedia": "available",
+                     "total_pengunjung_tahunan": "annual_visitors"})
+    x = onto(interactions, {"destination_id": "item_id", "tipe_interaksi": "kind", "skor_interaksi": "score",
+                            "timestamp": "ts", "rating_diberikan": "rating_given"})
+    t = onto(transactions, {"transaction_id": "txn_id", "destination_id": "item_id", "total_bayar": "paid",
+                            "status_booking": "status", "tanggal_transaksi": "txn_date",
+                            "tanggal_check_in": "check_in", "tanggal_check_out": "check_out",
+                            "rating_pasca_kunjungan": "rating_after"})
+    t = t.withColumn("status", _map(F.col("status"), schemas.TRAVEL_STATUSES))
     return Roles(users=u, items=i, interactions=x, transactions=t,
                  facilities=schemas.TRAVEL_FACILITIES, txn_key=["txn_id"])
 

@@ -41,6 +41,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", _driver_memory())
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="wr-wh-"))
     )
     for k, v in CORE_CONF.items():
@@ -68,7 +69,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = sc.getCheckpointDir()
     if existing:
         return existing
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
                            "(a machine-local folder does not survive executor loss)")
     path = tempfile.mkdtemp(prefix="wr-ckpt-")

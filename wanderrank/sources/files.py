@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,29 +38,44 @@ def scan_inferred(spark: SparkSession, path: str, fmt: str = "csv", db: str | No
     return df
 
 
-def scan_parquet_dir(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """scan_parquet_dir: every ``*.parquet`` under ``path`` (recursively) as
-    one frame; a missing or empty folder gives an empty frame (with
+def _matches(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` (a file or folder, any file system) exist? An absent path
+    is told by Spark's own error class, not by its message."""
+    try:
+        spark.read.format("binaryFile").load(path)
+        return True
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+def scan_parquet_dir(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                     recurse: bool = False) -> DataFrame:
+    """scan_parquet_dir: the ``*.parquet`` files under ``path`` as one frame.
+    Partition folders become columns; ``recurse=True`` reads nested folders as
+    plain files instead. A missing or empty folder gives an empty frame (with
     ``schema`` when given)."""
+    r = spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", recurse)
+    if schema is not None:
+        r = r.schema(schema)
+    if not _matches(spark, path):
+        return spark.createDataFrame([], schema or T.StructType([]))
     try:
-        r = spark.read.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
-        if schema is not None:
-            r = r.schema(schema)
         return r.parquet(path)
-    except Exception as e:  # noqa: BLE001 - Spark raises AnalysisException subclasses
-        msg = str(e)
-        if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg or "does not exist" in msg:
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # no file to infer from
             return spark.createDataFrame([], schema or T.StructType([]))
         raise
 
 
-def scan_csv_fallback(spark: SparkSession, primary: str, fallback_csv: str,
+def scan_csv_fallback(spark: SparkSession, primary: str, fallback_csv: str | None = None,
                       schema: T.StructType | None = None) -> DataFrame:
-    """scan_csv_fallback: the Parquet folder, or the CSV file when the folder
-    is missing or empty."""
-    df = scan_parquet_dir(spark, primary, schema)
-    if df.columns and not df.isEmpty():
-        return df
+    """scan_csv_fallback: the Parquet folder; only if it does not exist, and a
+    ``fallback_csv`` is named, the CSV file. An existing but empty folder stays
+    empty (``require_nonempty`` stops on it): stale data never takes its place."""
+    if fallback_csv is None or _matches(spark, primary):
+        return scan_parquet_dir(spark, primary, schema)
     r = spark.read.option("header", True)
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
     return r.csv(fallback_csv)

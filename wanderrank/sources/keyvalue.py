@@ -8,7 +8,7 @@ operators that run for all keys at once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wanderrank.functions.scalar import key_concat
@@ -63,21 +63,29 @@ def catalogue_list(items: DataFrame, columns: list[str] | None = None) -> DataFr
     return df.fillna("", subset=text) if text else df
 
 
+LOGGED_FIELDS = ["rank", "item_id", "name", "category", "province", "rating", "price",
+                 "hybrid_score", "cf_score", "cb_score", "weights"]
+
+
 def prediction_log(recs: DataFrame, as_of: str, k: int = LOGGED_RECS,
-                   ttl_seconds: int = TTL_PREDICTIONS_SECONDS) -> DataFrame:
+                   ttl_seconds: int = TTL_PREDICTIONS_SECONDS,
+                   latency_ms: Column | None = None) -> DataFrame:
     """One log row per user: ``user-epochsecond`` key, the first ``k``
-    recommendations as JSON text, the stamp and a ttl.
+    recommendations as JSON text (all eleven fields of a record), the stamp,
+    the latency (text; null unless given) and a ttl.
 
     Two logs of one user in the same second share a key; ``upsert_by_key``
     keeps the latest."""
     epoch = F.unix_timestamp(F.to_timestamp(F.lit(as_of)))
     first = recs.filter(F.col("rank") <= k)
-    entry = F.struct(F.col("rank"), F.col("item_id"), F.col("name"), F.col("category"),
-                     F.col("hybrid_score"))
+    weights = F.struct(F.col("w_cf").alias("cf"), F.col("w_cb").alias("cb")).alias("weights")
+    entry = F.struct(*[weights if c == "weights" else F.col(c) for c in LOGGED_FIELDS])
+    latency = F.lit(None) if latency_ms is None else latency_ms
     return (first.groupBy("user_id")
             .agg(F.array_sort(F.collect_list(entry)).alias("_recs"))
             .select(key_concat(F.col("user_id"), epoch).alias("prediction_id"),
                     "user_id",
                     F.to_json(F.col("_recs")).alias("recommendations"),
                     F.lit(as_of).alias("timestamp"),
+                    latency.cast("string").alias("latency_ms"),
                     (epoch + F.lit(ttl_seconds)).alias("ttl")))

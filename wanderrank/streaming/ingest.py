@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wanderrank.sources.keyvalue import TTL_INTERACTIONS_DAYS
+from wanderrank.sources.keyvalue import TTL_INTERACTIONS_DAYS, upsert_by_key
 
 # ---- fixed values of the tracking endpoint ------------------------------------
 DEFAULT_KIND = "view"
@@ -64,6 +64,22 @@ def user_counts(interactions: DataFrame, window: str = "1 day", exact: bool = Tr
                     "user_id", "n_interactions", "n_items"))
 
 
+def item_counts(interactions: DataFrame, window: str = "1 day", exact: bool = True) -> DataFrame:
+    """Per tumbling window and item: number of interactions and distinct users."""
+    distinct = F.count_distinct("user_id") if exact else F.approx_count_distinct("user_id")
+    return (interactions.groupBy(F.window("ts", window).alias("w"), "item_id")
+            .agg(F.count(F.lit(1)).alias("n_interactions"), distinct.alias("n_users"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "item_id", "n_interactions", "n_users"))
+
+
+def stream_item_counts(stream: DataFrame, window: str = "1 day", watermark: str = "1 hour",
+                       id_col: str = "interaction_id") -> DataFrame:
+    """Streaming form of ``item_counts`` (as ``stream_user_counts``)."""
+    s = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark)
+    return item_counts(s.dropDuplicatesWithinWatermark([id_col]), window, exact=False)
+
+
 def stream_user_counts(stream: DataFrame, window: str = "1 day", watermark: str = "1 hour",
                        id_col: str = "interaction_id") -> DataFrame:
     """Streaming form: events later than the watermark are dropped (and
@@ -87,9 +103,13 @@ def start_track_stream(spark: SparkSession, source_dir: str, schema, sink_dir: s
     src = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(source_dir)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read by both writes
         acc, rej = track_ingest(batch)
+        # the store overwrites on (user, timestamp): one row per key and batch
+        acc = upsert_by_key(acc, ["user_id", "ts"], ["item_id", "kind", "score"])
         acc.write.mode("overwrite").parquet(os.path.join(sink_dir, "accepted", f"batch={batch_id}"))
         rej.write.mode("overwrite").parquet(os.path.join(sink_dir, "rejected", f"batch={batch_id}"))
+        batch.unpersist()
 
     w = src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wanderrank.functions.scalar import exact_avg
+from wanderrank.session import ensure_checkpoint_dir
 
 # ---- fixed values of the monitoring rules -------------------------------------
 PERIOD = "5 minutes"
@@ -49,33 +50,52 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float,
     before anything moves; the order statistics are then read from running
     counts over those distinct values. No group's raw rows are ever gathered.
     """
-    vc = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    vc = df.groupBy(*keys, value).agg(F.count(value).alias("_c"))
+    return _order_statistics(vc, keys, value, p).agg(_interpolated().alias(out))
+
+
+def _order_statistics(vc: DataFrame, keys: list[str], value: str, p: float):
+    """(keys, value, _c) grouped by the keys, with the two order statistics
+    around rank ``p * (n - 1)`` marked in ``_x`` and ``_y``, their weight in
+    ``_f``. Null values have ``_c`` 0 and do not count."""
     w_all = Window.partitionBy(*keys)
-    w_run = w_all.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_run = w_all.orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vc = vc.withColumn("_cum", F.sum("_c").over(w_run)).withColumn("_n", F.sum("_c").over(w_all))
     pos = F.lit(p) * (F.col("_n") - 1)
-    lo_r, hi_r = F.floor(pos), F.ceil(pos)
-    agg = vc.groupBy(*keys).agg(
-        F.min(F.when(F.col("_cum") > lo_r, F.col(value))).cast("double").alias("_lo"),
-        F.min(F.when(F.col("_cum") > hi_r, F.col(value))).cast("double").alias("_hi"),
-        F.first(pos - lo_r).alias("_f"))
-    return agg.select(*keys, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")).alias(out))
+    return (vc.withColumn("_x", F.when(F.col("_cum") > F.floor(pos), F.col(value)).cast("double"))
+            .withColumn("_y", F.when(F.col("_cum") > F.ceil(pos), F.col(value)).cast("double"))
+            .withColumn("_f", pos - F.floor(pos)).groupBy(*keys))
+
+
+def _interpolated():
+    return F.min("_x") + (F.min("_y") - F.min("_x")) * F.first("_f")
 
 
 def metric_windows(log: DataFrame, period: str = PERIOD, exact: bool = True) -> DataFrame:
     """Per name and tumbling period: invocations, errors (sums), mean and
-    99th-percentile duration (exact in batch, a sketch in streams)."""
-    # grouped by the window() column itself, so a stream's watermark applies
-    sums = (log.groupBy("name", F.window("ts", period).alias("w")).agg(
-        F.sum("invocations").alias("invocations"), F.sum("errors").alias("errors"),
-        exact_avg(F.col("duration_ms")).alias("avg_duration_ms"),
-        *([] if exact else [F.percentile_approx("duration_ms", 0.99).alias("p99_duration_ms")]))
-        .withColumn("window_start", F.col("w.start")).drop("w"))
+    99th-percentile duration (exact in batch, a sketch in streams).
+
+    The batch form reads the log once: rows are reduced to (name, period,
+    duration) with a count and the sums, which combine map-side; mean and
+    percentile both come from that table, so a hot name shrinks to its
+    distinct durations before anything moves, and nothing is joined."""
     if not exact:
-        return sums
-    keyed = log.withColumn("window_start", F.window("ts", period).start)
-    p99 = exact_percentile(keyed, ["name", "window_start"], "duration_ms", 0.99, "p99_duration_ms")
-    return sums.join(p99, ["name", "window_start"], "left")
+        # grouped by the window() column itself, so a stream's watermark applies
+        return (log.groupBy("name", F.window("ts", period).alias("w")).agg(
+            F.sum("invocations").alias("invocations"), F.sum("errors").alias("errors"),
+            exact_avg(F.col("duration_ms")).alias("avg_duration_ms"),
+            F.percentile_approx("duration_ms", 0.99).alias("p99_duration_ms"))
+            .withColumn("window_start", F.col("w.start")).drop("w"))
+    keys = ["name", "window_start"]
+    vc = (log.withColumn("window_start", F.window("ts", period).start)
+          .groupBy(*keys, "duration_ms")
+          .agg(F.count("duration_ms").alias("_c"), F.sum("duration_ms").alias("_d"),
+               F.sum("invocations").alias("_i"), F.sum("errors").alias("_e")))
+    return _order_statistics(vc, keys, "duration_ms", 0.99).agg(
+        F.sum("_i").alias("invocations"), F.sum("_e").alias("errors"),
+        (F.sum("_d").cast("double") / F.sum("_c")).alias("avg_duration_ms"),
+        _interpolated().alias("p99_duration_ms")).select(
+            "name", "invocations", "errors", "avg_duration_ms", "window_start", "p99_duration_ms")
 
 
 def stream_metric_windows(stream: DataFrame, period: str = PERIOD,
@@ -96,7 +116,12 @@ def alarm_eval(windows: DataFrame, alarms: list[Alarm] | None = None,
                period_seconds: int = PERIOD_SECONDS) -> DataFrame:
     """Alarm state per (alarm, name, period): ALARM when this and the
     previous ``periods - 1`` periods all exceed the threshold (missing period
-    = not breaching), else OK."""
+    = not breaching), else OK.
+
+    The windows (one row per name and period) are written once and read by
+    every rule, so the log below them is read once."""
+    ensure_checkpoint_dir(windows.sparkSession)
+    windows = windows.checkpoint()
     out = None
     for a in alarms or ALARMS:
         if a.level == "all":
