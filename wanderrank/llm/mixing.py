@@ -177,8 +177,8 @@ def plan_mix(rows: DataFrame, shards: int = SHARDS, seed: int = SEED,
     return targets, _with_cut(rows, draws)
 
 
-def _block() -> Column:
-    return F.pmod(F.shiftrightunsigned("h", 8), F.lit(BLOCKS)).cast("int")
+def _block(h: str = "h") -> Column:
+    return F.pmod(F.shiftrightunsigned(h, 8), F.lit(BLOCKS)).cast("int")
 
 
 def _fine() -> Column:
@@ -221,17 +221,18 @@ def _with_cut(rows: DataFrame, draws: DataFrame) -> DataFrame:
 
 
 def taken_copies(rows: DataFrame, draws: DataFrame, n_draws: int) -> DataFrame:
-    """``rows`` (with source, h) plus ``copies``: array of (copy, shard), one
-    for each time the mix takes the row."""
-    per_block = draws.groupBy(F.col("source").alias("_s"), F.col("block").alias("_b")).agg(
-        F.collect_list(F.struct("copy", "shard", "cut_at")).alias("_d"))  # MAX_COPIES + 1 at most
-    rows = rows.withColumn("_block", _block())
-    out = rows.join(broadcast_if_small(per_block, n_draws), rows["source"].eqNullSafe(F.col("_s"))
-                    & (F.col("_block") == F.col("_b")), "left")
-    at = _position(F.col("h"))
-    copies = F.filter(F.coalesce("_d", F.array().cast("array<struct<copy:int,shard:int,cut_at:bigint>>")),
+    """``rows`` (with source, ``_mix_h``) plus ``_mix_copies``: an array of
+    (copy, shard, cut_at), one for each time the mix takes the row. Names
+    starting with ``_mix_`` are reserved."""
+    per_block = draws.groupBy(F.col("source").alias("_mix_s"), F.col("block").alias("_mix_b")).agg(
+        F.collect_list(F.struct("copy", "shard", "cut_at")).alias("_mix_d"))  # MAX_COPIES + 1 at most
+    rows = rows.withColumn("_mix_block", _block("_mix_h"))
+    out = rows.join(broadcast_if_small(per_block, n_draws), F.col("source").eqNullSafe(F.col("_mix_s"))
+                    & (F.col("_mix_block") == F.col("_mix_b")), "left")
+    at = _position(F.col("_mix_h"))
+    copies = F.filter(F.coalesce("_mix_d", F.array().cast("array<struct<copy:int,shard:int,cut_at:bigint>>")),
                       lambda d: d["cut_at"].isNull() | (at <= d["cut_at"]))
-    return out.withColumn("copies", copies).drop("_s", "_b", "_d", "_block")
+    return out.withColumn("_mix_copies", copies).drop("_mix_s", "_mix_b", "_mix_d", "_mix_block")
 
 
 def mix_sizes(documents: DataFrame) -> DataFrame:
@@ -240,28 +241,24 @@ def mix_sizes(documents: DataFrame) -> DataFrame:
         "doc_id", "source", words(F.col("text")).alias("size"), row_hash("doc_id", "text").alias("h")), "mix-rows")
     targets, draws = plan_mix(rows)
     n = draws.count()
-    out = taken_copies(rows, draws, n)
+    out = taken_copies(rows.withColumnRenamed("h", "_mix_h"), draws, n)
     t = targets.select(F.col("source").alias("_t"), "source_size", "target")
-    out = out.join(broadcast_if_small(t, n), out["source"].eqNullSafe(F.col("_t")))
+    out = out.join(broadcast_if_small(t, n), F.col("source").eqNullSafe(F.col("_t")))
     return out.select("doc_id", "size", "source_size", "target",
-                      (F.col("size") * F.size("copies")).cast("long").alias("taken"))
+                      (F.col("size") * F.size("_mix_copies")).cast("long").alias("taken"))
 
 
 def mix_documents(documents: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """The mixed corpus: every column of ``documents``, a row once per copy
     taken, dealt to shards and shuffled inside each."""
-    cols = documents.columns
     narrow = materialise(documents.select(
         "source", words(F.col("text")).alias("size"), row_hash("doc_id", "text", seed).alias("h")), "mix-rows")
     _, draws = plan_mix(narrow, shards, seed)
     n = draws.count()
-    keyed = documents.select(*[F.col(c) for c in cols]).withColumn("h", row_hash("doc_id", "text", seed)) \
-        if "h" not in cols else documents.withColumnRenamed("h", "_own_h").withColumn("h", row_hash("doc_id", "text", seed))
-    copied = taken_copies(keyed, draws, n).withColumn("_c", F.explode("copies"))
-    copied = copied.withColumn("_shard", F.col("_c.shard")) \
-        .withColumn("_key", F.xxhash64(F.lit(seed), "_shard", "_c.copy", "h"))
-    if "h" in cols:
-        copied = copied.drop("h").withColumnRenamed("_own_h", "h")
+    keyed = documents.withColumn("_mix_h", row_hash("doc_id", "text", seed))
+    copied = taken_copies(keyed, draws, n).withColumn("_mix_c", F.explode("_mix_copies"))
+    copied = copied.withColumn("_mix_shard", F.col("_mix_c.shard")) \
+        .withColumn("_mix_key", F.xxhash64(F.lit(seed), "_mix_shard", "_mix_c.copy", "_mix_h"))
     parts = shuffle_partitions(documents.sparkSession)
-    return (copied.repartitionByRange(parts, "_shard", "_key").sortWithinPartitions("_shard", "_key")
-            .select(*cols))
+    return (copied.repartitionByRange(parts, "_mix_shard", "_mix_key").sortWithinPartitions("_mix_shard", "_mix_key")
+            .select(*documents.columns))

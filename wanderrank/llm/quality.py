@@ -117,8 +117,7 @@ def host_verdicts(counted: DataFrame, host: str = "source") -> DataFrame:
     hosts = materialise(hosts, "hosts")
     rate = F.col("any") / F.col("n")
     s = hosts.agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("n"), F.sum("any").alias("f"),
-                  F.sum(F.col("n") * rate * rate).alias("nrr"),
-                  F.sum(F.lit(1.0)).alias("k")).first()  # one row
+                  F.sum(F.col("n") * rate * rate).alias("nrr")).first()  # one row
     a, b = beta_prior(s["hosts"], s["n"] or 0, s["f"] or 0, s["nrr"] or 0.0)
     shrunk = (F.col("any") + F.lit(a)) / (F.col("n") + F.lit(a + b))
     return (hosts.withColumn("rate", shrunk)
@@ -144,18 +143,19 @@ def beta_prior(hosts: int, n: int, failures: int, nrr: float) -> tuple[float, fl
 
 
 def judge(counted: DataFrame, host: str = "source") -> DataFrame:
-    """``counted`` (already written: it is read twice) plus ``base_failed``,
-    ``host_verdict`` and ``kept``."""
+    """``counted`` (already written: it is read twice) plus ``_q_base_failed``,
+    ``_q_host`` (verdict) and ``_q_kept``. Names starting with ``_q_`` are
+    reserved."""
     verdicts = host_verdicts(counted, host)
     n = verdicts.count()
-    v = broadcast_if_small(verdicts.select(F.col("host").alias("_h"), F.col("verdict").alias("host_verdict")), n)
-    out = counted.join(v, counted[host].eqNullSafe(F.col("_h"))).drop("_h")
+    v = broadcast_if_small(verdicts.select(F.col("host").alias("_q_h"), F.col("verdict").alias("_q_host")), n)
+    out = counted.join(v, counted[host].eqNullSafe(F.col("_q_h"))).drop("_q_h")
     failed = None
     for rule in rule_failures().values():
         failed = rule if failed is None else failed | rule
     base = base_failed()
-    rejected = base | (F.col("host_verdict") == "blocked") | ((F.col("host_verdict") == "strict") & failed)
-    return out.withColumn("base_failed", base).withColumn("kept", ~rejected)
+    rejected = base | (F.col("_q_host") == "blocked") | ((F.col("_q_host") == "strict") & failed)
+    return out.withColumn("_q_base_failed", base).withColumn("_q_kept", ~rejected)
 
 
 def quality_documents(documents: DataFrame) -> DataFrame:
@@ -163,11 +163,12 @@ def quality_documents(documents: DataFrame) -> DataFrame:
     counted = materialise(with_counts(documents.select("doc_id", "source", "text"), keep_text=False), "quality")
     out = judge(counted)
     return out.select("doc_id", *[F.col(f"_q_{c}").alias(c) for c in COUNTS],
-                      "base_failed", "kept", "host_verdict")
+                      F.col("_q_base_failed").alias("base_failed"), F.col("_q_kept").alias("kept"),
+                      F.col("_q_host").alias("host_verdict"))
 
 
 def keep_good(documents: DataFrame) -> DataFrame:
     """The documents that the rules and their hosts' verdicts keep."""
     cols = documents.columns
     counted = materialise(with_counts(documents), "quality-docs")
-    return judge(counted).where("kept").select(*cols)
+    return judge(counted).where("_q_kept").select(*cols)

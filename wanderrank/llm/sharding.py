@@ -30,9 +30,11 @@ def text_bytes(text: Column) -> Column:
 
 def byte_shards(df: DataFrame, n_shards: int, size: str, order: list[str]) -> DataFrame:
     """``df`` plus ``shard`` (0 .. n_shards-1) and ``slot`` (gapless from 0 in
-    each shard, in ``order``). Names starting with ``_bs_`` are reserved."""
+    each shard, in ``order``); columns of these names are replaced. Names
+    starting with ``_bs_`` are reserved."""
     if n_shards < 1:
         raise ValueError("n_shards must be at least 1")
+    df = df.drop(*[c for c in ("shard", "slot") if c not in (size, *order)])
     parts = shuffle_partitions(df.sparkSession)
     ordered = (df.withColumn("_bs_tie", F.monotonically_increasing_id())
                .repartitionByRange(parts, *order, "_bs_tie")
