@@ -1,5 +1,8 @@
 """Conversation context and key-value table semantics."""
 
+import json
+
+from pyspark.sql import functions as F
 from wanderrank.operators import chat as CH
 from wanderrank.sources import keyvalue as KV
 
@@ -57,9 +60,13 @@ def test_upsert_latest_wins_and_range(spark):
 
 
 def test_prediction_log_json_and_key(spark):
-    recs = spark.createDataFrame([(7, r, r * 10, "n", "c", 0.5) for r in range(1, 8)],
+    recs = spark.createDataFrame([(7, r, r * 10, "n", "c", "p", 4.5, 100.0, 0.5, 0.4, 0.3, 0.2, 0.8) for r in range(1, 8)],
                                  "user_id long, rank int, item_id long, name string, category string, "
-                                 "hybrid_score double")
+                                 "province string, rating double, price double, hybrid_score double, "
+                                 "cf_score double, cb_score double, w_cf double, w_cb double")
     row = KV.prediction_log(recs, "2024-02-01 00:00:00").first()
     assert row.prediction_id == "7-1706745600" and row.ttl == 1706745600 + 86400
-    assert row.recommendations.count('"rank"') == 5
+    assert row.recommendations.count('"rank"') == 5 and row.latency_ms is None
+    assert list(json.loads(row.recommendations)[0]) == KV.LOGGED_FIELDS
+    timed = KV.prediction_log(recs.withColumn("ms", F.lit(12)), "2024-02-01 00:00:00", latency_ms=F.lit(38)).first()
+    assert timed.latency_ms == "38"

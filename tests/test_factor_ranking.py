@@ -4,6 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from wanderrank.operators import collaborative as CFM
 from wanderrank.operators import ranking as R
@@ -28,10 +29,9 @@ def test_factorized_recommend_matches_bruteforce(spark):
     train = [(u, rnd.choice(list(catalog)), round(rnd.random() * 5, 2))
              for u in range(1, 16) for _ in range(rnd.choice([1, 6, 25]))]
     tr = spark.createDataFrame(train, "user_id long, item_id long, score double")
-    parts, _ = CFM.cf_factorization(tr, rank=3, max_iter=4, min_rows=5)
+    parts, _ = CFM.cf_factorization(tr, rank=3, max_iter=4)
     uvec, ivec = CFM._augmented(parts)
-    g = parts["global"]
-    gval = spark.range(1).select(g).first()[0]
+    gval = parts["global"]
     U = {r.user_id: np.array(r.vec) for r in uvec.collect() if r.vec is not None}
     V = {r.item_id: np.array(r.vec) for r in ivec.collect() if r.vec is not None}
 
@@ -53,7 +53,7 @@ def test_factorized_recommend_matches_bruteforce(spark):
     seen = defaultdict(set)
     for u, i, _ in train:
         seen[u].add(i)
-    rank = parts["als"].rank
+    rank = parts["rank"]
     for u, top_n, favs, cats, budget, prov in requests:
         uv = U.get(u, np.concatenate([[gval, 1.0], np.zeros(rank)]))
         s = {i: float(np.round(np.clip(uv @ V.get(i, np.concatenate([[1.0, 0.0], np.zeros(rank)])), 0, 5), 4))
@@ -81,18 +81,18 @@ def test_factorized_cf_topn_matches_pairwise(spark):
     train = [(u, rnd.randint(1, 40), round(rnd.random() * 5, 2)) for u in range(1, 12) for _ in range(8)]
     tr = spark.createDataFrame(train, "user_id long, item_id long, score double")
     items = spark.createDataFrame([(i,) for i in range(1, 41)], "item_id long")
-    parts, rmse = CFM.cf_factorization(tr, rank=3, max_iter=4, min_rows=5)
+    parts, rmse = CFM.cf_factorization(tr, rank=3, max_iter=4)
     assert rmse is not None and rmse >= 0
     uvec, ivec = CFM._augmented(parts)
     U = {r.user_id: np.array(r.vec) for r in uvec.collect() if r.vec is not None}
     V = {r.item_id: np.array(r.vec) for r in ivec.collect() if r.vec is not None}
-    gval = spark.range(1).select(parts["global"]).first()[0]
+    gval = parts["global"]
     req = spark.createDataFrame([(u, 5) for u in range(1, 14)], "user_id long, top_n int")
     got = CFM.cf_recommend_factorized(parts, req, items, tr, block_rows=4).collect()
     seen = defaultdict(set)
     for u, i, _ in train:
         seen[u].add(i)
-    rank = parts["als"].rank
+    rank = parts["rank"]
     for u in range(1, 14):
         uv = U.get(u, np.concatenate([[gval, 1.0], np.zeros(rank)]))
         pred = {i: float(np.clip(uv @ V.get(i, np.concatenate([[1.0, 0.0], np.zeros(rank)])), 0, 5))
@@ -100,3 +100,36 @@ def test_factorized_cf_topn_matches_pairwise(spark):
         want = sorted(pred, key=lambda i: (-pred[i], i))[:5]
         have = [r.item_id for r in sorted((r for r in got if r.user_id == u), key=lambda r: r["rank"])]
         assert have == want, (u, have, want)
+
+
+def test_two_factorized_requests_of_one_user(spark, tmp_path):
+    train = [(u, (u * 7 + k) % 30 + 1, float(k % 5)) for u in range(1, 8) for k in range(6)]
+    tr = spark.createDataFrame(train, "user_id long, item_id long, score double")
+    items = spark.createDataFrame([(i, "n", "AB"[i % 2], "P", 1.0) for i in range(1, 31)],
+                                  "item_id long, name string, category string, province string, price double")
+    parts, _ = CFM.cf_factorization(tr, rank=2, max_iter=2)
+    CFM.save_model(parts, str(tmp_path / "m"))
+    kept = CFM.load_model(spark, str(tmp_path / "m"))
+    req = spark.createDataFrame([(10, 1, 3, ["A"]), (11, 1, 4, ["B"]), (12, 2, 2, None)],
+                                "request_id long, user_id long, top_n int, categories array<string>")
+    rows = R.recommend_batch_factorized(req, tr, items, parts).collect()
+    assert sorted((r.request_id, r.user_id, r["rank"]) for r in rows) == \
+        [(10, 1, k) for k in (1, 2, 3)] + [(11, 1, k) for k in (1, 2, 3, 4)] + [(12, 2, 1), (12, 2, 2)]
+    assert {r.category for r in rows if r.request_id == 10} == {"A"} and {r.category for r in rows if r.request_id == 11} == {"B"}
+    again = R.recommend_batch_factorized(req, tr, items, kept).collect()
+    key = lambda r: (r.request_id, r["rank"], r.item_id, r.hybrid_score)
+    assert sorted(map(key, rows)) == sorted(map(key, again))
+
+
+def test_factor_model_on_structure_and_noise(spark):
+    rnd = random.Random(3)
+    taste = {u: rnd.choice([0, 1]) for u in range(60)}
+    structured = [(u, i, 4.0 if (i % 2) == taste[u] else 1.0) for u in taste for i in rnd.sample(range(40), 20)]
+    noise = [(u, i, rnd.random()) for u in taste for i in rnd.sample(range(40), 20)]
+    for rows, bound in ((structured, 0.7), (noise, 1.03)):
+        tr = spark.createDataFrame(rows, "user_id long, item_id long, score double")
+        _, rmse = CFM.cf_factorization(tr, rank=8, max_iter=8)
+        te = CFM.split_ratings(tr)[1]
+        mean = sum(r[2] for r in rows) / len(rows)
+        base = CFM.eval_rmse(te.withColumn("p", F.lit(mean)), "rating", "p")
+        assert rmse < bound * base, (rmse, base)

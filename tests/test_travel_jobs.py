@@ -9,8 +9,11 @@ import pytest
 
 from wanderrank.plans import cli
 
-# the 29-row destination catalogue (CSV with header); golden tests skip without it
-CATALOGUE = os.environ.get("WR_CATALOGUE_CSV", "")
+CATALOGUE = ("destination_id,nama_destinasi,provinsi,kategori,rating_rata_rata,harga_tiket_dewasa,"
+             "durasi_kunjungan_jam,fasilitas,deskripsi,koordinat_lat,koordinat_lng,tersedia,musim_terbaik,"
+             "min_umur,total_pengunjung_tahunan\n") + "".join(
+    f"DST{i:04d},Place {i},Prov {i % 3},{'Pantai' if i % 2 else 'Alam'},{3 + i % 3 / 2},{i * 1000},{i % 5 + 1},"
+    f"\"wifi,toilet\",text {i},{i}.5,1{i}.25,true,Kemarau,{i % 10},{i * 100}\n" for i in range(1, 25))
 
 USERS = """user_id,nama,usia,jenis_kelamin,kota_asal,segmen,preferensi_kategori,budget_per_trip,tipe_akomodasi,jumlah_trip,member_sejak,rating_rata_rata,is_active
 USR00001,A,30,L,Jakarta,Keluarga,Pantai|Alam,500000,Hotel,3,2023-01-01,4.5,true
@@ -33,15 +36,14 @@ TRX0000003,USR00001,DST0002,Z,1,0,0,0,0,0,Cash,2024-01-03,2024-01-13,2024-01-14,
 """
 
 
-@pytest.mark.skipif(not CATALOGUE or not os.path.exists(CATALOGUE), reason="set WR_CATALOGUE_CSV to run")
 def test_travel_etl_train_recommend(spark):
     raw = tempfile.mkdtemp(prefix="wr-raw-")
     for name, text in [("user_profiles", USERS), ("user_interactions", INTER),
                        ("transaction_history", TXN)]:
         with open(os.path.join(raw, f"{name}.csv"), "w") as f:
             f.write(text)
-    with open(CATALOGUE) as src, open(os.path.join(raw, "destination_catalog.csv"), "w") as dst:
-        dst.write(src.read())
+    with open(os.path.join(raw, "destination_catalog.csv"), "w") as f:
+        f.write(CATALOGUE)
     out, model, recs = (tempfile.mkdtemp(prefix=p) for p in ("wr-proc-", "wr-model-", "wr-recs-"))
 
     cli.main(["etl", "--raw", raw, "--out", out, "--as-of", "2024-02-01 00:00:00"])
@@ -50,14 +52,15 @@ def test_travel_etl_train_recommend(spark):
     assert users["USR00001"].total_interactions == 3 and users["USR00001"].completed_transactions == 1
     assert users["USR00004"].total_interactions == 1           # duplicate id and score 1.5 dropped
     items = spark.read.parquet(os.path.join(out, "destination_features"))
-    assert items.count() == 29
+    assert items.count() == 24
+    assert {"deskripsi", "koordinat_lat", "musim_terbaik", "min_umur"} <= set(items.columns)
     m = {(r.user_id, r.item_id): r for r in spark.read.parquet(os.path.join(out, "interaction_matrix")).collect()}
     assert m[("USR00001", "DST0003")].total_score == pytest.approx(2.8)   # 0.8 + 1.0 + completed 1.0
     assert ("USR00001", "DST0002") not in m                      # free booking: paid 0 dropped
 
-    cli.main(["train", "--raw", raw, "--processed", out, "--out", model])
+    cli.main(["train", "--raw", raw, "--processed", out, "--out", model, "--factorize"])
     meta = json.loads(spark.read.text(os.path.join(model, "model_metadata")).first().value)
-    assert meta["metrics"]["precision_at_5"] == 0.0 and meta["n_destinations"] == 29
+    assert meta["metrics"]["precision_at_5"] == 0.0 and meta["n_destinations"] == 24
 
     req = os.path.join(raw, "requests.json")
     with open(req, "w") as f:
@@ -69,3 +72,10 @@ def test_travel_etl_train_recommend(spark):
     u1 = [r for r in got if r.user_id == "USR00001"]
     assert len(u1) == 5 and all(r.category == "Pantai" for r in u1)
     assert len([r for r in got if r.user_id == "USR09999"]) == 20   # clamped to 20
+    cli.main(["recommend", "--raw", raw, "--model", model, "--requests", req, "--out", recs + "-f", "--factorized"])
+    assert spark.read.parquet(recs + "-f").count() == len(got)
+    kept = spark.read.parquet(os.path.join(out, "user_features"))
+    assert {"jenis_kelamin", "tipe_akomodasi", "rating_rata_rata"} <= set(kept.columns)
+    assert {r.user_id: r.preferred_list for r in kept.collect()}["USR00001"] == ["Pantai", "Alam"]
+    txn = spark.read.parquet(os.path.join(out, "transactions_clean"))
+    assert {"nama_destinasi", "jumlah_orang", "diskon_persen", "metode_pembayaran", "ulasan"} <= set(txn.columns)
