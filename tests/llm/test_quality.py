@@ -52,7 +52,7 @@ def host(name, good, bad):
 
 def test_host_verdicts(docs):
     rows, i = [], 0
-    for good, bad, name in [host("clean", 95, 5), host("strict", 30, 70), host("blocked", 2, 198), host(None, 50, 0), host("tiny", 0, 1)]:
+    for good, bad, name in [host("clean", 95, 5), host("strict", 30, 70), host("worst", 2, 198), host(None, 50, 0), host("tiny", 0, 1)]:
         for t in good + bad:
             rows.append((i, t, name))
             i += 1
@@ -60,7 +60,7 @@ def test_host_verdicts(docs):
     source = {r[0]: r[2] for r in rows}
     spam = {r[0]: "#" in r[1] for r in rows}
     for k, r in got.items():
-        want = {"clean": True, "strict": not spam[k], "blocked": False, None: True}
+        want = {"clean": True, "strict": not spam[k], "worst": not spam[k], None: True}
         if source[k] in want:
             assert r.kept == want[source[k]], (source[k], r)
     assert {r.host_verdict for k, r in got.items() if source[k] == "strict"} == {"strict"}

@@ -34,9 +34,9 @@ p1 AS (SELECT n, m, spread, CASE WHEN spread <= 0 THEN NULL WHEN noise < 1 THEN
 p AS (SELECT n, m, spread, CASE WHEN rho > 0 THEN least(n, greatest(1.0, 1 / rho - 1)) ELSE n END AS strength FROM p1),
 v AS (SELECT h.source, (k + CASE WHEN spread <= 0 THEN m * p.n + 1 ELSE m * strength END)
              / (h.n + CASE WHEN spread <= 0 THEN p.n + 2 ELSE strength END) AS rate FROM h, p),
-j AS (SELECT a.*, CASE WHEN rate > {Q.BLOCKED_RATE} THEN 'blocked' WHEN rate > {Q.STRICT_RATE} THEN 'strict' ELSE 'ok' END
+j AS (SELECT a.*, CASE WHEN rate > {Q.STRICT_RATE} THEN 'strict' ELSE 'ok' END
              AS host_verdict FROM a JOIN v ON a.source IS NOT DISTINCT FROM v.source),
-judged AS (SELECT *, NOT (base_failed OR host_verdict = 'blocked' OR (host_verdict = 'strict' AND any_failed)) AS kept FROM j)
+judged AS (SELECT *, NOT (base_failed OR (host_verdict = 'strict' AND any_failed)) AS kept FROM j)
 """
 
 QUALITY = f"""

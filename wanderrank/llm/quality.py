@@ -37,7 +37,7 @@ MAX_REPEAT_PERCENT = 50
 MIN_WORD_CHARS, MAX_WORD_CHARS = 3.0, 10.0
 MAX_SYMBOLS_PER_WORD = 0.1
 MAX_DUP_LINES_PER_WORD = 0.02
-STRICT_RATE, BLOCKED_RATE = 0.5, 0.9
+STRICT_RATE = 0.5
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _BLANK = " \t\n\v\f\r"
@@ -102,7 +102,7 @@ def rule_failures() -> dict[str, Column]:
 
 def host_verdicts(counted: DataFrame, host: str = "source") -> DataFrame:
     """One row per host: documents, failures per rule and of any rule, shrunk
-    rate, verdict ('ok', 'strict', 'blocked').
+    rate, verdict ('ok', 'strict').
 
     The prior Beta(a, b) matches the mean and variance of the hosts' rates
     (document-weighted mean, variance less the binomial part). Without spread
@@ -121,8 +121,7 @@ def host_verdicts(counted: DataFrame, host: str = "source") -> DataFrame:
     a, b = beta_prior(s["hosts"], s["n"] or 0, s["f"] or 0, s["nrr"] or 0.0)
     shrunk = (F.col("any") + F.lit(a)) / (F.col("n") + F.lit(a + b))
     return (hosts.withColumn("rate", shrunk)
-            .withColumn("verdict", F.when(F.col("rate") > BLOCKED_RATE, "blocked")
-                        .when(F.col("rate") > STRICT_RATE, "strict").otherwise("ok")))
+            .withColumn("verdict", F.when(F.col("rate") > STRICT_RATE, "strict").otherwise("ok")))
 
 
 def beta_prior(hosts: int, n: int, failures: int, nrr: float) -> tuple[float, float]:
@@ -154,7 +153,7 @@ def judge(counted: DataFrame, host: str = "source") -> DataFrame:
     for rule in rule_failures().values():
         failed = rule if failed is None else failed | rule
     base = base_failed()
-    rejected = base | (F.col("_q_host") == "blocked") | ((F.col("_q_host") == "strict") & failed)
+    rejected = base | ((F.col("_q_host") == "strict") & failed)
     return out.withColumn("_q_base_failed", base).withColumn("_q_kept", ~rejected)
 
 
