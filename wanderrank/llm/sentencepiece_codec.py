@@ -29,6 +29,7 @@ import struct
 from dataclasses import dataclass, field
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -37,7 +38,7 @@ from wanderrank.llm.common import with_package
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"  # a parameter; never copied
 THREADS = 2
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 20  # text in one library call; a slice of a batch is four of them
 MARK = "▁"
 
 # Piece and model types of the model format (fixed values).
@@ -170,10 +171,18 @@ def build(m: Model):
     return tok
 
 
+def _ascii(piece: str) -> str | None:
+    """The character of a byte piece ('<0x0A>') below 0x80."""
+    value = int(piece[3:5], 16)
+    return chr(value) if value < 0x80 else None
+
+
 class Codec:
-    """Encode and decode with a rebuilt tokenizer (``as_json``)."""
+    """Encode and decode with a rebuilt tokenizer (``as_json``). Ids of a text
+    are little-endian 32-bit integers in bytes."""
 
-    KEEP = 300_000  # units kept per worker
+    KEEP = 250_000   # units in each of the two generations kept per worker
+    JOIN = 64        # new units encoded as one text
 
     def __init__(self, m: Model, as_json: str):
         from tokenizers import Tokenizer, normalizers
@@ -183,37 +192,72 @@ class Codec:
         if self.by_unit:
             self.units = Tokenizer.from_str(as_json)
             self.units.normalizer = normalizers.Sequence([])
-            self.known: dict[str, list[int]] = {}
+            self.young: dict[str, bytes] = {}
+            self.old: dict[str, bytes] = {}
             self.cut = re.compile(f"{MARK}+[^{MARK}]*")
-        self.plain = [p.replace(MARK, " ") if t in (NORMAL, USER_DEFINED) else None
-                      for p, t in zip(m.pieces, m.types)]
+            self.opens = np.array([p.startswith(MARK) for p in m.pieces], dtype=bool)
+        plain = [p.replace(MARK, " ") if t in (NORMAL, USER_DEFINED) else _ascii(p) if t == BYTE else None
+                 for p, t in zip(m.pieces, m.types)]
+        self.hard = np.array([p is None for p in plain], dtype=bool)
+        self.plain = np.array(plain, dtype=object)
         self.strip = m.dummy_prefix
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def _new(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of units not met before; a unit without a mark stands for itself
+        after one. Units with one mark are encoded joined: no piece goes on past
+        a mark, so each piece that opens with one starts the next unit."""
+        out = {}
+        single = [u for u in units if MARK not in u]
+        groups = [single[i:i + self.JOIN] for i in range(0, len(single), self.JOIN)]
+        for group, ids in zip(groups, encode_all(self.units, [MARK + MARK.join(g) for g in groups])):
+            ids = np.array(ids, dtype="<i4")
+            cuts = np.flatnonzero(self.opens[ids])
+            raw, at = ids.tobytes(), (cuts * 4).tolist()
+            out.update((u, raw[s:e]) for u, s, e in zip(group, at, at[1:] + [len(raw)]))
+        several = [u for u in units if MARK in u]
+        out.update((u, np.array(ids, dtype="<i4").tobytes()) for u, ids in zip(several, encode_all(self.units, several)))
+        return out
+
+    def _cut(self, text: str) -> list[str]:
+        """Units of a text: words between single spaces as they are; where marks
+        or runs of spaces occur, pieces from one run of marks to the next."""
+        if not text:
+            return []
+        parts = text.split(" ")
+        if "" in parts or MARK in text:
+            return self.cut.findall(MARK + text.replace(" ", MARK))
+        return parts
+
+    def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_unit:
-            return encode_all(self.tok, texts)
-        parts = [self.cut.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if len(self.known) > self.KEEP:
-            self.known.clear()
-        new = list({u for us in parts for u in us if u not in self.known})
-        self.known.update(zip(new, encode_all(self.units, new)))
-        known = self.known
-        return [list(chain.from_iterable([known[u] for u in us])) for us in parts]
-
-    def decode(self, ids: list[list[int]]) -> list[str]:
-        """Piece texts joined; texts with byte or unknown pieces go through the
-        library's decoder."""
+            return [np.array(x, dtype="<i4").tobytes() for x in encode_all(self.tok, texts)]
+        parts = [self._cut(t) for t in texts]
+        if len(self.young) > self.KEEP:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = set().union(*parts)
+        missing.difference_update(young)
+        known = [u for u in missing if u in old]
+        young.update((u, old[u]) for u in known)
+        missing.difference_update(known)
+        young.update(self._new(list(missing)))
+        return [b"".join(map(young.__getitem__, us)) for us in parts]
+
+    def decode(self, ids: list[bytes]) -> list[str]:
+        """Piece texts joined; texts with bytes outside ASCII or unknown pieces go
+        through the library's decoder."""
         out: list = []
         hard = []
-        for i, x in enumerate(ids):
-            got = [self.plain[k] for k in x]
-            if None in got:
+        for i, raw in enumerate(ids):
+            pieces = np.frombuffer(raw, dtype="<i4")
+            if self.hard[pieces].any():
                 hard.append(i)
                 out.append("")
             else:
-                text = "".join(got)
+                text = "".join(self.plain[pieces])
                 out.append(text[1:] if self.strip and text[:1] == " " else text)
-        for i, text in zip(hard, self.tok.decode_batch([ids[i] for i in hard], skip_special_tokens=False)):
+        back = [list(memoryview(ids[i]).cast("i")) for i in hard]
+        for i, text in zip(hard, self.tok.decode_batch(back, skip_special_tokens=False)):
             out[i] = text
         return out
 
@@ -271,14 +315,17 @@ def encode_documents(documents: DataFrame, model_path: str = MODEL_PATH, threads
                 given = [x.as_py() for x in part.column(text)]
                 texts = [t or "" for t in given]
                 ids = codec.encode(texts)
-                check = own.encode(texts, num_threads=threads)
+                check = [np.array(x, dtype="<i4").tobytes() for x in own.encode(texts, num_threads=threads)]
                 parity = [x == y for x, y in zip(ids, check)]
-                ids = [x if same else y for x, y, same in zip(ids, check, parity)]
+                ids = check  # equal where parity holds
                 back = codec.decode(ids)
                 none = [t is None for t in given]
+                lengths = np.array([0] + [len(x) // 4 for x in ids])
+                values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), pa.int32())
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), values,
+                                                 mask=pa.array(none, pa.bool_()))
                 yield pa.RecordBatch.from_arrays([
-                    part.column(key), pa.array([0 if n else len(x) for x, n in zip(ids, none)], pa.int64()),
-                    pa.array([None if n else x for x, n in zip(ids, none)], pa.list_(pa.int32())),
+                    part.column(key), pa.array(lengths[1:], pa.int64()), lists,
                     pa.array([None if n else x == t for x, t, n in zip(back, texts, none)], pa.bool_()),
                     pa.array([None if n else p for p, n in zip(parity, none)], pa.bool_())], names=schema.names)
 
