@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,11 +40,24 @@ def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= limit else df
 
 
+# Rows of an Arrow batch at most: texts can be long, and an executor's memory
+# holds a batch per Python worker more than once.
+ARROW_ROWS = 2_000
+
+
 def with_package(spark: SparkSession) -> None:
-    """Python workers must be able to import this package."""
+    """Before a stage with Python: workers must be able to import this package,
+    and batches stay small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, str(min(ARROW_ROWS, int(spark.conf.get(key)))))
     ship_package(spark)
 
 
+def trim_memory() -> None:
+    """In a Python worker: give memory that Arrow keeps for later back."""
+    pa.default_memory_pool().release_unused()
+
+
 def span_text(spans: Column) -> Column:
     """array<struct<kind, start, end>> -> 'kind:start:end,...'."""
     return F.array_join(

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wanderrank.llm.common import broadcast_if_small, materialise, with_package
+from wanderrank.llm.common import broadcast_if_small, materialise, trim_memory, with_package
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
@@ -79,6 +79,7 @@ def with_counts(df: DataFrame, text: str = "text", keep_text: bool = True) -> Da
             cols = [b.column(c) for c in names]
             cols += [pa.array([g[i] for g in got], pa.int64()) for i in range(len(COUNTS))]
             yield pa.RecordBatch.from_arrays(cols, names=[*names, *(f"_q_{c}" for c in COUNTS)])
+            trim_memory()
 
     return df.mapInArrow(count, schema)
 

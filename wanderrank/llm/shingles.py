@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 WIDTH = 5
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(40_961))
