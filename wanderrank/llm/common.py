@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import pyarrow as pa
@@ -54,8 +55,13 @@ def with_package(spark: SparkSession) -> None:
 
 
 def trim_memory() -> None:
-    """In a Python worker: give memory that Arrow keeps for later back."""
+    """In a Python worker: give memory that Arrow and the C heap keep for later
+    back, as the worker outlives its stage and shares the executor's memory."""
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
 
 
 def span_text(spans: Column) -> Column:

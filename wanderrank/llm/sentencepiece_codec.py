@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from wanderrank.llm.common import with_package
+from wanderrank.llm.common import trim_memory, with_package
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"  # a parameter; never copied
 THREADS = 2
@@ -145,7 +145,7 @@ def build(m: Model):
                     ranked.append((-m.scores[i], i, usable[left], usable[right], left, right))
         ranked.sort(key=lambda r: r[:4])
         model = models.BPE(vocab, [(r[4], r[5]) for r in ranked], unk_token=m.pieces[unk], fuse_unk=True,
-                           byte_fallback=m.byte_fallback, cache_capacity=50_000)
+                           byte_fallback=m.byte_fallback, cache_capacity=10_000)
     else:
         raise ValueError(f"model type {m.kind} is not supported")
     tok = Tokenizer(model)
@@ -310,24 +310,29 @@ def encode_documents(documents: DataFrame, model_path: str = MODEL_PATH, threads
         proto, as_json = shipped.value
         codec = _loaded("codec" + str(hash(proto)), lambda: Codec(read_model(proto), as_json))
         own = _loaded("sp" + str(hash(proto)), lambda: sentencepiece.SentencePieceProcessor(model_proto=proto))
-        for b in batches:
-            for part in _slices(b, text):
-                given = [x.as_py() for x in part.column(text)]
-                texts = [t or "" for t in given]
-                ids = codec.encode(texts)
-                check = [np.array(x, dtype="<i4").tobytes() for x in own.encode(texts, num_threads=threads)]
-                parity = [x == y for x, y in zip(ids, check)]
-                ids = check  # equal where parity holds
-                back = codec.decode(ids)
-                none = [t is None for t in given]
-                lengths = np.array([0] + [len(x) // 4 for x in ids])
-                values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), pa.int32())
-                lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), values,
-                                                 mask=pa.array(none, pa.bool_()))
-                yield pa.RecordBatch.from_arrays([
-                    part.column(key), pa.array(lengths[1:], pa.int64()), lists,
-                    pa.array([None if n else x == t for x, t, n in zip(back, texts, none)], pa.bool_()),
-                    pa.array([None if n else p for p, n in zip(parity, none)], pa.bool_())], names=schema.names)
+        try:
+            for b in batches:
+                for part in _slices(b, text):
+                    given = [x.as_py() for x in part.column(text)]
+                    texts = [t or "" for t in given]
+                    ids = codec.encode(texts)
+                    check = [np.array(x, dtype="<i4").tobytes() for x in own.encode(texts, num_threads=threads)]
+                    parity = [x == y for x, y in zip(ids, check)]
+                    ids = check  # equal where parity holds
+                    back = codec.decode(ids)
+                    none = [t is None for t in given]
+                    lengths = np.array([0] + [len(x) // 4 for x in ids])
+                    values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"), pa.int32())
+                    lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), values,
+                                                     mask=pa.array(none, pa.bool_()))
+                    yield pa.RecordBatch.from_arrays([
+                        part.column(key), pa.array(lengths[1:], pa.int64()), lists,
+                        pa.array([None if n else x == t for x, t, n in zip(back, texts, none)], pa.bool_()),
+                        pa.array([None if n else p for p, n in zip(parity, none)], pa.bool_())], names=schema.names)
+        finally:
+            _CACHE.clear()  # the worker outlives this stage
+            del codec, own
+            trim_memory()
 
     return rows.mapInArrow(run, schema)
 
