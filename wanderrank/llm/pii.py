@@ -50,7 +50,7 @@ BATCH_CELLS = 1 << 17      # positions in one network or CRF batch
 # ------------------------------------------------------------ fixed patterns
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")  # always matches at a digit: linear
 _GROUP = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
