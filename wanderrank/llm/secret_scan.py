@@ -44,8 +44,9 @@ ALPHABET = 66             # characters of a token
 MIN_RATIO = 12.0          # log-likelihood ratio of the whole token
 MIN_RATIO_PER_CHAR = 0.6
 TOKEN = "[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH
-# A token run that can be a secret holds a digit and a letter.
-MIXED = "(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])" + TOKEN
+# A token run that can be a secret holds a digit and a letter, so somewhere in
+# it a digit meets another token character (a linear test of the whole text).
+MIXED = "[0-9][A-Za-z+/_=-]|[A-Za-z+/_=-][0-9]"
 MIN_SAMPLE = 8            # shortest value that a fit uses
 ORDINARY = "[A-Za-z]{%d,}" % MIN_SAMPLE
 
@@ -147,7 +148,10 @@ def scan(df: DataFrame, model: list[float], text: str = "text") -> DataFrame:
     """``df`` plus ``secret_spans``: array<struct<start, k, end, kind>> in order
     of start, then kind. Columns ``_assign .. _markov`` are reserved."""
     t = F.coalesce(F.col(text), F.lit(""))
-    df = pattern_spans(df, text).withColumn("_tokens", find_spans(t, MIXED))
+    df = pattern_spans(df, text).withColumn("_tokens", F.when(
+        F.regexp_like(t, F.lit(MIXED)),
+        F.filter(find_spans(t, TOKEN), lambda c: F.regexp_like(c["value"], F.lit("[0-9]"))
+                 & F.regexp_like(c["value"], F.lit("[A-Za-z]")))).otherwise(F.array().cast(_SPANS)))
     base = F.concat("_assign", "_access", "_hex")
     apart = F.filter("_tokens", lambda c: ~F.exists(
         base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
