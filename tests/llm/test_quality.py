@@ -78,7 +78,7 @@ def test_beta_prior():
 
 
 def test_keep_good_keeps_columns(docs, odd_texts):
-    df = docs(odd_texts + [" ".join(f"w{i}" for i in range(60))], {"kept": "mine", "host": 1, "rate": 2, "verdict": "v", "n": 9})
+    df = docs(odd_texts + [" ".join(f"word{i}" for i in range(60))], {"kept": "mine", "host": 1, "rate": 2, "verdict": "v", "n": 9})
     out = Q.keep_good(df)
     assert out.columns == df.columns
     assert [(r.doc_id, r.kept, r.n) for r in out.collect()] == [(len(odd_texts), "mine", 9)]
