@@ -83,3 +83,25 @@ def test_keep_good_keeps_columns(docs, odd_texts):
     assert out.columns == df.columns
     assert [(r.doc_id, r.kept, r.n) for r in out.collect()] == [(len(odd_texts), "mine", 9)]
     assert Q.keep_good(df.limit(0)).count() == 0
+
+
+def test_keep_good_judges_rule_by_rule(docs):
+    rows, i = [], 0
+    for good, bad, name in [host("clean", 95, 5), host("code", 2, 198), host("mixed", 30, 70), host(None, 50, 0), host("tiny", 0, 1)]:
+        for t in good + bad:
+            rows.append((i, t, name))
+            i += 1
+    # in a host whose form is symbols, another failed rule still rejects
+    repeated = "\n".join([" ".join(f"w{k}rd#" for k in range(30))] + [f"w{k}rd# a line of its own" for k in range(20)])
+    rows.append((i, repeated + "\n" + "\n".join(["same#"] * 9), "code"))
+    kept = {r.doc_id for r in Q.keep_good(docs(rows)).collect()}
+    assert {k for k, t, _ in rows if "#" not in t} <= kept
+    assert {name for k, t, name in rows if "#" in t and k in kept} == {"code"}
+    assert sum(name == "code" for k, _, name in rows if k in kept) == 200 and i not in kept
+
+
+def test_keep_good_without_spread(docs):
+    fine, spam, name = host("only", 19, 1)
+    assert Q.keep_good(docs([(i, t, name) for i, t in enumerate(fine + spam)])).count() == 19
+    _, spam, name = host("only", 0, 40)  # all documents of all hosts: the form of the table
+    assert Q.keep_good(docs([(i, t, name) for i, t in enumerate(spam)])).count() == 40

@@ -5,9 +5,12 @@ by the rules that its documents fail: failures are summed per host, the rates
 are shrunk by a beta prior fitted to all hosts (empirical Bayes, method of
 moments), and the host verdict is joined back to its documents. In a strict
 host (shrunk rate above ``STRICT_RATE``) documents that fail any rule are
-rejected; in a blocked host (above ``BLOCKED_RATE``) all are. Elsewhere only
-the base rules reject. A small host cannot be judged on a few documents: its
-rate stays near the prior's.
+rejected; elsewhere only the base rules reject. That is ``op4_quality``, as its
+SQL twin has it. ``keep_good`` (the pipeline) judges a host rule by rule, each
+with a prior of its own: a document that fails any rule is rejected, unless the
+rule is a soft one that nearly all documents of its host fail (shrunk rate above
+``NORMAL_RATE``: the host's normal form, as symbols in a host of code). A small
+host cannot be judged on a few documents: its rates stay near the prior's.
 
 Per-document counts are made where the row is (Arrow batches, no shuffle);
 host sums combine before their shuffle; the host table joins back by broadcast
@@ -38,6 +41,8 @@ MIN_WORD_CHARS, MAX_WORD_CHARS = 3.0, 10.0
 MAX_SYMBOLS_PER_WORD = 0.1
 MAX_DUP_LINES_PER_WORD = 0.02
 STRICT_RATE = 0.5
+NORMAL_RATE = 0.9     # a rule that more of a host's documents fail is its form
+SOFT = ("word_length", "symbols", "dup_lines")
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 _BLANK = " \t\n\v\f\r"
@@ -103,7 +108,8 @@ def rule_failures() -> dict[str, Column]:
 
 def host_verdicts(counted: DataFrame, host: str = "source") -> DataFrame:
     """One row per host: documents, failures per rule and of any rule, shrunk
-    rate, verdict ('ok', 'strict').
+    rate, verdict ('ok', 'strict'), and for every soft rule if it is the host's
+    normal form (``normal_*``, by the shrunk rate of that rule alone).
 
     The prior Beta(a, b) matches the mean and variance of the hosts' rates
     (document-weighted mean, variance less the binomial part). Without spread
@@ -116,13 +122,19 @@ def host_verdicts(counted: DataFrame, host: str = "source") -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum(failed.cast("long")).alias("any"),
         *[F.sum(c.cast("long")).alias(f"f_{k}") for k, c in rules.items()])
     hosts = materialise(hosts, "hosts")
-    rate = F.col("any") / F.col("n")
-    s = hosts.agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("n"), F.sum("any").alias("f"),
-                  F.sum(F.col("n") * rate * rate).alias("nrr")).first()  # one row
-    a, b = beta_prior(s["hosts"], s["n"] or 0, s["f"] or 0, s["nrr"] or 0.0)
-    shrunk = (F.col("any") + F.lit(a)) / (F.col("n") + F.lit(a + b))
-    return (hosts.withColumn("rate", shrunk)
-            .withColumn("verdict", F.when(F.col("rate") > STRICT_RATE, "strict").otherwise("ok")))
+    judged = ("any", *(f"f_{k}" for k in SOFT))
+    s = hosts.agg(F.count(F.lit(1)).alias("hosts"), F.sum("n").alias("n"),
+                  *[F.sum(k).alias(k) for k in judged],
+                  *[F.sum(F.col("n") * (F.col(k) / F.col("n")) * (F.col(k) / F.col("n"))).alias(f"nrr_{k}")
+                    for k in judged]).first()  # one row
+
+    def shrunk(k: str) -> Column:
+        a, b = beta_prior(s["hosts"], s["n"] or 0, s[k] or 0, s[f"nrr_{k}"] or 0.0)
+        return (F.col(k) + F.lit(a)) / (F.col("n") + F.lit(a + b))
+
+    return (hosts.withColumn("rate", shrunk("any"))
+            .withColumn("verdict", F.when(F.col("rate") > STRICT_RATE, "strict").otherwise("ok"))
+            .withColumns({f"normal_{k}": shrunk(f"f_{k}") > NORMAL_RATE for k in SOFT}))
 
 
 def beta_prior(hosts: int, n: int, failures: int, nrr: float) -> tuple[float, float]:
@@ -142,20 +154,37 @@ def beta_prior(hosts: int, n: int, failures: int, nrr: float) -> tuple[float, fl
     return m * strength, (1 - m) * strength
 
 
-def judge(counted: DataFrame, host: str = "source") -> DataFrame:
+def with_hosts(counted: DataFrame, host: str = "source") -> DataFrame:
     """``counted`` (already written: it is read twice) plus ``_q_base_failed``,
-    ``_q_host`` (verdict) and ``_q_kept``. Names starting with ``_q_`` are
-    reserved."""
+    ``_q_host`` (verdict) and ``_q_normal_*``."""
     verdicts = host_verdicts(counted, host)
     n = verdicts.count()
-    v = broadcast_if_small(verdicts.select(F.col("host").alias("_q_h"), F.col("verdict").alias("_q_host")), n)
-    out = counted.join(v, counted[host].eqNullSafe(F.col("_q_h"))).drop("_q_h")
+    v = broadcast_if_small(verdicts.select(
+        F.col("host").alias("_q_h"), F.col("verdict").alias("_q_host"),
+        *[F.col(f"normal_{k}").alias(f"_q_normal_{k}") for k in SOFT]), n)
+    return (counted.join(v, counted[host].eqNullSafe(F.col("_q_h"))).drop("_q_h")
+            .withColumn("_q_base_failed", base_failed()))
+
+
+def judge(counted: DataFrame, host: str = "source") -> DataFrame:
+    """``with_hosts`` plus ``_q_kept`` by the verdict on any rule. Names
+    starting with ``_q_`` are reserved."""
+    out = with_hosts(counted, host)
     failed = None
     for rule in rule_failures().values():
         failed = rule if failed is None else failed | rule
-    base = base_failed()
-    rejected = base | ((F.col("_q_host") == "strict") & failed)
-    return out.withColumn("_q_base_failed", base).withColumn("_q_kept", ~rejected)
+    rejected = F.col("_q_base_failed") | ((F.col("_q_host") == "strict") & failed)
+    return out.withColumn("_q_kept", ~rejected)
+
+
+def judge_by_rule(counted: DataFrame, host: str = "source") -> DataFrame:
+    """``with_hosts`` plus ``_q_kept`` rule by rule: a failed rule rejects unless
+    it is soft and the host's normal form."""
+    rules = rule_failures()
+    rejected = F.col("_q_base_failed")
+    for k in SOFT:
+        rejected = rejected | (rules[k] & ~F.col(f"_q_normal_{k}"))
+    return with_hosts(counted, host).withColumn("_q_kept", ~rejected)
 
 
 def quality_documents(documents: DataFrame) -> DataFrame:
@@ -168,7 +197,7 @@ def quality_documents(documents: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame) -> DataFrame:
-    """The documents that the rules and their hosts' verdicts keep."""
+    """The documents that the rules keep, judged by rule and host."""
     cols = documents.columns
     counted = materialise(with_counts(documents), "quality-docs")
-    return judge(counted).where("_q_kept").select(*cols)
+    return judge_by_rule(counted).where("_q_kept").select(*cols)
