@@ -69,3 +69,34 @@ def test_held_out_accuracy(spark):
 def test_empty_table_and_no_samples(spark, docs):
     assert S.scan_documents(docs([]).limit(0)).count() == 0
     assert S.scan_documents(docs(["nothing here", None])).toPandas().spans.tolist() == ["", ""]
+
+
+LETTERS = "qWxVtRzKpLmNbHgFsD"
+HIDDEN = "k7Qz3XvT9pLw2RbN8mYc5HdJ"
+
+
+def wide_model(spark):
+    """Ordinary words with every letter, also as capitals, against base64."""
+    import base64
+    import random
+    r = random.Random(5)
+    words = ("internationalization handler request notifications configuration document services incoming "
+             "implementation description available application").split()
+    made = ["".join(r.choice("bcdfghjklmnpqrstvwxyz") + r.choice("aeiou") for _ in range(r.randint(4, 7))) for _ in range(3000)]
+    plain = words * 60 + made + [w.capitalize() for w in made[:1500]]
+    plain += [f"{a}_{b}" for a, b in zip(words, words[1:])] * 20
+    random = [base64.b64encode(hashlib.sha256(str(i).encode()).digest()).decode()[:40] for i in range(3000)]
+    return S.fit(spark.createDataFrame([(w, 1) for w in random] + [(w, 0) for w in plain], "value string, random int"))
+
+
+def test_secrets_of_letters_and_inside_tokens(spark, docs):
+    texts = [f"key {LETTERS} end", f"see services/incoming/notifications/{HIDDEN} now",
+             f"handler_document={HIDDEN}", f"configuration/{HIDDEN}/description/document/handler/{LETTERS}/application",
+             f"key {RANDOM} end", f"implementation/application/{HEX}/description/{HIDDEN}",
+             "internationalization configuration/document/handler/request/application/description",
+             "implementation-description-available-configuration_document", "-" * 40 + " " + "=" * 40 + " " + "/_" * 20,
+             "4111111111111111 document/2024/01/15/10/22/33"]
+    want = [[LETTERS], [HIDDEN], [HIDDEN], [HIDDEN, LETTERS], [RANDOM], [HIDDEN], [], [], [], []]
+    got = {r.doc_id: r.secret_spans for r in S.scan(docs(texts), wide_model(spark)).collect()}
+    for i, t in enumerate(texts):
+        assert [t[s.start:s.end] for s in got[i] if s.kind == "markov"] == want[i], t

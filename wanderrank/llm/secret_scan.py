@@ -3,7 +3,12 @@
 Two first-order character models are trained from labelled samples: one on
 random strings, one on ordinary identifiers. A candidate token is a secret if
 its log-likelihood ratio (random over ordinary) is high enough, in total and
-per character. Counting, scoring and span arithmetic are SQL functions.
+per character; or else the runs inside it are that reach the same bounds: maximal
+sums of the ratio less ``MIN_RATIO_PER_CHAR``, so random parts of a path or an
+assignment are found among ordinary ones. A run is widened to the separators
+(``/ = - _``) around it; these and a character after itself count as neither
+random nor ordinary in a run. Tokens of letters alone are judged by runs only.
+Counting, scoring and span arithmetic are SQL functions.
 
 ``fit`` takes any DataFrame (value, random). The query labels its own samples:
 values of pattern matches and base64 digests are random; letter-only tokens of
@@ -44,9 +49,7 @@ ALPHABET = 66             # characters of a token
 MIN_RATIO = 12.0          # log-likelihood ratio of the whole token
 MIN_RATIO_PER_CHAR = 0.6
 TOKEN = "[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH
-# A token run that can be a secret holds a digit and a letter, so somewhere in
-# it a digit meets another token character (a linear test of the whole text).
-MIXED = "[0-9][A-Za-z+/_=-]|[A-Za-z+/_=-][0-9]"
+SEPARATORS = "/=_-"
 MIN_SAMPLE = 8            # shortest value that a fit uses
 ORDINARY = "[A-Za-z]{%d,}" % MIN_SAMPLE
 
@@ -143,26 +146,94 @@ def log_ratio(value: Column, model: list[float]) -> Column:
             (acc["sum"] + F.element_at(table, acc["a"] * 128 + F.ascii(c) + 1)).alias("sum")))["sum"]
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is worked out once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def random_runs(token: Column, model: list[float]) -> Column:
+    """The runs of a token (struct start, end, value) that are random by
+    themselves. One pass: a run ends where its sum is used up, or has lost
+    ``MIN_RATIO`` since its best; its best part is taken, then widened."""
+    table = F.split(F.lit(",".join(map(str, model))), ",").cast("array<double>")
+    text = token["value"]
+    zero = F.lit(0.0)
+
+    def step(acc: Column, c: Column) -> Column:
+        apart = c.isin(*SEPARATORS)
+        gain = F.when(apart | (F.ascii(c) == acc["a"]), zero).otherwise(
+            F.element_at(table, acc["a"] * 128 + F.ascii(c) + 1)) - F.lit(MIN_RATIO_PER_CHAR)
+        added = F.struct(
+            F.when(apart, F.lit(0)).otherwise(F.ascii(c)).alias("a"), (acc["i"] + 1).alias("i"),
+            (F.greatest(acc["sum"], zero) + gain).alias("sum"),
+            F.when(acc["sum"] > 0, acc["lo"]).otherwise(acc["i"]).alias("lo"))
+        return _let(added, lambda n: _let(F.when(n["sum"] > acc["best"], F.struct(
+            n["sum"].alias("best"), n["lo"].alias("from"), n["i"].alias("to"))).otherwise(F.struct(
+                acc["best"].alias("best"), acc["from"].alias("from"), acc["to"].alias("to"))),
+            lambda m: closed(acc, n, m, (n["sum"] <= 0) | (m["best"] - n["sum"] >= MIN_RATIO))))
+
+    def closed(acc: Column, n: Column, m: Column, ends: Column) -> Column:
+        return F.struct(
+            n["a"].alias("a"), n["i"].alias("i"), F.when(ends, zero).otherwise(n["sum"]).alias("sum"),
+            n["lo"].alias("lo"), F.when(ends, zero).otherwise(m["best"]).alias("best"),
+            m["from"].alias("from"), m["to"].alias("to"),
+            F.when(ends, with_run(acc["out"], m)).otherwise(acc["out"]).alias("out"))
+
+    def with_run(out: Column, m: Column) -> Column:
+        enough = (m["best"] > 0) & (m["best"] + MIN_RATIO_PER_CHAR * (m["to"] - m["from"]) >= MIN_RATIO)
+        return F.when(enough, F.concat(out, F.array(F.struct(
+            m["from"].alias("from"), m["to"].alias("to"))))).otherwise(out)
+
+    start = F.struct(F.lit(0).alias("a"), F.lit(0).alias("i"), zero.alias("sum"), F.lit(0).alias("lo"),
+                     zero.alias("best"), F.lit(0).alias("from"), F.lit(0).alias("to"),
+                     F.array().cast("array<struct<from:int,to:int>>").alias("out"))
+    found = F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), start, step,
+                        lambda acc: with_run(acc["out"], acc))
+    part = f"^[^{SEPARATORS}]*"
+
+    def widened(r: Column) -> Column:
+        before = F.reverse(F.substring(text, F.lit(1), r["from"]))
+        after = F.substring(text, r["to"] + 1, F.char_length(text))
+        return F.struct(
+            (r["from"] - F.char_length(F.regexp_extract(before, part, 0))).alias("from"),
+            (r["to"] + F.char_length(F.regexp_extract(after, part, 0))).alias("to"))
+
+    def joined(out: Column, r: Column) -> Column:
+        last = F.element_at(out, -1)
+        return F.when((F.size(out) > 0) & (F.get(out, F.size(out) - 1)["to"] > r["from"]), F.concat(
+            F.slice(out, 1, F.size(out) - 1), F.array(F.struct(last["from"].alias("from"), r["to"].alias("to"))))) \
+            .otherwise(F.concat(out, F.array(r)))
+
+    whole = F.aggregate(F.transform(found, widened), F.array().cast("array<struct<from:int,to:int>>"), joined)
+    runs = F.transform(whole, lambda r: F.struct(
+        (token["start"] + r["from"]).cast("bigint").alias("start"), (token["start"] + r["to"]).cast("bigint").alias("end"),
+        F.substring(text, r["from"] + 1, r["to"] - r["from"]).alias("value")))
+    return F.filter(runs, lambda r: (F.char_length(r["value"]) >= MIN_LENGTH)
+                    & F.regexp_like(r["value"], F.lit("[A-Za-z]"))).cast(_SPANS)
+
+
 # ------------------------------------------------------------------- the scan
 def scan(df: DataFrame, model: list[float], text: str = "text") -> DataFrame:
     """``df`` plus ``secret_spans``: array<struct<start, k, end, kind>> in order
     of start, then kind. Columns ``_assign .. _markov`` are reserved."""
     t = F.coalesce(F.col(text), F.lit(""))
-    df = pattern_spans(df, text).withColumn("_tokens", F.when(
-        F.regexp_like(t, F.lit(MIXED)),
-        F.filter(find_spans(t, TOKEN), lambda c: F.regexp_like(c["value"], F.lit("[0-9]"))
-                 & F.regexp_like(c["value"], F.lit("[A-Za-z]")))).otherwise(F.array().cast(_SPANS)))
+    df = pattern_spans(df, text).withColumn("_tokens", F.filter(
+        find_spans(t, TOKEN), lambda c: F.regexp_like(c["value"], F.lit("[A-Za-z]"))))
     base = F.concat("_assign", "_access", "_hex")
-    apart = F.filter("_tokens", lambda c: ~F.exists(
-        base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    scored = F.transform(apart, lambda c: F.struct(
-        c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value"),
-        log_ratio(c["value"], model).alias("ratio")))
-    markov = F.filter(scored, lambda c: (c["ratio"] >= MIN_RATIO)
-                      & (c["ratio"] >= MIN_RATIO_PER_CHAR * F.char_length(c["value"])))
-    df = df.withColumn("_markov", F.when(F.size("_tokens") > 0, F.transform(markov, lambda c: F.struct(
-        c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value")))
-    ).otherwise(F.array().cast(_SPANS)))
+
+    def apart(c: Column) -> Column:
+        return ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+
+    def judged(c: Column) -> Column:
+        whole = apart(c) & F.regexp_like(c["value"], F.lit("[0-9]")) & _let(log_ratio(c["value"], model), lambda ratio: (ratio >= MIN_RATIO) & (
+            ratio >= MIN_RATIO_PER_CHAR * F.char_length(c["value"])))
+        return F.when(whole, F.array(F.struct(
+            c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value")))) \
+            .otherwise(F.filter(random_runs(c, model), apart))
+
+    df = df.withColumn("_markov", F.when(F.size("_tokens") > 0, F.flatten(F.transform("_tokens", judged)))
+                       .otherwise(F.array().cast(_SPANS)))
+
     def named(i: int, kind: str) -> Column:
         return F.transform(f"_{kind}", lambda s: F.struct(
             s["start"].alias("start"), F.lit(i).alias("k"), s["end"].alias("end"), F.lit(kind).alias("kind")))
