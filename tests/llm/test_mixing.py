@@ -4,7 +4,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from wanderrank.llm.mixing import mix_documents, mix_sizes, split_quotas, water_fill
+from wanderrank.llm.mixing import _with_cut, mix_documents, mix_sizes, split_quotas, taken_copies, water_fill
 
 
 @given(st.lists(st.integers(0, 10_000), min_size=1, max_size=12))
@@ -90,3 +90,16 @@ def test_mixed_rows_are_the_taken_copies(docs):
 def test_empty_table(docs):
     assert mix_sizes(docs([]).limit(0)).count() == 0
     assert mix_documents(docs([]).limit(0)).count() == 0
+
+
+def test_cut_in_the_first_fine_part_takes_none_below(spark):
+    # h, size, cut, taken: a first row too long for the cut, a cut at a later part, a cut after the first row
+    cases = [([(5, 100), (1 << 60, 7)], 10, []), ([(5, 4), (3 << 54, 100)], 6, [5]), ([(0, 100)], 10, []),
+             ([(5, 10), (6, 100)], 12, [5])]
+    for hashes, cut, want in cases:
+        rows = spark.createDataFrame([("a", n, h, 0, h >> 54) for h, n in hashes],
+                                     "source string, size long, h long, block int, fine int")
+        draws = spark.createDataFrame([("a", 0, 0, 0, cut)], "source string, block int, copy int, shard int, cut long")
+        out = _with_cut(rows, draws)
+        kept = taken_copies(rows.select("source", rows["h"].alias("_mix_h")), out, 1).where("size(_mix_copies) > 0")
+        assert sorted(r._mix_h for r in kept.collect()) == want

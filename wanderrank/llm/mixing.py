@@ -123,8 +123,8 @@ def plan_mix(rows: DataFrame, shards: int = SHARDS, seed: int = SEED,
              weights: tuple[int, ...] = WEIGHTS, max_copies: int = MAX_COPIES):
     """``rows`` has source, size, h. Returns (targets, draws): ``targets`` has
     one row per source (source, source_size, target); ``draws`` one row per
-    block draw (source, block, copy, shard, cut_h: rows with h above it are
-    left out; null: whole block)."""
+    block draw (source, block, copy, shard, cut_at: rows whose position is above
+    it are left out, or at it if ``cut_open``; null: whole block)."""
     spark = rows.sparkSession
     with_package(spark)
     rows = rows.withColumn("block", _block()).withColumn("fine", _fine())
@@ -193,7 +193,9 @@ def _position(h: Column) -> Column:
 def _with_cut(rows: DataFrame, draws: DataFrame) -> DataFrame:
     """Turn the word count that a partial draw takes into a hash bound. First
     the fine part that holds the bound (a sum per fine part), then, inside that
-    part only, the row: a row is in if its middle word is before the cut."""
+    part only, the row: a row is in if its middle word is before the cut. If no
+    row of the part is, the bound is the part's first hash, left out itself:
+    ``cut_open`` (the first part begins at the least long, nothing is below)."""
     n_cut = draws.where("cut >= 0").count()  # one per source at most
     some = broadcast_if_small(draws.where("cut >= 0").select(
         F.col("source").alias("s"), F.col("block").alias("b"), "cut"), n_cut)
@@ -214,24 +216,26 @@ def _with_cut(rows: DataFrame, draws: DataFrame) -> DataFrame:
     floor = hit.select(F.col("s2").alias("s3"), F.col("b2").alias("b3"), "f2")
     bound = floor.join(last, floor["s3"].eqNullSafe(last["s2"]) & (F.col("b3") == F.col("b2")), "left") \
         .select("s3", "b3", F.coalesce(
-            "p", _position(F.shiftleft(F.col("f2").cast("long"), 54)) - F.lit(1)).alias("cut_at"))
+            "p", _position(F.shiftleft(F.col("f2").cast("long"), 54))).alias("cut_at"),
+            F.col("p").isNull().alias("cut_open"))
     out = draws.join(broadcast_if_small(bound, n_cut), draws["source"].eqNullSafe(F.col("s3"))
                      & (F.col("block") == F.col("b3")) & (F.col("cut") >= 0), "left")
-    return out.select("source", "block", "copy", "shard", "cut_at")
+    return out.select("source", "block", "copy", "shard", "cut_at", "cut_open")
 
 
 def taken_copies(rows: DataFrame, draws: DataFrame, n_draws: int) -> DataFrame:
     """``rows`` (with source, ``_mix_h``) plus ``_mix_copies``: an array of
-    (copy, shard, cut_at), one for each time the mix takes the row. Names
+    (copy, shard, cut_at, cut_open), one for each time the mix takes the row. Names
     starting with ``_mix_`` are reserved."""
     per_block = draws.groupBy(F.col("source").alias("_mix_s"), F.col("block").alias("_mix_b")).agg(
-        F.collect_list(F.struct("copy", "shard", "cut_at")).alias("_mix_d"))  # MAX_COPIES + 1 at most
+        F.collect_list(F.struct("copy", "shard", "cut_at", "cut_open")).alias("_mix_d"))  # MAX_COPIES + 1 at most
     rows = rows.withColumn("_mix_block", _block("_mix_h"))
     out = rows.join(broadcast_if_small(per_block, n_draws), F.col("source").eqNullSafe(F.col("_mix_s"))
                     & (F.col("_mix_block") == F.col("_mix_b")), "left")
     at = _position(F.col("_mix_h"))
-    copies = F.filter(F.coalesce("_mix_d", F.array().cast("array<struct<copy:int,shard:int,cut_at:bigint>>")),
-                      lambda d: d["cut_at"].isNull() | (at <= d["cut_at"]))
+    copies = F.filter(F.coalesce("_mix_d", F.array().cast("array<struct<copy:int,shard:int,cut_at:bigint,cut_open:boolean>>")),
+                      lambda d: d["cut_at"].isNull() | (at < d["cut_at"])
+                      | (~d["cut_open"] & (at == d["cut_at"])))
     return out.withColumn("_mix_copies", copies).drop("_mix_s", "_mix_b", "_mix_d", "_mix_block")
 
 
