@@ -61,3 +61,27 @@ def test_contract(docs, odd_texts):
     assert got[len(odd_texts)].licenses == "CC-BY-4.0" and got[len(odd_texts)].coverage == 1.0
     assert all(got[i].n_licenses == 0 and got[i].coverage == 0.0 for i in range(len(odd_texts)))
     assert L.scan_documents(df.limit(0)).count() == 0
+
+
+def test_versions_and_variants_are_told_apart():
+    assert names("Licensed under the GNU General Public License, version 2.") == ["GPL-2.0"]
+    assert names("Licensed under the GNU General Public License, version 3.0.") == ["GPL-3.0"]
+    assert names("Licensed under the GNU Lesser General Public License, version 2.1.") == ["LGPL-2.1"]
+    assert names("Licensed under the GNU Affero General Public License, version 3.") == ["AGPL-3.0"]
+    notice = L.TEMPLATES["GPL-3.0-notice"][0]
+    assert names(notice) == ["GPL-3.0-notice"]
+    assert names(notice.replace("version 3", "version 2")) == ["GPL-2.0-notice"]
+    assert names(notice.replace("GNU", "GNU Lesser")) == ["LGPL-3.0-notice"]
+    assert names(notice.replace("GNU", "GNU Affero")) == ["AGPL-3.0-notice"]
+    assert names(notice.replace("GNU", "GNU Lesser").replace("version 3", "version 2.1")) == ["LGPL-2.1-notice"]
+    for name in ("ISC-text", "EPL-1.0", "EPL-2.0", "Apache-2.0-notice"):
+        assert names(L.TEMPLATES[name][0]) == [name]
+    assert names("Licensed under the Apache License, Version 2.0. Released under the MIT License") == ["Apache-2.0", "MIT"]
+
+
+def test_notices_back_to_back_are_all_found():
+    for name in ("MIT", "GPL-3.0", "Apache-2.0", "CC-BY-4.0"):
+        line = L.TEMPLATES[name][0] + ". "
+        for before in range(9):
+            hits = L.Scanner(L.TEMPLATES).scan("word " * before + line * 6)
+            assert [(h[0], h[1]) for h in hits] == [(name, 1.0)] * 6, (name, before)
