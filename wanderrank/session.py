@@ -83,6 +83,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), name)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of written intermediates, on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 _SHIPPED: set[str] = set()
 
 
