@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanderrank.session import scratch_path, ship_package
+from wanderrank.session import delete_path, scratch_path, ship_package
 
 # A word is a maximal run of characters outside space and \t \n \v \f \r.
 WORD_JAVA = r"[^\x20\x09-\x0D]+"
@@ -28,11 +28,22 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the cluster's shared checkpoint folder and
-    read it back: cuts the lineage, survives lost executors, stays columnar."""
+    read it back: cuts the lineage, survives lost executors, stays columnar.
+    ``release`` removes the files once the last reader is done."""
     spark = df.sparkSession
     path = scratch_path(spark, f"{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch = path
+    return back
+
+
+def release(*frames: DataFrame) -> None:
+    """Remove the files of ``materialise`` results that nothing reads any more."""
+    for df in frames:
+        if path := getattr(df, "_scratch", None):
+            delete_path(df.sparkSession, path)
+            df._scratch = None
 
 
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:

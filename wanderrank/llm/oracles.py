@@ -46,20 +46,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-NEAR = rf"""
+
+
+def _near(width: int, percent: int, more: str = "") -> str:
+    """Components of the texts linked by the Jaccard similarity of word shingles."""
+    return rf"""
 WITH RECURSIVE
 d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS ws FROM documents),
-g AS (SELECT DISTINCT rid, array_to_string(CASE WHEN len(ws) < 5 THEN ws ELSE ws[i:i + 4] END, ' ') AS g
-      FROM (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+g AS (SELECT DISTINCT rid, array_to_string(CASE WHEN len(ws) < {width} THEN ws ELSE ws[i:i + {width - 1}] END, ' ') AS g
+      FROM (SELECT rid, ws, unnest(range(1, greatest(len(ws) - {width - 1}, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
 n AS (SELECT rid, count(*) AS n FROM g GROUP BY rid),
 o AS (SELECT x.rid AS a, y.rid AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.rid <> y.rid GROUP BY ALL),
-l AS (SELECT a, b FROM o JOIN n x ON x.rid = a JOIN n y ON y.rid = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+l AS (SELECT a, b FROM o JOIN n x ON x.rid = a JOIN n y ON y.rid = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
 reach(a, b) AS (SELECT rid, rid FROM d UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a)
-SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id{more}
 FROM d LEFT JOIN n ON n.rid = d.rid
 JOIN (SELECT reach.a, min(e.doc_id) AS component_id FROM reach JOIN d e ON e.rid = reach.b GROUP BY reach.a) m ON m.a = d.rid
 """
 
+
+NEAR = _near(5, 75)
+MINHASH = _near(3, 85, ", d.doc_id IS NOT DISTINCT FROM m.component_id AS kept")
+
 # CRC-32 of a list of bytes by the usual table, which follows from its rule.
 _CRC = """
 cr(i, c, k) AS (SELECT i, i, 0 FROM range(256) t(i) UNION ALL
@@ -99,12 +107,12 @@ p1 AS (SELECT rid, string_agg(coalesce(ds[xor(pos >> l, 1) + 1], ''), '' ORDER B
        FROM o JOIN up ON up.tree = o.tree AND len(ds) > 1 GROUP BY rid),
 p2 AS (SELECT tree, string_agg(coalesce(ds[xor(tree >> l, 1) + 1], ''), '' ORDER BY l) AS s
        FROM sub, top WHERE len(ds) > 1 GROUP BY tree),
-f1(rid, tree, at, l, h) AS (SELECT rid, tree, pos, 0, changed FROM o UNION ALL
-     SELECT rid, f1.tree, at >> 1, f1.l + 1,
-            sha256(CASE WHEN at % 2 = 1 THEN ds[at] || h ELSE h || coalesce(ds[at + 2], '') END)
+f1(rid, tree, ix, l, h) AS (SELECT rid, tree, pos, 0, changed FROM o UNION ALL
+     SELECT rid, f1.tree, ix >> 1, f1.l + 1,
+            sha256(CASE WHEN ix % 2 = 1 THEN ds[ix] || h ELSE h || coalesce(ds[ix + 2], '') END)
      FROM f1 JOIN up ON up.tree = f1.tree AND up.l = f1.l AND len(ds) > 1),
-f2(rid, at, l, h) AS (SELECT rid, f1.tree, 0, h FROM f1 JOIN sub ON sub.tree = f1.tree AND sub.depth = f1.l UNION ALL
-     SELECT rid, at >> 1, f2.l + 1, sha256(CASE WHEN at % 2 = 1 THEN ds[at] || h ELSE h || coalesce(ds[at + 2], '') END)
+f2(rid, ix, l, h) AS (SELECT rid, f1.tree, 0, h FROM f1 JOIN sub ON sub.tree = f1.tree AND sub.depth = f1.l UNION ALL
+     SELECT rid, ix >> 1, f2.l + 1, sha256(CASE WHEN ix % 2 = 1 THEN ds[ix] || h ELSE h || coalesce(ds[ix + 2], '') END)
      FROM f2 JOIN top ON top.l = f2.l AND len(ds) > 1),
 r AS (SELECT l, ds[1] AS root FROM top WHERE len(ds) = 1)
 SELECT o.doc_id, o.leaf, sub.subroot, r.root, sha256(coalesce(p1.s, '') || coalesce(p2.s, '')) AS proof_sha256,
@@ -113,8 +121,35 @@ FROM o JOIN sub ON sub.tree = o.tree JOIN r ON true JOIN f2 ON f2.rid = o.rid AN
 LEFT JOIN p1 ON p1.rid = o.rid LEFT JOIN p2 ON p2.tree = o.tree
 """
 
+_BYTES = ("flatten(list_transform(string_split({0}, ''), lambda x: CASE WHEN unicode(x) < 128 "
+          "THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, CAST(unicode(x) - 64 AS BIGINT)] END))")
+
+SPELLING = rf"""
+WITH RECURSIVE {_CRC},
+r AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+c AS (SELECT doc_id, run, count(*) AS k, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS keyed FROM r GROUP BY ALL),
+h AS (SELECT run, k, {_crc(_BYTES.format('keyed'))} AS h FROM c, tab),
+e AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM h),
+w AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM e WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+p AS (SELECT word, unnest(range(0, length(word))) AS i FROM w),
+g AS (SELECT word, substr(word, 1, i) || '_' || substr(word, i + 2) AS hole, substr(word, 1, i) || substr(word, i + 2) AS less FROM p),
+near AS (SELECT x.word AS a, y.word AS b FROM g x JOIN g y ON x.hole = y.hole AND x.word <> y.word
+         UNION SELECT word, less FROM g JOIN w USING (word) WHERE less IN (SELECT word FROM w)
+         UNION SELECT less, word FROM g WHERE less IN (SELECT word FROM w)),
+b AS (SELECT a AS word, b AS form, count(*) OVER (PARTITION BY a) AS n_near, w.n AS form_n,
+             row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS rk FROM near JOIN w ON w.word = near.b),
+f AS (SELECT w.word, w.n, CASE WHEN form_n >= 10 * w.n THEN form END AS form, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+             CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n FROM w LEFT JOIN b ON b.word = w.word AND rk = 1),
+t(word, last) AS (SELECT word, word FROM f UNION ALL SELECT t.word, f.form FROM t JOIN f ON f.word = t.last WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, t.last AS root, f.n, f.n_near, f.form_n
+FROM f JOIN t ON t.word = f.word JOIN f z ON z.word = t.last AND z.form IS NULL
+"""
+
 ORACLES: dict[str, str] = {
     "op4_quality": QUALITY,
     "op9_ngram_jaccard": NEAR,
+    "op11_minhash": MINHASH,
     "op12_merkle_manifest": MANIFEST,
+    "op13_spelling_variants": SPELLING,
 }

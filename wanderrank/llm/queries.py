@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wanderrank.llm import (fingerprints, html_extract, licenses, manifest, mixing, ngram_join, pii, quality, secret_scan,
-                            sentencepiece_codec, sharding)
+from wanderrank.llm import (fingerprints, html_extract, licenses, manifest, minhash, mixing, ngram_join, pii, quality, secret_scan,
+                            sentencepiece_codec, sharding, spelling)
 from wanderrank.llm.common import read_table
 from wanderrank.llm.oracles import ORACLES  # noqa: F401
 
@@ -28,5 +28,7 @@ QUERIES = {
     "op8_html": _over("pages", html_extract.extract_pages),
     "op9_ngram_jaccard": _over("documents", ngram_join.near_documents),
     "op10_merkle": _over("documents", fingerprints.fingerprint_documents),
+    "op11_minhash": _over("documents", minhash.near_components),
     "op12_merkle_manifest": _over("documents", manifest.manifest_documents),
+    "op13_spelling_variants": _over("documents", spelling.spelling_variants),
 }

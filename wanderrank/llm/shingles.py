@@ -42,7 +42,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(31))
 
 
-def _block_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+def _block_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
     n_rows, n = len(offsets) - 1, len(data)
     none = np.empty(0, dtype=np.int64)
     if n == 0:
@@ -62,17 +62,17 @@ def _block_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     np.cumsum(_BYTE[data] * up, out=total[1:])
     words = _mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
     bounds = np.searchsorted(s, offsets)
-    m = len(words) - WIDTH + 1
+    m = len(words) - width + 1
     grams = np.zeros(max(m, 0), dtype=np.uint64)
-    for k in range(WIDTH):
+    for k in range(width):
         if m > 0:
             grams = grams * _BASE + words[k:k + m]
-    grams = _mix(grams + _U(WIDTH)).view(np.int64)
+    grams = _mix(grams + _U(width)).view(np.int64)
     out = []
     for i in range(n_rows):
         a, b = int(bounds[i]), int(bounds[i + 1])
-        if b - a >= WIDTH:
-            out.append(np.unique(grams[a:b - WIDTH + 1]))
+        if b - a >= width:
+            out.append(np.unique(grams[a:b - width + 1]))
         elif b > a:  # fewer words: the whole sequence is one shingle
             h = _U(0)
             with np.errstate(over="ignore"):
@@ -84,9 +84,9 @@ def _block_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def shingle_sets(column: pa.Array):
-    """Yield the sorted distinct shingle hashes (int64) of each text; a null is
-    an empty text."""
+def shingle_sets(column: pa.Array, width: int = WIDTH):
+    """Yield the sorted distinct hashes (int64) of each text's shingles of
+    ``width`` words; a null is an empty text."""
     column = pc.fill_null(column, "")
     if pa.types.is_large_string(column.type) or not pa.types.is_string(column.type):
         column = column.cast(pa.string())
@@ -98,7 +98,7 @@ def shingle_sets(column: pa.Array):
         # rows up to the block size, one long row at least
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BLOCK_BYTES, side="right")) - 1)
         end = min(end, len(column))
-        yield from _block_sets(raw[offsets[at]:offsets[end]], offsets[at:end + 1] - offsets[at])
+        yield from _block_sets(raw[offsets[at]:offsets[end]], offsets[at:end + 1] - offsets[at], width)
         at = end
 
 
