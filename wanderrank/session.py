@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on: UTC wall clock so that timestamp_ntz columns,
 # windows and watermarks agree with the oracle, and AQE for runtime
@@ -90,6 +92,42 @@ def delete_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the cluster's shared checkpoint folder and
+    read it back: cuts the lineage, survives lost executors, stays columnar (later
+    readers prune columns and see sizes). ``release`` removes the files once the
+    last reader is done."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch = path
+    return back
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """``materialise`` for ``DataFrame.transform``."""
+    return materialise(df, "saved")
+
+
+def release(*frames: DataFrame) -> None:
+    """Remove the files of ``materialise`` results that nothing reads any more."""
+    for df in frames:
+        if path := getattr(df, "_scratch", None):
+            delete_path(df.sparkSession, path)
+            df._scratch = None
+
+
+# Largest table that a query may broadcast. Callers count rows first.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only when the counted ``rows`` are within ``limit``;
+    a larger side is joined by a shuffle."""
+    return F.broadcast(df) if rows <= limit else df
+
+
 _SHIPPED: set[str] = set()
 
 
