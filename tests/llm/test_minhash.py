@@ -57,7 +57,8 @@ def test_long_lists_squares_and_chunks(docs, monkeypatch):
     near copies whose ends are not linked, all through the second round."""
     for k, v in (("LIST", 2), ("SQUARE", 3)):
         monkeypatch.setattr(M, k, v)
-    monkeypatch.setattr(M.L, "CHUNK", 3)
+    for k, v in (("CHUNK", 3), ("HUBS", 1), ("ROUNDS", 1), ("FEW", 0)):
+        monkeypatch.setattr(M.L, k, v)
     texts = corpus(3, 60, 6)
     w = [f"v{i}" for i in range(140)]
     for k in range(40):  # a window sliding by two words: near neighbours only
@@ -108,10 +109,11 @@ def test_list_stream_over_any_batching(lists, step):
     batches = [pa.RecordBatch.from_arrays([pa.array(c[k:k + step]) for c in cols], names=["key", "rid", "n"])
                for k in range(0, len(rows), step)]
     out = [r for b in M._list_stream(iter(batches)) for r in b.to_pylist()]
+    hubs = lambda ls: sorted(ls)[:M.L.HUBS]
     assert Counter((r["a"], r["b"]) for r in out if not r["long"]) == Counter(
-        (x, y) for ls in lists if len(ls) <= M.LIST for x in ls for y in ls if x < y)
-    assert Counter((r["b"], r["a"], r["hub"]) for r in out if r["long"]) == Counter(
-        (k, x, min(ls)) for k, ls in enumerate(lists) if len(ls) > M.LIST for x in ls)
+        (x, y) for ls in lists if len(ls) <= M.LIST for x in ls for y in ls if x < y) + Counter(
+        (h, x) for ls in lists if len(ls) > M.LIST for h in hubs(ls) for x in ls if x != h)
+    assert Counter((r["b"], r["a"]) for r in out if r["long"]) == Counter((k, x) for k, ls in enumerate(lists) if len(ls) > M.LIST for x in ls)
 
 
 @pytest.mark.parametrize("j", [0.85])
@@ -122,3 +124,18 @@ def test_bands_catch_what_is_linked(j):
         k = int(1000 * (1 - j) / 2)
         b = M.bands(M.sketches([x[:1000 - k], x[k:]]))
         assert (b[0] == b[1]).any()
+
+
+def test_a_large_family_settles_in_rounds(docs):
+    """Near copies of one text, of which only some link with each other: few
+    verified pairs, all of one component that belong to it."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(160):
+        t = list(base)
+        for k in rng.choice(150, int(rng.integers(1, 9)), replace=False):
+            t[k] = f"x{int(rng.integers(0, 10**6))}"
+        texts.append(" ".join(t))
+    rows = list(enumerate(texts))
+    assert Counter(map(tuple, M.near_components(docs([(i, t, "s") for i, t in rows])).collect())) == brute(rows)

@@ -3,20 +3,16 @@
 from __future__ import annotations
 
 import ctypes
-import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wanderrank.session import delete_path, scratch_path, ship_package
+from wanderrank.session import BROADCAST_ROWS, broadcast_if_small, materialise, release, ship_package  # noqa: F401
 
 # A word is a maximal run of characters outside space and \t \n \v \f \r.
 WORD_JAVA = r"[^\x20\x09-\x0D]+"
 
-# Largest table that a query may broadcast. Callers count rows first.
-BROADCAST_ROWS = 200_000
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,32 +22,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet below the cluster's shared checkpoint folder and
-    read it back: cuts the lineage, survives lost executors, stays columnar.
-    ``release`` removes the files once the last reader is done."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{spark.sparkContext.applicationId}-{name}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    back._scratch = path
-    return back
-
-
-def release(*frames: DataFrame) -> None:
-    """Remove the files of ``materialise`` results that nothing reads any more."""
-    for df in frames:
-        if path := getattr(df, "_scratch", None):
-            delete_path(df.sparkSession, path)
-            df._scratch = None
-
-
-def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the counted ``rows`` are within ``limit``;
-    a larger side is joined by a shuffle."""
-    return F.broadcast(df) if rows <= limit else df
-
-
 # Rows of an Arrow batch at most: texts can be long, and an executor's memory
 # holds a batch per Python worker more than once.
 ARROW_ROWS = 2_000

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wanderrank.llm.common import materialise
+from wanderrank.llm.common import materialise, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,14 +35,21 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: long); root is the
     smallest node that links reach."""
     edges = materialise(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    if edges.isEmpty():
+        release(edges)
+        return edges.sparkSession.createDataFrame([], "node long, root long")
     sign = None
     while True:
-        edges = materialise(_small_star(_large_star(edges)), "stars")
+        last, edges = edges, materialise(_small_star(_large_star(edges)), "stars")
+        release(last)
         # sums of hashes: equal for equal edge sets
         r = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if not r["n"] or sign == (r["n"], r["h"]):
             break
         sign = (r["n"], r["h"])
+    # the result reads the last round only; its files go with ``release`` of the result
     leaves = edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root"))
     roots = edges.select(F.least("a", "b").alias("node")).distinct().select("node", F.col("node").alias("root"))
-    return leaves.unionAll(roots)
+    out = leaves.unionAll(roots)
+    out._scratch = edges._scratch
+    return out

@@ -14,7 +14,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wanderrank.llm.common import broadcast_if_small, materialise, release, shuffle_partitions, trim_memory
@@ -28,6 +28,10 @@ def digest(a: np.ndarray) -> bytes:
     return hashlib.blake2b(a.tobytes(), digest_size=16).digest()
 
 
+def no_pairs(spark) -> DataFrame:
+    return spark.createDataFrame([], "a long, b long")
+
+
 def text_key(text):
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
@@ -46,6 +50,9 @@ def verify(documents: DataFrame, classes: DataFrame, pairs: DataFrame, width: in
     on whole sets. ``documents``: doc_id, text."""
     parts = shuffle_partitions(documents.sparkSession)
     pairs = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "verify")
+    if pairs.isEmpty():
+        release(pairs)
+        return no_pairs(pairs.sparkSession)
     hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("k"))
     hubs = materialise(hubs, "hubs")
     n_hubs = hubs.count()
@@ -116,14 +123,137 @@ def rooted(df: DataFrame, found: DataFrame, col: str, out: str) -> DataFrame:
     return df.join(r, col, "left").withColumn(out, F.coalesce("_r", col)).drop("_r")
 
 
+def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near) -> DataFrame:
+    """Pairs (a, b) of different roots inside each list of ``lists`` (keys, rid,
+    root, ``carry``). A list is dealt in squares of ``side`` x ``side`` members, so no
+    task holds more than one of them. ``near(x, y)``: the matrix of pairs that may
+    link, from the columns of both sides."""
+    parts = shuffle_partitions(lists.sparkSession)
+    if lists.isEmpty():
+        return no_pairs(lists.sparkSession)
+    sizes = materialise(lists.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / side).cast("int").alias("_w")), "sizes")
+    met = lists.join(broadcast_if_small(sizes, sizes.count()), keys).withColumn("_at", F.pmod(F.xxhash64("rid"), F.col("_w")).cast("int"))
+    # a member's block is one side of every square that it takes part in
+    dealt = met.select(*keys, "rid", "root", *carry, F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("_w") - 1),
+        lambda o: F.struct(F.least("_at", o).alias("_x"), F.greatest("_at", o).alias("_y"), (F.col("_at") > o).cast("int").alias("_side")))).alias("_q")) \
+        .select(*keys, "_q.*", "rid", "root", *carry)
+    at = [*keys, "_x", "_y"]
+
+    def run(batches):
+        def work(t):
+            rows = {c: t.column(c).to_numpy() for c in ("rid", "root", *carry)}
+            if (rows["root"] == rows["root"][0]).all():
+                return
+            which = t.column("_side").to_numpy()
+            same = t.column("_x")[0].as_py() == t.column("_y")[0].as_py()
+            x, y = ({c: v[which == k] for c, v in rows.items()} for k in (0, 0 if same else 1))
+            ok = x["root"][:, None] != y["root"][None, :]
+            if same:
+                ok &= x["rid"][:, None] < y["rid"][None, :]
+            i, j = np.nonzero(ok & near(x, y))
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(x["rid"][i]), pa.array(y["rid"][j])], names=["a", "b"])
+
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            t = t.combine_chunks()
+            if t.num_rows == 0:
+                continue
+            differs = np.zeros(t.num_rows - 1, dtype=bool)
+            for c in at:
+                x = t.column(c).to_numpy()
+                differs |= x[1:] != x[:-1]
+            cut = np.r_[0, np.flatnonzero(differs) + 1]
+            for p, q in zip(cut[:-1], cut[1:]):
+                yield from work(t.slice(p, q - p))
+            held = t.slice(cut[-1])
+        if held is not None and held.num_rows:
+            yield from work(held)
+        trim_memory()
+
+    found = dealt.repartition(parts, *at).sortWithinPartitions(*at).mapInArrow(run, "a long, b long").distinct()
+    found = materialise(found, "squares")
+    release(sizes)
+    return found
+
+
+HUBS = 8             # members of a long list that all others are compared with in a round
+ROUNDS = 3           # such rounds at most; then every pair that is left
+FEW = 16             # pairs of different roots a member that are compared at once
+
+
+def mixed_lists(lists: DataFrame) -> DataFrame:
+    """lists (key, root, ..) -> (key, big, many) of the lists that hold several roots:
+    the most frequent one, and whether there are more than ``FEW`` pairs of
+    different roots for each member."""
+    sizes = lists.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
+        F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("q"), F.max_by("root", "c").alias("big"))
+    return sizes.where("m * m > q").select("key", "big", (F.col("m") * F.col("m") - F.col("q") > 2 * FEW * F.col("m")).alias("many"))
+
+
+def _against(rows: DataFrame, hubs: DataFrame, carry: list[str], reach) -> DataFrame:
+    """Pairs of ``rows`` with the ``hubs`` of their list, of different roots within reach."""
+    hubs = materialise(hubs.select("key", *[F.col(c).alias(f"h_{c}") for c in ("rid", "root", *carry)]), "list-hubs")
+    pairs = (rows.join(broadcast_if_small(hubs, hubs.count()), "key").where("root <> h_root").where(reach())
+             .select(F.col("rid").alias("a"), F.col("h_rid").alias("b")))
+    pairs._scratch = hubs._scratch
+    return pairs
+
+
+def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: DataFrame, carry: list[str],
+           reach, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rounds of stars over the long lists (key, rid, ``carry``) that still hold many
+    pairs of different roots: each time ``HUBS`` members, another choice but the same
+    in all lists that share them, are compared with the members of other roots. A
+    family of near copies falls into few components this way, without its pairs.
+    ``reach(c)``: whether a row and a hub (columns ``h_..``) may link.
+
+    -> (node, root) after the rounds; the pairs left in lists with few: their members
+    outside the most frequent root, about 2 * ``FEW`` of them, with all others; and
+    the lists (key, rid, root, ``carry``) that still hold many."""
+    for r in range(ROUNDS + 1):
+        at = materialise(rooted(lists, found, "rid", "root"), "rooted-lists")
+        mixed = materialise(mixed_lists(at), "mixed")
+        n_mixed = mixed.count()
+        if n_mixed == 0:
+            release(at, mixed)
+            return found, no_pairs(at.sparkSession), at.limit(0)
+        left = at.join(broadcast_if_small(mixed, n_mixed), "key")
+        if r == ROUNDS or mixed.where("many").isEmpty():
+            left = materialise(left, "mixed-lists")
+            few = left.where("not many")
+            pairs = _against(few, few.where("root <> big"), carry, reach)
+            last = materialise(pairs.distinct(), "few")
+            many = materialise(left.where("many").select("key", "rid", "root", *carry), "many")
+            release(at, mixed, left, pairs)
+            return found, last, many
+        many = left.where("many")
+        w = Window.partitionBy("key").orderBy(F.xxhash64("rid", F.lit(r)), "rid")
+        star = _against(many, many.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= HUBS), carry, reach)
+        links = verify(documents, classes, star, width, percent)
+        joined = components(rooted(rooted(links, found, "a", "ra"), found, "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
+        # roots move; a class that was alone has no row in ``found`` yet
+        moved = rooted(found.withColumnRenamed("root", "_old"), joined.select("node", "root"), "_old", "root").select("node", "root")
+        new = joined.join(found.select("node"), "node", "left_anti").select("node", "root")
+        last, found = found, materialise(moved.unionAll(new), "rooted")
+        release(at, mixed, star, links, joined, last)
+
+
 def joined_roots(classes: DataFrame, first: DataFrame, more: DataFrame) -> DataFrame:
     """classes -> (d, root): the components of the first round, joined by the links
     ``more`` between them."""
     between = rooted(rooted(more, first, "a", "ra"), first, "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    second = materialise(components(between), "round-2")
+    second = components(between)
+    if not hasattr(second, "_scratch"):  # nothing was joined
+        return materialise(rooted(classes.select("d", "low", "rid"), first, "rid", "root").select("d", "low", "root"), "roots")
     final = rooted(classes.select("d", "low", "rid"), first, "rid", "r1")
-    return final.join(second.select(F.col("node").alias("r1"), F.col("root").alias("_r2")), "r1", "left") \
+    out = final.join(second.select(F.col("node").alias("r1"), F.col("root").alias("_r2")), "r1", "left") \
         .withColumn("root", F.coalesce("_r2", "r1")).select("d", "low", "root")
+    out = materialise(out, "roots")
+    release(second)
+    return out
 
 
 def with_components(sets: DataFrame, roots: DataFrame) -> DataFrame:

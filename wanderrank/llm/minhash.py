@@ -12,12 +12,12 @@
    with probability 2e-9 (J = 0.9: 1e-14).
 4. Bands are dealt by value and read in order, so a band's list is met as a
    stream. Lists of up to ``LIST`` classes give their pairs (sizes within reach).
-   Members of longer lists are first compared with the list's first member; after
-   the components of that round, only long lists that still join different
-   components go on: members must agree in a second long list as well (linked
-   sets share just one band with probability under 1e-7), and the lists of such
-   double keys are dealt in squares of ``SQUARE`` x ``SQUARE`` members, pairs of
-   different components only.
+   Members of longer lists are first compared with the list's first members. Long
+   lists that still hold many pairs of different components go through further
+   rounds of stars (``links.settle``). What is left is compared pair by pair, of
+   different components only; in lists that still have many such pairs, members
+   must agree in a second one as well (linked sets share just one band with
+   probability under 1e-7), and these are dealt in squares of ``SQUARE`` members.
 5. Every candidate is verified on whole sets.
 
 Defined results: a null or word-free text has an empty set, links with nothing
@@ -140,29 +140,35 @@ def _reach(a, b):
 
 
 def _list_stream(batches):
-    """Rows (key, rid, n) in order of (key, rid) -> candidate pairs (long false) of
-    lists up to LIST, and rows (long true: a = rid, b = key, n, hub = the list's
-    first rid, hub_n) of longer ones. Holds at most LIST rows between batches."""
+    """Rows (key, rid, n) in order of (key, rid) -> candidate pairs (long false: a, b)
+    of lists up to LIST and of longer lists' members with their first HUBS rows, and
+    rows (long true: a = rid, b = key, n) of longer ones. Holds at most LIST rows
+    and HUBS hubs between batches."""
     held = None
-    running = None  # (key, hub, hub_n) of a list known to be long
+    running = None  # (key, hubs, their n) of a list known to be long
 
-    def record(is_long, a, b, n, hub, hub_n):
+    def record(is_long, a, b, n):
         k = len(a)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(k, is_long)), pa.array(a), pa.array(b), pa.array(n.astype(np.int32)),
-             pa.array(np.broadcast_to(hub, k).astype(np.int64)), pa.array(np.broadcast_to(hub_n, k).astype(np.int32))],
-            names=["long", "a", "b", "n", "hub", "hub_n"])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(k, is_long)), pa.array(a), pa.array(b), pa.array(np.broadcast_to(n, k).astype(np.int32))],
+                                          names=["long", "a", "b", "n"])
+
+    def star(key, rid, n, hubs, hub_n):
+        yield record(True, rid, key, n)
+        for h, m in zip(hubs, hub_n):
+            ok = (rid != h) & _reach(n, m)
+            if ok.any():
+                yield record(False, np.full(int(ok.sum()), h), rid[ok], 0)
 
     def whole(key, rid, n):
         if len(key) == 0:
             return
         cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
         size = np.diff(cut)
-        wide, first = np.repeat(size, size), np.repeat(cut[:-1], size)
-        many = wide > LIST
-        if many.any():
-            yield record(True, rid[many], key[many], n[many], rid[first[many]], n[first[many]])
-        some = (wide > 1) & ~many
+        for k in np.flatnonzero(size > LIST):
+            x, y = cut[k], cut[k + 1]
+            yield from star(key[x:y], rid[x:y], n[x:y], rid[x:min(y, x + L.HUBS)], n[x:min(y, x + L.HUBS)])
+        wide = np.repeat(size, size)
+        some = (wide > 1) & (wide <= LIST)
         key, rid, n = key[some], rid[some], n[some]
         for k in range(1, LIST):
             i = np.flatnonzero(key[k:] == key[:-k])
@@ -170,8 +176,7 @@ def _list_stream(batches):
                 return
             i = i[_reach(n[i], n[i + k])]
             if len(i):
-                a, b = np.minimum(rid[i], rid[i + k]), np.maximum(rid[i], rid[i + k])
-                yield record(False, a, b, n[i], 0, 0)
+                yield record(False, np.minimum(rid[i], rid[i + k]), np.maximum(rid[i], rid[i + k]), 0)
 
     for b in batches:
         rows = [b.column(c).to_numpy() for c in ("key", "rid", "n")]
@@ -180,8 +185,7 @@ def _list_stream(batches):
         if running is not None and len(rows[0]):
             more = int(np.searchsorted(rows[0], running[0], side="right"))
             if more:
-                key, rid, n = (x[:more] for x in rows)
-                yield record(True, rid, key, n, *running[1:])
+                yield from star(*(x[:more] for x in rows), *running[1:])
                 rows = [x[more:] for x in rows]
         if len(rows[0]) == 0:
             continue
@@ -190,8 +194,8 @@ def _list_stream(batches):
         yield from whole(*(x[:tail] for x in rows))
         last = [x[tail:] for x in rows]
         if len(last[0]) > LIST:
-            running = (last[0][0], last[1][0], last[2][0])
-            yield record(True, last[1], last[0], last[2], *running[1:])
+            running = (last[0][0], last[1][:L.HUBS].copy(), last[2][:L.HUBS].copy())
+            yield from star(*last, *running[1:])
         else:
             held = last
     if held is not None:
@@ -209,63 +213,23 @@ def candidates(sets: DataFrame, classes: DataFrame) -> DataFrame:
     keys = (sets.where("n > 0").select("rid", "n", "keys").join(broadcast_if_small(copies, k), "rid", "left_anti")
             .select(F.explode("keys").alias("key"), "rid", "n"))
     out = (keys.repartition(parts, "key").sortWithinPartitions("key", "rid")
-           .mapInArrow(_list_stream, "long boolean, a long, b long, n int, hub long, hub_n int"))
+           .mapInArrow(_list_stream, "long boolean, a long, b long, n int"))
     return materialise(out, "band-lists")
 
 
-def _squares(batches):
-    """Rows (key, key2, x, y, side, rid, n, root) of one square after the other ->
-    pairs of different roots within reach."""
-    held = None
-
-    def work(t):
-        side, rid, n, root = (t.column(c).to_numpy(zero_copy_only=False) for c in ("side", "rid", "n", "root"))
-        x, y = t.column("x")[0].as_py(), t.column("y")[0].as_py()
-        i, j = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if x == y else 1))
-        for k in i:
-            far = j[(root[j] != root[k]) & _reach(n[j], n[k]) & ((x != y) | (rid[j] > rid[k]))]
-            if len(far):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(far), rid[k])), pa.array(rid[far])], names=["a", "b"])
-
-    def ids(t):
-        return [t.column(c).to_numpy(zero_copy_only=False) for c in ("key", "key2", "x", "y")]
-
-    for b in batches:
-        t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])]).combine_chunks()
-        if t.num_rows == 0:
-            continue
-        cols = ids(t)
-        differs = np.zeros(t.num_rows - 1, dtype=bool)
-        for c in cols:
-            differs |= c[1:] != c[:-1]
-        cut = np.r_[0, np.flatnonzero(differs) + 1]
-        for p, q in zip(cut[:-1], cut[1:]):
-            yield from work(t.slice(p, q - p))
-        held = t.slice(cut[-1])
-    if held is not None and held.num_rows:
-        yield from work(held)
-    trim_memory()
+def _near(x, y):
+    return _reach(x["n"][:, None], y["n"][None, :])
 
 
-def across(lists: DataFrame) -> DataFrame:
-    """lists (key, rid, n, root) of long lists that hold several roots -> candidate
-    pairs (a, b) of different roots that agree in two such lists."""
-    parts = shuffle_partitions(lists.sparkSession)
-    second = lists.select(F.col("rid").alias("_rid"), F.col("key").alias("key2"))
-    both = lists.join(second, (F.col("rid") == F.col("_rid")) & (F.col("key") < F.col("key2"))).select("key", "key2", "rid", "n", "root")
+def across(many: DataFrame) -> DataFrame:
+    """lists (key, rid, n, root) -> candidate pairs (a, b) of different roots that agree
+    in two lists."""
+    if many.isEmpty():
+        return L.no_pairs(many.sparkSession)
+    second = many.select(F.col("rid").alias("_rid"), F.col("key").alias("key2"))
+    both = many.join(second, (F.col("rid") == F.col("_rid")) & (F.col("key") < F.col("key2"))).select("key", "key2", "rid", "n", "root")
     both = materialise(both, "double-keys")
-    mixed = (both.groupBy("key", "key2").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("m"))
-             .where("lo <> hi").select(F.col("key").alias("_k"), F.col("key2").alias("_k2"), F.ceil(F.col("m") / SQUARE).cast("int").alias("w")))
-    met = both.join(mixed, (F.col("key") == F.col("_k")) & (F.col("key2") == F.col("_k2"))) \
-        .withColumn("at", F.pmod(F.xxhash64("rid"), F.col("w")).cast("int"))
-    # a member's block is one side of every square it takes part in
-    squares = met.select("key", "key2", "rid", "n", "root", F.explode(F.transform(
-        F.sequence(F.lit(0), F.col("w") - 1),
-        lambda o: F.struct(F.least("at", o).alias("x"), F.greatest("at", o).alias("y"), (F.col("at") > o).cast("int").alias("side")))).alias("q")) \
-        .select("key", "key2", "q.*", "rid", "n", "root")
-    pairs = (squares.repartition(parts, "key", "key2", "x", "y").sortWithinPartitions("key", "key2", "x", "y")
-             .mapInArrow(_squares, "a long, b long"))
-    pairs = materialise(pairs, "across")
+    pairs = L.squares(both, ["key", "key2"], SQUARE, ["n"], _near)
     release(both)
     return pairs
 
@@ -278,15 +242,16 @@ def near_components(documents: DataFrame) -> DataFrame:
     sets = materialise(document_sets(documents), "sketches")
     classes = materialise(L.equal_sets(sets), "classes")
     found = candidates(sets, classes)
-    lists = found.where("long").select(F.col("b").alias("key"), F.col("a").alias("rid"), "n", "hub", "hub_n")
-    star = lists.where((F.col("rid") != F.col("hub"))
-                       & (100 * F.least("n", "hub_n") >= SIMILAR * F.greatest("n", "hub_n"))) \
-        .select(F.col("hub").alias("a"), F.col("rid").alias("b"))
-    pairs = found.where("not long").select("a", "b")
-    first = materialise(components(L.verify(documents, classes, pairs.unionAll(star), WIDTH, SIMILAR)), "round-1")
-    at = materialise(L.rooted(lists.select("rid", "key", "n"), first, "rid", "root"), "rooted-lists")
-    mixed = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    more = L.verify(documents, classes, across(at.join(mixed, "key")), WIDTH, SIMILAR)
-    done = L.with_components(sets.select("doc_id", "n", "d"), L.joined_roots(classes, first, more))
+    pairs = L.verify(documents, classes, found.where("not long").select("a", "b"), WIDTH, SIMILAR)
+    stars = components(pairs)
+    first = materialise(stars, "rooted")
+    lists = found.where("long").select(F.col("b").alias("key"), F.col("a").alias("rid"), "n")
+    near = lambda: 100 * F.least("n", "h_n") >= SIMILAR * F.greatest("n", "h_n")
+    first, few, many = L.settle(documents, classes, lists, first, ["n"], near, WIDTH, SIMILAR)
+    double = across(many)
+    more = L.verify(documents, classes, few.unionAll(double), WIDTH, SIMILAR)
+    roots = L.joined_roots(classes, first, more)
+    release(found, stars, pairs, few, many, double, more, first, classes)
+    done = L.with_components(sets.select("doc_id", "n", "d"), roots)
     return done.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id",
                        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
