@@ -115,16 +115,3 @@ def test_stream_metric_windows_append(spark):
     got = {r.window_start: (r.invocations, r.errors) for r in spark.sql("SELECT * FROM wr_mw").collect()}
     # every closed 5-minute period has 5 invocations; the last one is still open
     assert len(got) == 5 and all(v[0] == 5 for v in got.values())
-
-
-def test_upsert_stream_last_write_wins(spark):
-    src, table = tempfile.mkdtemp(prefix="wr-usrc-"), tempfile.mkdtemp(prefix="wr-utab-")
-    schema = "pk string, ts long, v string"
-    stream = (spark.readStream.schema(schema).option("recursiveFileLookup", True)
-              .option("maxFilesPerTrigger", 1).parquet(src))
-    spark.createDataFrame([("a", 1, "a1"), ("b", 1, "b1")], schema).write.parquet(os.path.join(src, "1"))
-    spark.createDataFrame([("a", 2, "a2"), ("c", 1, "c1"), ("b", 0, "old")], schema).write.parquet(os.path.join(src, "2"))
-    q = ING.start_upsert_stream(spark, stream, table, ["pk"], ["ts"], tempfile.mkdtemp(prefix="wr-uck-"))
-    q.awaitTermination(120)
-    got = {r.pk: r.v for r in ING.latest_version(spark, table).collect()}
-    assert got == {"a": "a2", "b": "b1", "c": "c1"}

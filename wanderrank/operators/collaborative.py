@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from wanderrank.functions.scalar import clip_rating, exact_avg, first_present
 from wanderrank.operators.indexing import index_by
+from wanderrank.operators.innerproduct import top_inner_products
 
 SCORE_CANDIDATES = ["final_score", "score", "total_score"]
 
@@ -215,70 +216,17 @@ def _augmented(parts: dict):
     return users, items
 
 
-def _topk_scores(key, u, it):
-    import numpy as np
-    import pandas as pd
-    if u.empty or it.empty:
-        return pd.DataFrame({"user_id": u["user_id"].iloc[:0], "item_id": it["i_id"].iloc[:0],
-                             "pred": pd.Series([], dtype="float64")})
-    um = np.stack(u["vec"].to_numpy())
-    im = np.stack(it["i_vec"].to_numpy())
-    iid = it["i_id"].to_numpy()
-    pred = np.clip(um @ im.T, 0.0, 5.0)
-    from wanderrank.operators.topk import topk_rows
-    r, c = topk_rows(pred, iid, u["k"].to_numpy())
-    return pd.DataFrame({"user_id": u["user_id"].to_numpy()[r], "item_id": iid[c], "pred": pred[r, c]})
-
-
 def cf_recommend_factorized(parts: dict, requests: DataFrame, items: DataFrame, train: DataFrame,
                             block_rows: int = 4096) -> DataFrame:
     """cf_recommend with a factor model: per request the ``top_n`` unseen
     catalogue items by predicted score (clipped to 0..5, ties by item id),
-    ``cf_score`` rounded to 4.
-
-    Exact without pairing all users with all items in one place: user and
-    item blocks meet in cogroup tasks that keep, per user, the best
-    ``top_n + seen`` items of their item block (a user's seen items can take
-    at most ``seen`` places), then the blocks are merged and the seen items
-    removed.
-    """
-    import math
-    from pyspark.sql import Window
-    from wanderrank.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(requests.sparkSession)
-    from wanderrank.session import ship_package
-    ship_package(requests.sparkSession)
-    seen = train.select("user_id", "item_id").distinct()
-    n_seen = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("_s"))
+    ``cf_score`` rounded to 4. Exact; a user meets only item blocks whose bound
+    reaches its ``top_n``-th score (``operators.innerproduct``)."""
+    zeros = F.array_repeat(F.lit(0.0), parts["rank"])
     uvec, ivec = _augmented(parts)
-    req = (requests.select("user_id", "top_n").join(n_seen, "user_id", "left")
-           .withColumn("k", F.col("top_n") + F.coalesce("_s", F.lit(0)))
-           .join(uvec, "user_id", "left")
-           .withColumn("vec", F.coalesce("vec", F.concat(F.array(F.lit(parts["global"]), F.lit(1.0)),
-                                                        F.array_repeat(F.lit(0.0), parts["rank"]))))
-           .checkpoint())
-    cat = (items.select("item_id").join(ivec, "item_id", "left")
-           .withColumn("vec", F.coalesce("vec", F.concat(F.array(F.lit(1.0), F.lit(0.0)),
-                                                        F.array_repeat(F.lit(0.0), parts["rank"]))))
-           .checkpoint())
-    ub = max(1, math.ceil(req.count() / block_rows))
-    ib = max(1, math.ceil(cat.count() / block_rows))
-    u = (req.select("user_id", "k", "vec", F.pmod(F.xxhash64("user_id"), F.lit(ub)).cast("int").alias("ub"))
-         .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(ib - 1)))))
-    it = (cat.select(F.col("item_id").alias("i_id"), F.col("vec").alias("i_vec"),
-                     F.pmod(F.xxhash64("item_id"), F.lit(ib)).cast("int").alias("i_ib"))
-          .withColumn("i_ub", F.explode(F.sequence(F.lit(0), F.lit(ub - 1)))))
-    uid_t = req.schema["user_id"].dataType.simpleString()
-    iid_t = cat.schema["item_id"].dataType.simpleString()
-    from wanderrank.operators.topk import block_tasks
-    n = block_tasks(requests.sparkSession, ub * ib)
-    u, it = u.repartition(n, "ub", "ib"), it.repartition(n, "i_ub", "i_ib")
-    scored = (u.groupBy("ub", "ib").cogroup(it.groupBy("i_ub", "i_ib"))
-              .applyInPandas(_topk_scores, f"user_id {uid_t}, item_id {iid_t}, pred double"))
-    unseen = scored.join(seen, ["user_id", "item_id"], "left_anti")
-    w = Window.partitionBy("user_id").orderBy(F.col("pred").desc(), F.col("item_id").asc())
-    top = (unseen.withColumn("rank", F.row_number().over(w))
-           .join(req.select("user_id", "top_n"), "user_id")
-           .filter(F.col("rank") <= F.col("top_n")))
+    users = (requests.select("user_id", "top_n").join(uvec, "user_id", "left").select(
+        "user_id", "top_n", F.coalesce("vec", F.concat(F.array(F.lit(parts["global"]), F.lit(1.0)), zeros)).alias("vec")))
+    cat = (items.select("item_id").join(ivec, "item_id", "left").select(
+        "item_id", F.coalesce("vec", F.concat(F.array(F.lit(1.0), F.lit(0.0)), zeros)).alias("vec")))
+    top = top_inner_products(users, cat, train.select("user_id", "item_id").distinct(), block_rows)
     return top.select("user_id", "rank", "item_id", F.round("pred", 4).alias("cf_score"))

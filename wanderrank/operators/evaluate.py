@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from wanderrank.functions.scalar import first_present
 from wanderrank.operators import ranking as R
 from wanderrank.operators.collaborative import SCORE_CANDIDATES
-from wanderrank.session import ensure_checkpoint_dir
+from wanderrank.session import saved
 
 
 def sample_users(train: DataFrame, n: int = 50, seed: int = 42) -> DataFrame:
@@ -50,9 +50,8 @@ def eval_precision_coverage(train: DataFrame, items: DataFrame, sample: int | No
     """One row: precision_at_5, coverage (distinct recommended / catalogue
     rows), users_evaluated (rounded 4). ``sample=None``: every user (the
     source system takes 50)."""
-    ensure_checkpoint_dir(train.sparkSession)
     users = (train.select("user_id").distinct() if sample is None
-             else sample_users(train, sample, seed)).checkpoint()
+             else sample_users(train, sample, seed)).transform(saved)
     if holdout == "last":
         ids = [F.col("interaction_id").desc()] if "interaction_id" in train.columns else []
         tw = Window.partitionBy("user_id").orderBy(F.col("ts").desc(), F.col("item_id").desc(), *ids)
@@ -64,7 +63,7 @@ def eval_precision_coverage(train: DataFrame, items: DataFrame, sample: int | No
         truth = nlargest_true(train, users, k)
     # read twice below: written once
     recs = R.recommend_batch(users.withColumn("top_n", F.lit(k)), train, items, max_top_n=None) \
-        .select("user_id", "item_id").checkpoint()
+        .select("user_id", "item_id").transform(saved)
     hits = intersect_hits(recs, truth)
     n_cat = items.select(F.count(F.lit(1))).scalar()
     per_user = users.join(hits, "user_id", "left").select(

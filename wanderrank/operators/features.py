@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from wanderrank.functions import scalar as S
 from wanderrank.functions import scores
 from wanderrank.operators import aggregate as A
-from wanderrank.session import ensure_checkpoint_dir
+from wanderrank.operators.indexing import index_by
+from wanderrank.session import saved
 
 USER_FILLS = {
     "total_interactions": 0, "avg_score": 0.0, "total_book": 0, "total_review": 0,
@@ -55,8 +56,7 @@ def _join_small(df: DataFrame, table: DataFrame, on, how: str = "left") -> DataF
     up to ``SMALL_ROWS`` labels it is broadcast and the wide side is not
     exchanged. With more labels both sides are shuffled, and AQE splits the
     partitions of hot labels."""
-    ensure_checkpoint_dir(df.sparkSession)
-    table = table.checkpoint()
+    table = table.transform(saved)
     small = table.count() <= SMALL_ROWS
     return df.join(F.broadcast(table) if small else table, on, how)
 
@@ -64,9 +64,8 @@ def _join_small(df: DataFrame, table: DataFrame, on, how: str = "left") -> DataF
 def label_classes(items: DataFrame, price: str = "price") -> DataFrame:
     """One row per (category, province): lowest and highest price, item count.
     Written once; statistics and label counts of either column are sums of it."""
-    ensure_checkpoint_dir(items.sparkSession)
     return items.groupBy("category", "province").agg(
-        F.min(price).alias("lo"), F.max(price).alias("hi"), F.count(F.lit(1)).alias("n")).checkpoint()
+        F.min(price).alias("lo"), F.max(price).alias("hi"), F.count(F.lit(1)).alias("n")).transform(saved)
 
 
 def group_minmax(df: DataFrame, by: str, col: str, out: str, stats: DataFrame | None = None) -> DataFrame:
@@ -94,13 +93,11 @@ def window_minmax(df: DataFrame, by: str, col: str, out: str) -> DataFrame:
 
 
 def _label_table(counts: DataFrame, order: str) -> DataFrame:
-    """(_label, _n) -> (_label, _idx). One row per distinct label; ranking them
-    is the one single-task step (its size is the label count)."""
-    if order == "frequencyDesc":
-        w = Window.orderBy(F.col("_label").isNull(), F.col("_n").desc(), F.col("_label").asc())
-    else:
-        w = Window.orderBy(F.col("_label").isNull(), F.col("_label").asc())
-    return counts.select("_label", (F.row_number().over(w) - 1).cast("double").alias("_idx"))
+    """(_label, _n) -> (_label, _idx): a distributed sort numbers the labels, so
+    their number is not bounded by one task."""
+    by = [F.col("_n").desc()] if order == "frequencyDesc" else []
+    ranked = index_by(counts.withColumn("_null", F.col("_label").isNull()), "_null", *by, F.col("_label").asc(), out="_pos")
+    return ranked.select("_label", (F.col("_pos") - 1).cast("double").alias("_idx"))
 
 
 def index_category(df: DataFrame, col: str, out: str, order: str = "frequencyDesc",

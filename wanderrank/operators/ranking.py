@@ -16,18 +16,11 @@ Per request (user, top_n, favourites, preferences) the reference ranks:
 
 Because every non-cb unseen item has the same score, the answer only needs
 the cb items plus the first ``top_n`` non-excluded items in id order. Those
-are found without pairing users with the whole catalogue:
-
-* no filter: items get consecutive positions by id (``index_by``); a user
-  with ``e`` excluded items (seen + cb) takes positions ``1 .. top_n + e``
-  (``explode(sequence)`` + equi-join), drops the excluded, keeps ``top_n``:
-  ``sum(top_n) + |seen| + |cb|`` rows in total;
-* filter (a budget-only filter at or above the top price passes everything
-  and takes the unfiltered path): a per-class (category x province) minimum-price table says whether
-  anything can pass at all; users for whom something can are scanned over the
-  same id positions in widening windows until ``top_n`` passing, non-excluded
-  items are found (``_scan_filtered``): work proportional to the depth of the
-  answer in the id order, never a user x catalogue product.
+are found without pairing users with the whole catalogue
+(``operators.filtered``): a request with ``e`` excluded items (seen + cb) reads
+``top_n + e`` ids from packed rows of the id order, or, with a filter (a
+budget-only filter at or above the top price passes everything and counts as
+none), that many of each dyadic block of its classes' price orders.
 """
 
 from __future__ import annotations
@@ -38,8 +31,8 @@ from pyspark.sql import functions as F
 from wanderrank.functions.scalar import round4
 from wanderrank.functions.scores import adaptive_weights
 from wanderrank.operators import collaborative as CF
-from wanderrank.operators.indexing import index_by
-from wanderrank.session import ensure_checkpoint_dir
+from wanderrank.operators.filtered import first_by_id, first_ids, passing_candidates
+from wanderrank.session import materialise, saved
 
 TOP_N_DEFAULT = 10
 TOP_N_MAX = 20
@@ -64,7 +57,7 @@ def normalize_requests(requests: DataFrame, mode: str = "clamp",
 
     top_n = F.coalesce(opt("top_n", F.lit(None)).cast("int"), F.lit(TOP_N_DEFAULT))
     df = requests.select(
-        F.col("user_id"),
+        F.col("user_id"), *[c for c in ("owner",) if c in requests.columns],
         top_n.alias("top_n"),
         opt("favorites", F.lit(None).cast("array<string>")).alias("favorites"),
         opt("categories", F.lit(None).cast("array<string>")).alias("categories"),
@@ -119,89 +112,15 @@ def minmax_per_user(df: DataFrame, col: str, out: str, key: str = "user_id") ->
     return df.withColumn(out, F.when(hi == lo, F.lit(0.5)).otherwise((F.col(col) - lo) / (hi - lo)))
 
 
-def _class_exists(users: DataFrame, cat: DataFrame) -> DataFrame:
-    """Per filtered user: does any catalogue item pass the filter at all?
-
-    Answered from one row per (category, province) class (its minimum price
-    and whether it has an item without price) instead of the items: equi-joins
-    on the category and/or province the user asks for, or the one global row
-    when the user names neither."""
-    stats = cat.groupBy("category", "province").agg(
-        F.min("price").alias("_minp"), F.max(F.col("price").isNull().cast("int")).alias("_nullp"))
-    ok = (F.col("max_budget").isNull() | (F.col("_nullp") == 1) | (F.col("_minp") <= F.col("max_budget")))
-    u = users.select("user_id", "categories", "max_budget", F.col("province").alias("_pp"))
-    has_c = F.coalesce(F.size("categories"), F.lit(0)) > 0
-    by_cat = (u.filter(has_c).select("user_id", "max_budget", "_pp", F.explode("categories").alias("category"))
-              .join(stats, "category")
-              .filter(F.col("_pp").isNull() | (F.col("province") == F.col("_pp"))))
-    by_prov = (u.filter(~has_c & F.col("_pp").isNotNull())
-               .join(stats, F.col("province") == F.col("_pp")))
-    glob = stats.agg(F.min("_minp").alias("_minp"), F.max("_nullp").alias("_nullp"))
-    g = glob.select(F.struct("_minp", "_nullp")).scalar()
-    by_all = (u.filter(~has_c & F.col("_pp").isNull())
-              .select("user_id", "max_budget", g.getField("_minp").alias("_minp"),
-                      g.getField("_nullp").alias("_nullp")))
-    cols = ["user_id", "max_budget", "_minp", "_nullp"]
-    rows = by_cat.select(*cols).unionByName(by_prov.select(*cols)).unionByName(by_all.select(*cols))
-    return rows.filter(ok).select("user_id").distinct()
-
-
-def _scan_filtered(users: DataFrame, pos_items: DataFrame, excluded: DataFrame, n_items: int,
-                   first: int = 64, growth: int = 8) -> tuple[DataFrame, DataFrame]:
-    """First ``top_n`` passing, non-excluded items per filtered user, in id order.
-
-    Each round explodes only the users still short of ``top_n`` finds over
-    their next window of positions (``first`` or ``limit`` wide at the start,
-    ``growth`` times wider each round, never past the catalogue), joins the
-    positioned items (an equi-join), filters and drops excluded items. A
-    user's work is proportional to how deep its answer lies in the id order,
-    at most the catalogue size. Returns (filler, found-count per user)."""
-    item_t = pos_items.schema["item_id"].dataType
-    state = users.select(
-        "user_id", "top_n", "categories", "max_budget", "province",
-        F.lit(0).cast("long").alias("lo"),
-        F.least(F.greatest(F.col("limit").cast("long"), F.lit(first).cast("long")),
-                F.lit(n_items).cast("long")).alias("hi")).checkpoint()
-    found = users.select("user_id", F.lit(None).cast(item_t).alias("item_id")).filter(F.lit(False))
-    while not state.isEmpty():
-        cand = (state.select("user_id", "categories", "max_budget", F.col("province").alias("_pp"),
-                             F.explode(F.sequence(F.col("lo") + 1, F.col("hi"))).alias("pos"))
-                .join(pos_items, "pos")
-                .filter(passes(F.col("category"), F.col("price"), F.col("province"),
-                               F.col("categories"), F.col("max_budget"), F.col("_pp")))
-                .select("user_id", "item_id")
-                .join(excluded, ["user_id", "item_id"], "left_anti"))
-        found = found.unionByName(cand).checkpoint()
-        n = found.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
-        state = (state.join(n, "user_id", "left")
-                 .filter((F.coalesce("_n", F.lit(0)) < F.col("top_n")) & (F.col("hi") < n_items))
-                 .select("user_id", "top_n", "categories", "max_budget", "province",
-                         F.col("hi").alias("lo"),
-                         F.least(F.col("hi") * growth, F.lit(n_items).cast("long")).alias("hi"))
-                 .checkpoint())
-    n_found = found.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_found"))
-    filler = _first_by_id(found.join(users.select("user_id", "top_n"), "user_id"), "top_n")
-    return filler.select("user_id", "item_id"), n_found
-
-
-def _first_by_id(cands: DataFrame, limit_col: str) -> DataFrame:
-    w = Window.partitionBy("user_id").orderBy(F.col("item_id").asc())
-    return (cands.withColumn("_r", F.row_number().over(w))
-            .filter(F.col("_r") <= F.col(limit_col)).drop("_r"))
-
-
-def _by_request(requests: DataFrame, train: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _by_request(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Give every request a key of its own, so several requests of one user do
-    not mix. Returns (requests keyed in ``user_id``, the training rows of each
-    request's user under the same key, owners: key -> user [and request_id])."""
-    ensure_checkpoint_dir(requests.sparkSession)
+    not mix. Returns (requests keyed in ``user_id``, with the user in ``owner``;
+    owners: key -> user [and request_id])."""
     given = "request_id" in requests.columns
     key = F.col("request_id") if given else F.monotonically_increasing_id()
-    keyed = requests.withColumn("_req", key).checkpoint()
+    keyed = materialise(requests.withColumn("_req", key), "requests")
     owners = keyed.select("_req", F.col("user_id").alias("_owner"))
-    of = owners.select("_req", F.col("_owner").alias("user_id"))
-    rows = train.join(of, "user_id").drop("user_id").withColumnRenamed("_req", "user_id")
-    return (keyed.drop("user_id", "request_id").withColumnRenamed("_req", "user_id"), rows, owners)
+    return (keyed.drop("request_id").withColumnRenamed("user_id", "owner").withColumnRenamed("_req", "user_id"), owners)
 
 
 def _to_users(recs: DataFrame, owners: DataFrame, with_request: bool) -> DataFrame:
@@ -224,27 +143,27 @@ def recommend_batch(requests: DataFrame, train: DataFrame, items: DataFrame,
     ``neighbours``: cosine_topk output (src, dst, score, rank), may be None;
     ``k``: neighbours used per favourite. Output columns: ``OUTPUT_COLUMNS``.
     """
-    keyed, rows, owners = _by_request(requests, train)
-    recs = _recommend(keyed, rows, items, neighbours, mode, k, max_top_n)
+    keyed, owners = _by_request(requests)
+    recs = _recommend(keyed, train, items, neighbours, mode, k, max_top_n)
     return _to_users(recs, owners, "request_id" in requests.columns)
 
 
 def _recommend(requests: DataFrame, train: DataFrame, items: DataFrame, neighbours: DataFrame | None,
                mode: str, k: int, max_top_n: int | None) -> DataFrame:
-    """recommend_batch with one row per ``user_id`` (a request key)."""
-    req = normalize_requests(requests, mode, max_top_n).checkpoint()
+    """recommend_batch with one row per ``user_id`` (a request key); ``owner`` is
+    the user whose interactions count."""
+    req = materialise(normalize_requests(requests, mode, max_top_n), "normalised")
     cat = items.select("item_id", *[c for c in ("name", "category", "province", "rating", "price")
                                     if c in items.columns])
     for c, t in (("name", "string"), ("category", "string"), ("province", "string"),
                  ("rating", "double"), ("price", "double")):
         if c not in cat.columns:
             cat = cat.withColumn(c, F.lit(None).cast(t))
-    rated = CF.ratings(train)
-    n_u = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    seen = rated.select("user_id", "item_id").distinct()
-    # seen pairs, the per-user table and the cb scores are each read by
-    # several branches below: written once (lineage cut, survives executor loss)
-    seen_in_cat = seen.join(cat.select("item_id"), "item_id", "left_semi").checkpoint()
+    rated = CF.ratings(train).select(F.col("user_id").alias("owner"), "item_id")
+    n_u = rated.groupBy("owner").agg(F.count(F.lit(1)).alias("n_rows"))
+    # seen pairs are kept per user, not per request; they, the request table and
+    # the cb scores are each read by several branches: written once
+    seen = materialise(rated.distinct().join(cat.select("item_id"), "item_id", "left_semi").select("owner", "item_id"), "seen")
     n_cat = cat.select(F.count(F.lit(1))).scalar()
 
     w_cf, w_cb = adaptive_weights(F.col("n_rows"))
@@ -253,39 +172,33 @@ def _recommend(requests: DataFrame, train: DataFrame, items: DataFrame, neighbou
     max_price = cat.select(F.max("price")).scalar()
     passes_all = ((F.coalesce(F.size("categories"), F.lit(0)) == 0) & F.col("province").isNull()
                   & (F.col("max_budget").isNull() | (F.col("max_budget") >= max_price)))
-    users = (req.join(n_u, "user_id", "left")
-             .join(seen_in_cat.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen")),
-                   "user_id", "left")
-             .withColumn("has_filter", F.col("has_filter") & ~F.coalesce(passes_all, F.lit(False)))
-             .withColumn("w_cf", w_cf).withColumn("w_cb", w_cb)
-             .withColumn("cf_nonempty", n_cat - F.coalesce(F.col("n_seen"), F.lit(0)) > 0))
-
     if neighbours is not None:
-        cb = cb_scores(req, neighbours, k).select("user_id", "item_id", "cb_norm").checkpoint()
+        cb = materialise(cb_scores(req, neighbours, k).select("user_id", "item_id", "cb_norm"), "cb")
     else:
-        cb = seen.select("user_id", "item_id", F.lit(None).cast("double").alias("cb_norm")).filter(
-            F.lit(False))
+        cb = req.select("user_id", F.lit(None).cast(cat.schema["item_id"].dataType).alias("item_id"),
+                        F.lit(None).cast("double").alias("cb_norm")).where(F.lit(False))
     n_cb = cb.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_cb"))
-    users = (users.join(n_cb, "user_id", "left")
-             .withColumn("limit", F.col("top_n") + F.coalesce("n_seen", F.lit(0))
-                         + F.coalesce("n_cb", F.lit(0))).checkpoint())
-    excluded = seen_in_cat.unionByName(cb.select("user_id", "item_id"))
-
-    # ---- filler without filter: positions 1 .. limit of the id order
-    pos = index_by(cat.select("item_id"), "item_id", out="pos")
-    wanted = users.filter(F.col("cf_nonempty") & (F.col("top_n") >= 1)).select(
-        "user_id", "top_n", F.explode(F.sequence(F.lit(1), F.col("limit"))).alias("pos"))
-    filler_any = (wanted.join(pos, "pos").join(excluded, ["user_id", "item_id"], "left_anti"))
-    filler_any = _first_by_id(filler_any, "top_n").select("user_id", "item_id")
-
-    # ---- filler with filter: only users for whom something can pass are scanned
-    pos_items = pos.join(cat.select("item_id", "category", "province", "price"), "item_id").checkpoint()
-    n_items = pos_items.count()
-    scan_users = (users.filter(F.col("has_filter") & F.col("cf_nonempty") & (F.col("top_n") >= 1))
-                  .join(_class_exists(users.filter(F.col("has_filter")), cat), "user_id", "left_semi"))
-    filler_pass, n_found = _scan_filtered(scan_users, pos_items, excluded, n_items)
-
-    prefs = users.select("user_id", "categories", "max_budget", "province")
+    users = materialise(
+        req.join(n_u, "owner", "left")
+        .join(seen.groupBy("owner").agg(F.count(F.lit(1)).alias("n_seen")), "owner", "left")
+        .join(n_cb, "user_id", "left")
+        .withColumn("has_filter", F.col("has_filter") & ~F.coalesce(passes_all, F.lit(False)))
+        .withColumn("w_cf", w_cf).withColumn("w_cb", w_cb)
+        .withColumn("cf_nonempty", n_cat - F.coalesce(F.col("n_seen"), F.lit(0)) > 0)
+        .withColumn("limit", F.col("top_n") + F.coalesce("n_seen", F.lit(0)) + F.coalesce("n_cb", F.lit(0))), "users")
+    asks = users.where(F.col("cf_nonempty") & (F.col("top_n") >= 1))
+
+    def unseen(found: DataFrame) -> DataFrame:
+        """The first ``top_n`` ids that are neither seen nor cb candidates."""
+        mine = found.join(users.select("user_id", "owner"), "user_id").join(seen, ["owner", "item_id"], "left_anti")
+        return first_by_id(mine.join(cb.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+                           .select("user_id", "item_id"), users)
+
+    # ---- filler with filter
+    filler_pass = materialise(unseen(passing_candidates(
+        asks.where("has_filter").select("user_id", "limit", "categories", "max_budget", "province"), cat)), "passing")
+
+    prefs = users.select("user_id", "owner", "categories", "max_budget", "province")
 
     def with_pass(df: DataFrame) -> DataFrame:
         j = (df.join(prefs, "user_id")
@@ -298,24 +211,23 @@ def _recommend(requests: DataFrame, train: DataFrame, items: DataFrame, neighbou
                 .withColumn("passes", F.when(~F.col("known"), True).otherwise(ok))
                 .drop("categories", "max_budget", "province", "_c", "_p", "_pr", "_known"))
 
-    cb_flagged = with_pass(cb).join(seen_in_cat.withColumn("seen", F.lit(True)),
-                                    ["user_id", "item_id"], "left")
-    # a passing key exists when a cb key passes or the scan found an unseen,
-    # non-cb passing item (the scan covers every other unseen catalogue item)
-    cb_pass = (cb_flagged.filter(F.col("passes")).groupBy("user_id")
-               .agg(F.count(F.lit(1)).alias("n_cb_pass")))
-    users = (users.join(n_found, "user_id", "left").join(cb_pass, "user_id", "left")
-             .withColumn("use_filter", F.col("has_filter") & (
-                 F.coalesce("n_found", F.lit(0)) + F.coalesce("n_cb_pass", F.lit(0)) > 0)))
-    flags = users.select("user_id", "use_filter", "top_n", "w_cf", "w_cb", "cf_nonempty")
+    cb_flagged = with_pass(cb).join(seen.withColumn("seen", F.lit(True)), ["owner", "item_id"], "left").drop("owner")
+    # a passing key exists when a cb key passes or an unseen, non-cb item was found
+    some = filler_pass.select("user_id").unionByName(cb_flagged.where("passes").select("user_id")).distinct()
+    flags = materialise(
+        users.join(some.withColumn("_some", F.lit(True)), "user_id", "left")
+        .withColumn("use_filter", F.col("has_filter") & F.col("_some").isNotNull())
+        .select("user_id", "use_filter", "top_n", "w_cf", "w_cb", "cf_nonempty"), "flags")
+
+    # ---- filler without filter, for requests that have none or whose filter passes nothing
+    plain = asks.join(flags.where(~F.col("use_filter")), "user_id", "left_semi").select("user_id", "limit")
+    filler_any = unseen(first_ids(plain, cat))
 
     cb_part = (cb_flagged.join(flags, "user_id")
                .filter(~F.col("use_filter") | F.col("passes"))
                .select("user_id", "item_id", "cb_norm",
                        (F.col("known") & F.col("seen").isNull()).alias("unseen")))
-    fill_part = (filler_any.join(flags.filter(~F.col("use_filter")), "user_id", "left_semi")
-                 .unionByName(filler_pass.join(flags.filter(F.col("use_filter")), "user_id",
-                                               "left_semi"))
+    fill_part = (filler_any.unionByName(filler_pass.join(flags.where("use_filter"), "user_id", "left_semi"))
                  .select("user_id", "item_id", F.lit(None).cast("double").alias("cb_norm"),
                          F.lit(True).alias("unseen")))
     cands = (cb_part.unionByName(fill_part).join(flags, "user_id")
@@ -428,12 +340,13 @@ def recommend_batch_factorized(requests: DataFrame, train: DataFrame, items: Dat
     from wanderrank.operators.topk import block_tasks
 
     spark = requests.sparkSession
-    ensure_checkpoint_dir(spark)
     from wanderrank.session import ship_package
     ship_package(spark)
     with_request = "request_id" in requests.columns
-    requests, train, owners = _by_request(requests, train)
-    req = normalize_requests(requests, mode, max_top_n).checkpoint()
+    requests, owners = _by_request(requests)
+    train = train.join(requests.select(F.col("user_id").alias("_req"), F.col("owner").alias("user_id")), "user_id") \
+        .drop("user_id").withColumnRenamed("_req", "user_id")
+    req = normalize_requests(requests, mode, max_top_n).transform(saved)
     cat = items.select("item_id", *[c for c in ("name", "category", "province", "rating", "price")
                                     if c in items.columns])
     for c, t in (("name", "string"), ("category", "string"), ("province", "string"),
@@ -443,10 +356,10 @@ def recommend_batch_factorized(requests: DataFrame, train: DataFrame, items: Dat
     rated = CF.ratings(train)
     n_u = rated.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows"))
     seen_in_cat = (rated.select("user_id", "item_id").distinct()
-                   .join(cat.select("item_id"), "item_id", "left_semi").checkpoint())
+                   .join(cat.select("item_id"), "item_id", "left_semi").transform(saved))
     n_cat = cat.select(F.count(F.lit(1))).scalar()
     if neighbours is not None:
-        cb = cb_scores(req, neighbours, k).select("user_id", "item_id", "cb_norm").checkpoint()
+        cb = cb_scores(req, neighbours, k).select("user_id", "item_id", "cb_norm").transform(saved)
     else:
         cb = seen_in_cat.select("user_id", "item_id", F.lit(None).cast("double").alias("cb_norm")).filter(
             F.lit(False))
@@ -460,7 +373,7 @@ def recommend_batch_factorized(requests: DataFrame, train: DataFrame, items: Dat
              .withColumn("w_cf", w_cf).withColumn("w_cb", w_cb)
              .withColumn("cf_nonempty", n_cat - F.col("n_seen") > 0)
              .withColumn("limit", F.col("top_n") + F.col("n_seen") + F.coalesce("n_cb", F.lit(0)) + 1)
-             .checkpoint())
+             .transform(saved))
 
     uvec, ivec = CF._augmented(parts)
     rank = parts["rank"]
@@ -469,13 +382,13 @@ def recommend_batch_factorized(requests: DataFrame, train: DataFrame, items: Dat
          .withColumn("vec", F.coalesce("vec", F.concat(F.array(F.lit(parts["global"]), F.lit(1.0)),
                                                       F.array_repeat(F.lit(0.0), rank))))
          .select("user_id", "vec", "limit", "n_seen", "has_filter", "categories", "max_budget",
-                 "province", "cb_items").checkpoint())
+                 "province", "cb_items").transform(saved))
     I = (cat.join(ivec, "item_id", "left")
          .withColumn("vec", F.coalesce("vec", F.concat(F.array(F.lit(1.0), F.lit(0.0)),
                                                       F.array_repeat(F.lit(0.0), rank))))
          .select(F.col("item_id").alias("i_id"), F.col("vec").alias("i_vec"),
                  F.col("category").alias("i_cat"), F.col("province").alias("i_prov"),
-                 F.col("price").alias("i_price")).checkpoint())
+                 F.col("price").alias("i_price")).transform(saved))
     ub = max(1, math.ceil(U.count() / block_rows))
     ib = max(1, math.ceil(I.count() / block_rows))
     n = block_tasks(spark, ub * ib)
@@ -487,7 +400,7 @@ def recommend_batch_factorized(requests: DataFrame, train: DataFrame, items: Dat
     iid_t = cat.schema["item_id"].dataType.simpleString()
     out = (Ub.groupBy("ub", "ib").cogroup(Ib.groupBy("i_ub", "i_ib"))
            .applyInPandas(_factor_block, f"user_id {uid_t}, item_id {iid_t}, s double, kind int")
-           .checkpoint())
+           .transform(saved))
 
     scored = out.filter(F.col("kind") < 4).join(seen_in_cat, ["user_id", "item_id"], "left_anti")
     bounds = scored.filter(F.col("kind") != 3).groupBy("user_id").agg(

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from wanderrank.operators.features import label_encode
 from wanderrank.operators.topk import block_tasks, topk_rows
-from wanderrank.session import ensure_checkpoint_dir, ship_package
+from wanderrank.session import saved, ship_package
 
 NUMERIC_FEATURES = ["rating", "price", "visit_hours", "annual_visitors"]
 RANK_DIGITS = 12
@@ -60,11 +60,10 @@ def build_item_vectors(items: DataFrame, id_col: str = "item_id",
     if "province_idx" not in df.columns and "province" in df.columns:
         df = label_encode(df, "province", "province_idx", default_province)
     cols = feature_columns(df)
-    ensure_checkpoint_dir(df.sparkSession)
     # The n x d matrix is written once: the min/max aggregate and the scaled
     # projection both read it instead of re-running the feature lineage.
     filled = df.select(id_col, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
-                                 for c in cols]).checkpoint()
+                                 for c in cols]).transform(saved)
     stats = filled.select(F.struct(*[F.min(c).alias(f"lo_{c}") for c in cols],
                                    *[F.max(c).alias(f"hi_{c}") for c in cols])).scalar()
     scaled = []
@@ -127,15 +126,14 @@ def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
     restricts the source side to those ids; candidates are always the whole
     table, so the result for those sources is the same.
     """
-    ensure_checkpoint_dir(vectors.sparkSession)
     ship_package(vectors.sparkSession)
     # Written once to the shared checkpoint folder: both sides of the cogroup
     # and the count read it instead of recomputing the feature lineage.
-    v = vectors.select(F.col(id_col).alias("item_id"), _unit(features).alias("u")).checkpoint()
+    v = vectors.select(F.col(id_col).alias("item_id"), _unit(features).alias("u")).transform(saved)
     src = v
     if queries is not None:
         src = v.join(queries.select(F.col(id_col).alias("item_id")).distinct(), "item_id",
-                     "left_semi").checkpoint()
+                     "left_semi").transform(saved)
     q, c = block_copies(src, v, block_rows)
     id_type = v.schema["item_id"].dataType.simpleString()
     n = block_tasks(vectors.sparkSession, _n_blocks(src, block_rows) * _n_blocks(v, block_rows))
@@ -163,9 +161,10 @@ def similar_items(neighbours: DataFrame, ids: DataFrame, k: int = 5,
 
 def approx_neighbours(vectors: DataFrame, threshold: float = 0.5, bucket_length: float = 0.5,
                       num_tables: int = 3, id_col: str = "item_id",
-                      features: str = "features") -> DataFrame:
+                      features: str = "features", k: int | None = None) -> DataFrame:
     """Approximate option: random-projection LSH on unit vectors; pairs with
-    euclidean distance below ``threshold`` (cosine = 1 - d^2 / 2)."""
+    euclidean distance below ``threshold`` (cosine = 1 - d^2 / 2). With ``k`` the
+    best ``k`` per source, cut map-side before they are shuffled, with ``rank``."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
@@ -175,6 +174,10 @@ def approx_neighbours(vectors: DataFrame, threshold: float = 0.5, bucket_length:
                                       bucketLength=bucket_length, numHashTables=num_tables,
                                       seed=42).fit(v)
     j = lsh.approxSimilarityJoin(v, v, threshold, distCol="d")
-    return (j.select(F.col("datasetA.item_id").alias("src"), F.col("datasetB.item_id").alias("dst"),
-                     (1 - F.col("d") * F.col("d") / 2).alias("score"))
-            .filter(F.col("src") != F.col("dst")))
+    pairs = (j.select(F.col("datasetA.item_id").alias("src"), F.col("datasetB.item_id").alias("dst"),
+                      (1 - F.col("d") * F.col("d") / 2).alias("score"))
+             .filter(F.col("src") != F.col("dst")))
+    if k is None:
+        return pairs
+    w = Window.partitionBy("src").orderBy(F.col("score").desc(), F.col("dst").asc())
+    return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -85,6 +85,24 @@ def etl_summary(users: DataFrame, items: DataFrame, matrix: DataFrame, transacti
     return counts.unionByName(stamps)
 
 
+def training_metadata(items: DataFrame, interactions: DataFrame, n_users: int | None, rmse: float | None = None,
+                      factorize: bool = False, trained_at: str | None = None, sample: int | None = 50) -> dict:
+    """The record of one training run: version, stamp, metrics, sizes, algorithms."""
+    m = EV.eval_precision_coverage(interactions, items, sample=sample).first()
+    return {
+        "version": MODEL_VERSION,
+        "trained_at": trained_at or dt.datetime.now().isoformat(),
+        "metrics": {"precision_at_5": m["precision_at_5"], "coverage": m["coverage"],
+                    "users_evaluated": m["users_evaluated"], "rmse": rmse},
+        "n_users": n_users,
+        "n_destinations": items.count(),
+        "n_interactions": interactions.count(),
+        "algorithm": "Hybrid CF+CB",
+        "cf_algorithm": "Factorization" if factorize else "UserAverage",
+        "cb_algorithm": "Cosine Similarity",
+    }
+
+
 def run_training(spark: SparkSession, out_dir: str, items_features: DataFrame,
                  interactions: DataFrame, n_users: int | None = None, k: int = 20,
                  factorize: bool = False, trained_at: str | None = None) -> dict:
@@ -99,20 +117,6 @@ def run_training(spark: SparkSession, out_dir: str, items_features: DataFrame,
     if factorize:
         parts, rmse = CF.cf_factorization(interactions)
         CF.save_model(parts, p("factors"))
-    metrics_row = EV.eval_precision_coverage(interactions, items_features).first()
-    meta = {
-        "version": MODEL_VERSION,
-        "trained_at": trained_at or dt.datetime.now().isoformat(),
-        "metrics": {"precision_at_5": metrics_row["precision_at_5"],
-                    "coverage": metrics_row["coverage"],
-                    "users_evaluated": metrics_row["users_evaluated"],
-                    "rmse": rmse},
-        "n_users": n_users,
-        "n_destinations": items_features.count(),
-        "n_interactions": interactions.count(),
-        "algorithm": "Hybrid CF+CB",
-        "cf_algorithm": "Factorization" if factorize else "UserAverage",
-        "cb_algorithm": "Cosine Similarity",
-    }
+    meta = training_metadata(items_features, interactions, n_users, rmse, factorize, trained_at)
     OUT.sink_metadata(spark, p("model_metadata"), meta)
     return meta

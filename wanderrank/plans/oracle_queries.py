@@ -381,6 +381,8 @@ _LOG = {"mlog": ([], """SELECT event_type AS name, ts, CAST(1 AS BIGINT) AS invo
     {avg('duration_ms')} AS avg_duration_ms,
     round(quantile_cont(CAST(duration_ms AS DOUBLE), 0.99), 6) AS p99_duration_ms
     FROM mlog GROUP BY 1, 2""")}
+ORACLES["metric_sketch_rollup"] = with_ctes(["mlog"], """SELECT name, date_trunc('hour', ts) AS hour, count(*) AS n,
+    CAST(sum(errors) AS BIGINT) AS errors, TRUE AS within FROM mlog GROUP BY 1, 2""", _LOG)
 ORACLES["metric_windows"] = with_ctes(["mwin"], "SELECT * FROM mwin", _LOG)
 
 
@@ -482,6 +484,13 @@ ORACLES["clean_dirty"] = with_ctes(["r_inter"], """SELECT interaction_id, user_i
       CASE WHEN interaction_id % 11 = 0 THEN -score ELSE score END AS score,
       CASE WHEN interaction_id % 13 <> 0 THEN date_trunc('second', ts) END AS t FROM r_inter)
     WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND score BETWEEN 0.0 AND 1.0""")
+ORACLES["clean_transactions_dirty"] = with_ctes(["r_txn"], f"""SELECT order_key, line_number, status, paid, txn_date, check_in,
+    CAST(date_diff('day', check_in, check_out) AS INTEGER) AS stay_nights, CAST(status = 'completed' AS INTEGER) AS is_completed
+    FROM (SELECT order_key, line_number, CASE WHEN order_key % 6 > 1 THEN status END AS status,
+        CASE WHEN order_key % 10 = 3 THEN 0 ELSE paid END AS paid, CASE WHEN order_key % 7 > 1 THEN txn_date END AS txn_date,
+        CASE WHEN order_key % 11 > 1 THEN check_in END AS check_in, CASE WHEN order_key % 13 > 1 THEN check_out END AS check_out
+      FROM ({dedup_sql('r_txn', ['order_key', 'line_number'])}))
+    WHERE paid > 0 AND status IN ('completed', 'cancelled', 'in_progress')""")
 ORACLES["label_encode_nulls"] = with_ctes(["n_items", "f", "a"], """SELECT i.item_id, f._idx AS category_idx, a._idx AS category_code
     FROM n_items i LEFT JOIN f ON i.category IS NOT DISTINCT FROM f._label
     LEFT JOIN a ON coalesce(i.category, 'LARGE') = a._label""", {
@@ -535,6 +544,14 @@ ORACLES["cf_bias_recommend"] = with_ctes(["c_users", "c_items", "c_inter", "g",
       FROM c_users u CROSS JOIN c_items i CROSS JOIN g LEFT JOIN bu ON bu.user_id = u.user_id LEFT JOIN bi ON bi.item_id = i.item_id
       WHERE NOT EXISTS (SELECT 1 FROM c_inter x WHERE x.user_id = u.user_id AND x.item_id = i.item_id))
     WHERE rk <= 10""", _BIAS)
+ORACLES["cf_recommend_fixed"] = with_ctes(["c_users", "c_items", "c_inter"], """SELECT user_id, CAST(rk AS INTEGER) AS rank, item_id,
+    round(p, 4) AS cf_score FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY p DESC, item_id) AS rk FROM (
+      SELECT u.user_id, i.item_id, least(greatest(CASE WHEN u.user_id % 11 = 0 THEN 2.5 ELSE 2.5 + (u.user_id % 9 - 4) / 8.0 END
+        + CASE WHEN i.item_id % 13 = 0 THEN 0.0 ELSE (i.item_id % 17 - 8) / 64.0 + CASE WHEN u.user_id % 11 = 0 THEN 0.0 ELSE
+          ((u.user_id * 7 % 11 - 5) / 8.0 * ((i.item_id * 5 % 19 - 9) / 16.0) + (u.user_id * 3 % 13 - 6) / 8.0 * ((i.item_id * 11 % 23 - 11) / 16.0))
+          / power(2.0, least(i.item_id // 128, 4)) END END, 0.0), 5.0) AS p
+      FROM c_users u CROSS JOIN c_items i
+      WHERE NOT EXISTS (SELECT 1 FROM c_inter x WHERE x.user_id = u.user_id AND x.item_id = i.item_id))) WHERE rk <= 10""")
 _INVARIANT = with_ctes(["c_users", "c_items", "c_inter"], """SELECT u.user_id, least(10, n) AS n_rows, least(10, n) AS last_rank,
     least(10, n) AS n_items, CAST(0 AS BIGINT) AS n_seen, TRUE AS in_range
     FROM (SELECT u.user_id, (SELECT count(*) FROM c_items) - coalesce(s.k, 0) AS n FROM c_users u LEFT JOIN (
@@ -551,3 +568,28 @@ ORACLES["row_counts"] = with_ctes(["c_users", "c_items", "c_inter", "c_txn"], "\
     for n, t in [("users", "c_users"), ("items", "c_items"), ("interactions", "c_inter"), ("transactions", "c_txn")]))
 ORACLES["sink_metadata"] = with_ctes(["c_users", "c_items"], """SELECT '1.0.0' AS version,
     (SELECT count(*) FROM c_users) AS n_users, (SELECT count(*) FROM c_items) AS n_items""")
+
+
+# ---------------------------------------------------------------- repeated runs
+
+for _name, _full in (("matrix", "interaction_matrix"), ("user_interactions", "agg_user_interactions"),
+                     ("user_transactions", "agg_user_transactions"), ("item_popularity", "agg_item_popularity"),
+                     ("item_revenue", "agg_item_revenue")):
+    ORACLES[f"incremental_{_name}"] = ORACLES[_full]  # runs folded one by one equal one run over all
+ORACLES["chat_history_store"] = ORACLES["chat_history"]
+ORACLES["session_range"] = with_ctes(["r_turns"], """SELECT session_id, turn, role, CAST(pos AS INTEGER) AS pos FROM (SELECT *,
+    row_number() OVER (PARTITION BY session_id ORDER BY turn DESC) AS pos FROM r_turns) WHERE pos <= 5""")
+ORACLES["scan_drift"] = with_ctes(["c_items"], """SELECT item_id, CASE WHEN item_id % 3 = 0 THEN floor(CAST(price AS DOUBLE))
+    ELSE CAST(price AS DOUBLE) END AS price, CASE WHEN item_id % 3 = 2 THEN 'x' ELSE '' END || CAST(item_id % 10 AS VARCHAR) AS code,
+    CASE WHEN item_id % 3 = 1 THEN province END AS province, 'code:string,price:double,province:string' AS types FROM c_items""")
+_FINAL = {**_LOG, "mfin": (["mwin"], """SELECT * FROM mwin WHERE window_start + INTERVAL 5 MINUTE
+    <= (SELECT max(ts) FROM mlog) - INTERVAL 10 MINUTE""")}
+ORACLES["alarm_stream"] = with_ctes(["mfin"], "\nUNION ALL\n".join([
+    _alarm_sql("errors", "SELECT name, window_start, errors AS value FROM mfin", 0, 2),
+    _alarm_sql("server_errors", "SELECT 'all' AS name, window_start, sum(errors) AS value FROM mfin GROUP BY 2", 1, 1),
+]), _FINAL)
+ORACLES["sink_metadata_all"] = f"""SELECT '1.0.0' AS version, '2024-02-01' AS trained_at, 'Hybrid CF+CB' AS algorithm,
+    'UserAverage' AS cf_algorithm, 'Cosine Similarity' AS cb_algorithm, n.n_users, n.n_destinations, n.n_interactions,
+    e.precision_at_5, e.coverage, CAST(e.users_evaluated AS BIGINT) AS users_evaluated
+    FROM ({ORACLES["eval_all_users"]}) e, ({with_ctes(["c_users", "c_items", "c_inter"], """SELECT (SELECT count(*) FROM c_users) AS n_users,
+      (SELECT count(*) FROM c_items) AS n_destinations, (SELECT count(*) FROM c_inter) AS n_interactions""")}) n"""

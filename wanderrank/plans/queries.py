@@ -14,12 +14,12 @@ from wanderrank.operators import aggregate as A
 from wanderrank.operators import clean as C
 from wanderrank.operators import features as FE
 from wanderrank.plans.roles import Roles, driver_roles
-from wanderrank.session import ensure_checkpoint_dir
+from wanderrank.session import materialise
 
 
 class Cleaned:
-    """Cleaned role tables of one query. Each is written once to the shared
-    checkpoint folder on first use and read back from there, so a query that
+    """Cleaned role tables of one query. Each is written once, as Parquet, to the
+    shared checkpoint folder on first use and read back from there, so a query that
     uses a table in several branches (or around an eager step) does not
     re-run its scan, join and de-duplication."""
 
@@ -32,8 +32,7 @@ class Cleaned:
         if name not in self._cache:
             df = build()
             if self.reuse:
-                ensure_checkpoint_dir(self.roles.users.sparkSession)
-                df = df.checkpoint()
+                df = materialise(df, name)
             self._cache[name] = df
         return self._cache[name]
 
@@ -231,7 +230,7 @@ def q_recommend_batch(spark, sf_dir):
 
 def q_recommend_prefs(spark, sf_dir):
     c = cleaned(spark, sf_dir, reuse=True)
-    req = favourite_requests(c).checkpoint()
+    req = materialise(favourite_requests(c), "favourites")
     favs = req.select(F.explode("favorites").alias("item_id"))
     # neighbours are needed for the favourites only (exact: candidates are all items)
     nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS, queries=favs)
@@ -290,7 +289,7 @@ def q_similar_items(spark, sf_dir):
 
 def q_agg_best_similarity(spark, sf_dir):
     c = cleaned(spark, sf_dir, reuse=True)
-    req = R.normalize_requests(favourite_requests(c)).checkpoint()
+    req = materialise(R.normalize_requests(favourite_requests(c)), "requests")
     nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS,
                          queries=req.select(F.explode("favorites").alias("item_id")))
     return R.cb_scores(req, nb).select("user_id", "item_id", "cb", "cb_norm")
@@ -299,7 +298,7 @@ def q_agg_best_similarity(spark, sf_dir):
 def q_join_anti_seen(spark, sf_dir):
     """CB candidates of each user that the user has not interacted with."""
     c = cleaned(spark, sf_dir, reuse=True)
-    req = R.normalize_requests(favourite_requests(c)).checkpoint()
+    req = materialise(R.normalize_requests(favourite_requests(c)), "requests")
     nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS,
                          queries=req.select(F.explode("favorites").alias("item_id")))
     cb = R.cb_scores(req, nb).select("user_id", "item_id")
@@ -426,6 +425,21 @@ def q_metric_windows(spark, sf_dir):
     return _windows(spark, sf_dir)
 
 
+def q_metric_sketch_rollup(spark, sf_dir):
+    """Five-minute sketches merged to hours: counts are exact, and the sketched
+    percentile's rank among the hour's durations is within the stated error."""
+    log = _log(spark, sf_dir)
+    hours = MET.merge_sketches(materialise(MET.metric_sketches(log), "sketches"), "1 hour")
+    est = MET.sketch_windows(hours).select("name", F.col("window_start").alias("hour"), "p99_duration_ms")
+    at = log.withColumn("hour", F.date_trunc("hour", "ts")).join(est, ["name", "hour"])
+    d, q = F.col("duration_ms").cast("double"), F.col("p99_duration_ms")
+    ranks = at.groupBy("name", "hour").agg(F.count(F.lit(1)).alias("n"), F.avg((d < q).cast("double")).alias("_lo"),
+                                           F.avg((d <= q).cast("double")).alias("_hi"),
+                                           F.sum("errors").alias("errors"))
+    e = F.lit(MET.rank_error()) + 1 / F.col("n")
+    return ranks.select("name", "hour", "n", "errors", ((F.col("_lo") <= 0.99 + e) & (F.col("_hi") >= 0.99 - e)).alias("within"))
+
+
 def q_alarm_eval(spark, sf_dir):
     return MET.alarm_eval(_windows(spark, sf_dir))
 
@@ -439,6 +453,7 @@ QUERIES.update({
     "stream_user_counts": q_stream_user_counts,
     "metric_windows": q_metric_windows,
     "alarm_eval": q_alarm_eval,
+    "metric_sketch_rollup": q_metric_sketch_rollup,
     "quota_usage": q_quota_usage,
 })
 
@@ -532,7 +547,7 @@ def q_recommend_factorized(spark, sf_dir):
     """Hybrid recommendations with the factor model as CF (rows-only: ALS)."""
     c = cleaned(spark, sf_dir, reuse=True)
     parts, _ = _factor_model(c)
-    req = favourite_requests(c).checkpoint()
+    req = materialise(favourite_requests(c), "favourites")
     nb = SIM.cosine_topk(item_vectors(c), k=R.CB_NEIGHBOURS,
                          queries=req.select(F.explode("favorites").alias("item_id")))
     return R.recommend_batch_factorized(req, c.interactions, c.items, parts, nb)
@@ -554,7 +569,7 @@ def q_recommend_multi(spark, sf_dir):
     """Two requests of every user: favourites and category, a province for a
     third of them, no budget; and a plain one with the budget for half."""
     c = cleaned(spark, sf_dir, reuse=True)
-    base = favourite_requests(c).checkpoint()
+    base = materialise(favourite_requests(c), "favourites")
     u = F.col("user_id")
     first = base.select((u * 2).alias("request_id"), "user_id", F.lit(3).alias("top_n"), "favorites", "categories",
                         F.lit(None).cast("double").alias("max_budget"),
@@ -626,6 +641,21 @@ def q_clean_dirty(spark, sf_dir):
     return C.clean_interactions(dirty).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def q_clean_transactions_dirty(spark, sf_dir):
+    """Transactions with text dates (some broken or impossible), unknown and
+    missing statuses and payments of nothing through clean_transactions."""
+    x = driver_roles(spark, sf_dir).transactions
+    k = F.col("order_key")
+    text = lambda c, n: F.when(k % n == 0, F.lit("2024-02-31")).when(k % n == 1, F.lit("soon")).otherwise(
+        F.date_format(c, "yyyy-MM-dd"))
+    dirty = x.withColumns({
+        "status": F.when(k % 6 == 0, F.lit("pending")).when(k % 6 == 1, F.lit(None)).otherwise(F.col("status")),
+        "paid": F.when(k % 10 == 3, F.lit(0)).otherwise(F.col("paid")).cast(x.schema["paid"].dataType),
+        "txn_date": text("txn_date", 7), "check_in": text("check_in", 11), "check_out": text("check_out", 13)})
+    return C.clean_transactions(dirty, key=driver_roles(spark, sf_dir).txn_key).select(
+        "order_key", "line_number", "status", "paid", "txn_date", "check_in", "stay_nights", "is_completed")
+
+
 def q_label_encode_nulls(spark, sf_dir):
     """Frequency and alphabetical codes of a column with nulls."""
     items = cleaned(spark, sf_dir).items.select(
@@ -710,6 +740,25 @@ def q_cf_bias_recommend(spark, sf_dir):
                     F.round(F.least(F.greatest(raw, F.lit(0.0)), F.lit(5.0)), 4).alias("cf_score")))
 
 
+def _fixed_factors(users: DataFrame, items: DataFrame) -> dict:
+    """A factor model that follows from the ids alone, in exact binary fractions, so
+    its top-N has an engine-independent answer. Norms fall with the item number."""
+    u, i = F.col("user_id"), F.col("item_id")
+    return {"global": 2.5, "rank": 2, "vectors": (
+        users.where(u % 11 != 0).select("user_id", F.array(
+            2.5 + (u % 9 - 4) / 8, F.lit(1.0), (u * 7 % 11 - 5) / 8, (u * 3 % 13 - 6) / 8).alias("vec")),
+        items.where(i % 13 != 0).select("item_id", F.array(
+            F.lit(1.0), (i % 17 - 8) / 64, *[c / F.pow(F.lit(2.0), F.least(F.expr("item_id div 128"), F.lit(4)))
+                                             for c in ((i * 5 % 19 - 9) / 16, (i * 11 % 23 - 11) / 16)]).alias("vec")))}
+
+
+def q_cf_recommend_fixed(spark, sf_dir):
+    """cf_recommend with the fixed factor table: every user, all items."""
+    c = cleaned(spark, sf_dir, reuse=True)
+    req = c.users.select("user_id", F.lit(10).alias("top_n"))
+    return CFM.cf_recommend_factorized(_fixed_factors(c.users, c.items), req, c.items, c.interactions, block_rows=256)
+
+
 def _invariants(recs: DataFrame, c: Cleaned, score: str, top: float) -> DataFrame:
     """Per user what any correct model must give: as many rows as asked or
     unseen, ranks without gaps, no seen item, no item twice, scores in range."""
@@ -810,6 +859,8 @@ QUERIES.update({
     "stream_item_counts": q_stream_item_counts,
     "eval_rmse": q_eval_rmse,
     "cf_bias_recommend": q_cf_bias_recommend,
+    "cf_recommend_fixed": q_cf_recommend_fixed,
+    "clean_transactions_dirty": q_clean_transactions_dirty,
     "cf_recommend_invariants": q_cf_recommend_invariants,
     "recommend_factorized_invariants": q_recommend_factorized_invariants,
     "sink_scan_parquet": q_sink_scan_parquet,

@@ -114,45 +114,3 @@ def start_track_stream(spark: SparkSession, source_dir: str, schema, sink_dir: s
     w = src.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
-
-
-def latest_version(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The newest complete ``v=<n>`` folder of a versioned table (below
-    ``before`` when given), or None."""
-    hpath = spark._jvm.org.apache.hadoop.fs.Path
-    root = hpath(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return None
-    versions = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(hpath(st.getPath(), "_SUCCESS")):
-            v = int(name[2:])
-            if before is None or v < before:
-                versions.append(v)
-    return spark.read.parquet(os.path.join(path, f"v={max(versions)}")) if versions else None
-
-
-def start_upsert_stream(spark: SparkSession, stream: DataFrame, table_path: str, key: list[str],
-                        order: list[str], checkpoint_dir: str, ttl: tuple[str, str] | None = None,
-                        available_now: bool = True) -> StreamingQuery:
-    """upsert_by_key for a stream (last write wins per key), without a table format.
-
-    Micro-batch ``b`` merges the newest complete version below ``b`` with the
-    batch (``upsert_by_key``, then ``expire_ttl`` when ``ttl=(ttl_col, as_of)``)
-    and writes version ``v=b``. A replayed batch recomputes its own version from
-    the same base, so the table is exactly-once; readers take ``latest_version``."""
-    from wanderrank.sources.keyvalue import expire_ttl, upsert_by_key
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        prior = latest_version(spark, table_path, before=batch_id)
-        both = batch if prior is None else prior.unionByName(batch, allowMissingColumns=True)
-        out = upsert_by_key(both, key, order)
-        if ttl:
-            out = expire_ttl(out, ttl[1], ttl_col=ttl[0])
-        out.write.mode("overwrite").parquet(os.path.join(table_path, f"v={batch_id}"))
-
-    w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_dir)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wanderrank.functions.scalar import exact_avg
-from wanderrank.session import ensure_checkpoint_dir
+from wanderrank.session import saved
 
 # ---- fixed values of the monitoring rules -------------------------------------
 PERIOD = "5 minutes"
@@ -105,6 +105,48 @@ def stream_metric_windows(stream: DataFrame, period: str = PERIOD,
     return metric_windows(s, period, exact=False)
 
 
+# ---- mergeable percentiles -----------------------------------------------------
+SKETCH_K = 2000
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    """Rank error of a KLL sketch of size ``k`` at 99 % confidence (one quantile),
+    the sketch library's own fit."""
+    return 2.296 / k ** 0.9723
+
+
+def metric_sketches(log: DataFrame, period: str = PERIOD, k: int = SKETCH_K) -> DataFrame:
+    """Per name and period: sums, and a KLL sketch of the durations. Works on a
+    stream (with a watermark) as on a table; the rows are small, mergeable states."""
+    return (log.groupBy("name", F.window("ts", period).alias("w")).agg(
+        F.sum("invocations").alias("invocations"), F.sum("errors").alias("errors"),
+        F.count("duration_ms").alias("n"), F.sum(F.col("duration_ms").cast("double")).alias("duration_sum"),
+        F.kll_sketch_agg_double(F.col("duration_ms").cast("double"), k).alias("sketch"))
+        .withColumn("window_start", F.col("w.start")).drop("w"))
+
+
+def stream_metric_sketches(stream: DataFrame, period: str = PERIOD, watermark: str = "10 minutes",
+                           k: int = SKETCH_K) -> DataFrame:
+    """Streaming form (append): a period's state is written once it is final."""
+    return metric_sketches(stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", watermark), period, k)
+
+
+def merge_sketches(states: DataFrame, period: str, k: int = SKETCH_K) -> DataFrame:
+    """States of short periods -> states of longer ones (an hour, a day): sums are
+    added, sketches merged; the log is not read again."""
+    start = F.window("window_start", period).start
+    return states.withColumn("window_start", start).groupBy("name", "window_start").agg(
+        *[F.sum(c).alias(c) for c in ("invocations", "errors", "n", "duration_sum")],
+        F.kll_merge_agg_double("sketch", k).alias("sketch"))
+
+
+def sketch_windows(states: DataFrame, p: float = 0.99) -> DataFrame:
+    """States -> the columns of ``metric_windows``, with the sketched percentile."""
+    return states.select("name", "invocations", "errors",
+                         F.when(F.col("n") > 0, F.col("duration_sum") / F.col("n")).alias("avg_duration_ms"), "window_start",
+                         F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(p))).alias("p99_duration_ms"))
+
+
 def _grid(windows: DataFrame, key: str, period_seconds: int) -> DataFrame:
     """Every period between each key's first and last observed period."""
     step = F.make_dt_interval(secs=F.lit(period_seconds))
@@ -120,8 +162,7 @@ def alarm_eval(windows: DataFrame, alarms: list[Alarm] | None = None,
 
     The windows (one row per name and period) are written once and read by
     every rule, so the log below them is read once."""
-    ensure_checkpoint_dir(windows.sparkSession)
-    windows = windows.checkpoint()
+    windows = windows.transform(saved)
     out = None
     for a in alarms or ALARMS:
         if a.level == "all":
