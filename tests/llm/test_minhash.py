@@ -55,9 +55,8 @@ def test_matches_brute_force(docs, odd_texts):
 def test_long_lists_squares_and_chunks(docs, monkeypatch):
     """Every list is long, hubs have several chunks, squares are small: chains of
     near copies whose ends are not linked, all through the second round."""
-    for k, v in (("LIST", 2), ("SQUARE", 3)):
-        monkeypatch.setattr(M, k, v)
-    for k, v in (("CHUNK", 3), ("HUBS", 1), ("ROUNDS", 1), ("FEW", 0)):
+    monkeypatch.setattr(M, "LIST", 2)
+    for k, v in (("SQUARE", 3), ("CHUNK", 3), ("HUBS", 1), ("ROUNDS", 1), ("FEW", 0)):
         monkeypatch.setattr(M.L, k, v)
     texts = corpus(3, 60, 6)
     w = [f"v{i}" for i in range(140)]

@@ -45,24 +45,17 @@ def equal_sets(sets: DataFrame, *more: str) -> DataFrame:
         *[F.first(c).alias(c) for c in more])
 
 
-def verify(documents: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The links among ``pairs`` (a, b: class rids): 100 * shared >= percent * union
-    on whole sets. ``documents``: doc_id, text."""
-    parts = shuffle_partitions(documents.sparkSession)
-    pairs = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "verify")
-    if pairs.isEmpty():
-        release(pairs)
-        return no_pairs(pairs.sparkSession)
-    hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("k"))
-    hubs = materialise(hubs, "hubs")
-    n_hubs = hubs.count()
-    spokes = pairs.join(broadcast_if_small(hubs, n_hubs), "a").select(
-        F.col("b").alias("rid"), F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("k")).cast("int").alias("chunk"))
-    routes = materialise(spokes.unionAll(hubs.select(
-        F.col("a").alias("rid"), F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("chunk"))), "routes")
-    n_routes = routes.count()
-    ends = routes.select("rid").distinct()
-    wanted = materialise(classes.join(ends, "rid").select("rid", "d", F.col("id").alias("_id"), F.col("th").alias("_th")), "wanted")
+def linked(own: np.ndarray, values: np.ndarray, offsets: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the sorted sets values[offsets[i]:offsets[i + 1]] link with ``own``."""
+    at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+    total = np.concatenate(([0], np.cumsum(own[at] == values)))
+    shared, n = total[offsets[1:]] - total[offsets[:-1]], np.diff(offsets)
+    return 100 * shared >= percent * (len(own) + n - shared)
+
+
+def sets_of(documents: DataFrame, classes: DataFrame, rids: DataFrame, width: int) -> DataFrame:
+    """(rid, s): the sorted shingle hashes of the classes ``rids``, made again from their texts."""
+    wanted = materialise(classes.join(rids, "rid").select("rid", "d", F.col("id").alias("_id"), F.col("th").alias("_th")), "wanted")
     n = wanted.count()
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("th", text_key(F.col("text")))
     texts = rows.join(broadcast_if_small(wanted, n), (F.col("th") == F.col("_th")) & F.col("doc_id").eqNullSafe(F.col("_id"))) \
@@ -79,8 +72,31 @@ def verify(documents: DataFrame, classes: DataFrame, pairs: DataFrame, width: in
             del sets
         trim_memory()
 
-    sets = materialise(texts.mapInArrow(again, "rid long, s array<long>"), "verify-sets")
-    once = sets if sets.count() <= n else sets.dropDuplicates(["rid"])  # rows of equal id and text
+    sets = materialise(texts.mapInArrow(again, "rid long, s array<long>"), "class-sets")
+    if sets.count() > n:  # rows of equal id and text
+        many, sets = sets, materialise(sets.dropDuplicates(["rid"]), "class-sets")
+        release(many)
+    release(wanted)
+    return sets
+
+
+def verify(documents: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The links among ``pairs`` (a, b: class rids): 100 * shared >= percent * union
+    on whole sets. ``documents``: doc_id, text."""
+    parts = shuffle_partitions(documents.sparkSession)
+    pairs = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "verify")
+    if pairs.isEmpty():
+        release(pairs)
+        return no_pairs(pairs.sparkSession)
+    hubs = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("k"))
+    hubs = materialise(hubs, "hubs")
+    n_hubs = hubs.count()
+    spokes = pairs.join(broadcast_if_small(hubs, n_hubs), "a").select(
+        F.col("b").alias("rid"), F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.col("k")).cast("int").alias("chunk"))
+    routes = materialise(spokes.unionAll(hubs.select(
+        F.col("a").alias("rid"), F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("chunk"))), "routes")
+    n_routes = routes.count()
+    sets = sets_of(documents, classes, routes.select("rid").distinct(), width)
 
     def meet(batches):
         hub = chunk = own = None
@@ -99,21 +115,17 @@ def verify(documents: DataFrame, classes: DataFrame, pairs: DataFrame, width: in
                     x += 1
                 if own is None or x == y:
                     continue
-                v, o = values[offsets[x]:offsets[y]], offsets[x:y + 1] - offsets[x]
-                at = np.minimum(np.searchsorted(own, v), len(own) - 1)
-                total = np.r_[0, np.cumsum(own[at] == v)]
-                shared, n_b = total[o[1:]] - total[o[:-1]], np.diff(o)
-                ok = 100 * shared >= percent * (len(own) + n_b - shared)
+                ok = linked(own, values[offsets[x]:offsets[y]], offsets[x:y + 1] - offsets[x], percent)
                 out_a.append(np.full(int(ok.sum()), hub, dtype=np.int64))
                 out_b.append(rid[x:y][ok])
             if out_a:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
         trim_memory()
 
-    met = (once.join(broadcast_if_small(routes, n_routes), "rid").select("hub", "chunk", "rid", "s")
+    met = (sets.join(broadcast_if_small(routes, n_routes), "rid").select("hub", "chunk", "rid", "s")
            .repartition(parts, "hub", "chunk").sortWithinPartitions("hub", "chunk", "rid"))
     links = materialise(met.mapInArrow(meet, "a long, b long"), "links")
-    release(pairs, hubs, routes, wanted, sets)
+    release(pairs, hubs, routes, sets)
     return links
 
 
@@ -123,49 +135,89 @@ def rooted(df: DataFrame, found: DataFrame, col: str, out: str) -> DataFrame:
     return df.join(r, col, "left").withColumn(out, F.coalesce("_r", col)).drop("_r")
 
 
-def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near) -> DataFrame:
-    """Pairs (a, b) of different roots inside each list of ``lists`` (keys, rid,
-    root, ``carry``). A list is dealt in squares of ``side`` x ``side`` members, so no
-    task holds more than one of them. ``near(x, y)``: the matrix of pairs that may
-    link, from the columns of both sides."""
-    parts = shuffle_partitions(lists.sparkSession)
-    if lists.isEmpty():
-        return no_pairs(lists.sparkSession)
-    sizes = materialise(lists.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / side).cast("int").alias("_w")), "sizes")
-    met = lists.join(broadcast_if_small(sizes, sizes.count()), keys).withColumn("_at", F.pmod(F.xxhash64("rid"), F.col("_w")).cast("int"))
-    # a member's block is one side of every square that it takes part in
-    dealt = met.select(*keys, "rid", "root", *carry, F.explode(F.transform(
-        F.sequence(F.lit(0), F.col("_w") - 1),
-        lambda o: F.struct(F.least("_at", o).alias("_x"), F.greatest("_at", o).alias("_y"), (F.col("_at") > o).cast("int").alias("_side")))).alias("_q")) \
-        .select(*keys, "_q.*", "rid", "root", *carry)
-    at = [*keys, "_x", "_y"]
+HUBS = 8             # members of a long list that all others are compared with in a round
+ROUNDS = 2           # such rounds at most; then every pair that is left
+FEW = 16             # a list with fewer pairs of different roots a member takes no more rounds
+SQUARE = 128         # members on a side of a task's square
 
-    def run(batches):
-        def work(t):
-            rows = {c: t.column(c).to_numpy() for c in ("rid", "root", *carry)}
-            if (rows["root"] == rows["root"][0]).all():
-                return
-            which = t.column("_side").to_numpy()
-            same = t.column("_x")[0].as_py() == t.column("_y")[0].as_py()
-            x, y = ({c: v[which == k] for c, v in rows.items()} for k in (0, 0 if same else 1))
-            ok = x["root"][:, None] != y["root"][None, :]
-            if same:
-                ok &= x["rid"][:, None] < y["rid"][None, :]
-            i, j = np.nonzero(ok & near(x, y))
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(x["rid"][i]), pa.array(y["rid"][j])], names=["a", "b"])
 
+def mixed_lists(lists: DataFrame) -> DataFrame:
+    """lists (key, root, ..) -> (key, many) of the lists that hold several roots;
+    ``many``: more than ``FEW`` pairs of different roots for each member."""
+    sizes = lists.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
+        F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("q"))
+    return sizes.where("m * m > q").select("key", (F.col("m") * F.col("m") - F.col("q") > 2 * FEW * F.col("m")).alias("many"))
+
+
+def families(lists: DataFrame, side: int) -> DataFrame:
+    """lists (key, rid, root) that hold several roots -> (fam, x, y, side, rid, root): the
+    members of lists that share a root are one family; each takes part in the squares
+    of its block of ``side`` members. Members of the family's largest root have blocks of
+    their own, which never meet each other."""
+    of = lists.select("key", "root").distinct()
+    low = of.groupBy("key").agg(F.min("root").alias("low"))
+    stars = components(of.join(low, "key").select(F.col("root").alias("a"), F.col("low").alias("b")))
+    members = rooted(lists.select("rid", "root").distinct(), stars, "root", "fam").select("fam", "rid", "root")
+    members = materialise(members, "family")
+    sizes = members.groupBy("fam", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("fam").agg(
+        F.max_by("root", "c").alias("big"), F.max("c").alias("cb"), F.sum("c").alias("m"))
+    sizes = materialise(sizes.select("fam", "big", F.ceil(F.col("cb") / side).cast("int").alias("wb"),
+                                     F.ceil((F.col("m") - F.col("cb")) / side).cast("int").alias("wo")), "sizes")
+    h = F.xxhash64("rid")
+    of_big = F.col("root") == F.col("big")
+    met = members.join(broadcast_if_small(sizes, sizes.count()), "fam").withColumn(
+        "at", F.when(of_big, F.pmod(h, F.col("wb"))).otherwise(F.col("wb") + F.pmod(h, F.col("wo"))).cast("int"))
+    others = F.sequence(F.when(of_big, F.col("wb")).otherwise(F.lit(0)), F.col("wb") + F.col("wo") - 1)
+    out = met.select("fam", "rid", "root", F.explode(F.transform(others, lambda o: F.struct(
+        F.least("at", o).alias("x"), F.greatest("at", o).alias("y"), (F.col("at") > o).cast("int").alias("side")))).alias("q")) \
+        .select("fam", "q.*", "rid", "root")
+    out = materialise(out, "squares")
+    release(stars, members, sizes)
+    return out
+
+
+def family_links(documents: DataFrame, classes: DataFrame, lists: DataFrame, width: int, percent: int) -> DataFrame:
+    """The links between different roots in the families of ``lists``, found in place:
+    a task holds the sets of one square, and only links leave it."""
+    parts = shuffle_partitions(documents.sparkSession)
+    squares = families(lists, SQUARE)
+    sets = sets_of(documents, classes, squares.select("rid").distinct(), width)
+    at = ["fam", "x", "y"]
+
+    def work(t):
+        rid, root, side = (t.column(c).to_numpy() for c in ("rid", "root", "side"))
+        if (root == root[0]).all():
+            return
+        lists_ = t.column("s").combine_chunks()
+        offsets = lists_.offsets.to_numpy().astype(np.int64)
+        values = lists_.values.to_numpy()
+        same = t.column("x")[0].as_py() == t.column("y")[0].as_py()
+        j = np.flatnonzero(side == (0 if same else 1))
+        if len(j) == 0:
+            return
+        lengths = np.diff(offsets)
+        flat = np.concatenate([values[offsets[k]:offsets[k + 1]] for k in j])
+        bounds = np.concatenate(([0], np.cumsum(lengths[j])))
+        for i in np.flatnonzero(side == 0):
+            small, large = np.minimum(lengths[i], lengths[j]), np.maximum(lengths[i], lengths[j])
+            may = (root[j] != root[i]) & (100 * small >= percent * large)
+            if not may.any():
+                continue
+            ok = may & linked(values[offsets[i]:offsets[i + 1]], flat, bounds, percent)
+            if ok.any():
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(int(ok.sum()), rid[i])), pa.array(rid[j[ok]])], names=["a", "b"])
+
+    def run(batches):
         held = None
         for b in batches:
             t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
-            t = t.combine_chunks()
             if t.num_rows == 0:
                 continue
             differs = np.zeros(t.num_rows - 1, dtype=bool)
             for c in at:
                 x = t.column(c).to_numpy()
                 differs |= x[1:] != x[:-1]
-            cut = np.r_[0, np.flatnonzero(differs) + 1]
+            cut = np.concatenate(([0], np.flatnonzero(differs) + 1))
             for p, q in zip(cut[:-1], cut[1:]):
                 yield from work(t.slice(p, q - p))
             held = t.slice(cut[-1])
@@ -173,72 +225,47 @@ def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near
             yield from work(held)
         trim_memory()
 
-    found = dealt.repartition(parts, *at).sortWithinPartitions(*at).mapInArrow(run, "a long, b long").distinct()
-    found = materialise(found, "squares")
-    release(sizes)
-    return found
-
-
-HUBS = 8             # members of a long list that all others are compared with in a round
-ROUNDS = 3           # such rounds at most; then every pair that is left
-FEW = 16             # pairs of different roots a member that are compared at once
-
-
-def mixed_lists(lists: DataFrame) -> DataFrame:
-    """lists (key, root, ..) -> (key, big, many) of the lists that hold several roots:
-    the most frequent one, and whether there are more than ``FEW`` pairs of
-    different roots for each member."""
-    sizes = lists.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
-        F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("q"), F.max_by("root", "c").alias("big"))
-    return sizes.where("m * m > q").select("key", "big", (F.col("m") * F.col("m") - F.col("q") > 2 * FEW * F.col("m")).alias("many"))
-
-
-def _against(rows: DataFrame, hubs: DataFrame, carry: list[str], reach) -> DataFrame:
-    """Pairs of ``rows`` with the ``hubs`` of their list, of different roots within reach."""
-    hubs = materialise(hubs.select("key", *[F.col(c).alias(f"h_{c}") for c in ("rid", "root", *carry)]), "list-hubs")
-    pairs = (rows.join(broadcast_if_small(hubs, hubs.count()), "key").where("root <> h_root").where(reach())
-             .select(F.col("rid").alias("a"), F.col("h_rid").alias("b")))
-    pairs._scratch = hubs._scratch
-    return pairs
+    met = sets.join(broadcast_if_small(squares, squares.count()), "rid").select(*at, "side", "rid", "root", "s")
+    links = materialise(met.repartition(parts, *at).sortWithinPartitions(*at).mapInArrow(run, "a long, b long"), "links")
+    release(squares, sets)
+    return links
 
 
 def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: DataFrame, carry: list[str],
-           reach, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+           reach, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rounds of stars over the long lists (key, rid, ``carry``) that still hold many
     pairs of different roots: each time ``HUBS`` members, another choice but the same
     in all lists that share them, are compared with the members of other roots. A
     family of near copies falls into few components this way, without its pairs.
-    ``reach(c)``: whether a row and a hub (columns ``h_..``) may link.
+    ``reach()``: whether a row and a hub (columns ``h_..``) may link.
 
-    -> (node, root) after the rounds; the pairs left in lists with few: their members
-    outside the most frequent root, about 2 * ``FEW`` of them, with all others; and
-    the lists (key, rid, root, ``carry``) that still hold many."""
+    -> (node, root) after the rounds, and the links between those roots that the
+    lists still mixed give (``family_links``)."""
     for r in range(ROUNDS + 1):
         at = materialise(rooted(lists, found, "rid", "root"), "rooted-lists")
         mixed = materialise(mixed_lists(at), "mixed")
         n_mixed = mixed.count()
         if n_mixed == 0:
             release(at, mixed)
-            return found, no_pairs(at.sparkSession), at.limit(0)
+            return found, no_pairs(documents.sparkSession)
         left = at.join(broadcast_if_small(mixed, n_mixed), "key")
         if r == ROUNDS or mixed.where("many").isEmpty():
-            left = materialise(left, "mixed-lists")
-            few = left.where("not many")
-            pairs = _against(few, few.where("root <> big"), carry, reach)
-            last = materialise(pairs.distinct(), "few")
-            many = materialise(left.where("many").select("key", "rid", "root", *carry), "many")
-            release(at, mixed, left, pairs)
-            return found, last, many
+            links = family_links(documents, classes, left.select("key", "rid", "root"), width, percent)
+            release(at, mixed)
+            return found, links
         many = left.where("many")
         w = Window.partitionBy("key").orderBy(F.xxhash64("rid", F.lit(r)), "rid")
-        star = _against(many, many.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= HUBS), carry, reach)
+        hubs = materialise(many.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= HUBS)
+                           .select("key", *[F.col(c).alias(f"h_{c}") for c in ("rid", "root", *carry)]), "list-hubs")
+        star = (many.join(broadcast_if_small(hubs, hubs.count()), "key").where("root <> h_root").where(reach())
+                .select(F.col("rid").alias("a"), F.col("h_rid").alias("b")))
         links = verify(documents, classes, star, width, percent)
         joined = components(rooted(rooted(links, found, "a", "ra"), found, "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
         # roots move; a class that was alone has no row in ``found`` yet
         moved = rooted(found.withColumnRenamed("root", "_old"), joined.select("node", "root"), "_old", "root").select("node", "root")
         new = joined.join(found.select("node"), "node", "left_anti").select("node", "root")
         last, found = found, materialise(moved.unionAll(new), "rooted")
-        release(at, mixed, star, links, joined, last)
+        release(at, mixed, hubs, links, joined, last)
 
 
 def joined_roots(classes: DataFrame, first: DataFrame, more: DataFrame) -> DataFrame:

@@ -14,10 +14,9 @@
    stream. Lists of up to ``LIST`` classes give their pairs (sizes within reach).
    Members of longer lists are first compared with the list's first members. Long
    lists that still hold many pairs of different components go through further
-   rounds of stars (``links.settle``). What is left is compared pair by pair, of
-   different components only; in lists that still have many such pairs, members
-   must agree in a second one as well (linked sets share just one band with
-   probability under 1e-7), and these are dealt in squares of ``SQUARE`` members.
+   rounds of stars. What is left is compared in families of lists that share a
+   component: squares of members, whose sets meet in one task and of which only
+   links leave it (``links.settle``).
 5. Every candidate is verified on whole sets.
 
 Defined results: a null or word-free text has an empty set, links with nothing
@@ -46,7 +45,6 @@ T = 256              # coordinates, a power of two
 ROWS = 6             # coordinates of a band
 BANDS = T // ROWS
 LIST = 16            # longest band list that is paired at once
-SQUARE = 128         # members on a side of a task's square of a long list
 BLOCK = 200_000      # elements sketched at once
 
 _U = np.uint64
@@ -217,23 +215,6 @@ def candidates(sets: DataFrame, classes: DataFrame) -> DataFrame:
     return materialise(out, "band-lists")
 
 
-def _near(x, y):
-    return _reach(x["n"][:, None], y["n"][None, :])
-
-
-def across(many: DataFrame) -> DataFrame:
-    """lists (key, rid, n, root) -> candidate pairs (a, b) of different roots that agree
-    in two lists."""
-    if many.isEmpty():
-        return L.no_pairs(many.sparkSession)
-    second = many.select(F.col("rid").alias("_rid"), F.col("key").alias("key2"))
-    both = many.join(second, (F.col("rid") == F.col("_rid")) & (F.col("key") < F.col("key2"))).select("key", "key2", "rid", "n", "root")
-    both = materialise(both, "double-keys")
-    pairs = L.squares(both, ["key", "key2"], SQUARE, ["n"], _near)
-    release(both)
-    return pairs
-
-
 # ---------------------------------------------------------------------- operator
 def near_components(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``documents``."""
@@ -247,11 +228,9 @@ def near_components(documents: DataFrame) -> DataFrame:
     first = materialise(stars, "rooted")
     lists = found.where("long").select(F.col("b").alias("key"), F.col("a").alias("rid"), "n")
     near = lambda: 100 * F.least("n", "h_n") >= SIMILAR * F.greatest("n", "h_n")
-    first, few, many = L.settle(documents, classes, lists, first, ["n"], near, WIDTH, SIMILAR)
-    double = across(many)
-    more = L.verify(documents, classes, few.unionAll(double), WIDTH, SIMILAR)
+    first, more = L.settle(documents, classes, lists, first, ["n"], near, WIDTH, SIMILAR)
     roots = L.joined_roots(classes, first, more)
-    release(found, stars, pairs, few, many, double, more, first, classes)
+    release(found, stars, pairs, more, first, classes)
     done = L.with_components(sets.select("doc_id", "n", "d"), roots)
     return done.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id",
                        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
