@@ -40,7 +40,7 @@ def running_total(df: DataFrame, keys: list[str], order: list[str], weight: Colu
                        .sortWithinPartitions(*keys, *order)
                        .withColumn("_part", F.spark_partition_id())
                        .withColumn("_seq", F.monotonically_increasing_id()), "running")
-    runs = materialise(rows.groupBy("_part", *keys).agg(F.sum("_w").alias("_t")), "runs")
+    runs = rows.groupBy("_part", *keys).agg(F.sum("_w").alias("_t"))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = runs.select(F.col("_part").alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
                           F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))

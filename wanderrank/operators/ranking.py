@@ -152,7 +152,7 @@ def _recommend(requests: DataFrame, train: DataFrame, items: DataFrame, neighbou
                mode: str, k: int, max_top_n: int | None) -> DataFrame:
     """recommend_batch with one row per ``user_id`` (a request key); ``owner`` is
     the user whose interactions count."""
-    req = materialise(normalize_requests(requests, mode, max_top_n), "normalised")
+    req = normalize_requests(requests, mode, max_top_n)
     cat = items.select("item_id", *[c for c in ("name", "category", "province", "rating", "price")
                                     if c in items.columns])
     for c, t in (("name", "string"), ("category", "string"), ("province", "string"),
