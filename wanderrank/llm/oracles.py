@@ -146,8 +146,22 @@ SELECT f.word, f.form, t.last AS root, f.n, f.n_near, f.form_n
 FROM f JOIN t ON t.word = f.word JOIN f z ON z.word = t.last AND z.form IS NULL
 """
 
+SHARDS = f"""
+WITH RECURSIVE {_CRC},
+d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+b AS (SELECT rid, doc_id, CAST(strlen(t) + 8 AS BIGINT) AS size,
+             list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bs FROM d),
+c AS (SELECT rid, doc_id, size, CAST({_crc('bs')} AS BIGINT) AS text_crc32 FROM b, tab),
+p AS (SELECT *, sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32, rid ROWS UNBOUNDED PRECEDING) AS upto,
+             sum(size) OVER () AS total FROM c),
+s AS (SELECT *, CAST(least(23, ((2 * upto - size) * 24) // greatest(2 * total, 1)) AS INTEGER) AS shard FROM p)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       CAST(row_number() OVER (PARTITION BY shard ORDER BY upto) - 1 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM s
+"""
+
 ORACLES: dict[str, str] = {
     "op4_quality": QUALITY,
+    "op6_byte_shards": SHARDS,
     "op9_ngram_jaccard": NEAR,
     "op11_minhash": MINHASH,
     "op12_merkle_manifest": MANIFEST,
