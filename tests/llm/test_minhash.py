@@ -56,6 +56,7 @@ def test_long_lists_squares_and_chunks(docs, monkeypatch):
     """Every list is long, hubs have several chunks, squares are small: chains of
     near copies whose ends are not linked, all through the second round."""
     monkeypatch.setattr(M, "LIST", 2)
+    monkeypatch.setattr(M, "FIRST", 1)
     for k, v in (("SQUARE", 3), ("CHUNK", 3), ("HUBS", 1), ("ROUNDS", 1), ("FEW", 0)):
         monkeypatch.setattr(M.L, k, v)
     texts = corpus(3, 60, 6)
@@ -108,7 +109,7 @@ def test_list_stream_over_any_batching(lists, step):
     batches = [pa.RecordBatch.from_arrays([pa.array(c[k:k + step]) for c in cols], names=["key", "rid", "n"])
                for k in range(0, len(rows), step)]
     out = [r for b in M._list_stream(iter(batches)) for r in b.to_pylist()]
-    hubs = lambda ls: sorted(ls)[:M.L.HUBS]
+    hubs = lambda ls: sorted(ls)[:M.FIRST]
     assert Counter((r["a"], r["b"]) for r in out if not r["long"]) == Counter(
         (x, y) for ls in lists if len(ls) <= M.LIST for x in ls for y in ls if x < y) + Counter(
         (h, x) for ls in lists if len(ls) > M.LIST for h in hubs(ls) for x in ls if x != h)

@@ -44,7 +44,8 @@ SIMILAR = 85
 T = 256              # coordinates, a power of two
 ROWS = 6             # coordinates of a band
 BANDS = T // ROWS
-LIST = 16            # longest band list that is paired at once
+LIST = 4             # longest band list that is paired at once
+FIRST = 2            # members of a longer list that all others meet in the first round
 BLOCK = 200_000      # elements sketched at once
 
 _U = np.uint64
@@ -139,9 +140,9 @@ def _reach(a, b):
 
 def _list_stream(batches):
     """Rows (key, rid, n) in order of (key, rid) -> candidate pairs (long false: a, b)
-    of lists up to LIST and of longer lists' members with their first HUBS rows, and
+    of lists up to LIST and of longer lists' members with their first FIRST rows, and
     rows (long true: a = rid, b = key, n) of longer ones. Holds at most LIST rows
-    and HUBS hubs between batches."""
+    and FIRST hubs between batches."""
     held = None
     running = None  # (key, hubs, their n) of a list known to be long
 
@@ -164,7 +165,7 @@ def _list_stream(batches):
         size = np.diff(cut)
         for k in np.flatnonzero(size > LIST):
             x, y = cut[k], cut[k + 1]
-            yield from star(key[x:y], rid[x:y], n[x:y], rid[x:min(y, x + L.HUBS)], n[x:min(y, x + L.HUBS)])
+            yield from star(key[x:y], rid[x:y], n[x:y], rid[x:x + FIRST], n[x:x + FIRST])
         wide = np.repeat(size, size)
         some = (wide > 1) & (wide <= LIST)
         key, rid, n = key[some], rid[some], n[some]
@@ -192,7 +193,7 @@ def _list_stream(batches):
         yield from whole(*(x[:tail] for x in rows))
         last = [x[tail:] for x in rows]
         if len(last[0]) > LIST:
-            running = (last[0][0], last[1][:L.HUBS].copy(), last[2][:L.HUBS].copy())
+            running = (last[0][0], last[1][:FIRST].copy(), last[2][:FIRST].copy())
             yield from star(*last, *running[1:])
         else:
             held = last
