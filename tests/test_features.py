@@ -61,3 +61,14 @@ def test_index_null_bucket_and_label_default(spark):
     assert rows == [(None, 3.0), ("x", 0.0), ("y", 1.0), ("z", 2.0)]
     enc = sorted(((r.c, r.e) for r in FE.label_encode(df, "c", "e", default="y").collect()), key=key)
     assert enc == [(None, 1.0), ("x", 0.0), ("y", 1.0), ("z", 2.0)]
+
+
+def test_many_labels_are_numbered_by_a_distributed_sort(spark, monkeypatch):
+    rows = [(i, None if i % 7 == 0 else f"l{i % 13:02d}") for i in range(200)]
+    df = spark.createDataFrame(rows, "item_id long, category string")
+    out = []
+    for small in (100_000, 3):
+        monkeypatch.setattr(FE, "SMALL_ROWS", small)
+        a = FE.index_category(df, "category", "c")
+        out.append(sorted((r.item_id, r.c, r.d) for r in FE.label_encode(a, "category", "d", default="l00").collect()))
+    assert out[0] == out[1]

@@ -93,10 +93,14 @@ def window_minmax(df: DataFrame, by: str, col: str, out: str) -> DataFrame:
 
 
 def _label_table(counts: DataFrame, order: str) -> DataFrame:
-    """(_label, _n) -> (_label, _idx): a distributed sort numbers the labels, so
-    their number is not bounded by one task."""
-    by = [F.col("_n").desc()] if order == "frequencyDesc" else []
-    ranked = index_by(counts.withColumn("_null", F.col("_label").isNull()), "_null", *by, F.col("_label").asc(), out="_pos")
+    """(_label, _n) -> (_label, _idx). The labels are counted: up to ``SMALL_ROWS`` one
+    task numbers them, beyond that a distributed sort does."""
+    counts = counts.withColumn("_null", F.col("_label").isNull()).transform(saved)
+    by = [F.col("_null"), *([F.col("_n").desc()] if order == "frequencyDesc" else []), F.col("_label").asc()]
+    if counts.count() <= SMALL_ROWS:
+        ranked = counts.withColumn("_pos", F.row_number().over(Window.orderBy(*by)))
+    else:
+        ranked = index_by(counts, *by, out="_pos")
     return ranked.select("_label", (F.col("_pos") - 1).cast("double").alias("_idx"))
 
 
