@@ -135,7 +135,7 @@ def rooted(df: DataFrame, found: DataFrame, col: str, out: str) -> DataFrame:
     return df.join(r, col, "left").withColumn(out, F.coalesce("_r", col)).drop("_r")
 
 
-HUBS = 8             # members of a long list that all others are compared with in a round
+HUBS = 3             # members of a long list that all others are compared with in a round
 ROUNDS = 2           # such rounds at most; then every pair that is left
 FEW = 16             # a list with fewer pairs of different roots a member takes no more rounds
 SQUARE = 128         # members on a side of a task's square
