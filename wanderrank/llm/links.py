@@ -231,8 +231,64 @@ def family_links(documents: DataFrame, classes: DataFrame, lists: DataFrame, wid
     return links
 
 
+def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near) -> DataFrame:
+    """Pairs (a, b) of different roots inside each list of ``lists`` (keys, rid,
+    root, ``carry``). A list is dealt in squares of ``side`` x ``side`` members, so no
+    task holds more than one of them. ``near(x, y)``: the matrix of pairs that may
+    link, from the columns of both sides."""
+    parts = shuffle_partitions(lists.sparkSession)
+    if lists.isEmpty():
+        return no_pairs(lists.sparkSession)
+    sizes = materialise(lists.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / side).cast("int").alias("_w")), "sizes")
+    met = lists.join(broadcast_if_small(sizes, sizes.count()), keys).withColumn("_at", F.pmod(F.xxhash64("rid"), F.col("_w")).cast("int"))
+    # a member's block is one side of every square that it takes part in
+    dealt = met.select(*keys, "rid", "root", *carry, F.explode(F.transform(
+        F.sequence(F.lit(0), F.col("_w") - 1),
+        lambda o: F.struct(F.least("_at", o).alias("_x"), F.greatest("_at", o).alias("_y"), (F.col("_at") > o).cast("int").alias("_side")))).alias("_q")) \
+        .select(*keys, "_q.*", "rid", "root", *carry)
+    at = [*keys, "_x", "_y"]
+
+    def run(batches):
+        def work(t):
+            rows = {c: t.column(c).to_numpy() for c in ("rid", "root", *carry)}
+            if (rows["root"] == rows["root"][0]).all():
+                return
+            which = t.column("_side").to_numpy()
+            same = t.column("_x")[0].as_py() == t.column("_y")[0].as_py()
+            x, y = ({c: v[which == k] for c, v in rows.items()} for k in (0, 0 if same else 1))
+            ok = x["root"][:, None] != y["root"][None, :]
+            if same:
+                ok &= x["rid"][:, None] < y["rid"][None, :]
+            i, j = np.nonzero(ok & near(x, y))
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(x["rid"][i]), pa.array(y["rid"][j])], names=["a", "b"])
+
+        held = None
+        for b in batches:
+            t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            t = t.combine_chunks()
+            if t.num_rows == 0:
+                continue
+            differs = np.zeros(t.num_rows - 1, dtype=bool)
+            for c in at:
+                x = t.column(c).to_numpy()
+                differs |= x[1:] != x[:-1]
+            cut = np.r_[0, np.flatnonzero(differs) + 1]
+            for p, q in zip(cut[:-1], cut[1:]):
+                yield from work(t.slice(p, q - p))
+            held = t.slice(cut[-1])
+        if held is not None and held.num_rows:
+            yield from work(held)
+        trim_memory()
+
+    found = dealt.repartition(parts, *at).sortWithinPartitions(*at).mapInArrow(run, "a long, b long").distinct()
+    found = materialise(found, "squares")
+    release(sizes)
+    return found
+
+
 def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: DataFrame, carry: list[str],
-           reach, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+           reach, width: int, percent: int, near=None) -> tuple[DataFrame, DataFrame]:
     """Rounds of stars over the long lists (key, rid, ``carry``) that still hold many
     pairs of different roots: each time ``HUBS`` members, another choice but the same
     in all lists that share them, are compared with the members of other roots. A
@@ -240,7 +296,8 @@ def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: Da
     ``reach()``: whether a row and a hub (columns ``h_..``) may link.
 
     -> (node, root) after the rounds, and the links between those roots that the
-    lists still mixed give (``family_links``)."""
+    lists still mixed give: with ``near`` the pairs of one list that it lets through
+    are verified (``squares``), else whole families are compared in place."""
     for r in range(ROUNDS + 1):
         at = materialise(rooted(lists, found, "rid", "root"), "rooted-lists")
         mixed = materialise(mixed_lists(at), "mixed")
@@ -250,7 +307,12 @@ def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: Da
             return found, no_pairs(documents.sparkSession)
         left = at.join(broadcast_if_small(mixed, n_mixed), "key")
         if r == ROUNDS or mixed.where("many").isEmpty():
-            links = family_links(documents, classes, left.select("key", "rid", "root"), width, percent)
+            if near is None:
+                links = family_links(documents, classes, left.select("key", "rid", "root"), width, percent)
+            else:
+                pairs = squares(left.select("key", "rid", "root", *carry), ["key"], SQUARE, carry, near)
+                links = verify(documents, classes, pairs, width, percent)
+                release(pairs)
             release(at, mixed)
             return found, links
         many = left.where("many")
