@@ -87,6 +87,35 @@ def test_no_hint_and_short_lists_give_the_same(docs, monkeypatch):
     assert got == brute(rows)
 
 
+def test_a_long_list_takes_the_whole_group_of_its_leader(docs, monkeypatch):
+    """Equal prefix and size, but only the second of the group links with a third."""
+    def sets(*words):
+        return [s for s in shingle_sets(pa.array([" ".join(w) for w in words]))]
+
+    rng = np.random.default_rng(4)
+    lead = [f"w{i}" for i in range(104)]
+    mate, turns = list(lead), 0
+    prefix = J.prefix_length(100)
+    while turns < 3:  # words changed whose shingles, old and new, stand after the prefix
+        new = list(mate)
+        new[int(rng.integers(5, 98))] = f"x{int(rng.integers(0, 1 << 40))}"
+        a, b, c = sets(lead, mate, new)
+        if len(c) == 100 and np.array_equal(a[:prefix], c[:prefix]) and len(np.intersect1d(b, c)) == 95 and len(np.intersect1d(a, c)) == 85 + 5 * (2 - turns):
+            mate, turns = new, turns + 1
+    third = list(mate)
+    while True:
+        third = list(mate)
+        third[int(rng.integers(5, 98))] = "y"
+        a, b, c = sets(lead, mate, third)
+        if not np.array_equal(a[:prefix], c[:prefix]) and len(np.intersect1d(a, c)) <= 85 and len(np.intersect1d(b, c)) >= 90:
+            break
+    hint = np.unique(np.concatenate([a, b, c]))
+    monkeypatch.setattr(J, "common_shingles", lambda d: hint)  # every list counts as long
+    rows = [(i, " ".join(w)) for i, w in enumerate((lead, mate, third))]
+    got = Counter(map(tuple, J.near_documents(docs([(i, t, "s") for i, t in rows]).coalesce(1)).collect()))
+    assert got == brute(rows) == Counter([(0, 100, 0), (1, 100, 1), (2, 100, 1)])
+
+
 def test_first_of_component(docs, odd_texts):
     base = " ".join(f"w{i}" for i in range(80))
     rows = [(9, base, "a"), (4, base, "b"), (7, base.replace("w79", "x"), "c"), (1, "other text " * 9, "d"), (1, "other text " * 9, "d"),

@@ -239,12 +239,18 @@ def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near
     parts = shuffle_partitions(lists.sparkSession)
     if lists.isEmpty():
         return no_pairs(lists.sparkSession)
-    sizes = materialise(lists.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / side).cast("int").alias("_w")), "sizes")
-    met = lists.join(broadcast_if_small(sizes, sizes.count()), keys).withColumn("_at", F.pmod(F.xxhash64("rid"), F.col("_w")).cast("int"))
+    # members of the list's largest root have blocks of their own, which never meet each other
+    sizes = lists.groupBy(*keys, "root").agg(F.count(F.lit(1)).alias("c")).groupBy(*keys).agg(
+        F.max_by("root", "c").alias("_big"), F.max("c").alias("cb"), F.sum("c").alias("m")).where("m > cb")
+    sizes = materialise(sizes.select(*keys, "_big", F.ceil(F.col("cb") / side).cast("int").alias("_wb"),
+                                     F.ceil((F.col("m") - F.col("cb")) / side).cast("int").alias("_wo")), "sizes")
+    h, of_big = F.xxhash64("rid"), F.col("root") == F.col("_big")
+    met = lists.join(broadcast_if_small(sizes, sizes.count()), keys).withColumn(
+        "_at", F.when(of_big, F.pmod(h, F.col("_wb"))).otherwise(F.col("_wb") + F.pmod(h, F.col("_wo"))).cast("int"))
     # a member's block is one side of every square that it takes part in
-    dealt = met.select(*keys, "rid", "root", *carry, F.explode(F.transform(
-        F.sequence(F.lit(0), F.col("_w") - 1),
-        lambda o: F.struct(F.least("_at", o).alias("_x"), F.greatest("_at", o).alias("_y"), (F.col("_at") > o).cast("int").alias("_side")))).alias("_q")) \
+    others = F.sequence(F.when(of_big, F.col("_wb")).otherwise(F.lit(0)), F.col("_wb") + F.col("_wo") - 1)
+    dealt = met.select(*keys, "rid", "root", *carry, F.explode(F.transform(others, lambda o: F.struct(
+        F.least("_at", o).alias("_x"), F.greatest("_at", o).alias("_y"), (F.col("_at") > o).cast("int").alias("_side")))).alias("_q")) \
         .select(*keys, "_q.*", "rid", "root", *carry)
     at = [*keys, "_x", "_y"]
 
@@ -288,24 +294,38 @@ def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near
 
 
 def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: DataFrame, carry: list[str],
-           reach, width: int, percent: int, near=None) -> tuple[DataFrame, DataFrame]:
+           reach, width: int, percent: int, near=None, mates: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Rounds of stars over the long lists (key, rid, ``carry``) that still hold many
     pairs of different roots: each time ``HUBS`` members, another choice but the same
     in all lists that share them, are compared with the members of other roots. A
     family of near copies falls into few components this way, without its pairs.
-    ``reach()``: whether a row and a hub (columns ``h_..``) may link.
+    ``reach()``: whether a row and a hub (columns ``h_..``) may link. ``mates`` (lead,
+    rid; the lead, too): classes that a list's lead stands for. They count by their
+    roots, and lists of several roots take them all.
 
     -> (node, root) after the rounds, and the links between those roots that the
     lists still mixed give: with ``near`` the pairs of one list that it lets through
     are verified (``squares``), else whole families are compared in place."""
     for r in range(ROUNDS + 1):
-        at = materialise(rooted(lists, found, "rid", "root"), "rooted-lists")
+        at = rooted(lists, found, "rid", "root")
+        if mates is not None:
+            mated = materialise(rooted(mates, found, "rid", "root"), "mates")
+            at = at.join(mated.select(F.col("lead").alias("rid"), F.col("root").alias("_o")).distinct(), "rid", "left") \
+                .withColumn("root", F.coalesce("_o", "root")).drop("_o")
+        at = materialise(at, "rooted-lists")
         mixed = materialise(mixed_lists(at), "mixed")
         n_mixed = mixed.count()
         if n_mixed == 0:
-            release(at, mixed)
+            release(at, mixed, *([] if mates is None else [mated]))
             return found, no_pairs(documents.sparkSession)
         left = at.join(broadcast_if_small(mixed, n_mixed), "key")
+        if mates is not None:
+            whole = at
+            left = left.join(mated.select(F.col("lead").alias("rid"), "root", F.col("rid").alias("_o")), ["rid", "root"], "left") \
+                .withColumn("rid", F.coalesce("_o", "rid")).drop("_o")
+            at = materialise(left, "mixed-lists")
+            left = at
+            release(whole, mated)
         if r == ROUNDS or mixed.where("many").isEmpty():
             if near is None:
                 links = family_links(documents, classes, left.select("key", "rid", "root"), width, percent)

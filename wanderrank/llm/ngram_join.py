@@ -15,7 +15,8 @@ five-word shingle sets (at least ``SIMILAR`` percent), exact.
    with the list's first, which is the one whose shingle comes earliest.
 5. Candidates are verified on whole sets (``links``), in two rounds: the star of
    each long list, each leader with its most promising partner, each member with
-   its leader; long lists that still hold many pairs of different components go
+   its leader; long lists (where a leader stands for the components of its whole
+   group) that still hold many pairs of different components go
    through more stars and then, like groups, through squares of members whose sets
    meet in one task (``links.settle``); last the pairs of short lists that still
    join different components, groups root by root before they are expanded.
@@ -308,7 +309,7 @@ def _roots(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     none = F.lit(0).alias
     every = lists.select(F.col("s").alias("key"), "rid", "n", "pos").unionAll(
         mates.select(F.col("lead").alias("key"), "rid", none("n"), none("pos")))
-    found, across = L.settle(documents, classes, every, found, ["n", "pos"], reach, WIDTH, SIMILAR, _may_link)
+    found, across = L.settle(documents, classes, every, found, ["n", "pos"], reach, WIDTH, SIMILAR, _may_link, mates)
     leads = pairs.select("a", "b")
     # groups of several: their other classes stand in for the leader, root by root
     mated = materialise(L.rooted(mates, found, "rid", "root"), "rooted-mates")
