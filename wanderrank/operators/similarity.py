@@ -1,21 +1,23 @@
 """Content similarity: item vectors, exact cosine top-k, neighbour lookup.
 
-Exact all-pairs top-k is computed block by block:
+Exact all-pairs top-k without all pairs:
 
 1. vectors are L2-normalised in the JVM (zero vector stays zero, so its
-   cosine with anything is 0);
-2. each item gets a block ``pmod(xxhash64(id), B)`` with ``B = ceil(n / block_rows)``
-   (4096 rows: a block pair is a ~130 MB score matrix, ~0.4 GB peak per task);
-3. query blocks are numbered apart from candidate blocks: a candidate row is
-   copied once per *query* block, ``ceil(n_queries / block_rows)`` times, and a
-   query row once per candidate block; a cogroup on the pair hands one task
-   exactly two blocks (each about ``block_rows`` rows, whatever the table
-   size), scored as one numpy matrix product;
-4. the task keeps the k best per query row, so only ``n * k * B`` rows leave
-   it, never the ``n^2`` pairs;
+   cosine with anything is 0); equal vectors are one class, of which a query can
+   need the ``k + 1`` smallest ids only;
+2. classes are cut into blocks of about ``block_rows`` near ones (``operators.cells``);
+   a block's box and ball bound what a query can score there;
+3. a query meets its own block first; its ``k + 1``-th score there is a floor, and only
+   blocks whose bound reaches the floor are visited. A task holds one block and at
+   most ``block_rows`` queries, scored ``CHUNK`` queries at a time, and emits only
+   scores that reach the floor;
+4. zero vectors score 0 with everything: they take the smallest ids;
 5. ``row_number() <= k`` per source merges the blocks (planned with a
    partial WindowGroupLimit before the shuffle).
 
+Vectors without a bound in reach (many dimensions, no structure) visit every
+block: the work is then n^2, the memory of a task stays the same.
+
 Ranking uses the score rounded to 12 places, then the neighbour id, so equal
 scores that differ only in floating-point noise rank the same on any engine.
 """
@@ -29,12 +31,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wanderrank.operators import cells
 from wanderrank.operators.features import label_encode
 from wanderrank.operators.topk import block_tasks, topk_rows
-from wanderrank.session import saved, ship_package
+from wanderrank.session import broadcast_if_small, materialise, release, saved, ship_package
 
 NUMERIC_FEATURES = ["rating", "price", "visit_hours", "annual_visitors"]
 RANK_DIGITS = 12
+CHUNK = 256          # query rows scored at once
+SLACK = 1e-9         # rounding of scores and bounds
 
 
 def feature_columns(items: DataFrame) -> list[str]:
@@ -81,18 +86,29 @@ def _unit(features: str = "features"):
 
 
 def _topk_block(k: int):
+    """Query classes (qid, u, self, floor) x classes of one block -> per query the
+    ``k`` best classes; classes whose first id is ``self`` come in addition."""
     def score(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"qid": np.empty(0, np.int64), "cls": np.empty(0, np.int64), "score": np.empty(0)})]
         if q.empty or c.empty:
-            return pd.DataFrame({"src": [], "dst": [], "score": []})
-        qm = np.stack(q["u"].to_numpy())
+            return out[0]
         cm = np.stack(c["c_u"].to_numpy())
-        qid = q["item_id"].to_numpy()
-        cid = c["c_id"].to_numpy()
-        sims = qm @ cm.T
-        # exclude self pairs
-        sims = np.where(qid[:, None] == cid[None, :], -np.inf, sims)
-        r, col = topk_rows(sims, cid, k, np.round(sims, RANK_DIGITS))
-        return pd.DataFrame({"src": qid[r], "dst": cid[col], "score": sims[r, col]})
+        cls, name = c["cls"].to_numpy(), c["name"].to_numpy()
+        first = c["first"].fillna("" if c["first"].dtype == object else -np.inf).to_numpy()
+        for at in range(0, len(q), CHUNK):
+            part = q.iloc[at:at + CHUNK]
+            qid, floor = part["qid"].to_numpy(), part["floor"].fillna(-np.inf).to_numpy(dtype=float)
+            sims = np.stack(part["u"].to_numpy()) @ cm.T
+            ranked = np.round(sims, RANK_DIGITS)
+            ranked[sims < floor[:, None] - SLACK] = -np.inf
+            own = part["self"].to_numpy()
+            for i in np.flatnonzero(part["self"].notna().to_numpy()):
+                for j in np.flatnonzero((name == own[i]) & np.isfinite(ranked[i])):
+                    out.append(pd.DataFrame({"qid": [qid[i]], "cls": [cls[j]], "score": [sims[i, j]]}))
+                    ranked[i, j] = -np.inf
+            r, col = topk_rows(sims, first, k, ranked)
+            out.append(pd.DataFrame({"qid": qid[r], "cls": cls[col], "score": sims[r, col]}))
+        return pd.concat(out, ignore_index=True)
     return score
 
 
@@ -101,10 +117,8 @@ def _n_blocks(df: DataFrame, block_rows: int) -> int:
 
 
 def block_copies(src: DataFrame, v: DataFrame, block_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Query rows (item_id, u, qb, cb), one per candidate block, and candidate
-    rows (c_id, c_u, c_qb, c_cb), one per query block. Fresh names on the
-    candidate side: both derive from ``v``, and a cogroup over shared
-    attributes can lose the right side's columns."""
+    """All pairs of blocks, without bounds: query rows (item_id, u, qb, cb), one per
+    candidate block, and candidate rows (c_id, c_u, c_qb, c_cb), one per query block."""
     nq, nc = _n_blocks(src, block_rows), _n_blocks(v, block_rows)
 
     def block(n: int):
@@ -116,6 +130,34 @@ def block_copies(src: DataFrame, v: DataFrame, block_rows: int) -> tuple[DataFra
     return q, c
 
 
+def _visit(routes: DataFrame, classes: DataFrame, k: int, block_rows: int) -> DataFrame:
+    """(qid, cls, score) of queries (qid, u, self, floor, block) and their block's classes."""
+    sizes = materialise(routes.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_k")), "visits")
+    row = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("_k").alias("t")).first()
+    tasks = block_tasks(routes.sparkSession, row["t"] or 1)
+    small = broadcast_if_small(sizes, row["n"])
+    q = (routes.join(small, "block").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("_k")).cast("int"))
+         .select("qid", "u", "self", "floor", "block", "part").repartition(tasks, "block", "part"))
+    c = (classes.join(small, "block").withColumn("c_part", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+         .select("cls", F.col("u").alias("c_u"), "first", "name", F.col("block").alias("c_block"), "c_part")
+         .repartition(tasks, "c_block", "c_part"))
+    found = (q.groupBy("block", "part").cogroup(c.groupBy("c_block", "c_part"))
+             .applyInPandas(_topk_block(k), "qid long, cls long, score double"))
+    found = materialise(found, "scores")
+    release(sizes)
+    return found
+
+
+def _vector_classes(v: DataFrame, k: int) -> DataFrame:
+    """Rows (item_id, u) -> u, ids: the ``k`` smallest ids with that vector and how
+    often each occurs (``k`` at most), ``first`` (the least id) and its ``name``."""
+    one = v.groupBy("u", "item_id").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("m"))
+    w = Window.partitionBy("u").orderBy("item_id")
+    return (one.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
+            .groupBy("u").agg(F.array_sort(F.collect_list(F.struct("_r", F.col("item_id").alias("dst"), "m"))).alias("ids"))
+            .withColumn("first", F.col("ids")[0]["dst"]).withColumn("name", F.col("first").cast("string")))
+
+
 def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
                 id_col: str = "item_id", features: str = "features",
                 queries: DataFrame | None = None) -> DataFrame:
@@ -124,22 +166,57 @@ def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
     Returns ``(src, dst, score, rank)`` with the raw cosine in ``score``
     (round for display with ``round4``). ``queries`` (a frame with ``id_col``)
     restricts the source side to those ids; candidates are always the whole
-    table, so the result for those sources is the same.
+    table, so the result for those sources is the same. Vectors that are null or
+    hold a NaN have no neighbours and are none. Repeated rows count as often as
+    they occur.
     """
     ship_package(vectors.sparkSession)
-    # Written once to the shared checkpoint folder: both sides of the cogroup
-    # and the count read it instead of recomputing the feature lineage.
-    v = vectors.select(F.col(id_col).alias("item_id"), _unit(features).alias("u")).transform(saved)
+    # Written once to the shared checkpoint folder: queries and candidates
+    # read it instead of recomputing the feature lineage.
+    v = vectors.select(F.col(id_col).alias("item_id"), _unit(features).alias("u")) \
+        .where(F.col("u").isNotNull() & ~F.exists("u", F.isnan)).transform(saved)
     src = v
     if queries is not None:
-        src = v.join(queries.select(F.col(id_col).alias("item_id")).distinct(), "item_id",
-                     "left_semi").transform(saved)
-    q, c = block_copies(src, v, block_rows)
-    id_type = v.schema["item_id"].dataType.simpleString()
-    n = block_tasks(vectors.sparkSession, _n_blocks(src, block_rows) * _n_blocks(v, block_rows))
-    q, c = q.repartition(n, "qb", "cb"), c.repartition(n, "c_qb", "c_cb")
-    pairs = (q.groupBy("qb", "cb").cogroup(c.groupBy("c_qb", "c_cb"))
-             .applyInPandas(_topk_block(k), f"src {id_type}, dst {id_type}, score double"))
+        src = v.join(queries.select(F.col(id_col).alias("item_id")).distinct(), "item_id", "left_semi")
+    classes = materialise(_vector_classes(v, k + 1).withColumn("cls", F.monotonically_increasing_id()), "classes")
+    classes, assign, reach = cells.blocks(classes, "u", "cls", block_rows)
+
+    # one query per vector; ids that have several vectors are queries of their own
+    several = v.groupBy("item_id").agg(F.count_distinct("u").alias("c")).where("c > 1").select("item_id", F.lit(True).alias("_several"))
+    src = src.join(several, "item_id", "left").withColumn(
+        "self", F.when(F.col("_several"), F.col("item_id").cast("string"))).groupBy("item_id", "u", "self").agg(
+        F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("times"))
+    src = materialise(src, "sources")
+    asked = materialise(src.select("u", "self").distinct().withColumn("qid", F.monotonically_increasing_id()), "queries")
+    some = F.exists("u", lambda x: x != 0)
+
+    def entries(found: DataFrame) -> DataFrame:
+        """The first ``k + 1`` neighbours (qid, dst, m, score) of each query."""
+        ids = found.join(classes.select("cls", "ids"), "cls").select("qid", "score", F.inline("ids"))
+        ids = ids.join(asked.where("self is not null").select("qid", "self"), "qid", "left") \
+            .where(F.col("self").isNull() | ~F.col("self").eqNullSafe(F.col("dst").cast("string")))
+        w = Window.partitionBy("qid").orderBy(F.round("score", RANK_DIGITS).desc(), F.col("dst").asc())
+        return ids.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k + 1).select("qid", "dst", "m", "score")
+
+    home = assign(asked.where(some)).withColumn("floor", F.lit(None).cast("double"))
+    first = _visit(home, classes, k + 1, block_rows)
+    floors = entries(first).groupBy("qid").agg(F.count(F.lit(1)).alias("_c"), F.min("score").alias("_least")) \
+        .select("qid", F.when(F.col("_c") > k, F.col("_least")).alias("floor"))
+    routes = materialise(reach(home.drop("floor").join(floors, "qid", "left"), SLACK), "routes")
+    more = _visit(routes, classes, k + 1, block_rows)
+    best = materialise(entries(first.unionAll(more)), "neighbours")
+    release(first, more, routes)
+
+    # zero vectors: every cosine is 0
+    low = v.groupBy("item_id").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("m")).orderBy("item_id").limit(k + 1)
+    none = asked.where(~some).select("qid").join(F.broadcast(low), how="cross").select(
+        "qid", F.col("item_id").alias("dst"), "m", F.lit(0.0).alias("score"))
+    key = F.col("self").eqNullSafe(F.col("q_self"))
+    pairs = (src.join(asked.select("qid", F.col("u").alias("q_u"), F.col("self").alias("q_self")), (F.col("u") == F.col("q_u")) & key)
+             .select("qid", F.col("item_id").alias("src"), "times").join(best.unionAll(none), "qid")
+             .where(~F.coalesce(F.col("src") == F.col("dst"), F.lit(False)))
+             .select("src", "dst", "score", F.explode(F.array_repeat(F.lit(0), F.least(F.col("m") * F.col("times"), F.lit(k)))).alias("_i"))
+             .drop("_i"))
     w = Window.partitionBy("src").orderBy(F.round("score", RANK_DIGITS).desc(), F.col("dst").asc())
     return (pairs.withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= k))
