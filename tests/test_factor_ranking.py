@@ -133,3 +133,36 @@ def test_factor_model_on_structure_and_noise(spark):
         mean = sum(r[2] for r in rows) / len(rows)
         base = CFM.eval_rmse(te.withColumn("p", F.lit(mean)), "rating", "p")
         assert rmse < bound * base, (rmse, base)
+
+
+def test_only_items_with_vectors_are_scored_in_blocks(spark, monkeypatch):
+    ids = range(1, 201)
+    items = spark.createDataFrame([(i, f"n{i}", "AB"[i % 2], "P", float(i)) for i in ids],
+                                  "item_id long, name string, category string, province string, price double")
+    vec = {i: [1.0, 0.01 * i, (-1.0) ** i * i / 10] for i in range(20, 32)}
+    parts = {"global": 2.0, "rank": 1, "vectors": (
+        spark.createDataFrame([(1, [2.5, 1.0, 0.3]), (2, [1.0, 1.0, -0.5])], "user_id long, vec array<double>"),
+        spark.createDataFrame(list(vec.items()), "item_id long, vec array<double>"))}
+    tr = spark.createDataFrame([(1, 20, 1.0), (1, 5, 1.0), (3, 21, 1.0), (3, 1, 1.0)], "user_id long, item_id long, score double")
+    req = spark.createDataFrame([(1, 6, None), (2, 6, ["A"]), (3, 6, None), (4, 15, ["B"])],
+                                "user_id long, top_n int, categories array<string>")
+    scored, visits = [], []
+    meet = R.IP.meet_blocks
+
+    def spy(routes, blocks, *rest):
+        scored.append(blocks.count())
+        visits.append(routes.count())
+        return meet(routes, blocks, *rest)
+    monkeypatch.setattr(R.IP, "meet_blocks", spy)
+    got = R.recommend_batch_factorized(req, tr, items, parts, block_rows=3).collect()
+    assert scored == [len(vec), len(vec)] and visits[0] == 4 and sum(visits) <= 4 * 4  # 4 blocks of 3, not 67
+    seen = {1: {20, 5}, 3: {21, 1}}
+    users = {1: [2.5, 1.0, 0.3], 2: [1.0, 1.0, -0.5]}
+    for u, n, want in ((1, 6, None), (2, 6, "A"), (3, 6, None), (4, 15, "B")):
+        s = {i: round(float(np.clip(np.dot(users.get(u, [2.0, 1.0, 0.0]), vec.get(i, [1.0, 0.0, 0.0])), 0, 5)), 4)
+             for i in ids if i not in seen.get(u, ())}
+        best = sorted((k for k in s if want is None or "AB"[k % 2] == want), key=lambda i: (-s[i], i))[:n]
+        rows = sorted((r for r in got if r.user_id == u), key=lambda r: r["rank"])
+        lo, hi = min(s.values()), max(s.values())
+        assert [r.item_id for r in rows] == best, u
+        assert np.allclose([r.cf_score for r in rows], [round((s[i] - lo) / (hi - lo), 4) for i in best], atol=1e-4)
