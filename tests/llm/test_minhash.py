@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from test_ngram_join import LOW, WORD, corpus
 from wanderrank.llm import minhash as M
@@ -139,3 +140,25 @@ def test_a_large_family_settles_in_rounds(docs):
         texts.append(" ".join(t))
     rows = list(enumerate(texts))
     assert Counter(map(tuple, M.near_components(docs([(i, t, "s") for i, t in rows])).collect())) == brute(rows)
+
+
+def test_a_member_meets_a_hub_once_whatever_lists_they_share(spark):
+    """Members of many common lists: their hubs are joined before pairs are dealt."""
+    n = 40
+    classes = spark.createDataFrame([(k, k, k, b"%d" % k, 3, k, k) for k in range(n)],
+                                    "rid long, low long, id long, d binary, n int, th long, root long")
+    documents = spark.createDataFrame([(k, f"a{k} b{k} c{k}") for k in range(n)], "doc_id long, text string")
+    lists = spark.createDataFrame([(key, k, 3) for key in range(9) for k in range(n)], "key long, rid long, n int")
+    found = spark.createDataFrame([], "node long, root long")
+    asked = []
+
+    def verify(documents, classes, pairs, *rest):
+        asked.append((pairs.count(), pairs.distinct().count()))
+        return M.L.no_pairs(spark)
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(M.L, "verify", verify)
+        m.setattr(M.L, "family_links", lambda *a: M.L.no_pairs(spark))
+        M.L.settle(documents, classes, lists, found, ["n"], lambda *h: F.lit(True), M.WIDTH, M.SIMILAR)
+    assert len(asked) == M.L.ROUNDS
+    assert all(k == d == M.L.HUBS * (n - 1) for k, d in asked)

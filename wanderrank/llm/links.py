@@ -299,7 +299,7 @@ def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: Da
     pairs of different roots: each time ``HUBS`` members, another choice but the same
     in all lists that share them, are compared with the members of other roots. A
     family of near copies falls into few components this way, without its pairs.
-    ``reach()``: whether a row and a hub (columns ``h_..``) may link. ``mates`` (lead,
+    ``reach(h)``: whether a row and a hub (struct ``h``) may link. ``mates`` (lead,
     rid; the lead, too): classes that a list's lead stands for. They count by their
     roots, and lists of several roots take them all.
 
@@ -328,19 +328,25 @@ def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: Da
             release(whole, mated)
         if r == ROUNDS or mixed.where("many").isEmpty():
             if near is None:
-                links = family_links(documents, classes, left.select("key", "rid", "root"), width, percent)
+                held = materialise(left.select("key", "rid", "root"), "mixed-lists")  # read three times
+                links = family_links(documents, classes, held, width, percent)
+                release(held)
             else:
                 pairs = squares(left.select("key", "rid", "root", *carry), ["key"], SQUARE, carry, near)
                 links = verify(documents, classes, pairs, width, percent)
                 release(pairs)
             release(at, mixed)
             return found, links
-        many = left.where("many")
+        # a list's hubs travel as one array, and a member's over all its lists are joined before they are dealt
+        many = at.join(broadcast_if_small(mixed.where("many"), n_mixed), "key", "left_semi")
         w = Window.partitionBy("key").orderBy(F.xxhash64("rid", F.lit(r)), "rid")
         hubs = materialise(many.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= HUBS)
-                           .select("key", *[F.col(c).alias(f"h_{c}") for c in ("rid", "root", *carry)]), "list-hubs")
-        star = (many.join(broadcast_if_small(hubs, hubs.count()), "key").where("root <> h_root").where(reach())
-                .select(F.col("rid").alias("a"), F.col("h_rid").alias("b")))
+                           .groupBy("key").agg(F.collect_list(F.struct("rid", "root", *carry)).alias("hubs")), "list-hubs")
+        met = F.filter("hubs", lambda h: (h["root"] != F.col("root")) & reach(h))
+        star = (many.join(broadcast_if_small(hubs, hubs.count()), "key")
+                .select("rid", F.transform(met, lambda h: h["rid"]).alias("h")).where(F.size("h") > 0)
+                .groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_set("h"))).alias("h"))
+                .select(F.col("rid").alias("a"), F.explode("h").alias("b")))
         links = verify(documents, classes, star, width, percent)
         joined = components(rooted(rooted(links, found, "a", "ra"), found, "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
         # roots move; a class that was alone has no row in ``found`` yet

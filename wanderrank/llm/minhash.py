@@ -228,7 +228,7 @@ def near_components(documents: DataFrame) -> DataFrame:
     stars = components(pairs)
     first = materialise(stars, "rooted")
     lists = found.where("long").select(F.col("b").alias("key"), F.col("a").alias("rid"), "n")
-    near = lambda: 100 * F.least("n", "h_n").cast("long") >= SIMILAR * F.greatest("n", "h_n").cast("long")
+    near = lambda h: 100 * F.least(F.col("n"), h["n"]).cast("long") >= SIMILAR * F.greatest(F.col("n"), h["n"]).cast("long")
     first, more = L.settle(documents, classes, lists, first, ["n"], near, WIDTH, SIMILAR)
     roots = L.joined_roots(classes, first, more)
     release(found, stars, pairs, more, first, classes)

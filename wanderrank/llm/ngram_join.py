@@ -301,9 +301,9 @@ def _roots(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     release(stars)
 
     # further rounds of stars over long lists, then what still joins different components
-    def reach():
-        most = F.least("pos", "h_pos") + F.least(F.col("n") - F.col("pos"), F.col("h_n") - F.col("h_pos"))
-        return _reach(F.col("n"), F.col("h_n")) & _enough(most, F.col("n"), F.col("h_n"))
+    def reach(h):
+        most = F.least(F.col("pos"), h["pos"]) + F.least(F.col("n") - F.col("pos"), h["n"] - h["pos"])
+        return _reach(F.col("n"), h["n"]) & _enough(most, F.col("n"), h["n"])
 
     # a group is a list, too: its sizes and prefixes are equal, so nothing rules a pair out
     none = F.lit(0).alias
