@@ -7,8 +7,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from wanderrank.llm import components as C
+from wanderrank.llm import links as L
 from wanderrank.llm import ngram_join as J
-from wanderrank.llm.shingles import shingle_sets
+from wanderrank.llm.shingles import shingle_sets, signature
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -211,3 +212,53 @@ def test_connected_components(spark):
     want = {i: 0 for i in range(41)} | {100: 100, 103: 100, 105: 100, 200: 200, 300: 200} | {1000 + k: 1000 for k in range(60)}
     assert got == want
     assert C.components(df.limit(0)).count() == 0
+
+
+def _sets(rng, cases):
+    """Pairs of hash sets: (shared, only left, only right)."""
+    for shared, left, right in cases:
+        x = rng.integers(-(1 << 63), (1 << 63) - 1, shared + left + right, dtype=np.int64)
+        yield np.sort(x[:shared + left]), np.sort(np.r_[x[:shared], x[shared + left:]])
+
+
+def test_signatures_drop_no_link():
+    rng = np.random.default_rng(6)
+    cases = [(int(k), int(rng.integers(0, k // 4 + 2)), int(rng.integers(0, k // 4 + 2))) for k in rng.integers(1, 3_000, 300)]
+    both = list(_sets(rng, cases))
+    parts = []
+    for side in (0, 1):
+        s = [signature(p[side]) for p in both]
+        wide = np.array([len(x) for x in s])
+        parts.append((np.concatenate(s), np.cumsum(wide) - wide, wide))
+    total = np.array([len(a) + len(b) for a, b in both])
+    ok = L.may_link(*parts, total, J.SIMILAR)
+    linked = np.array([100 * k >= J.SIMILAR * (k + a + b) for k, a, b in cases])
+    assert ok[linked].all() and 0 < linked.sum() < len(cases)
+    assert ok[~linked].sum() < (~linked).sum()
+    assert any(w != v for w, v in zip(parts[0][2], parts[1][2]))  # sizes that fold
+
+
+def test_pairs_of_a_long_list_do_not_reach_verification(docs, monkeypatch):
+    """Texts that share a passage, but link with few others: their number of compared
+    whole sets does not grow with the list's square."""
+    rng = np.random.default_rng(8)
+    passage = " ".join(f"p{i}" for i in range(60))
+    own = [[f"o{int(x)}" for x in rng.integers(0, 1 << 40, 24)] for _ in range(100)]
+    texts = [passage + " " + " ".join(w) for w in own] + [passage + " " + " ".join(own[0][:-1] + ["end"])]
+    seen, real = [], L.sets_of
+    monkeypatch.setattr(L, "sets_of", lambda d, c, rids, w: (seen.append(rids.count()), real(d, c, rids, w))[1])
+    met, verify = [], L.verify
+
+    def count(documents, classes, pairs, *a, **k):
+        met.append((pairs.distinct().count(), len(a) > 2))
+        return verify(documents, classes, pairs, *a, **k)
+
+    monkeypatch.setattr(L, "verify", count)
+    hint = np.unique(np.concatenate(list(shingle_sets(pa.array([passage])))))
+    monkeypatch.setattr(J, "common_shingles", lambda d: hint)
+    monkeypatch.setattr(J, "prefix_length", lambda n: n)  # every shingle is dealt: one list for each of the passage
+    rows = list(enumerate(texts))
+    got = Counter(map(tuple, J.near_documents(docs([(i, t, "s") for i, t in rows])).collect()))
+    assert got == brute(rows)
+    assert all(k < 500 for k, sifts in met if not sifts), met
+    assert sum(seen) < 50, seen

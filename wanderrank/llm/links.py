@@ -5,7 +5,8 @@ Verification makes the sets of the classes in question again from their texts an
 sends each set once per candidate pair, to the pair's hub (its smaller class). A
 hub's pairs are dealt in chunks of ``CHUNK``, and its own set goes to every chunk,
 so no task meets more than that of one hub; rows are streamed, one hub's set and
-one Arrow batch at a time.
+one Arrow batch at a time. Where signatures of the sets are at hand, pairs that
+these rule out are dropped before (``may_link``): a 64th to a 32nd of a set's size.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from wanderrank.llm.components import components
 from wanderrank.llm.shingles import int_lists, shingle_sets
 
 CHUNK = 256
+WORDS = 1 << 18      # words of signatures compared at once
 
 
 def digest(a: np.ndarray) -> bytes:
@@ -53,6 +55,51 @@ def linked(own: np.ndarray, values: np.ndarray, offsets: np.ndarray, percent: in
     return 100 * shared >= percent * (len(own) + n - shared)
 
 
+def may_link(a: tuple, b: tuple, total: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of sets their signatures leave possible. a, b: (words of all
+    signatures, where the pair's one starts, its length); total: both sizes added.
+    Linked sets differ in at most (100 - percent) / (100 + percent) of ``total``."""
+    (values_a, at_a, wide_a), (values_b, at_b, wide_b) = a, b
+    keep = np.zeros(len(total), dtype=bool)
+    for u, v in {(int(x), int(y)) for x, y in np.unique(np.stack([wide_a, wide_b]), axis=1).T}:
+        of, w = np.flatnonzero((wide_a == u) & (wide_b == v)), min(u, v)
+        step = max(1, WORDS // (u + v))
+        for k in (of[p:p + step] for p in range(0, len(of), step)):
+            # a longer signature is folded to the shorter one's buckets
+            x, y = (np.bitwise_xor.reduce(values[at[k][:, None] + np.arange(wide)].reshape(len(k), -1, w), axis=1)
+                    for values, at, wide in ((values_a, at_a, u), (values_b, at_b, v)))
+            differ = np.bitwise_count((x ^ y).view(np.uint64)).sum(axis=1, dtype=np.int64)
+            keep[k] = (100 + percent) * differ <= (100 - percent) * total[k]
+    return keep
+
+
+def _words(column) -> tuple:
+    """list<int64> column -> (values, starts, lengths)."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return lists.values.to_numpy(), offsets[:-1], np.diff(offsets)
+
+
+def sifted(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) that the signatures (rid, size, sig) leave possible."""
+    rids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), "sift")
+    own = materialise(signatures.join(broadcast_if_small(rids, rids.count()), "rid", "left_semi"), "signatures")
+    both = pairs
+    for side in ("a", "b"):
+        both = both.join(own.select(F.col("rid").alias(side), F.col("size").alias(f"n{side}"), F.col("sig").alias(f"s{side}")), side)
+
+    def run(batches):
+        for b in batches:
+            total = b.column("na").to_numpy().astype(np.int64) + b.column("nb").to_numpy()
+            ok = may_link(_words(b.column("sa")), _words(b.column("sb")), total, percent)
+            yield pa.RecordBatch.from_arrays([pa.array(b.column(c).to_numpy()[ok]) for c in ("a", "b")], names=["a", "b"])
+        trim_memory()
+
+    out = materialise(both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long"), "sifted")
+    release(rids, own)
+    return out
+
+
 def sets_of(documents: DataFrame, classes: DataFrame, rids: DataFrame, width: int) -> DataFrame:
     """(rid, s): the sorted shingle hashes of the classes ``rids``, made again from their texts."""
     wanted = materialise(classes.join(rids, "rid").select("rid", "d", F.col("id").alias("_id"), F.col("th").alias("_th")), "wanted")
@@ -80,11 +127,16 @@ def sets_of(documents: DataFrame, classes: DataFrame, rids: DataFrame, width: in
     return sets
 
 
-def verify(documents: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+def verify(documents: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int,
+           signatures: DataFrame | None = None) -> DataFrame:
     """The links among ``pairs`` (a, b: class rids): 100 * shared >= percent * union
-    on whole sets. ``documents``: doc_id, text."""
+    on whole sets. ``documents``: doc_id, text. Pairs that ``signatures`` (rid, size,
+    sig) rule out are dropped first."""
     parts = shuffle_partitions(documents.sparkSession)
     pairs = materialise(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "verify")
+    if signatures is not None and not pairs.isEmpty():
+        every, pairs = pairs, sifted(pairs, signatures, percent)
+        release(every)
     if pairs.isEmpty():
         release(pairs)
         return no_pairs(pairs.sparkSession)
@@ -139,6 +191,7 @@ HUBS = 3             # members of a long list that all others are compared with
 ROUNDS = 2           # such rounds at most; then every pair that is left
 FEW = 16             # a list with fewer pairs of different roots a member takes no more rounds
 SQUARE = 128         # members on a side of a task's square
+SIDE = 256           # the same where rows and signatures meet, not whole sets
 
 
 def mixed_lists(lists: DataFrame) -> DataFrame:
@@ -231,11 +284,12 @@ def family_links(documents: DataFrame, classes: DataFrame, lists: DataFrame, wid
     return links
 
 
-def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near) -> DataFrame:
+def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near, percent: int) -> DataFrame:
     """Pairs (a, b) of different roots inside each list of ``lists`` (keys, rid,
-    root, ``carry``). A list is dealt in squares of ``side`` x ``side`` members, so no
-    task holds more than one of them. ``near(x, y)``: the matrix of pairs that may
-    link, from the columns of both sides."""
+    root, size, sig, ``carry``). A list is dealt in squares of ``side`` x ``side`` members,
+    so no task holds more than one of them. ``near(x, y)``: the matrix of pairs that
+    may link, from the columns of both sides; only those that the signatures leave
+    possible, too, go out."""
     parts = shuffle_partitions(lists.sparkSession)
     if lists.isEmpty():
         return no_pairs(lists.sparkSession)
@@ -249,16 +303,17 @@ def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near
         "_at", F.when(of_big, F.pmod(h, F.col("_wb"))).otherwise(F.col("_wb") + F.pmod(h, F.col("_wo"))).cast("int"))
     # a member's block is one side of every square that it takes part in
     others = F.sequence(F.when(of_big, F.col("_wb")).otherwise(F.lit(0)), F.col("_wb") + F.col("_wo") - 1)
-    dealt = met.select(*keys, "rid", "root", *carry, F.explode(F.transform(others, lambda o: F.struct(
+    dealt = met.select(*keys, "rid", "root", "size", "sig", *carry, F.explode(F.transform(others, lambda o: F.struct(
         F.least("_at", o).alias("_x"), F.greatest("_at", o).alias("_y"), (F.col("_at") > o).cast("int").alias("_side")))).alias("_q")) \
-        .select(*keys, "_q.*", "rid", "root", *carry)
+        .select(*keys, "_q.*", "rid", "root", "size", "sig", *carry)
     at = [*keys, "_x", "_y"]
 
     def run(batches):
         def work(t):
-            rows = {c: t.column(c).to_numpy() for c in ("rid", "root", *carry)}
+            rows = {c: t.column(c).to_numpy() for c in ("rid", "root", "size", *carry)}
             if (rows["root"] == rows["root"][0]).all():
                 return
+            words, rows["_at"], rows["_wide"] = _words(t.column("sig"))
             which = t.column("_side").to_numpy()
             same = t.column("_x")[0].as_py() == t.column("_y")[0].as_py()
             x, y = ({c: v[which == k] for c, v in rows.items()} for k in (0, 0 if same else 1))
@@ -266,6 +321,9 @@ def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near
             if same:
                 ok &= x["rid"][:, None] < y["rid"][None, :]
             i, j = np.nonzero(ok & near(x, y))
+            ok = may_link((words, x["_at"][i], x["_wide"][i]), (words, y["_at"][j], y["_wide"][j]),
+                          x["size"][i].astype(np.int64) + y["size"][j], percent)
+            i, j = i[ok], j[ok]
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(x["rid"][i]), pa.array(y["rid"][j])], names=["a", "b"])
 
@@ -294,7 +352,8 @@ def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near
 
 
 def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: DataFrame, carry: list[str],
-           reach, width: int, percent: int, near=None, mates: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+           reach, width: int, percent: int, near=None, mates: DataFrame | None = None,
+           signatures: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Rounds of stars over the long lists (key, rid, ``carry``) that still hold many
     pairs of different roots: each time ``HUBS`` members, another choice but the same
     in all lists that share them, are compared with the members of other roots. A
@@ -304,8 +363,9 @@ def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: Da
     roots, and lists of several roots take them all.
 
     -> (node, root) after the rounds, and the links between those roots that the
-    lists still mixed give: with ``near`` the pairs of one list that it lets through
-    are verified (``squares``), else whole families are compared in place."""
+    lists still mixed give: with ``near`` and ``signatures`` (rid, size, sig) the pairs of
+    one list that both let through are verified (``squares``), else whole families
+    are compared in place."""
     for r in range(ROUNDS + 1):
         at = rooted(lists, found, "rid", "root")
         if mates is not None:
@@ -332,9 +392,12 @@ def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: Da
                 links = family_links(documents, classes, held, width, percent)
                 release(held)
             else:
-                pairs = squares(left.select("key", "rid", "root", *carry), ["key"], SQUARE, carry, near)
+                rids = materialise(left.select("rid").distinct(), "mixed-rids")
+                own = materialise(signatures.join(broadcast_if_small(rids, rids.count()), "rid", "left_semi"), "signatures")
+                signed = materialise(left.select("key", "rid", "root", *carry).join(own, "rid"), "signed")  # read three times
+                pairs = squares(signed, ["key"], SIDE, carry, near, percent)
                 links = verify(documents, classes, pairs, width, percent)
-                release(pairs)
+                release(rids, own, signed, pairs)
             release(at, mixed)
             return found, links
         # a list's hubs travel as one array, and a member's over all its lists are joined before they are dealt
@@ -347,7 +410,7 @@ def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: Da
                 .select("rid", F.transform(met, lambda h: h["rid"]).alias("h")).where(F.size("h") > 0)
                 .groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_set("h"))).alias("h"))
                 .select(F.col("rid").alias("a"), F.explode("h").alias("b")))
-        links = verify(documents, classes, star, width, percent)
+        links = verify(documents, classes, star, width, percent, *([] if signatures is None else [signatures]))
         joined = components(rooted(rooted(links, found, "a", "ra"), found, "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")))
         # roots move; a class that was alone has no row in ``found`` yet
         moved = rooted(found.withColumnRenamed("root", "_old"), joined.select("node", "root"), "_old", "root").select("node", "root")

@@ -13,7 +13,8 @@ five-word shingle sets (at least ``SIMILAR`` percent), exact.
    per pair. A pair is dropped when even its remaining shingles cannot make the
    overlap. Longer lists and lists of hinted shingles give one pair per member:
    with the list's first, which is the one whose shingle comes earliest.
-5. Candidates are verified on whole sets (``links``), in two rounds: the star of
+5. Candidates that the signatures of both sets (parities of hash buckets, at most a
+   32nd of a set) leave possible are verified on whole sets (``links``), in two rounds: the star of
    each long list, each leader with its most promising partner, each member with
    its leader; long lists (where a leader stands for the components of its whole
    group) that still hold many pairs of different components go
@@ -39,7 +40,7 @@ from wanderrank.llm import links as L
 from wanderrank.llm.common import (broadcast_if_small, materialise, release, shuffle_partitions, trim_memory,
                                    with_package)
 from wanderrank.llm.components import components
-from wanderrank.llm.shingles import WIDTH, int_lists, shingle_sets
+from wanderrank.llm.shingles import WIDTH, int_lists, shingle_sets, signature
 
 SIMILAR = 75
 LIST = 64            # longest shingle list that is paired directly
@@ -98,19 +99,19 @@ def _is_common(s: np.ndarray, hint: np.ndarray) -> np.ndarray:
     return hint[at] == s
 
 
-_SETS = "doc_id long, th long, n int, d binary, pd binary, light array<long>, common array<long>"
+_SETS = "doc_id long, th long, n int, d binary, pd binary, light array<long>, common array<long>, sig array<long>"
 
 
 def document_sets(documents: DataFrame, hint: np.ndarray) -> DataFrame:
-    """One row per document: text key, set size, digests of set and prefix, and the
-    prefix as its rare and its common shingles."""
+    """One row per document: text key, set size, digests of set and prefix, the
+    prefix as its rare and its common shingles, and the set's signature."""
     shipped = documents.sparkSession.sparkContext.broadcast(hint)  # HINTS * 8 bytes at most
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), L.text_key(F.col("text")).alias("th"), "text")
 
     def run(batches):
         common = shipped.value
         for b in batches:
-            n, d, pd_, light, heavy = [], [], [], [], []
+            n, d, pd_, light, heavy, signs = [], [], [], [], [], []
             for s in shingle_sets(b.column("text")):
                 k = prefix_length(len(s)) if len(s) else 0
                 known = _is_common(s, common)
@@ -121,11 +122,12 @@ def document_sets(documents: DataFrame, hint: np.ndarray) -> DataFrame:
                 pd_.append(L.digest(np.concatenate([rare, rest])) if len(s) else None)
                 light.append(rare)
                 heavy.append(rest)
+                signs.append(signature(s))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("th"), pa.array(n, pa.int32()), pa.array(d, pa.binary()),
-                 pa.array(pd_, pa.binary()), int_lists(light), int_lists(heavy)],
-                names=["doc_id", "th", "n", "d", "pd", "light", "common"])
-            del light, heavy
+                 pa.array(pd_, pa.binary()), int_lists(light), int_lists(heavy), int_lists(signs)],
+                names=["doc_id", "th", "n", "d", "pd", "light", "common", "sig"])
+            del light, heavy, signs
         trim_memory()
 
     return rows.mapInArrow(run, _SETS).withColumn("rid", F.monotonically_increasing_id())
@@ -295,7 +297,8 @@ def _roots(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), share.alias("q")))
     best = ways.groupBy("a").agg(F.max_by("b", "q").alias("b"))
     inner = mates.where("lead <> rid").select(F.col("lead").alias("a"), F.col("rid").alias("b"))
-    first = L.verify(documents, classes, star.unionAll(best.select("a", "b")).unionAll(inner), WIDTH, SIMILAR)
+    signatures = sets.select("rid", F.col("n").alias("size"), "sig")
+    first = L.verify(documents, classes, star.unionAll(best.select("a", "b")).unionAll(inner), WIDTH, SIMILAR, signatures)
     stars = components(first)
     found = materialise(stars, "round-1")
     release(stars)
@@ -309,7 +312,7 @@ def _roots(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     none = F.lit(0).alias
     every = lists.select(F.col("s").alias("key"), "rid", "n", "pos").unionAll(
         mates.select(F.col("lead").alias("key"), "rid", none("n"), none("pos")))
-    found, across = L.settle(documents, classes, every, found, ["n", "pos"], reach, WIDTH, SIMILAR, _may_link, mates)
+    found, across = L.settle(documents, classes, every, found, ["n", "pos"], reach, WIDTH, SIMILAR, _may_link, mates, signatures)
     leads = pairs.select("a", "b")
     # groups of several: their other classes stand in for the leader, root by root
     mated = materialise(L.rooted(mates, found, "rid", "root"), "rooted-mates")
@@ -322,7 +325,7 @@ def _roots(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     for side in ("a", "b"):
         m = mated.select(F.col("lead").alias(side), F.col("root").alias(f"r{side}"), F.col("rid").alias("_o"))
         leads = leads.join(m, [side, f"r{side}"], "left").withColumn(side, F.coalesce("_o", side)).drop("_o")
-    more = L.verify(documents, classes, leads.select("a", "b"), WIDTH, SIMILAR)
+    more = L.verify(documents, classes, leads.select("a", "b"), WIDTH, SIMILAR, signatures)
     roots = L.joined_roots(classes, found, more.unionAll(across))
     release(groups, pairs, lists, mates, first, found, across, mated, more, classes)
     return sets, roots

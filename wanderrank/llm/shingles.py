@@ -102,6 +102,15 @@ def shingle_sets(column: pa.Array, width: int = WIDTH):
         at = end
 
 
+def signature(s: np.ndarray) -> np.ndarray:
+    """Words of 64 bits: whether a bucket holds an odd number of the hashes ``s``. There
+    are as many buckets, a power of two and at least 64, as hashes. Two sets differ
+    in at least as many shingles as their signatures differ in buckets."""
+    buckets = max(64, 1 << (len(s) - 1).bit_length())
+    odd = np.bincount(s & (buckets - 1), minlength=buckets) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def int_lists(arrays: list[np.ndarray]) -> pa.Array:
     """list<int64> of numpy arrays without a Python object per value."""
     lengths = np.array([0] + [len(a) for a in arrays], dtype=np.int64)
