@@ -38,7 +38,7 @@ from wanderrank.llm.common import trim_memory, with_package
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"  # a parameter; never copied
 THREADS = 2
-BATCH_CHARS = 1 << 20  # text in one library call; a slice of a batch is four of them
+BATCH_CHARS = 1 << 18  # text in one library call; a slice of a batch is four of them
 MARK = "▁"
 
 # Piece and model types of the model format (fixed values).
