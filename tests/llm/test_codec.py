@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 
 import pytest
 from hypothesis import given, settings
@@ -89,3 +91,34 @@ def test_contract(docs, odd_texts):
         else:
             assert r.n_tokens == len(r.ids) and r.parity and r.round_trip
     assert S.encode_documents(df.limit(0)).count() == 0
+
+
+def test_a_worker_stays_small(tmp_path):
+    """Texts of ever new words: a worker's own memory (a new process) grows little."""
+    code = tmp_path / "worker.py"
+    code.write_text(f'''
+import random, re, sys
+sys.path.insert(0, {os.getcwd()!r})
+import pyarrow as pa
+from wanderrank.llm import sentencepiece_codec as S
+
+def own():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+raw = open(S.MODEL_PATH, "rb").read()
+as_json = S.build(S.read_model(raw)).to_str() if len(sys.argv) < 2 else open(sys.argv[1]).read()
+if len(sys.argv) < 2:
+    open({str(tmp_path / "json")!r}, "w").write(as_json)
+    sys.exit()
+rng, before, most = random.Random(1), own(), 0
+codec = S.Codec(S.read_model(raw), as_json)
+for _ in range(3):
+    texts = [" ".join("%x" % rng.getrandbits(28) for _ in range(400)) for _ in range(400)]
+    for part in S._slices(pa.RecordBatch.from_pydict({{"text": texts}}), "text"):
+        codec.decode(codec.encode(part.column(0).to_pylist()))
+        most = max(most, own() - before)
+print(most)
+''')
+    for more in ([], [str(tmp_path / "json")]):
+        out = subprocess.run([sys.executable, str(code), *more], capture_output=True, text=True, check=True, timeout=300).stdout
+    assert float(out) < 150, out

@@ -27,6 +27,7 @@ import os
 import re
 import struct
 from dataclasses import dataclass, field
+from functools import cached_property
 from itertools import chain
 
 import numpy as np
@@ -38,7 +39,7 @@ from wanderrank.llm.common import trim_memory, with_package
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"  # a parameter; never copied
 THREADS = 2
-BATCH_CHARS = 1 << 18  # text in one library call; a slice of a batch is four of them
+BATCH_CHARS = 1 << 16  # text in one library call; a slice of a batch is four of them
 MARK = "▁"
 
 # Piece and model types of the model format (fixed values).
@@ -181,17 +182,17 @@ class Codec:
     """Encode and decode with a rebuilt tokenizer (``as_json``). Ids of a text
     are little-endian 32-bit integers in bytes."""
 
-    KEEP = 250_000   # units in each of the two generations kept per worker
+    KEEP = 50_000    # units in each of the two generations kept per worker
     JOIN = 64        # new units encoded as one text
 
     def __init__(self, m: Model, as_json: str):
         from tokenizers import Tokenizer, normalizers
 
-        self.tok = Tokenizer.from_str(as_json)
-        self.by_unit = self.tok.pre_tokenizer is not None and not m.charsmap and not m.trim and m.dummy_prefix
+        self.json = as_json
+        self.used = Tokenizer.from_str(as_json)  # a worker holds one tokenizer, not two
+        self.by_unit = self.used.pre_tokenizer is not None and not m.charsmap and not m.trim and m.dummy_prefix
         if self.by_unit:
-            self.units = Tokenizer.from_str(as_json)
-            self.units.normalizer = normalizers.Sequence([])
+            self.used.normalizer = normalizers.Sequence([])
             self.young: dict[str, bytes] = {}
             self.old: dict[str, bytes] = {}
             self.cut = re.compile(f"{MARK}+[^{MARK}]*")
@@ -202,6 +203,13 @@ class Codec:
         self.plain = np.array(plain, dtype=object)
         self.strip = m.dummy_prefix
 
+    @cached_property
+    def tok(self):
+        """The tokenizer of whole texts; where units are encoded, nothing here asks for it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.json) if self.by_unit else self.used
+
     def _new(self, units: list[str]) -> dict[str, bytes]:
         """Ids of units not met before; a unit without a mark stands for itself
         after one. Units with one mark are encoded joined: no piece goes on past
@@ -209,13 +217,13 @@ class Codec:
         out = {}
         single = [u for u in units if MARK not in u]
         groups = [single[i:i + self.JOIN] for i in range(0, len(single), self.JOIN)]
-        for group, ids in zip(groups, encode_all(self.units, [MARK + MARK.join(g) for g in groups])):
+        for group, ids in zip(groups, encode_all(self.used, [MARK + MARK.join(g) for g in groups])):
             ids = np.array(ids, dtype="<i4")
             cuts = np.flatnonzero(self.opens[ids])
             raw, at = ids.tobytes(), (cuts * 4).tolist()
             out.update((u, raw[s:e]) for u, s, e in zip(group, at, at[1:] + [len(raw)]))
         several = [u for u in units if MARK in u]
-        out.update((u, np.array(ids, dtype="<i4").tobytes()) for u, ids in zip(several, encode_all(self.units, several)))
+        out.update((u, np.array(ids, dtype="<i4").tobytes()) for u, ids in zip(several, encode_all(self.used, several)))
         return out
 
     def _cut(self, text: str) -> list[str]:
@@ -234,6 +242,7 @@ class Codec:
         parts = [self._cut(t) for t in texts]
         if len(self.young) > self.KEEP:
             self.old, self.young = self.young, {}
+            trim_memory()
         young, old = self.young, self.old
         missing = set().union(*parts)
         missing.difference_update(young)
@@ -257,7 +266,7 @@ class Codec:
                 text = "".join(self.plain[pieces])
                 out.append(text[1:] if self.strip and text[:1] == " " else text)
         back = [list(memoryview(ids[i]).cast("i")) for i in hard]
-        for i, text in zip(hard, self.tok.decode_batch(back, skip_special_tokens=False)):
+        for i, text in zip(hard, self.used.decode_batch(back, skip_special_tokens=False)):
             out[i] = text
         return out
 
