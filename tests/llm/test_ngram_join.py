@@ -262,3 +262,43 @@ def test_pairs_of_a_long_list_do_not_reach_verification(docs, monkeypatch):
     assert got == brute(rows)
     assert all(k < 500 for k, sifts in met if not sifts), met
     assert sum(seen) < 50, seen
+
+
+def test_a_pair_goes_out_of_one_of_its_lists_only(docs, monkeypatch):
+    """Texts that nearly link share dozens of long lists; each of their pairs leaves the
+    squares once, not once for every list."""
+    rng = np.random.default_rng(12)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(k, passage + " " + " ".join(f"o{int(x)}" for x in rng.integers(0, 1 << 40, 12))) for k in range(30)]
+    rows.append((30, rows[0][1] + " end"))
+    out, squares = [], L.squares
+
+    def count(lists, *a, **k):
+        with monkeypatch.context() as m:
+            m.setattr(type(lists), "distinct", lambda self: self)
+            found = squares(lists, *a, **k)
+        out.append((found.count(), found.distinct().count()))
+        return found
+
+    monkeypatch.setattr(L, "squares", count)
+    monkeypatch.setattr(L, "ROUNDS", 0)
+    monkeypatch.setattr(L, "SIDE", 8)
+    hint = np.unique(np.concatenate(list(shingle_sets(pa.array([passage])))))
+    monkeypatch.setattr(J, "common_shingles", lambda d: hint)
+    monkeypatch.setattr(J, "prefix_length", lambda n: n)
+    got = Counter(map(tuple, J.near_documents(docs([(i, t, "s") for i, t in rows])).collect()))
+    assert got == brute(rows)
+    (n, pairs), = out
+    assert n == pairs > 20
+
+
+def test_lists_below_one_that_a_pair_shares():
+    rng = np.random.default_rng(13)
+    lists = [np.sort(rng.choice(40, int(k), replace=False)) for k in rng.integers(0, L.FIRST + 1, 60)]
+    wide = np.array([len(x) for x in lists])
+    values, at = np.concatenate(lists), np.cumsum(wide) - wide
+    i, j = rng.integers(0, 60, 20_000), rng.integers(0, 60, 20_000)
+    for key in (-3, 0, 7, 25, 100):
+        got = L.elsewhere((values, at[i], wide[i]), (values, at[j], wide[j]), key)
+        want = [any(v < key for v in set(lists[a]) & set(lists[b])) for a, b in zip(i, j)]
+        assert got.tolist() == want

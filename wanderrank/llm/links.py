@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wanderrank.llm.common import broadcast_if_small, materialise, release, shuffle_partitions, trim_memory
+from wanderrank.llm.common import BROADCAST_ROWS, broadcast_if_small, materialise, release, shuffle_partitions, trim_memory
 from wanderrank.llm.components import components
 from wanderrank.llm.shingles import int_lists, shingle_sets
 
@@ -192,6 +192,7 @@ ROUNDS = 2           # such rounds at most; then every pair that is left
 FEW = 16             # a list with fewer pairs of different roots a member takes no more rounds
 SQUARE = 128         # members on a side of a task's square
 SIDE = 256           # the same where rows and signatures meet, not whole sets
+FIRST = 8            # a member's lowest lists, which tell where a pair has gone out already
 
 
 def mixed_lists(lists: DataFrame) -> DataFrame:
@@ -284,29 +285,46 @@ def family_links(documents: DataFrame, classes: DataFrame, lists: DataFrame, wid
     return links
 
 
-def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near, percent: int) -> DataFrame:
-    """Pairs (a, b) of different roots inside each list of ``lists`` (keys, rid,
-    root, size, sig, ``carry``). A list is dealt in squares of ``side`` x ``side`` members,
+def elsewhere(a: tuple, b: tuple, key: int) -> np.ndarray:
+    """Which pairs share one of their lowest lists below ``key``. a, b: (lists of all members,
+    where the pair's one starts, its length)."""
+    (values_a, at_a, wide_a), (values_b, at_b, wide_b) = a, b
+    found = np.zeros(len(at_a), dtype=bool)
+    values_a, values_b = (np.r_[v, key] for v in (values_a, values_b))
+    n = np.arange(FIRST)
+    step = WORDS // FIRST ** 2
+    for k in (slice(p, p + step) for p in range(0, len(at_a), step)):
+        x, y = (values[np.where(n < wide[k, None], at[k, None] + n, -1)] for values, at, wide in
+                ((values_a, at_a, wide_a), (values_b, at_b, wide_b)))
+        found[k] = ((x[:, :, None] == y[:, None, :]) & (x < key)[:, :, None]).any(axis=(1, 2))
+    return found
+
+
+def squares(lists: DataFrame, side: int, carry: list[str], near, percent: int) -> DataFrame:
+    """Pairs (a, b) of different roots inside each list of ``lists`` (key, rid, root,
+    size, sig, first, ``carry``). A list is dealt in squares of ``side`` x ``side`` members,
     so no task holds more than one of them. ``near(x, y)``: the matrix of pairs that
-    may link, from the columns of both sides; only those that the signatures leave
-    possible, too, go out."""
+    may link, from the columns of both sides; a pair that it rules out in one list
+    links in none. Only those that the signatures leave possible, too, go out, and
+    not again from a list above one that both name in ``first``, their lowest lists."""
     parts = shuffle_partitions(lists.sparkSession)
     if lists.isEmpty():
         return no_pairs(lists.sparkSession)
     # members of the list's largest root have blocks of their own, which never meet each other
-    sizes = lists.groupBy(*keys, "root").agg(F.count(F.lit(1)).alias("c")).groupBy(*keys).agg(
+    sizes = lists.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(
         F.max_by("root", "c").alias("_big"), F.max("c").alias("cb"), F.sum("c").alias("m")).where("m > cb")
-    sizes = materialise(sizes.select(*keys, "_big", F.ceil(F.col("cb") / side).cast("int").alias("_wb"),
+    sizes = materialise(sizes.select("key", "_big", F.ceil(F.col("cb") / side).cast("int").alias("_wb"),
                                      F.ceil((F.col("m") - F.col("cb")) / side).cast("int").alias("_wo")), "sizes")
     h, of_big = F.xxhash64("rid"), F.col("root") == F.col("_big")
-    met = lists.join(broadcast_if_small(sizes, sizes.count()), keys).withColumn(
+    met = lists.join(broadcast_if_small(sizes, sizes.count()), "key").withColumn(
         "_at", F.when(of_big, F.pmod(h, F.col("_wb"))).otherwise(F.col("_wb") + F.pmod(h, F.col("_wo"))).cast("int"))
     # a member's block is one side of every square that it takes part in
     others = F.sequence(F.when(of_big, F.col("_wb")).otherwise(F.lit(0)), F.col("_wb") + F.col("_wo") - 1)
-    dealt = met.select(*keys, "rid", "root", "size", "sig", *carry, F.explode(F.transform(others, lambda o: F.struct(
+    own = ["rid", "root", "size", "sig", "first", *carry]
+    dealt = met.select("key", *own, F.explode(F.transform(others, lambda o: F.struct(
         F.least("_at", o).alias("_x"), F.greatest("_at", o).alias("_y"), (F.col("_at") > o).cast("int").alias("_side")))).alias("_q")) \
-        .select(*keys, "_q.*", "rid", "root", "size", "sig", *carry)
-    at = [*keys, "_x", "_y"]
+        .select("key", "_q.*", *own)
+    at = ["key", "_x", "_y"]
 
     def run(batches):
         def work(t):
@@ -314,6 +332,7 @@ def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near
             if (rows["root"] == rows["root"][0]).all():
                 return
             words, rows["_at"], rows["_wide"] = _words(t.column("sig"))
+            firsts, rows["_from"], rows["_many"] = _words(t.column("first"))
             which = t.column("_side").to_numpy()
             same = t.column("_x")[0].as_py() == t.column("_y")[0].as_py()
             x, y = ({c: v[which == k] for c, v in rows.items()} for k in (0, 0 if same else 1))
@@ -324,6 +343,8 @@ def squares(lists: DataFrame, keys: list[str], side: int, carry: list[str], near
             ok = may_link((words, x["_at"][i], x["_wide"][i]), (words, y["_at"][j], y["_wide"][j]),
                           x["size"][i].astype(np.int64) + y["size"][j], percent)
             i, j = i[ok], j[ok]
+            again = elsewhere((firsts, x["_from"][i], x["_many"][i]), (firsts, y["_from"][j], y["_many"][j]), t.column("key")[0].as_py())
+            i, j = i[~again], j[~again]
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(x["rid"][i]), pa.array(y["rid"][j])], names=["a", "b"])
 
@@ -392,10 +413,11 @@ def settle(documents: DataFrame, classes: DataFrame, lists: DataFrame, found: Da
                 links = family_links(documents, classes, held, width, percent)
                 release(held)
             else:
-                rids = materialise(left.select("rid").distinct(), "mixed-rids")
-                own = materialise(signatures.join(broadcast_if_small(rids, rids.count()), "rid", "left_semi"), "signatures")
+                lowest = F.slice(F.sort_array(F.collect_list("key")), 1, FIRST).alias("first")
+                rids = materialise(left.groupBy("rid").agg(lowest), "mixed-rids")
+                own = materialise(signatures.join(broadcast_if_small(rids, rids.count(), BROADCAST_ROWS // FIRST), "rid"), "signatures")
                 signed = materialise(left.select("key", "rid", "root", *carry).join(own, "rid"), "signed")  # read three times
-                pairs = squares(signed, ["key"], SIDE, carry, near, percent)
+                pairs = squares(signed, SIDE, carry, near, percent)
                 links = verify(documents, classes, pairs, width, percent)
                 release(rids, own, signed, pairs)
             release(at, mixed)
