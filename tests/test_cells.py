@@ -54,3 +54,63 @@ def test_a_task_scores_few_queries_at_once(monkeypatch):
     q = pd.DataFrame({"qid": range(600), "u": u, "self": None, "floor": np.nan})
     SIM._topk_block(3)((0, 0), q, pd.DataFrame({"cls": range(600), "c_u": u, "first": range(600), "name": ""}))
     assert sum(r for r, _ in sizes) == 600 and max(r for r, _ in sizes) <= 256
+
+
+def _items(n):
+    """Vectors like those of items: two spread entries, a flag of four, two codes."""
+    rng = np.random.default_rng(8)
+    x = np.zeros((n, 8))
+    x[:, 0], x[:, 1] = rng.random(n), rng.integers(0, 50, n) / 49
+    x[np.arange(n), 2 + rng.integers(0, 4, n)] = 1
+    x[:, 6], x[:, 7] = rng.integers(0, 6, n) / 5, rng.integers(0, 25, n) / 24
+    return _unit(x)
+
+
+def test_distances_bound_unit_vectors(spark):
+    x = _items(2000)
+    s = x @ x.T
+    floor = np.sort(s, axis=1)[:, -6]
+    df = spark.createDataFrame([(i, r.tolist(), float(f)) for i, (r, f) in enumerate(zip(x, floor))],
+                               "cls long, u array<double>, floor double")
+    out, _, reach = cells.blocks(df, "u", "cls", 63)
+    block = np.array([r.block for r in out.orderBy("cls").collect()])
+    seen = {(r.cls, r.block) for r in reach(out, 1e-9).collect()}
+    assert len(seen) < 3 * len(x)  # before: 7 blocks for a row
+    assert all((i, block[j]) in seen for i, j in zip(*np.nonzero(s >= floor[:, None])) if block[i] != block[j])
+
+
+def test_a_query_is_scored_against_few_rows_of_its_block(monkeypatch):
+    import pandas as pd
+    x, k, cost = _items(2000), 6, []
+    topk = SIM.topk_rows
+    monkeypatch.setattr(SIM, "topk_rows", lambda s, *a: cost.append(s.size) or topk(s, *a))
+    n = len(x)
+    got = SIM._topk_block(k)((0, 0), pd.DataFrame({"qid": range(n), "u": list(x), "self": None, "floor": np.nan}),
+                             pd.DataFrame({"cls": range(n), "c_u": list(x), "first": range(n), "name": ""}))
+    s = np.round(x @ x.T, 12)
+    want = {(i, j) for i in range(n) for j in np.lexsort((np.arange(n), -s[i]))[:k]}
+    assert set(zip(got.qid, got.cls)) == want and len(got) == n * k
+    assert sum(cost) < n * n / 3  # before: every row of the block
+
+
+def test_a_visit_gives_one_row_a_query(spark):
+    x = _items(300)
+    df = spark.createDataFrame([(i, [(i, 1)], str(i), r.tolist(), 0) for i, r in enumerate(x)],
+                               "cls long, ids array<struct<dst: long, m: int>>, name string, u array<double>, block long")
+    routes = df.select(F.col("cls").alias("qid"), "u", F.lit(None).cast("string").alias("self"),
+                       F.lit(None).cast("double").alias("floor"), "block")
+    rows = SIM._visit(routes, df, 4, 100).collect()
+    s = np.round(x @ x.T, 12)
+    assert len(rows) == 300 and all([e.dst for e in r.near] == np.lexsort((np.arange(300), -s[r.qid]))[:4].tolist() for r in rows)
+    assert all(abs(r.floor - r.near[-1].score) < 1e-15 for r in rows)
+
+
+def test_text_ids_and_no_rows(spark):
+    rows = [(f"D{i:02d}", r.tolist()) for i, r in enumerate(_items(30))] + [("D03", [1.0] * 8), (None, [0.5] * 8)]
+    df = spark.createDataFrame(rows, "item_id string, features array<double>")
+    u = _unit(np.array([r[1] for r in rows]))
+    for src in ("D00", "D03", "D29"):
+        cand = sorted((-round(float(u[a] @ u[b]), 12), rows[b][0] or "") for a in range(32) for b in range(32) if rows[a][0] == src != rows[b][0])
+        got = SIM.cosine_topk(df, k=3, block_rows=8, queries=df.where(F.col("item_id") == src)).orderBy("rank").collect()
+        assert [(r.dst or "", round(r.score, 9)) for r in got] == [(d, round(-s, 9)) for s, d in cand[:3]]
+    assert SIM.cosine_topk(df.limit(0), k=3).count() == 0

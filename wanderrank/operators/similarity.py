@@ -9,11 +9,12 @@ Exact all-pairs top-k without all pairs:
    a block's box and ball bound what a query can score there;
 3. a query meets its own block first; its ``k + 1``-th score there is a floor, and only
    blocks whose bound reaches the floor are visited. A task holds one block and at
-   most ``block_rows`` queries, scored ``CHUNK`` queries at a time, and emits only
-   scores that reach the floor;
+   most ``block_rows`` queries, scored ``CHUNK`` queries at a time, near ones together,
+   against those cells of the block that they can need (``cells.Near``). A visit gives a
+   query one row, the list of its ``k + 1`` best that reach the floor;
 4. zero vectors score 0 with everything: they take the smallest ids;
-5. ``row_number() <= k`` per source merges the blocks (planned with a
-   partial WindowGroupLimit before the shuffle).
+5. a query's lists are merged to ``k + 1`` entries; a source with one vector takes its
+   ``k`` from the list, without another shuffle.
 
 Vectors without a bound in reach (many dimensions, no structure) visit every
 block: the work is then n^2, the memory of a task stays the same.
@@ -28,10 +29,15 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from wanderrank.operators import cells
+from wanderrank.operators.cells import matrix
 from wanderrank.operators.features import label_encode
 from wanderrank.operators.topk import block_tasks, topk_rows
 from wanderrank.session import broadcast_if_small, materialise, release, saved, ship_package
@@ -81,8 +87,9 @@ def build_item_vectors(items: DataFrame, id_col: str = "item_id",
 
 def _unit(features: str = "features"):
     norm = F.sqrt(F.aggregate(F.col(features), F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.when(norm == 0, F.transform(F.col(features), lambda x: x * 0.0)).otherwise(
-        F.transform(F.col(features), lambda x: x / norm))
+    # the norm is bound by an array of one: inside the inner lambda it would be worked out per entry
+    return F.transform(F.array(norm), lambda n: F.when(n == 0, F.transform(F.col(features), lambda x: x * 0.0)).otherwise(
+        F.transform(F.col(features), lambda x: x / n)))[0]
 
 
 def _topk_block(k: int):
@@ -92,26 +99,77 @@ def _topk_block(k: int):
         out = [pd.DataFrame({"qid": np.empty(0, np.int64), "cls": np.empty(0, np.int64), "score": np.empty(0)})]
         if q.empty or c.empty:
             return out[0]
-        cm = np.stack(c["c_u"].to_numpy())
+        near, um = cells.Near(np.stack(c["c_u"].to_numpy())), np.stack(q["u"].to_numpy())
         cls, name = c["cls"].to_numpy(), c["name"].to_numpy()
         first = c["first"].fillna("" if c["first"].dtype == object else -np.inf).to_numpy()
-        for at in range(0, len(q), CHUNK):
-            part = q.iloc[at:at + CHUNK]
-            qid, floor = part["qid"].to_numpy(), part["floor"].fillna(-np.inf).to_numpy(dtype=float)
-            sims = np.stack(part["u"].to_numpy()) @ cm.T
+        qids, floors, selves = q["qid"].to_numpy(), q["floor"].fillna(-np.inf).to_numpy(dtype=float), q["self"].to_numpy()
+        several = q["self"].notna().to_numpy()
+        for at in near.chunks(um, CHUNK):
+            qid, own, u = qids[at], selves[at], um[at]
+            rows, floor = near.reached(u, floors[at], ~several[at], k, SLACK)
+            sims = u @ near.x[rows].T
             ranked = np.round(sims, RANK_DIGITS)
             ranked[sims < floor[:, None] - SLACK] = -np.inf
-            own = part["self"].to_numpy()
-            for i in np.flatnonzero(part["self"].notna().to_numpy()):
-                for j in np.flatnonzero((name == own[i]) & np.isfinite(ranked[i])):
-                    out.append(pd.DataFrame({"qid": [qid[i]], "cls": [cls[j]], "score": [sims[i, j]]}))
+            for i in np.flatnonzero(several[at]):
+                for j in np.flatnonzero((name[rows] == own[i]) & np.isfinite(ranked[i])):
+                    out.append(pd.DataFrame({"qid": [qid[i]], "cls": [cls[rows[j]]], "score": [sims[i, j]]}))
                     ranked[i, j] = -np.inf
-            r, col = topk_rows(sims, first, k, ranked)
-            out.append(pd.DataFrame({"qid": qid[r], "cls": cls[col], "score": sims[r, col]}))
+            r, col = topk_rows(sims, first[rows], k, ranked)
+            out.append(pd.DataFrame({"qid": qid[r], "cls": cls[rows[col]], "score": sims[r, col]}))
         return pd.concat(out, ignore_index=True)
     return score
 
 
+def _ranks(ids: pa.Array) -> np.ndarray:
+    """The place of each id in Spark's order, nulls first; equal ids share one."""
+    return pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _lists(k: int, near: pa.DataType):
+    """``_topk_block`` over Arrow tables: queries (qid, u, self, floor, block) and classes (u, dst,
+    m, name: ids, how often each occurs, and the first as text) -> the queries with ``near``, the
+    ``k`` best ids (p: minus the rounded score, dst, m, score), and a new ``floor`` where there are ``k``."""
+    best = _topk_block(k)
+
+    def score(key, q: pa.Table, c: pa.Table) -> pa.Table:
+        q = q.combine_chunks()
+        n, floor, ends = len(q), q["floor"].to_numpy(zero_copy_only=False), np.zeros(len(q) + 1, np.int64)
+        values = pa.StructArray.from_arrays([pa.array([], f.type) for f in near.value_type], fields=list(near.value_type))
+        if n and len(c):
+            dst, m = c["dst"].combine_chunks(), c["m"].combine_chunks()
+            sizes = pc.list_value_length(dst).to_numpy(zero_copy_only=False).astype(np.int64)
+            start, ids = np.cumsum(sizes) - sizes, dst.flatten()
+            place = _ranks(ids)
+            own = q["self"].to_pandas()
+            found = best(key, pd.DataFrame({"qid": np.arange(n), "u": list(matrix(q["u"])), "self": own, "floor": floor}),
+                         pd.DataFrame({"cls": np.arange(len(c)), "c_u": list(matrix(c["c_u"])), "first": place[start],
+                                       "name": c["name"].to_pandas()}))
+            cls = found["cls"].to_numpy()
+            times = sizes[cls]
+            row, got = np.repeat(found["qid"].to_numpy(), times), np.repeat(found["score"].to_numpy(), times)
+            at = np.repeat(start[cls] - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
+            if own.notna().any():
+                text = ids.cast(pa.string()).to_pandas().to_numpy()
+                mine = own.to_numpy()[row]
+                ok = ~((mine == text[at]) & own.notna().to_numpy()[row])
+                row, got, at = row[ok], got[ok], at[ok]
+            p = 0.0 - np.round(got, RANK_DIGITS)
+            order = np.lexsort((place[at], p, row))
+            row, got, at, p = row[order], got[order], at[order], p[order]
+            keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+            row, got, at, p = row[keep], got[keep], at[keep], p[keep]
+            count = np.bincount(row, minlength=n)
+            ends = np.append(0, np.cumsum(count))
+            least = np.minimum.reduceat(np.append(got, np.inf), np.minimum(ends[:-1], len(got)))
+            floor = np.where(count >= k, least, floor)
+            values = pa.StructArray.from_arrays([pa.array(p), ids.take(pa.array(at)), m.flatten().take(pa.array(at)), pa.array(got)],
+                                                fields=list(near.value_type))
+        near_ = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values).cast(near)
+        return pa.table([*(q[x] for x in ("qid", "u", "self", "block")), pa.array(floor, pa.float64(), from_pandas=True), near_],
+                        names=["qid", "u", "self", "block", "floor", "near"])
+    return score
+
+
 def _n_blocks(df: DataFrame, block_rows: int) -> int:
     return max(1, math.ceil(df.count() / block_rows))
 
@@ -131,18 +189,23 @@ def block_copies(src: DataFrame, v: DataFrame, block_rows: int) -> tuple[DataFra
 
 
 def _visit(routes: DataFrame, classes: DataFrame, k: int, block_rows: int) -> DataFrame:
-    """(qid, cls, score) of queries (qid, u, self, floor, block) and their block's classes."""
+    """Queries (qid, u, self, floor, block) with ``near``, the list of their block (``_lists``)."""
     sizes = materialise(routes.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("_k")), "visits")
     row = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("_k").alias("t")).first()
-    tasks = block_tasks(routes.sparkSession, row["t"] or 1)
+    tasks = max(block_tasks(routes.sparkSession, row["t"] or 1), (row["t"] or 1) // 8)
     small = broadcast_if_small(sizes, row["n"])
     q = (routes.join(small, "block").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("_k")).cast("int"))
          .select("qid", "u", "self", "floor", "block", "part").repartition(tasks, "block", "part"))
     c = (classes.join(small, "block").withColumn("c_part", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
-         .select("cls", F.col("u").alias("c_u"), "first", "name", F.col("block").alias("c_block"), "c_part")
-         .repartition(tasks, "c_block", "c_part"))
+         .select(F.col("u").alias("c_u"), F.col("ids.dst").alias("dst"), F.col("ids.m").alias("m"), "name",
+                 F.col("block").alias("c_block"), "c_part").repartition(tasks, "c_block", "c_part"))
+    of = classes.select("ids.dst").schema[0].dataType.elementType
+    near = T.ArrayType(T.StructType([T.StructField("p", T.DoubleType()), T.StructField("dst", of),
+                                     T.StructField("m", T.IntegerType()), T.StructField("score", T.DoubleType())]))
+    schema = T.StructType([*routes.select("qid", "u", "self", "block").schema.fields, T.StructField("floor", T.DoubleType()),
+                           T.StructField("near", near)])
     found = (q.groupBy("block", "part").cogroup(c.groupBy("c_block", "c_part"))
-             .applyInPandas(_topk_block(k), "qid long, cls long, score double"))
+             .applyInArrow(_lists(k, to_arrow_type(near)), schema))
     found = materialise(found, "scores")
     release(sizes)
     return found
@@ -150,12 +213,12 @@ def _visit(routes: DataFrame, classes: DataFrame, k: int, block_rows: int) -> Da
 
 def _vector_classes(v: DataFrame, k: int) -> DataFrame:
     """Rows (item_id, u) -> u, ids: the ``k`` smallest ids with that vector and how
-    often each occurs (``k`` at most), ``first`` (the least id) and its ``name``."""
+    often each occurs (``k`` at most), and ``name`` (the least id as text)."""
     one = v.groupBy("u", "item_id").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("m"))
     w = Window.partitionBy("u").orderBy("item_id")
     return (one.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
             .groupBy("u").agg(F.array_sort(F.collect_list(F.struct("_r", F.col("item_id").alias("dst"), "m"))).alias("ids"))
-            .withColumn("first", F.col("ids")[0]["dst"]).withColumn("name", F.col("first").cast("string")))
+            .withColumn("name", F.col("ids")[0]["dst"].cast("string")))
 
 
 def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
@@ -178,8 +241,9 @@ def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
     src = v
     if queries is not None:
         src = v.join(queries.select(F.col(id_col).alias("item_id")).distinct(), "item_id", "left_semi")
-    classes = materialise(_vector_classes(v, k + 1).withColumn("cls", F.monotonically_increasing_id()), "classes")
-    classes, assign, reach = cells.blocks(classes, "u", "cls", block_rows)
+    whole = materialise(_vector_classes(v, k + 1).withColumn("cls", F.monotonically_increasing_id()), "classes")
+    classes, assign, reach = cells.blocks(whole, "u", "cls", block_rows)
+    release(whole)
 
     # one query per vector; ids that have several vectors are queries of their own
     several = v.groupBy("item_id").agg(F.count_distinct("u").alias("c")).where("c > 1").select("item_id", F.lit(True).alias("_several"))
@@ -188,38 +252,42 @@ def cosine_topk(vectors: DataFrame, k: int = 5, block_rows: int = 4096,
         F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("times"))
     src = materialise(src, "sources")
     asked = materialise(src.select("u", "self").distinct().withColumn("qid", F.monotonically_increasing_id()), "queries")
-    some = F.exists("u", lambda x: x != 0)
+    same = (F.col("u") == F.col("q_u")) & F.col("self").eqNullSafe(F.col("q_self"))
+    owners = materialise(src.join(asked.select("qid", F.col("u").alias("q_u"), F.col("self").alias("q_self")), same)
+                         .select("qid", F.col("item_id").alias("src"), "times", "self"), "owners")
+    low = materialise(v.groupBy("item_id").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("m"))
+                      .orderBy("item_id").limit(k + 1), "least")
+    release(v, src)
 
-    def entries(found: DataFrame) -> DataFrame:
-        """The first ``k + 1`` neighbours (qid, dst, m, score) of each query."""
-        ids = found.join(classes.select("cls", "ids"), "cls").select("qid", "score", F.inline("ids"))
-        ids = ids.join(asked.where("self is not null").select("qid", "self"), "qid", "left") \
-            .where(F.col("self").isNull() | ~F.col("self").eqNullSafe(F.col("dst").cast("string")))
-        w = Window.partitionBy("qid").orderBy(F.round("score", RANK_DIGITS).desc(), F.col("dst").asc())
-        return ids.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k + 1).select("qid", "dst", "m", "score")
-
-    home = assign(asked.where(some)).withColumn("floor", F.lit(None).cast("double"))
-    first = _visit(home, classes, k + 1, block_rows)
-    floors = entries(first).groupBy("qid").agg(F.count(F.lit(1)).alias("_c"), F.min("score").alias("_least")) \
-        .select("qid", F.when(F.col("_c") > k, F.col("_least")).alias("floor"))
-    routes = materialise(reach(home.drop("floor").join(floors, "qid", "left"), SLACK), "routes")
+    some = F.exists("u", lambda x: x != 0)
+    first = _visit(assign(asked.where(some)).withColumn("floor", F.lit(None).cast("double")), classes, k + 1, block_rows)
+    routes = materialise(reach(first.select("qid", "u", "self", "floor", "block"), SLACK), "routes")
     more = _visit(routes, classes, k + 1, block_rows)
-    best = materialise(entries(first.unionAll(more)), "neighbours")
-    release(first, more, routes)
-
+    release(routes, classes)
+    merged = (first.select("qid", "near").unionAll(more.select("qid", "near")).where(F.size("near") > 0).groupBy("qid")
+              .agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near")))
     # zero vectors: every cosine is 0
-    low = v.groupBy("item_id").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("m")).orderBy("item_id").limit(k + 1)
-    none = asked.where(~some).select("qid").join(F.broadcast(low), how="cross").select(
-        "qid", F.col("item_id").alias("dst"), "m", F.lit(0.0).alias("score"))
-    key = F.col("self").eqNullSafe(F.col("q_self"))
-    pairs = (src.join(asked.select("qid", F.col("u").alias("q_u"), F.col("self").alias("q_self")), (F.col("u") == F.col("q_u")) & key)
-             .select("qid", F.col("item_id").alias("src"), "times").join(best.unionAll(none), "qid")
-             .where(~F.coalesce(F.col("src") == F.col("dst"), F.lit(False)))
-             .select("src", "dst", "score", F.explode(F.array_repeat(F.lit(0), F.least(F.col("m") * F.col("times"), F.lit(k)))).alias("_i"))
-             .drop("_i"))
+    zero = low.agg(F.array_sort(F.collect_list(F.struct(F.lit(0.0).alias("p"), F.col("item_id").alias("dst"), "m",
+                                                        F.lit(0.0).alias("score")))).alias("near"))
+    none = asked.where(~some).select("qid").join(F.broadcast(zero), how="cross")
+    best = materialise(merged.unionAll(none), "neighbours")
+    release(first, more, asked, low)
+
+    def of(owners: DataFrame) -> DataFrame:
+        pairs = owners.join(best, "qid").withColumn("near", F.filter("near", lambda x: ~F.coalesce(x["dst"] == F.col("src"), F.lit(False))))
+        times = F.transform("near", lambda x: F.array_repeat(x, F.least(x["m"] * F.col("times"), F.lit(k))))
+        return pairs.select("src", F.slice(F.flatten(times), 1, k).alias("near"))
+
+    one = F.col("self").isNull() & F.col("src").isNotNull()  # its list is the only one of the source, and in order
+    alone = of(owners.where(one)).select("src", F.posexplode("near").alias("_i", "_x")).select(
+        "src", "_x.dst", "_x.score", (F.col("_i") + 1).alias("rank"))
+    n_shared = owners.where(~one).count()
+    if n_shared == 0:
+        return alone
     w = Window.partitionBy("src").orderBy(F.round("score", RANK_DIGITS).desc(), F.col("dst").asc())
-    return (pairs.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= k))
+    shared = of(broadcast_if_small(owners.where(~one), n_shared)).select("src", F.inline("near")).select(
+        "src", "dst", "score").withColumn("rank", F.row_number().over(w))
+    return alone.unionAll(shared.where(F.col("rank") <= k))
 
 
 def similar_items(neighbours: DataFrame, ids: DataFrame, k: int = 5,
