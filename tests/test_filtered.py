@@ -113,3 +113,36 @@ def test_running_total_over_a_hot_key(spark):
     got = {r.b: r.t for r in running_total(df, ["k"], ["a", "b"], F.col("w"), "t").collect()}
     for k, a, b, w in rows:
         assert got[b] == sum(x[3] for x in rows if x[0] == k and (x[1], x[2]) <= (a, b))
+
+
+@pytest.mark.parametrize("n", [63, 1_000])
+def test_requests_that_admit_the_same_items_share_a_list(spark, monkeypatch, n):
+    items, reqs = catalogue(n, n), requests(n + 1, 120)
+    reqs += [(1000 + i, 3 + i % 5, 3, ["A", "B"], 1e9 + i, None) for i in range(200)]  # other budgets, the same items
+    wanted, blocks = [], FI.prefix_blocks
+    monkeypatch.setattr(FI, "prefix_blocks", lambda r: wanted.append(r.count()) or blocks(r))
+    got = {}
+    for r in FI.passing_lists(spark.createDataFrame(reqs, REQ).drop("top_n"), spark.createDataFrame(items, ITEM)).collect():
+        assert r.ids and r.ids == sorted(r.ids)
+        got.setdefault(r.user_id, []).extend(r.ids)
+    for u, k, _, cats, budget, prov in reqs:
+        assert sorted(got.get(u, []))[:k] == sorted(i[0] for i in items if ok(i, cats, budget, prov))[:k], (u, cats, budget, prov)
+        assert len(got.get(u, [])) <= k * max(1, len(set(cats or [])))
+    assert sum(wanted) <= 200  # a prefix for every request and class would be over 400
+
+
+def test_a_long_limit_takes_the_other_path(spark, monkeypatch):
+    """The same answers whether a request reads a list or meets its candidates row by row."""
+    rnd = random.Random(2)
+    items = spark.createDataFrame([(i, "n", rnd.choice("AB"), "P", 1.0 * rnd.randrange(9)) for i in range(1, 200)],
+                                  "item_id long, name string, category string, province string, price double")
+    tr = spark.createDataFrame([(u, rnd.randrange(1, 60), 0.5) for u in range(12) for _ in range(1 + 9 * (u % 3))],
+                               "user_id long, item_id long, score double")
+    req = spark.createDataFrame([(u, 6, ["A"], 1.0 * (u % 8)) for u in range(12)],
+                                "user_id long, top_n int, categories array<string>, max_budget double")
+    asked, lists = [], R.passing_lists
+    monkeypatch.setattr(R, "passing_lists", lambda r, i: asked.append(r.count()) or lists(r, i))
+    rows = lambda: sorted((r.user_id, r["rank"], r.item_id) for r in R.recommend_batch(req, tr, items).collect())
+    whole = rows()
+    monkeypatch.setattr(R, "LIST", 15)
+    assert rows() == whole and asked[0] == 12 and 0 < asked[1] < 12
