@@ -166,3 +166,18 @@ def test_only_items_with_vectors_are_scored_in_blocks(spark, monkeypatch):
         lo, hi = min(s.values()), max(s.values())
         assert [r.item_id for r in rows] == best, u
         assert np.allclose([r.cf_score for r in rows], [round((s[i] - lo) / (hi - lo), 4) for i in best], atol=1e-4)
+
+
+def test_the_last_plan_is_short(spark):
+    """Fill, cb items and ranking are written one after the other: what is left to run joins the catalogue and the users."""
+    items = spark.createDataFrame([(i, f"n{i}", "AB"[i % 2], "P", float(i)) for i in range(1, 41)],
+                                  "item_id long, name string, category string, province string, price double")
+    parts = {"global": 2.0, "rank": 1, "vectors": (
+        spark.createDataFrame([(1, [2.5, 1.0, 0.3])], "user_id long, vec array<double>"),
+        spark.createDataFrame([(i, [1.0, 0.01 * i, 0.1]) for i in range(5, 9)], "item_id long, vec array<double>"))}
+    tr = spark.createDataFrame([(1, 5, 1.0), (2, 6, 1.0)], "user_id long, item_id long, score double")
+    req = spark.createDataFrame([(1, 3, ["A"]), (2, 3, None)], "user_id long, top_n int, categories array<string>")
+    out = R.recommend_batch_factorized(req, tr, items, parts)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2 and "Window" not in plan  # before: all joins and windows in one plan
+    assert out.count() == 6
