@@ -2,6 +2,7 @@ import os
 import subprocess
 import sys
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -93,6 +94,16 @@ def test_contract(docs, odd_texts):
     assert S.encode_documents(df.limit(0)).count() == 0
 
 
+def test_ids_are_the_rebuilt_tokenizers(pair, odd_texts):
+    codec, own, _ = pair
+    texts = [t or "" for t in odd_texts]
+    rebuilt = codec.encode(texts)
+    library = [b"\0\0\0\0" + rebuilt[0]] + [np.array(x, dtype="<i4").tobytes() for x in own.encode(texts)][1:]
+    ids, parity = S.agreed(rebuilt, library)
+    assert parity == [False] + [True] * (len(texts) - 1) and ids[0] is library[0]
+    assert all(x is y for x, y in zip(ids[1:], rebuilt[1:]))  # before: always the library's
+
+
 def test_a_worker_stays_small(tmp_path):
     """Texts of ever new words: a worker's own memory (a new process) grows little."""
     code = tmp_path / "worker.py"

@@ -286,6 +286,12 @@ def encode_all(tok, texts: list[str]) -> list[list[int]]:
     return out
 
 
+def agreed(rebuilt: list[bytes], library: list[bytes]) -> tuple[list[bytes], list[bool]]:
+    """(ids, parity): a text's ids are the rebuilt tokenizer's, the library's only where the two differ."""
+    parity = [x == y for x, y in zip(rebuilt, library, strict=True)]
+    return [x if same else y for x, y, same in zip(rebuilt, library, parity)], parity
+
+
 _CACHE: dict = {}
 
 
@@ -324,10 +330,8 @@ def encode_documents(documents: DataFrame, model_path: str = MODEL_PATH, threads
                 for part in _slices(b, text):
                     given = [x.as_py() for x in part.column(text)]
                     texts = [t or "" for t in given]
-                    ids = codec.encode(texts)
                     check = [np.array(x, dtype="<i4").tobytes() for x in own.encode(texts, num_threads=threads)]
-                    parity = [x == y for x, y in zip(ids, check)]
-                    ids = check  # equal where parity holds
+                    ids, parity = agreed(codec.encode(texts), check)
                     back = codec.decode(ids)
                     none = [t is None for t in given]
                     lengths = np.array([0] + [len(x) // 4 for x in ids])
