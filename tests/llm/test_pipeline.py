@@ -28,6 +28,17 @@ def test_stages_in_order_and_columns(spark, docs, odd_texts):
         assert len(out) == mixed.count() and all(r.parity and r.round_trip for r in out)
 
 
+@pytest.mark.skipif(not os.path.exists(S.MODEL_PATH), reason="no SentencePiece model file")
+def test_ids_keep_the_columns_of_their_document(spark, docs):
+    df = docs([(7, "one two", "s1"), (7, "one two", "s1"), (8, None, None)], {"lang": "x", "ids": 3})
+    out = P.tokenise(spark, df, "")
+    assert {"source", "lang"} <= set(out.columns) and "text" not in out.columns  # before: neither
+    rows = sorted((r.doc_id, r.source or "", r.lang, r.n_tokens) for r in out.collect())
+    n = rows[0][3]
+    assert rows == [(7, "s1", "x", n), (7, "s1", "x", n), (8, "", "x", 0)] and n >= 2
+    assert dict(out.dtypes)["ids"] == "array<int>"
+
+
 @pytest.mark.skipif(not os.path.exists(SF) or not os.path.exists(S.MODEL_PATH), reason="no test data")
 def test_run(spark):
     out = P.run(spark, SF).toPandas()

@@ -302,17 +302,17 @@ def _loaded(name: str, make):
 
 
 def encode_documents(documents: DataFrame, model_path: str = MODEL_PATH, threads: int = THREADS,
-                     text: str = "text", key: str = "doc_id") -> DataFrame:
+                     text: str = "text", key: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """Rows of ``op2_sentencepiece``: key, n_tokens, ids, round_trip (the ids
     decode to the text), parity (the rebuilt tokenizer agrees with the
-    SentencePiece library)."""
+    SentencePiece library). The columns ``keep`` go along, after the key."""
     spark = documents.sparkSession
     with_package(spark)
     with open(model_path, "rb") as f:  # on the driver; half a megabyte
         raw = f.read()
     shipped = spark.sparkContext.broadcast((raw, build(read_model(raw)).to_str()))
-    rows = documents.select(key, text)
-    schema = T.StructType([rows.schema[key], T.StructField("n_tokens", T.LongType()),
+    rows = documents.select(key, text, *keep)
+    schema = T.StructType([rows.schema[key], *(rows.schema[c] for c in keep), T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids", T.ArrayType(T.IntegerType())),
                            T.StructField("round_trip", T.BooleanType()),
                            T.StructField("parity", T.BooleanType())])
@@ -339,7 +339,7 @@ def encode_documents(documents: DataFrame, model_path: str = MODEL_PATH, threads
                     lists = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths), pa.int32()), values,
                                                      mask=pa.array(none, pa.bool_()))
                     yield pa.RecordBatch.from_arrays([
-                        part.column(key), pa.array(lengths[1:], pa.int64()), lists,
+                        part.column(key), *(part.column(c) for c in keep), pa.array(lengths[1:], pa.int64()), lists,
                         pa.array([None if n else x == t for x, t, n in zip(back, texts, none)], pa.bool_()),
                         pa.array([None if n else p for p, n in zip(parity, none)], pa.bool_())], names=schema.names)
         finally:
@@ -350,6 +350,9 @@ def encode_documents(documents: DataFrame, model_path: str = MODEL_PATH, threads
     return rows.mapInArrow(run, schema)
 
 
+RESULT = ("n_tokens", "ids", "round_trip", "parity")
+
+
 def _slices(batch: pa.RecordBatch, text: str):
     """The batch in pieces of bounded text, so that ids of a piece fit."""
     at, size = 0, 0
